@@ -1 +1,28 @@
-"""placeholder"""
+"""IO keys: table profile and CSV round trip."""
+
+from __future__ import annotations
+
+from creditspark.plans.catalog import register
+from creditspark.plans.oracle_base import with_fixture
+from creditspark.session import scratch_path
+from creditspark.sources import fixtures as fx
+from creditspark.sources import io
+
+
+@register("table_profile", with_fixture(
+    """select 'applications' table_name, count(*) n_rows, 7 n_cols from app
+       union all select 'bureau', count(*), 6 from bureau
+       union all select 'modelling', count(*), 12 from mt"""))
+def table_profile(spark, d):
+    """IO3: rows and columns of the applicant tables."""
+    return io.table_profile({"applications": fx.applications(spark, d), "bureau": fx.bureau(spark, d),
+                             "modelling": fx.modelling_table(spark, d)})
+
+
+@register("csv_roundtrip", with_fixture("select * from app"))
+def csv_roundtrip(spark, d):
+    """IO1+IO2: write the application table as CSV (NULL as "NA") to the shared folder, read it back."""
+    app = fx.applications(spark, d)
+    path = scratch_path(spark, "applications-csv")
+    io.write_csv(app, path)
+    return io.read_csv(spark, path, schema=app.schema)

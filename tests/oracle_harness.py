@@ -45,7 +45,12 @@ def _norm(v):
             return "∅"
         if math.isinf(v):
             return "inf" if v > 0 else "-inf"
-        return repr(round(v, 6) + 0.0)
+        r = round(v, 6) + 0.0
+        return repr(int(r)) if r.is_integer() and abs(r) < 2 ** 53 else repr(r)
+    if isinstance(v, bool):
+        return repr(v)
+    if isinstance(v, int):
+        return repr(v)
     if hasattr(v, "item"):
         return _norm(v.item())
     return repr(v)
