@@ -1 +1,47 @@
-"""placeholder"""
+"""SA keys: exact stratified split, 5 % stratified sample, class balancing."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from creditspark.operators import sampling as S
+from creditspark.plans.catalog import register
+from creditspark.plans.oracle_base import with_fixture
+from creditspark.sources import fixtures as fx
+
+SEED = 100
+BALANCE_FEATURES = ["tenure_days", "income", "price", "n_trades", "qty", "util", "bal"]
+
+
+def _split_sql(ratio, seed, sampled_only):
+    where = "where is_train" if sampled_only else ""
+    cols = "application_id, tag" if sampled_only else "application_id, tag, is_train"
+    return with_fixture(
+        f"""select {cols} from (
+              select application_id, tag,
+                     row_number() over (partition by tag order by md5(cast(application_id as varchar) || '|{seed}'),
+                                                                  application_id)
+                       <= round_even({ratio} * count(*) over (partition by tag), 0) is_train
+              from lab) s {where}""")
+
+
+@register("stratified_split", _split_sql(0.7, SEED, False))
+def stratified_split(spark, d):
+    """SA1: 70/30 split preserving the class ratio: per class the first round(0.7 n) rows by md5 rank."""
+    mt = fx.modelling_table(spark, d)
+    return S.stratified_split(mt, "application_id", "tag", 0.7, SEED).select("application_id", "tag", "is_train")
+
+
+@register("stratified_sample_5pct", _split_sql(0.05, SEED, True))
+def stratified_sample_5pct(spark, d):
+    """SA2: 5 % stratified subsample (the reference's SVM cost limiter)."""
+    mt = fx.modelling_table(spark, d)
+    return S.stratified_sample(mt, "application_id", "tag", 0.05, SEED).select("application_id", "tag")
+
+
+@register("rose_balance")
+def rose_balance(spark, d):
+    """SA3: smoothed-bootstrap balancing of the training side to about 50/50 (rows only)."""
+    mt = fx.modelling_table(spark, d).dropna(subset=BALANCE_FEATURES)
+    train = S.stratified_split(mt, "application_id", "tag", 0.7, SEED).filter("is_train").drop("is_train")
+    return S.rose_balance(train, "application_id", "tag", BALANCE_FEATURES, seed=1)

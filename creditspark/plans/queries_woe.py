@@ -134,8 +134,7 @@ def woe_monotone(spark, d):
                         F.when(F.col("is_monotone"), 10).otherwise(3).alias("chosen_bins"))
 
 
-_APPLY_SQL = with_fixture(
-    """select m.application_id,
+APPLY_BODY = """select m.application_id,
               round(case when m.segment is null then coalesce(sn.woe, 0.0::double) else coalesce(s.woe, sm.woe, 0.0::double) end, 6) woe_segment,
               round(case when m.priority is null then coalesce(pn.woe, 0.0::double) else coalesce(p.woe, pm.woe, 0.0::double) end, 6) woe_priority,
               round(case when m.nation is null then coalesce(nn.woe, 0.0::double) else coalesce(n.woe, nm.woe, 0.0::double) end, 6) woe_nation
@@ -148,8 +147,9 @@ _APPLY_SQL = with_fixture(
        left join cw pm on pm.variable = 'priority' and pm.level = 'misc'
        left join cw n on n.variable = 'nation' and n.level = cast(m.nation as varchar)
        left join cw nn on nn.variable = 'nation' and nn.level is null
-       left join cw nm on nm.variable = 'nation' and nm.level = 'misc'""",
-    *categorical_woe_ctes("cw", CATEGORICAL, MIN_SHARE))
+       left join cw nm on nm.variable = 'nation' and nm.level = 'misc'"""
+APPLY_CTES = categorical_woe_ctes("cw", CATEGORICAL, MIN_SHARE)
+_APPLY_SQL = with_fixture(APPLY_BODY, *APPLY_CTES)
 
 
 @register("woe_apply", _APPLY_SQL)
@@ -161,7 +161,7 @@ def woe_apply(spark, d):
     return out.select("application_id", r6("woe_segment"), r6("woe_priority"), r6("woe_nation"))
 
 
-def _replace_sql():
+def _replace_body():
     sel = ", ".join(f"round(coalesce(j{i}.woe, 0.0::double), 6) {c}" for i, c in enumerate(NULL_BEARING))
     frm = "from mt m " + " ".join(
         f"join (select cuts from it_q where variable = '{c}') q{i} on true "
@@ -169,7 +169,15 @@ def _replace_sql():
         f"(case when m.{c} is null then -1 else cast(len(list_filter(q{i}.cuts, lambda e: e < m.{c})) "
         f"as integer) end)"
         for i, c in enumerate(NULL_BEARING))
-    return with_fixture(f"select m.application_id, {sel} {frm}", *info_table_ctes("it", NULL_BEARING, 10))
+    return f"select m.application_id, {sel} {frm}"
+
+
+REPLACE_BODY = _replace_body()
+REPLACE_CTES = info_table_ctes("it", NULL_BEARING, 10)
+
+
+def _replace_sql():
+    return with_fixture(REPLACE_BODY, *REPLACE_CTES)
 
 
 @register("woe_replace", _replace_sql())
