@@ -1 +1,245 @@
-"""placeholder"""
+"""ML keys.
+
+``glm_fit``, ``glm_summary`` and ``glm_score`` fit a logistic GLM that is
+saturated on one categorical predictor, so its fitted probabilities are the
+per-level default rates and its coefficients, standard errors and AIC have
+closed forms - the oracle SQL computes those directly.  The remaining model
+keys are checked rows-only (trees, SVMs, stepwise paths and CV do not have
+SQL equivalents).
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.sql import functions as F
+
+from creditspark.operators import models as M
+from creditspark.operators import scorecard as SC
+from creditspark.plans.catalog import r6, register
+from creditspark.plans.modelling import build_design
+from creditspark.plans.oracle_base import with_fixture
+from creditspark.sources import fixtures as fx
+
+NA_LEVEL = "NA"
+RF_TREES = 100
+RF_MTRY = 5
+GBT_ROUNDS = 193
+CV_ROUNDS = 100
+RFF_SIGMA = 0.022
+RFF_COMPONENTS = 256
+
+
+def _lab_levels(spark, d):
+    mt = fx.modelling_table(spark, d).filter(F.col("tag").isNotNull())
+    return mt.withColumn("lvl", F.coalesce(F.col("priority"), F.lit(NA_LEVEL))) \
+             .withColumn("label", F.col("tag").cast("double"))
+
+
+def _saturated(spark, d):
+    """Logistic GLM on one-hot(priority) with the alphabetically last level as reference."""
+    lab = _lab_levels(spark, d)
+    si = StringIndexer(inputCol="lvl", outputCol="lvl_idx", stringOrderType="alphabetAsc")
+    oh = OneHotEncoder(inputCol="lvl_idx", outputCol="features", dropLast=True)
+    glr = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label", tol=1e-12,
+                                      maxIter=100, regParam=0.0)
+    model = Pipeline(stages=[si, oh, glr]).fit(lab.select("lvl", "label"))
+    return lab, model
+
+
+_GROUPS = """g AS (select coalesce(priority, 'NA') lvl, count(*) n, sum(tag) k, avg(cast(tag as double)) p
+                 from lab group by 1)"""
+
+
+@register("glm_fit", with_fixture("select lvl priority, round(p, 6) p_hat from g", _GROUPS))
+def glm_fit(spark, d):
+    """ML1: binomial-logit GLM; saturated on priority, fitted p = level default rate."""
+    lab, model = _saturated(spark, d)
+    levels = lab.select("lvl").distinct()
+    return model.transform(levels).select(F.col("lvl").alias("priority"), r6("prediction", "p_hat"))
+
+
+_SUMMARY_SQL = with_fixture(
+    """select '(Intercept)' term, round(ln(r.p / (1 - r.p)), 5) estimate,
+              round(sqrt(1 / (r.n * r.p * (1 - r.p))), 5) std_error,
+              round(ln(r.p / (1 - r.p)) / sqrt(1 / (r.n * r.p * (1 - r.p))), 5) z_value, round(a.aic, 3) aic
+       from ref r cross join aicq a
+       union all
+       select 'priority_' || g.lvl, round(ln(g.p / (1 - g.p)) - ln(r.p / (1 - r.p)), 5),
+              round(sqrt(1 / (g.n * g.p * (1 - g.p)) + 1 / (r.n * r.p * (1 - r.p))), 5),
+              round((ln(g.p / (1 - g.p)) - ln(r.p / (1 - r.p)))
+                    / sqrt(1 / (g.n * g.p * (1 - g.p)) + 1 / (r.n * r.p * (1 - r.p))), 5), round(a.aic, 3)
+       from g cross join ref r cross join aicq a where g.lvl <> r.lvl""",
+    _GROUPS, "ref AS (select * from g where lvl = (select max(lvl) from g))",
+    "aicq AS (select -2 * sum(k * ln(p) + (n - k) * ln(1 - p)) + 2 * count(*) aic from g)")
+
+
+@register("glm_summary", _SUMMARY_SQL)
+def glm_summary(spark, d):
+    """ML2: coefficient table (estimate, std. error, z) and AIC of the saturated GLM."""
+    _, model = _saturated(spark, d)
+    labels = model.stages[0].labels
+    glm = model.stages[-1]
+    names = [f"priority_{lv}" for lv in labels[:-1]]
+    fit = M.GlmFit(names, [float(x) for x in glm.coefficients], float(glm.intercept),
+                   list(glm.summary.coefficientStandardErrors), list(glm.summary.tValues),
+                   list(glm.summary.pValues), float(glm.summary.aic))
+    t = fit.table(spark)
+    return t.select("term", F.round("estimate", 5).alias("estimate"), F.round("std_error", 5).alias("std_error"),
+                    F.round("z_value", 5).alias("z_value"), F.round(F.lit(fit.aic), 3).alias("aic"))
+
+
+@register("glm_score", with_fixture(
+    """select m.application_id, round(g.p, 6) p from mt m join g on g.lvl = coalesce(m.priority, 'NA')""",
+    _GROUPS))
+def glm_score(spark, d):
+    """ML6: predicted default probability for every applicant, labelled or rejected."""
+    _, model = _saturated(spark, d)
+    mt = fx.modelling_table(spark, d).withColumn("lvl", F.coalesce(F.col("priority"), F.lit(NA_LEVEL)))
+    return model.transform(mt.select("application_id", "lvl")).select("application_id", r6("prediction", "p"))
+
+
+# ---------------------------------------------------------------- rows-only model keys (path B design)
+
+def _design(spark, d, balance=True):
+    return build_design(fx.modelling_table(spark, d), balance=balance)
+
+
+def _path_df(spark, path, cols):
+    return spark.createDataFrame(path, cols)
+
+
+@register("step_aic")
+def step_aic(spark, d):
+    """ML3: bidirectional stepwise AIC from the full model on the balanced training design."""
+    des = _design(spark, d)
+    _, path = M.step_aic(des.balanced, des.features, "tag")
+    return _path_df(spark, [(int(s), a, t, float(v)) for s, a, t, v in path],
+                    "step int, action string, term string, aic double")
+
+
+@register("backward_pvalue")
+def backward_pvalue(spark, d):
+    """ML4: manual backward elimination by p-value (alpha 0.05) with the AIC path."""
+    des = _design(spark, d)
+    _, path = M.backward_pvalue(des.balanced, des.features, "tag")
+    return _path_df(spark, [(int(s), t, p, float(a)) for s, t, p, a in path],
+                    "step int, dropped string, p_value double, aic double")
+
+
+@register("vif")
+def vif(spark, d):
+    """ML5: variance inflation factors of the full logistic model."""
+    des = _design(spark, d)
+    fit = M.fit_logit(des.balanced, des.features, "tag")
+    return spark.createDataFrame(M.vif(des.balanced, fit), "variable string, vif double")
+
+
+def _rf(spark, d):
+    des = _design(spark, d)
+    model = M.random_forest(des.vectors("balanced"), "tag", num_trees=RF_TREES, mtry=RF_MTRY)
+    return des, model
+
+
+@register("rf_prob")
+def rf_prob(spark, d):
+    """ML7/ML8: random forest (mtry 5) class-1 probability on the holdout."""
+    des, model = _rf(spark, d)
+    pred = model.transform(des.vectors("test"))
+    return pred.select("application_id", "tag", M.positive_probability(pred).alias("prob"))
+
+
+@register("rf_importance")
+def rf_importance(spark, d):
+    """ML9: random forest importance (normalised impurity decrease), ranked."""
+    des, model = _rf(spark, d)
+    return M.importance_table(spark, model, des.features)
+
+
+def _gbt(spark, d):
+    des = _design(spark, d, balance=False)
+    model = M.boosted_trees(des.vectors("train"), "tag", rounds=GBT_ROUNDS)
+    return des, model
+
+
+@register("gbt_prob")
+def gbt_prob(spark, d):
+    """ML10/ML12: boosted trees (eta .7, depth 3, 193 rounds) probability on the holdout."""
+    des, model = _gbt(spark, d)
+    pred = model.transform(des.vectors("test"))
+    return pred.select("application_id", "tag", M.positive_probability(pred).alias("prob"))
+
+
+@register("gbt_importance")
+def gbt_importance(spark, d):
+    """ML12: boosted-tree importance, ranked."""
+    des, model = _gbt(spark, d)
+    return M.importance_table(spark, model, des.features)
+
+
+@register("gbt_cv")
+def gbt_cv(spark, d):
+    """ML11: 5-fold CV of boosting: mean / sd validation log-loss per round and the best round."""
+    des = _design(spark, d, balance=False)
+    rows, best = M.boosting_cv(des.vectors("train"), "application_id", "tag", nfold=5, rounds=CV_ROUNDS)
+    return spark.createDataFrame([(r, m, s, r == best) for r, m, s in rows],
+                                 "round int, mean_logloss double, sd_logloss double, is_best boolean")
+
+
+@register("linear_svm")
+def linear_svm(spark, d):
+    """ML13: linear SVM on the full balanced training side (no 5 % cost sample needed)."""
+    des = _design(spark, d)
+    model = M.linear_svm(des.vectors("balanced"), "tag")
+    pred = model.transform(des.vectors("test"))
+    return pred.select("application_id", "tag", F.col("prediction").cast("int").alias("pred"))
+
+
+@register("rff_svm")
+def rff_svm(spark, d):
+    """ML14: RBF-kernel SVM via random Fourier features (sigma .022, 256 components) + linear SVM."""
+    des = _design(spark, d)
+    tr = M.fourier_features(des.balanced.dropna(subset=des.features), des.features, RFF_SIGMA, RFF_COMPONENTS)
+    te = M.fourier_features(des.test.dropna(subset=des.features), des.features, RFF_SIGMA, RFF_COMPONENTS)
+    model = M.linear_svm(tr.withColumn("tag", F.col("tag").cast("double")), "tag")
+    pred = model.transform(te.withColumn("tag", F.col("tag").cast("double")))
+    return pred.select("application_id", F.col("tag").cast("int").alias("tag"),
+                       F.col("prediction").cast("int").alias("pred"))
+
+
+def _grid(spark, d):
+    des = _design(spark, d)
+    cvm, table = M.grid_search_rf(des.vectors("balanced"), "tag", [3, 4, 5], num_trees=50, folds=5)
+    return des, cvm, table
+
+
+@register("grid_cv")
+def grid_cv(spark, d):
+    """ML15: 5-fold cross-validated grid over random-forest mtry, accuracy per setting."""
+    _, _, table = _grid(spark, d)
+    return spark.createDataFrame(table, "mtry int, accuracy double")
+
+
+@register("cv_predict")
+def cv_predict(spark, d):
+    """ML16: the cross-validated best model's holdout predictions."""
+    des, cvm, _ = _grid(spark, d)
+    pred = cvm.bestModel.transform(des.vectors("test"))
+    return pred.select("application_id", "tag", M.positive_probability(pred).alias("prob"))
+
+
+@register("reject_retrain")
+def reject_retrain(spark, d):
+    """RJ4: rejects get inferred tags (p >= .51), join the labelled rows, and the logistic model is
+    refitted on the augmented population; returns the coefficient table."""
+    mt = fx.modelling_table(spark, d)
+    rej = SC.infer_rejects(mt.filter(F.col("tag").isNull()).withColumn("p", fx.fixed_scorer()), "p", 0.51)
+    rej = rej.filter(F.col("inferred_tag").isNotNull()).withColumn("tag", F.col("inferred_tag")) \
+        .drop("p", "inferred_tag")
+    augmented = mt.filter(F.col("tag").isNotNull()).unionByName(rej)
+    des = build_design(augmented)
+    fit = M.fit_logit(des.balanced, des.features, "tag")
+    return fit.table(spark).withColumn("aic", F.lit(fit.aic))
+
+
