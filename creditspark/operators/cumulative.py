@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditspark.operators.cache import persist
+
 DEFAULT_BUCKETS = 256
 
 
@@ -34,6 +36,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
     ``df`` must hold one row per distinct ``order_col`` value (e.g. the output
     of ``groupBy(order_col)``), so the running order has no ties.
     """
+    df = persist(df)
     splits = _bucket_splits(df, order_col, n_buckets)
     bucketed = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bkt", handleInvalid="keep") \
         .transform(df.withColumn("__ord", F.col(order_col).cast("double")))

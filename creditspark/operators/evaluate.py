@@ -16,12 +16,14 @@ in one pass and accumulates at most 101 rows.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.ml.feature import Bucketizer
+
+from creditspark.operators.cache import persist
 from creditspark.operators.cumulative import DEFAULT_BUCKETS, running_totals
 
 INF = float("inf")
@@ -117,10 +119,13 @@ def cutoff_sweep(df: DataFrame, score: str, label: str, cutoffs: list[float]) ->
     Sensitivity/specificity with class 0 as positive (reference convention).
     """
     spark = df.sparkSession
-    x = _d(score)
-    idx = reduce(lambda a, b: a + b, [(x >= F.lit(float(c))).cast("int") for c in cutoffs])
-    counts = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-                .groupBy(idx.alias("idx"))
+    # grid index by binary search (Bucketizer): bucket j <=> cutoffs[j-1] <= x < cutoffs[j]
+    splits = [float("-inf")] + [float(c) for c in cutoffs] + [float("inf")]
+    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()) \
+        .select(_d(score).alias("__x"), F.col(label).alias("__y"))
+    b = Bucketizer(splits=splits, inputCol="__x", outputCol="__idx").transform(rows)
+    counts = (b.withColumnRenamed("__y", label)
+                .groupBy(F.col("__idx").cast("int").alias("idx"))
                 .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
                      F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
     schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("cutoff", T.DoubleType())])

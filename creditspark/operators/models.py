@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditspark.operators.cache import persist, release
 from creditspark.session import checkpoint_dir
 
 INTERCEPT = "(Intercept)"
@@ -96,7 +97,11 @@ def fit_logit_vector(design: DataFrame, label: str, features: list[str], feature
                      tol: float = 1e-8, max_iter: int = 50) -> GlmFit:
     glr = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label, featuresCol=features_col,
                                       tol=tol, maxIter=max_iter, regParam=0.0, fitIntercept=True)
+    cached = not design.is_cached
+    design = persist(design)
     m = glr.fit(design)
+    if cached:
+        release(design)
     s = m.summary
     try:
         se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditspark.functions.columns import cut_index
+from creditspark.operators.cache import persist
 
 EXACT_DISTINCT_LIMIT = 2_000_000
 
@@ -50,6 +51,7 @@ def class_shares(df: DataFrame, col: str) -> DataFrame:
 def six_number(df: DataFrame, cols: list[str], exact: bool | None = None, by: list[str] | None = None) -> DataFrame:
     """AG3: (variable, n, min, q1, median, mean, q3, max), NULLs skipped."""
     by = by or []
+    df = persist(df.select(*by, *cols)) if exact is None else df
     ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols, by).filter(F.col("value").isNotNull())
     q = quantile(F.col("value"), [0.25, 0.5, 0.75], ex)
@@ -62,6 +64,7 @@ def six_number(df: DataFrame, cols: list[str], exact: bool | None = None, by: li
 
 def medians(df: DataFrame, cols: list[str], exact: bool | None = None) -> DataFrame:
     """AG4: (variable, median), NULLs skipped."""
+    df = persist(df.select(*cols)) if exact is None else df
     ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols)
     return long.groupBy("variable").agg(quantile(F.col("value"), 0.5, ex).alias("median"))
@@ -69,6 +72,7 @@ def medians(df: DataFrame, cols: list[str], exact: bool | None = None) -> DataFr
 
 def percentile_profile(df: DataFrame, cols: list[str], steps: int = 100, exact: bool | None = None) -> DataFrame:
     """AG5: ``quantile(x, seq(0, 1, 1/steps))`` per variable: (variable, pct, value)."""
+    df = persist(df.select(*cols)) if exact is None else df
     ex = _use_exact(df, cols, exact)
     probs = [i / steps for i in range(steps + 1)]
     long = long_numeric(df, cols)
@@ -84,6 +88,7 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, exact
     pass 2 joins it back (broadcast: rows = groups x variables) for fences.
     """
     by = by or []
+    df = persist(df.select(*by, *cols))
     ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols, by).filter(F.col("value").isNotNull())
     qs = long.groupBy(*by, "variable").agg(quantile(F.col("value"), [0.25, 0.5, 0.75], ex).alias("q"))
@@ -133,6 +138,7 @@ def default_rate(df: DataFrame, cat_cols: list[str], label: str,
 
 def histogram(df: DataFrame, col: str, bins: int = 30, spark: SparkSession | None = None) -> DataFrame:
     """AG11: equal-width bins over [min, max], last bin closed; empty bins emitted with 0."""
+    df = persist(df.select(col))
     x = F.col(col).cast("double")
     mm = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
     mn, mx = mm["mn"], mm["mx"]

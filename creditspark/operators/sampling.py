@@ -27,6 +27,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditspark.operators.cache import persist
+
 SEP = "|"
 TWO53 = float(2 ** 53)
 
@@ -38,7 +40,7 @@ def rank_key(key: str, seed: int) -> Column:
 def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: int,
                      prefix_hex: int = 4, flag: str = "is_train") -> DataFrame:
     """SA1: add boolean ``flag`` (True = sampled/training side) to labelled rows of ``df``."""
-    lab = df.filter(F.col(label).isNotNull())
+    lab = persist(df.filter(F.col(label).isNotNull()))
     h = rank_key(key, seed)
     with_h = lab.withColumn("__h", h).withColumn(
         "__b", F.conv(F.substring("__h", 1, prefix_hex), 16, 10).cast("long"))
@@ -96,7 +98,7 @@ def _poisson_count(u: Column, lam: float) -> Column:
 def rose_balance(df: DataFrame, key: str, label: str, features: list[str], seed: int = 1,
                  shrink: float = 1.0) -> DataFrame:
     """SA3: smoothed-bootstrap balancing; returns (key, copy, label, features...) rows."""
-    lab = df.filter(F.col(label).isNotNull())
+    lab = persist(df.filter(F.col(label).isNotNull()).select(key, label, *features))
     stats = lab.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
                                    *[F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in features]
                                    ).collect()

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditspark.operators.cache import persist, release
+
 MISC_LEVEL = "misc"
 EXACT_DISTINCT_LIMIT = 2_000_000  # above this many distinct values, quantiles are approximated
 
@@ -159,7 +161,7 @@ def numeric_bin_counts(df: DataFrame, cuts: dict[str, list[float]], label: str)
 def info_table(df: DataFrame, cols: list[str], label: str, k: int = 10, method: str = "auto",
                cuts: dict[str, list[float]] | None = None) -> DataFrame:
     """Quantile-bin information table with cumulative IV per variable (WO4-WO6)."""
-    lab = df.filter(F.col(label).isNotNull())
+    lab = persist(df.filter(F.col(label).isNotNull()).select(label, *cols))
     cuts = cuts if cuts is not None else quantile_cuts(lab, cols, k, method)
     t = add_woe_iv(numeric_bin_counts(lab, cuts, label))
     w = Window.partitionBy("variable").orderBy("bin_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -205,7 +207,7 @@ def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20,
     the step is <= ``stop_limit``.  The loop runs on the collected bin table
     (at most ``start_bins`` + 1 rows), not on data.
     """
-    lab = df.filter(F.col(label).isNotNull())
+    lab = persist(df.filter(F.col(label).isNotNull()).select(label, col))
     cuts = quantile_cuts(lab, [col], start_bins, method)[col]
     rows = numeric_bin_counts(lab, {col: cuts}, label).filter(F.col("bin_id") >= 0) \
         .orderBy("bin_id").collect()
@@ -281,7 +283,8 @@ class WoeBinner:
 
     def fit(self, df: DataFrame) -> WoeModel:
         model = WoeModel()
-        lab = df.filter(F.col(self.label).isNotNull())
+        lab = persist(df.filter(F.col(self.label).isNotNull())
+                      .select(self.label, *self.categorical, *self.numeric))
         if self.categorical:
             t = woe_categorical(lab, self.categorical, self.label, self.min_share).collect()
             for v in self.categorical:
@@ -302,6 +305,7 @@ class WoeBinner:
             for v in self.numeric:
                 model.numeric[v] = {"cuts": cuts[v],
                                     "woe": {r["bin_id"]: r["woe"] for r in t if r["variable"] == v}}
+        release(lab)
         return model
 
 

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditspark.operators import woe
+from creditspark.operators.cache import persist
 
 
 def fine_and_coarse_bins(df: DataFrame, numeric: list[str], label: str, fine_k: int = 10,
                          coarse_k: int = 3, method: str = "auto") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return (fine bin table, monotone flags, chosen bin table per variable)."""
-    lab = df.filter(F.col(label).isNotNull()).select(label, *numeric)
+    lab = persist(df.filter(F.col(label).isNotNull()).select(label, *numeric))
     fine = woe.info_table(lab, numeric, label, k=fine_k, method=method)
     flags = woe.monotone_flags(fine)
     non_mono = [r["variable"] for r in flags.filter(~F.col("is_monotone")).collect()]
