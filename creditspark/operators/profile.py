@@ -85,7 +85,9 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, exact
     """AG6/AG7: quartiles, 1.5*IQR whiskers (extreme values inside the fence) and outlier count.
 
     Pass 1 computes the quartiles per (group, variable) - a small table;
-    pass 2 joins it back (broadcast: rows = groups x variables) for fences.
+    pass 2 joins it back for the fences.  Without ``by`` the quartile table has
+    one row per variable and is broadcast; with ``by`` its size depends on the
+    data, so the join strategy is left to AQE's measured-size check.
     """
     by = by or []
     df = persist(df.select(*by, *cols))
@@ -97,7 +99,7 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, exact
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lo_fence", F.col("q1") - F.lit(coef) * F.col("iqr")) \
         .withColumn("hi_fence", F.col("q3") + F.lit(coef) * F.col("iqr"))
-    j = long.join(F.broadcast(qs), [*by, "variable"], "inner")
+    j = long.join(qs if by else F.broadcast(qs), [*by, "variable"], "inner")
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     st = j.groupBy(*by, "variable").agg(
         F.min(F.when(inside, F.col("value"))).alias("lower_whisker"),

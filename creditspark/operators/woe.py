@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from creditspark.operators.cache import persist, release
 
 MISC_LEVEL = "misc"
+MAX_LITERAL_LEVELS = 5000  # above this many levels a variable's lookup stays a DataFrame (join, not literal)
 EXACT_DISTINCT_LIMIT = 2_000_000  # above this many distinct values, quantiles are approximated
 
 
@@ -242,6 +243,7 @@ class WoeModel:
     """Fitted binning: literal lookups applied as a projection (no join)."""
     categorical: dict[str, dict] = field(default_factory=dict)  # var -> {levels:{lvl:woe}, null, misc}
     numeric: dict[str, dict] = field(default_factory=dict)      # var -> {cuts:[..], woe:{bin:woe}}
+    lookups: dict[str, tuple] = field(default_factory=dict)     # var -> (DataFrame(level, woe), null, misc)
 
     def woe_column(self, var: str) -> Column:
         if var in self.categorical:
@@ -263,12 +265,25 @@ class WoeModel:
 
     @property
     def variables(self) -> list[str]:
-        return list(self.categorical) + list(self.numeric)
+        return list(self.categorical) + list(self.lookups) + list(self.numeric)
 
     def transform(self, df: DataFrame, prefix: str = "woe_", replace: bool = False) -> DataFrame:
-        """Add ``woe_<var>`` columns, or overwrite the originals when ``replace``."""
-        cols = {(v if replace else f"{prefix}{v}"): self.woe_column(v) for v in self.variables}
-        return df.withColumns(cols)
+        """Add ``woe_<var>`` columns, or overwrite the originals when ``replace``.
+
+        Literal lookups are a projection; high-cardinality variables are a left
+        join against their level table (strategy chosen by AQE from its size).
+        """
+        out = df
+        for v, (table, null_woe, misc_woe) in self.lookups.items():
+            name = v if replace else f"{prefix}{v}"
+            lk = table.select(F.col("level").alias(f"__lvl_{v}"), F.col("woe").alias(f"__woe_{v}"))
+            out = out.join(lk, F.col(v).cast("string") == F.col(f"__lvl_{v}"), "left")
+            out = out.withColumn(name, F.when(F.col(v).isNull(), F.lit(float(null_woe)))
+                                 .otherwise(F.coalesce(F.col(f"__woe_{v}"), F.lit(float(misc_woe)))))
+            out = out.drop(f"__lvl_{v}", f"__woe_{v}")
+        cols = {(v if replace else f"{prefix}{v}"): self.woe_column(v)
+                for v in list(self.categorical) + list(self.numeric)}
+        return out.withColumns(cols)
 
 
 class WoeBinner:
@@ -286,8 +301,19 @@ class WoeBinner:
         lab = persist(df.filter(F.col(self.label).isNotNull())
                       .select(self.label, *self.categorical, *self.numeric))
         if self.categorical:
-            t = woe_categorical(lab, self.categorical, self.label, self.min_share).collect()
+            table = persist(woe_categorical(lab, self.categorical, self.label, self.min_share))
+            sizes = {r["variable"]: r["n"] for r in table.groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
+                     .collect()}
+            small = [v for v in self.categorical if sizes.get(v, 0) <= MAX_LITERAL_LEVELS]
             for v in self.categorical:
+                if v in small:
+                    continue
+                special = {r["level"]: r["woe"] for r in table.filter(
+                    (F.col("variable") == v) & (F.col("level").isNull() | (F.col("level") == MISC_LEVEL))).collect()}
+                model.lookups[v] = (table.filter((F.col("variable") == v) & F.col("level").isNotNull())
+                                    .select("level", "woe"), special.get(None, 0.0), special.get(MISC_LEVEL, 0.0))
+            t = table.filter(F.col("variable").isin(small)).collect() if small else []
+            for v in small:
                 rows = [r for r in t if r["variable"] == v]
                 spec = {"levels": {}, "null": 0.0, "misc": 0.0}
                 for r in rows:

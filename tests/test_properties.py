@@ -126,3 +126,31 @@ def test_cutoff_sweep_matches_brute_force(spark, sf_small):
         tp = int(((pdf.p >= c) & (pdf.tag == 1)).sum())
         fp = int(((pdf.p >= c) & (pdf.tag == 0)).sum())
         assert (got[i]["tp"], got[i]["fp"]) == (tp, fp)
+
+
+def test_high_cardinality_woe_join_path_equals_literal_path(spark, sf_small, monkeypatch):
+    mt = fx.modelling_table(spark, sf_small)
+    lit_model = woe.WoeBinner("tag", categorical=["nation", "priority"], min_share=0.03).fit(mt)
+    monkeypatch.setattr(woe, "MAX_LITERAL_LEVELS", 2)
+    join_model = woe.WoeBinner("tag", categorical=["nation", "priority"], min_share=0.03).fit(mt)
+    assert set(join_model.lookups) == {"nation", "priority"} and not join_model.categorical
+    cols = ["application_id", "woe_nation", "woe_priority"]
+    a = lit_model.transform(mt).select(*cols)
+    b = join_model.transform(mt).select(*cols)
+    assert a.count() == b.count() == 1500
+    assert a.exceptAll(b).count() == 0
+
+
+def test_box_stats_by_group_matches_pandas(spark, sf_small):
+    from creditspark.operators import profile
+    mt = fx.modelling_table(spark, sf_small).filter(F.col("tag").isNotNull())
+    got = {(r["tag"], r["variable"]): r for r in profile.box_stats(mt, ["bal"], by=["tag"]).collect()}
+    pdf = mt.select("tag", "bal").toPandas().dropna()
+    for t, g in pdf.groupby("tag"):
+        q1, q3 = g.bal.quantile(0.25), g.bal.quantile(0.75)
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = g.bal[(g.bal >= lo) & (g.bal <= hi)]
+        r = got[(t, "bal")]
+        assert r["q1"] == pytest.approx(q1) and r["q3"] == pytest.approx(q3)
+        assert r["lower_whisker"] == pytest.approx(inside.min()) and r["upper_whisker"] == pytest.approx(inside.max())
+        assert r["n_outliers"] == len(g) - len(inside)
