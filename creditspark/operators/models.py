@@ -142,21 +142,34 @@ def _aic(fit: GlmFit | None) -> float:
 
 
 def step_aic(df: DataFrame, candidates: list[str], label: str, start: list[str] | None = None,
-             max_steps: int = 30, parallelism: int = 4) -> tuple[list[str], list[tuple]]:
+             max_steps: int = 30, parallelism: int = 4, batched: bool = True) -> tuple[list[str], list[tuple]]:
     """ML3: bidirectional stepwise selection by AIC (ties broken by term name).
 
+    ``batched``: all candidate fits of a step share one pass per IRLS
+    iteration (``irls.batched_logit``); otherwise each candidate is a
+    separate GLM fit, run concurrently from a driver thread pool.
     Returns the chosen predictors and the path [(step, action, term, aic)].
     """
+    from creditspark.operators.irls import batched_logit
+
     cache = DesignCache(df, candidates, label)
     current = list(start if start is not None else candidates)
-    best = _aic(cache.fit(current))
-    path = [(0, "start", None, best)]
+
+    def aics(subsets: list[list[str]], pool) -> list[float]:
+        if batched:
+            fits = batched_logit(cache.design, "all_features", label,
+                                 [[candidates.index(c) for c in s] for s in subsets])
+            return [f.aic if f.converged and np.isfinite(f.aic) else float("inf") for f in fits]
+        return [_aic(f) for f in pool.map(cache.fit, subsets)]
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        best = aics([current], pool)[0]
+        path = [(0, "start", None, best)]
         for step in range(1, max_steps + 1):
             moves = [("drop", c, [x for x in current if x != c]) for c in current if len(current) > 1]
             moves += [("add", c, current + [c]) for c in candidates if c not in current]
-            fits = list(pool.map(lambda m: cache.fit(m[2]), moves))
-            scored = sorted(((_aic(f), m[1], m[0], m[2]) for f, m in zip(fits, moves)), key=lambda t: (t[0], t[1]))
+            scores = aics([m[2] for m in moves], pool)
+            scored = sorted(((a, m[1], m[0], m[2]) for a, m in zip(scores, moves)), key=lambda t: (t[0], t[1]))
             if not scored or scored[0][0] >= best:
                 break
             best, term, action, current = scored[0][0], scored[0][1], scored[0][2], scored[0][3]

@@ -154,3 +154,34 @@ def test_box_stats_by_group_matches_pandas(spark, sf_small):
         assert r["q1"] == pytest.approx(q1) and r["q3"] == pytest.approx(q3)
         assert r["lower_whisker"] == pytest.approx(inside.min()) and r["upper_whisker"] == pytest.approx(inside.max())
         assert r["n_outliers"] == len(g) - len(inside)
+
+
+def test_batched_irls_matches_glm(spark, sf_small):
+    from creditspark.operators import irls
+    from creditspark.operators import models as M
+    mt = fx.modelling_table(spark, sf_small).dropna(subset=["bal", "n_trades", "qty"])
+    feats = ["bal", "n_trades", "qty", "income"]
+    mt = prep.Standardizer(feats).fit(mt).transform(mt)
+    design = M.assemble(mt, feats, "tag")
+    subsets = [[0, 1], [0, 2, 3], [0, 1, 2, 3]]
+    fits = irls.batched_logit(design, "features", "tag", subsets)
+    for s, f in zip(subsets, fits):
+        ref = M.fit_logit(mt, [feats[i] for i in s], "tag", tol=1e-10)
+        assert f.converged
+        assert f.aic == pytest.approx(ref.aic, abs=1e-6)
+        assert f.coefficients[0] == pytest.approx(ref.intercept, abs=1e-6)
+        assert list(f.coefficients[1:]) == pytest.approx(ref.coefficients, abs=1e-6)
+        assert f.std_errors[0] == pytest.approx(ref.std_errors[-1], rel=1e-5)
+
+
+def test_stepwise_batched_equals_unbatched(spark, sf_small):
+    from creditspark.operators import models as M
+    mt = fx.modelling_table(spark, sf_small).dropna(subset=["bal", "n_trades", "qty"])
+    feats = ["bal", "n_trades", "qty", "income", "price"]
+    mt = prep.Standardizer(feats).fit(mt).transform(mt)
+    chosen_b, path_b = M.step_aic(mt, feats, "tag", batched=True)
+    chosen_u, path_u = M.step_aic(mt, feats, "tag", batched=False)
+    assert sorted(chosen_b) == sorted(chosen_u)
+    assert [(s, a, t) for s, a, t, _ in path_b] == [(s, a, t) for s, a, t, _ in path_u]
+    aics = [a for *_, a in path_b]
+    assert all(x >= y for x, y in zip(aics, aics[1:]))
