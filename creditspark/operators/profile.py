@@ -18,6 +18,13 @@ from creditspark.operators.cache import persist
 EXACT_DISTINCT_LIMIT = 2_000_000
 
 
+def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str]:
+    """FL5: numeric columns from the schema (no job), minus key/label columns named in ``exclude``."""
+    from pyspark.sql.types import NumericType
+    exclude = set(exclude or [])
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+
+
 def _use_exact(df: DataFrame, cols: list[str], exact: bool | None) -> bool:
     if exact is not None:
         return exact

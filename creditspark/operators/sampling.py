@@ -8,7 +8,7 @@ SA1 stratified split, deterministic and partition-independent:
   rank key (at most 16^prefix_hex rows per class, independent of n) locates
   each class's boundary bucket; rows outside that bucket are decided by a
   broadcast lookup without any shuffle, and only rows inside the boundary
-  bucket (about n / 16^prefix_hex per class) are ranked.
+  bucket (about n / 16^prefix_hex per class, i.e. n / 1M by default) are ranked.
 
 SA3 class balancing (ROSE-style smoothed bootstrap): each class is resampled
   to about N/2 rows by a Poisson(N / (2 n_c)) replication count per row
@@ -38,7 +38,7 @@ def rank_key(key: str, seed: int) -> Column:
 
 
 def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: int,
-                     prefix_hex: int = 4, flag: str = "is_train") -> DataFrame:
+                     prefix_hex: int = 5, flag: str = "is_train") -> DataFrame:
     """SA1: add boolean ``flag`` (True = sampled/training side) to labelled rows of ``df``."""
     lab = persist(df.filter(F.col(label).isNotNull()))
     h = rank_key(key, seed)

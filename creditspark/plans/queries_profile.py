@@ -163,8 +163,11 @@ def _corr_sql():
 
 @register("corr_matrix", _corr_sql())
 def corr_matrix(spark, d):
-    """AG12: Pearson correlation of every numeric pair, long form, one aggregate pass."""
-    return P.corr_long(_lab(spark, d), NUMERIC).select("var_x", "var_y", r6("corr"))
+    """AG12: Pearson correlation of every numeric pair (columns found from the schema, FL5), long form,
+    one aggregate pass."""
+    lab = _lab(spark, d)
+    cols = P.numeric_columns(lab, exclude=["application_id", "tag", "nation"])
+    return P.corr_long(lab, cols).select("var_x", "var_y", r6("corr"))
 
 
 @register("count_above_below", with_fixture(
