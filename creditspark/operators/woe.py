@@ -103,20 +103,29 @@ def woe_categorical(df: DataFrame, cols: list[str], label: str, min_share: float
 
 # --------------------------------------------------------------------------- quantile bins (WO4/5)
 
-def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto") -> dict[str, list[float]]:
+def exact_columns(df: DataFrame, cols: list[str]) -> list[str]:
+    """Columns whose approximate distinct count allows an exact percentile (one aggregate pass)."""
+    nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
+    return [c for c in cols if nd[c] <= EXACT_DISTINCT_LIMIT]
+
+
+def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto",
+                  exact_cols: list[str] | None = None) -> dict[str, list[float]]:
     """Distinct type-7 quantile cuts at i/k per column (NULLs skipped).
 
     ``method``: "exact" (``percentile``), "approx" (``percentile_approx``) or
     "auto" (exact unless a column has more than EXACT_DISTINCT_LIMIT distinct
     values; exact percentile buffers every distinct value of the group).
+    ``exact_cols`` (when given) skips the detection pass of "auto".
     Returns a small dict (k - 1 values per column) for the fitted model.
     """
     if k <= 1 or not cols:
         return {c: [] for c in cols}
     probs = [i / k for i in range(1, k)]
-    if method == "auto":
-        nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
-        exact_cols = [c for c in cols if nd[c] <= EXACT_DISTINCT_LIMIT]
+    if exact_cols is not None:
+        exact_cols = [c for c in cols if c in exact_cols]
+    elif method == "auto":
+        exact_cols = exact_columns(df, cols)
     elif method == "exact":
         exact_cols = list(cols)
     else:
@@ -160,10 +169,10 @@ def numeric_bin_counts(df: DataFrame, cuts: dict[str, list[float]], label: str)
 
 
 def info_table(df: DataFrame, cols: list[str], label: str, k: int = 10, method: str = "auto",
-               cuts: dict[str, list[float]] | None = None) -> DataFrame:
+               cuts: dict[str, list[float]] | None = None, exact_cols: list[str] | None = None) -> DataFrame:
     """Quantile-bin information table with cumulative IV per variable (WO4-WO6)."""
     lab = persist(df.filter(F.col(label).isNotNull()).select(label, *cols))
-    cuts = cuts if cuts is not None else quantile_cuts(lab, cols, k, method)
+    cuts = cuts if cuts is not None else quantile_cuts(lab, cols, k, method, exact_cols)
     t = add_woe_iv(numeric_bin_counts(lab, cuts, label))
     w = Window.partitionBy("variable").orderBy("bin_id").rowsBetween(Window.unboundedPreceding, 0)
     return t.withColumn("iv_cum", F.sum("iv").over(w))

@@ -16,6 +16,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from creditspark.operators import models as M
+from creditspark.operators.cache import persist
 from creditspark.operators import scorecard as SC
 from creditspark.plans.catalog import r6, register
 from creditspark.plans.modelling import build_design
@@ -42,9 +43,10 @@ def _saturated(spark, d):
     lab = _lab_levels(spark, d)
     si = StringIndexer(inputCol="lvl", outputCol="lvl_idx", stringOrderType="alphabetAsc")
     oh = OneHotEncoder(inputCol="lvl_idx", outputCol="features", dropLast=True)
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label", tol=1e-12,
+    glr = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label", tol=1e-10,
                                       maxIter=100, regParam=0.0)
-    model = Pipeline(stages=[si, oh, glr]).fit(lab.select("lvl", "label"))
+    data = persist(lab.select("lvl", "label"))  # IRLS makes one pass per iteration
+    model = Pipeline(stages=[si, oh, glr]).fit(data)
     return lab, model
 
 
