@@ -33,36 +33,46 @@ SEP = "|"
 TWO53 = float(2 ** 53)
 
 
-def rank_key(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(SEP), F.lit(str(seed))))
+def rank_key(key: str, seed) -> Column:
+    s = F.col(seed).cast("string") if isinstance(seed, str) else F.lit(str(seed))
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(SEP), s))
 
 
-def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: int,
+def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: int | list[int],
                      prefix_hex: int = 5, flag: str = "is_train") -> DataFrame:
-    """SA1: add boolean ``flag`` (True = sampled/training side) to labelled rows of ``df``."""
+    """SA1: add boolean ``flag`` (True = sampled/training side) to labelled rows of ``df``.
+
+    With a list of seeds, every row appears once per seed with a ``seed``
+    column; all seeds share one scan, one histogram and one assignment pass.
+    """
+    multi = isinstance(seed, (list, tuple))
     lab = persist(df.filter(F.col(label).isNotNull()))
-    h = rank_key(key, seed)
+    if multi:
+        lab = lab.withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seed])))
+    grp = [label, "seed"] if multi else [label]
+    h = rank_key(key, "seed" if multi else seed)
     with_h = lab.withColumn("__h", h).withColumn(
         "__b", F.conv(F.substring("__h", 1, prefix_hex), 16, 10).cast("long"))
-    hist = with_h.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    w_cls = Window.partitionBy(label)
-    w_cum = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    hist = with_h.groupBy(*grp, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    w_cls = Window.partitionBy(*grp)
+    w_cum = Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     target = F.bround(F.lit(Decimal(repr(ratio))) * F.sum("__cnt").over(w_cls), 0).cast("long")
     hist = (hist.withColumn("__target", target)
                 .withColumn("__cum", F.sum("__cnt").over(w_cum))
                 .withColumn("__before", F.col("__cum") - F.col("__cnt")))
     # boundary bucket: the one where the running count first reaches the target
     bounds = (hist.filter((F.col("__before") < F.col("__target")) & (F.col("__cum") >= F.col("__target")))
-                  .select(label, F.col("__b").alias("__bstar"), (F.col("__target") - F.col("__before"))
+                  .select(*grp, F.col("__b").alias("__bstar"), (F.col("__target") - F.col("__before"))
                           .alias("__need")))
-    # classes whose target is 0 have no boundary bucket: nothing is sampled
-    j = with_h.join(F.broadcast(bounds), label, "left")
+    # one row per (class, seed): broadcast is bounded.  A class whose target is 0 has no
+    # boundary bucket: nothing of it is sampled.
+    j = with_h.join(F.broadcast(bounds), grp, "left")
     bstar = F.coalesce(F.col("__bstar"), F.lit(-1))
     outside = j.filter(F.col("__b") != bstar).withColumn(flag, F.col("__b") < bstar)
     inside = j.filter(F.col("__b") == bstar)
-    w_in = Window.partitionBy(label).orderBy("__h", key)
+    w_in = Window.partitionBy(*grp).orderBy("__h", key)
     inside = inside.withColumn(flag, F.row_number().over(w_in) <= F.col("__need"))
-    cols = [*df.columns, flag]
+    cols = [*df.columns, *(["seed"] if multi else []), flag]
     return outside.select(*cols).unionByName(inside.select(*cols))
 
 
