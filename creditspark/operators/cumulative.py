@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from creditspark.operators.cache import persist
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = None          # None: sized from the input
+ROWS_PER_BUCKET = 1_000_000     # target rows per running-sum task
+MAX_BUCKETS = 16384             # bounds the broadcast offset table
 
 
 def _bucket_splits(df: DataFrame, order_col: str, n_buckets: int) -> list[float]:
@@ -29,7 +31,7 @@ def _bucket_splits(df: DataFrame, order_col: str, n_buckets: int) -> list[float]
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = True,
-                   n_buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
+                   n_buckets: int | None = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum) and ``prev_<c>`` (exclusive) per value column,
     plus ``total_<c>`` (grand total).
 
@@ -37,10 +39,15 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
     of ``groupBy(order_col)``), so the running order has no ties.
     """
     df = persist(df)
+    if n_buckets is None:
+        n_buckets = min(MAX_BUCKETS, max(1, -(-df.count() // ROWS_PER_BUCKET)))
     splits = _bucket_splits(df, order_col, n_buckets)
-    bucketed = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bkt", handleInvalid="keep") \
-        .transform(df.withColumn("__ord", F.col(order_col).cast("double")))
-    bucketed = bucketed.withColumn("__bkt", F.col("__bkt").cast("int")).drop("__ord")
+    if len(splits) < 3:
+        bucketed = df.withColumn("__bkt", F.lit(0))
+    else:
+        bucketed = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bkt", handleInvalid="keep") \
+            .transform(df.withColumn("__ord", F.col(order_col).cast("double")))
+        bucketed = bucketed.withColumn("__bkt", F.col("__bkt").cast("int")).drop("__ord")
 
     per_bucket = bucketed.groupBy("__bkt").agg(*[F.sum(c).alias(f"__b_{c}") for c in value_cols])
     bucket_order = F.col("__bkt").desc() if descending else F.col("__bkt").asc()

@@ -33,17 +33,23 @@ def _d(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """(score, pos, neg) per distinct score; NULL scores / labels are ignored."""
+def score_counts(df: DataFrame, score: str, label: str, quantize: int | None = None) -> DataFrame:
+    """(score, pos, neg) per distinct score; NULL scores / labels are ignored.
+
+    ``quantize``: round scores to that many decimals first (at most 10^q + 1
+    cutoffs whatever the data size); default None keeps every distinct score.
+    """
+    s = F.col(score) if quantize is None else F.round(F.col(score), quantize)
     return (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-              .groupBy(F.col(score).alias("cutoff"))
+              .groupBy(s.alias("cutoff"))
               .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
                    F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def roc_points(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_points(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_BUCKETS,
+               quantize: int | None = None) -> DataFrame:
     """Per distinct score: cutoff, pos, neg, tp, fp, prev_tp, prev_fp, P, N (no +inf row)."""
-    g = score_counts(df, score, label)
+    g = score_counts(df, score, label, quantize)
     r = running_totals(g, "cutoff", ["pos", "neg"], descending=True, n_buckets=n_buckets)
     return r.select("cutoff", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     F.col("prev_pos").alias("prev_tp"), F.col("prev_neg").alias("prev_fp"),
@@ -59,13 +65,14 @@ def _metrics(pts: DataFrame) -> DataFrame:
         (((tp + fp) * 10 + P + N - 1).cast("long") / (P + N)).cast("long").alias("decile"))
 
 
-def roc_curve(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_curve(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_BUCKETS,
+              quantize: int | None = None) -> DataFrame:
     """EV1: (cutoff, tp, fp, tn, fn, tpr, fpr, tnr, acc, rpp, decile) incl. the +inf row.
 
     ``decile`` = ceil(10 * rpp) in exact integer arithmetic.
     """
-    pts = roc_points(df, score, label, n_buckets)
-    totals = score_counts(df, score, label).agg(F.sum("pos").cast("long").alias("P"),
+    pts = roc_points(df, score, label, n_buckets, quantize)
+    totals = score_counts(df, score, label, quantize).agg(F.sum("pos").cast("long").alias("P"),
                                                 F.sum("neg").cast("long").alias("N"))
     first = totals.select(F.lit(INF).alias("cutoff"), F.lit(0).cast("long").alias("pos"),
                           F.lit(0).cast("long").alias("neg"), F.lit(0).cast("long").alias("tp"),
@@ -74,9 +81,10 @@ def roc_curve(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BU
     return _metrics(first.unionByName(pts))
 
 
-def auc(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def auc(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_BUCKETS,
+        quantize: int | None = None) -> DataFrame:
     """EV10: trapezoid area under the ROC curve (ties handled: a tied group is one segment)."""
-    pts = roc_points(df, score, label, n_buckets)
+    pts = roc_points(df, score, label, n_buckets, quantize)
     area = F.sum(_d("neg") * (_d("prev_tp") + _d("pos") / F.lit(2.0)))
     return pts.agg((area / (_d(F.max("P")) * _d(F.max("N")))).alias("auc"))
 

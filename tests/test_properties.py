@@ -185,3 +185,19 @@ def test_stepwise_batched_equals_unbatched(spark, sf_small):
     assert [(s, a, t) for s, a, t, _ in path_b] == [(s, a, t) for s, a, t, _ in path_u]
     aics = [a for *_, a in path_b]
     assert all(x >= y for x, y in zip(aics, aics[1:]))
+
+
+def test_running_totals_bucket_sizing(spark, monkeypatch):
+    from creditspark.operators import cumulative
+    monkeypatch.setattr(cumulative, "ROWS_PER_BUCKET", 300)
+    pdf = pd.DataFrame({"s": np.arange(3000, dtype=float), "v": np.ones(3000, dtype=int)})
+    got = cumulative.running_totals(spark.createDataFrame(pdf), "s", ["v"], descending=False).toPandas()
+    assert (got.sort_values("s").cum_v.to_numpy() == np.arange(1, 3001)).all()
+
+
+def test_quantized_curve_bounds_cutoffs(spark, sf_small):
+    c = E.roc_curve(fx.scored(spark, sf_small), "p", "tag", quantize=2)
+    assert c.count() <= 102
+    exact = E.auc(fx.scored(spark, sf_small), "p", "tag").first()["auc"]
+    approx = E.auc(fx.scored(spark, sf_small), "p", "tag", quantize=3).first()["auc"]
+    assert abs(exact - approx) < 0.01
