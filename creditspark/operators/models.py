@@ -307,15 +307,29 @@ def fourier_features(df: DataFrame, features: list[str], sigma: float, n_compone
 # --------------------------------------------------------------------------- CV grid (ML15, ML16)
 
 def grid_search_rf(train: DataFrame, label: str, mtry_values: list[int], num_trees: int = 100,
-                   folds: int = 5, seed: int = 100, parallelism: int = 4):
-    """ML15: CrossValidator over RF mtry with accuracy; returns (cv_model, [(mtry, accuracy)])."""
+                   folds: int = 5, seed: int = 100, parallelism: int = 4, key: str = "application_id"):
+    """ML15: CrossValidator over RF mtry, folds from a hash of ``key`` (reproducible, partition
+    independent).  Returns (cv_model, [(mtry, accuracy, kappa)]): accuracy is the
+    CrossValidator's average; kappa is averaged over the same folds from the sub-models'
+    validation confusion matrices (EV3, one aggregate per fold and setting).
+    """
+    from creditspark.operators.evaluate import confusion
+    data = train.withColumn("__fold", fold_column(key, folds, seed))
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed)
     grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, [str(m) for m in mtry_values]).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    m = cv.fit(train)
-    return m, [(int(p[rf.featureSubsetStrategy]), float(a)) for p, a in zip(grid, m.avgMetrics)]
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol="__fold", numFolds=folds,
+                        parallelism=parallelism, seed=seed, collectSubModels=True)
+    m = cv.fit(data)
+    kappas = [0.0] * len(grid)
+    for f, fold_models in enumerate(m.subModels):
+        valid = data.filter(F.col("__fold") == f)
+        for j, sub in enumerate(fold_models):
+            pred = sub.transform(valid).withColumn("__p", F.col("prediction").cast("int")) \
+                .withColumn("__y", F.col(label).cast("int"))
+            kappas[j] += (confusion(pred, "__p", "__y").first()["kappa"] or 0.0) / folds
+    rows = [(int(p[rf.featureSubsetStrategy]), float(a), float(k)) for p, a, k in zip(grid, m.avgMetrics, kappas)]
+    return m, rows
 
 
 def auc_of(pred: DataFrame, label: str, raw: str = "rawPrediction") -> float:
