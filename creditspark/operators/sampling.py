@@ -39,11 +39,12 @@ def rank_key(key: str, seed) -> Column:
 
 
 def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: int | list[int],
-                     prefix_hex: int = 5, flag: str = "is_train") -> DataFrame:
+                     prefix_hex: int = 5, flag: str = "is_train", targets: dict | None = None) -> DataFrame:
     """SA1: add boolean ``flag`` (True = sampled/training side) to labelled rows of ``df``.
 
     With a list of seeds, every row appears once per seed with a ``seed``
     column; all seeds share one scan, one histogram and one assignment pass.
+    ``targets`` ({class: count}) replaces round(ratio * n_class) by explicit counts.
     """
     multi = isinstance(seed, (list, tuple))
     lab = persist(df.filter(F.col(label).isNotNull()))
@@ -57,6 +58,12 @@ def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: in
     w_cls = Window.partitionBy(*grp)
     w_cum = Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     target = F.bround(F.lit(Decimal(repr(ratio))) * F.sum("__cnt").over(w_cls), 0).cast("long")
+    if targets:
+        explicit = None
+        for cls, t in targets.items():
+            cond = F.col(label) == F.lit(cls)
+            explicit = F.when(cond, F.lit(int(t))) if explicit is None else explicit.when(cond, F.lit(int(t)))
+        target = F.least(explicit.otherwise(F.lit(0)).cast("long"), F.sum("__cnt").over(w_cls))
     hist = (hist.withColumn("__target", target)
                 .withColumn("__cum", F.sum("__cnt").over(w_cum))
                 .withColumn("__before", F.col("__cum") - F.col("__cnt")))
@@ -106,18 +113,27 @@ def _poisson_count(u: Column, lam: float) -> Column:
 
 
 def rose_balance(df: DataFrame, key: str, label: str, features: list[str], seed: int = 1,
-                 shrink: float = 1.0) -> DataFrame:
-    """SA3: smoothed-bootstrap balancing; returns (key, copy, label, features...) rows."""
+                 shrink: float = 1.0, exact_total: bool = False) -> DataFrame:
+    """SA3: smoothed-bootstrap balancing; returns (key, copy, label, features...) rows.
+
+    ``exact_total``: replicate with a slightly raised rate (target + 6 sd in
+    expectation) and keep exactly N/2 rows per class (floor / ceil for odd N)
+    by the hash rank of (key, copy), ranking only one boundary bucket per class.
+    """
     lab = persist(df.filter(F.col(label).isNotNull()).select(key, label, *features))
     stats = lab.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
                                    *[F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in features]
                                    ).collect()
     N = sum(r["n"] for r in stats)
     d = len(features)
+    classes = sorted(r[label] for r in stats)
+    targets = {c: (N // len(classes)) + (1 if i < N % len(classes) else 0) for i, c in enumerate(classes)}
     count_expr, h_expr = None, {c: None for c in features}
     for r in stats:
         cls, n_c = r[label], r["n"]
-        lam = N / (2.0 * n_c)
+        lam = targets[cls] / float(n_c)
+        if exact_total:
+            lam *= 1.0 + 6.0 / math.sqrt(max(targets[cls], 1))
         u = _uniform(F.col(key), F.lit(seed), F.lit("poisson"))
         k = _poisson_count(u, lam)
         cond = F.col(label) == F.lit(cls)
@@ -134,4 +150,9 @@ def rose_balance(df: DataFrame, key: str, label: str, features: list[str], seed:
         u2 = _uniform(F.col(key), F.col("copy"), F.lit(seed), F.lit(2 * i + 1))
         z = F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * u2)
         out.append((F.col(c).cast("double") + h_expr[c].otherwise(F.lit(0.0)) * z).alias(c))
-    return rep.select(key, "copy", label, *out)
+    res = rep.select(key, "copy", label, *out)
+    if exact_total:
+        res = res.withColumn("__rk", F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string")))
+        res = stratified_split(res, "__rk", label, 0.5, seed, flag="__keep", targets=targets) \
+            .filter("__keep").drop("__keep", "__rk")
+    return res

@@ -95,7 +95,9 @@ def path_c(spark: SparkSession, sf_dir: str, b: dict | None = None, infer_cutoff
         "approve_decline": SC.approve_decline(scored, "score", cut_score),
         "score_by_population": SC.score_by_population(scored, "score", "tag"),
         "revenue_flag": SC.revenue_flag(scored.filter(F.col("tag").isNull()), "score", revenue_threshold),
+        # the reference evaluated money on all labelled rows (training rows included); both are reported
         "financials": SC.financials(labelled, "p", "tag", cutoff),
+        "financials_holdout": SC.financials(des2.test.withColumn("p", fit2.probability()), "p", "tag", cutoff),
     }
 
 
@@ -111,7 +113,7 @@ def main(argv: list[str]) -> None:
     print("cutoff", b["cutoff"])
     c = path_c(spark, sf_dir, b)
     for k in ("inferred_counts", "elimination_path", "approve_decline", "score_by_population", "revenue_flag",
-              "financials"):
+              "financials", "financials_holdout"):
         print(k)
         c[k].show(truncate=False)
 

@@ -201,3 +201,12 @@ def test_quantized_curve_bounds_cutoffs(spark, sf_small):
     exact = E.auc(fx.scored(spark, sf_small), "p", "tag").first()["auc"]
     approx = E.auc(fx.scored(spark, sf_small), "p", "tag", quantize=3).first()["auc"]
     assert abs(exact - approx) < 0.01
+
+
+def test_rose_exact_total(spark, sf_small):
+    mt = fx.modelling_table(spark, sf_small).dropna(subset=["bal"])
+    n = mt.filter(F.col("tag").isNotNull()).count()
+    bal = sampling.rose_balance(mt, "application_id", "tag", ["bal", "income"], seed=1, exact_total=True)
+    shares = {r["tag"]: r["n"] for r in bal.groupBy("tag").agg(F.count("*").alias("n")).collect()}
+    assert sum(shares.values()) == n
+    assert shares == {0: n - n // 2, 1: n // 2} or shares == {0: n // 2 + n % 2, 1: n // 2}
