@@ -25,14 +25,13 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier, LinearSVC, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from creditspark.operators.cache import persist, release
 from creditspark.session import checkpoint_dir
@@ -332,10 +331,3 @@ def grid_search_rf(train: DataFrame, label: str, mtry_values: list[int], num_tre
     return m, rows
 
 
-def auc_of(pred: DataFrame, label: str, raw: str = "rawPrediction") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC") \
-        .evaluate(pred)
-
-
-SCHEMA_PATH = T.StructType([T.StructField("step", T.IntegerType()), T.StructField("action", T.StringType()),
-                            T.StructField("term", T.StringType()), T.StructField("aic", T.DoubleType())])

@@ -11,7 +11,7 @@ SQL equivalents).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from creditspark.functions import columns as C
 from creditspark.operators import prep
-from creditspark.operators.quality import drop_ambiguous_keys  # noqa: F401  (JN2 shares DQ3's anti join)
 from creditspark.plans.catalog import r6, register
 from creditspark.plans.oracle_base import with_fixture
 from creditspark.sources import fixtures as fx

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from creditspark.operators import sampling as S
 from creditspark.plans.catalog import register
 from creditspark.plans.oracle_base import with_fixture
