@@ -67,10 +67,9 @@ def cut_labels(breaks: list[float], include_lowest: bool = True, fmt=lambda v: f
 
 
 def cut_label(col: str | Column, breaks: list[float], include_lowest: bool = True) -> Column:
-    idx = cut_index(col, breaks, include_lowest)
     labels = cut_labels(breaks, include_lowest)
     arr = F.array(*[F.lit(s) for s in labels])
-    return F.when(idx.isNull(), F.lit(None)).otherwise(F.element_at(arr, idx))
+    return F.element_at(arr, cut_index(col, breaks, include_lowest))  # NULL index -> NULL label
 
 
 def range_recode(col: str | Column, rules: list[tuple[float, float, float]], null_value: float,

@@ -43,6 +43,21 @@ def get_spark(master: str | None = None, app_name: str = "creditspark",
     return spark
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partitions: int = 100_000) -> int:
+    """Size shuffle and scan partitions from the input size (runtime SQL settings).
+
+    Shuffle partitions ~ input / 256 MB (AQE coalesces small ones afterwards),
+    scan splits of 256 MB, advisory post-shuffle size 256 MB.  Returns the
+    shuffle partition count.
+    """
+    n = max(1, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    return n
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder.
 
