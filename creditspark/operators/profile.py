@@ -2,9 +2,12 @@
 
 Many variables are profiled in ONE pass: columns are unpivoted to
 (variable, value) and grouped by variable, instead of one scan per column.
-Exact percentiles (``percentile``) buffer each group's distinct values in
-one task; ``exact=None`` switches a column to ``percentile_approx`` when its
-approximate distinct count exceeds ``EXACT_DISTINCT_LIMIT``.
+Quantiles: ``exact=True`` uses ``percentile`` (buffers each group's distinct
+values in one task), ``exact=False`` uses ``percentile_approx``, and the
+default ``exact=None`` uses ``percentile`` while the approximate distinct
+count stays under ``EXACT_DISTINCT_LIMIT`` and otherwise the distributed
+exact algorithm of ``quantiles.grouped_quantiles`` (same values, no
+single-task buffer).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from creditspark.functions.columns import cut_index
 from creditspark.operators.cache import persist
+from creditspark.operators.quantiles import _join_null_safe, grouped_quantiles
 
 EXACT_DISTINCT_LIMIT = 2_000_000
 
@@ -25,19 +29,31 @@ def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
-def _use_exact(df: DataFrame, cols: list[str], exact: bool | None) -> bool:
-    if exact is not None:
+def _use_exact(df: DataFrame, cols: list[str], exact: bool | None) -> str:
+    """'percentile', 'approx' or 'distributed' (see module docstring)."""
+    if exact in ("percentile", "approx", "distributed"):
         return exact
+    if exact is True:
+        return "percentile"
+    if exact is False:
+        return "approx"
     nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
-    return max(nd.values() or [0]) <= EXACT_DISTINCT_LIMIT
+    return "percentile" if max(nd.values() or [0]) <= EXACT_DISTINCT_LIMIT else "distributed"
 
 
-def quantile(x: Column, probs, exact: bool) -> Column:
-    if exact:
+def quantile(x: Column, probs, mode: str) -> Column:
+    if mode == "percentile":
         return F.percentile(x, probs)
     return F.percentile_approx(x, probs, 100000).cast("array<double>" if isinstance(probs, list) else "double")
 
 
+def _quantile_table(long: DataFrame, keys: list[str], probs: list[float], mode: str) -> DataFrame:
+    """(keys..., q array) per group."""
+    if mode == "distributed":
+        return grouped_quantiles(long, keys, "value", probs)
+    return long.filter(F.col("value").isNotNull()).groupBy(*keys).agg(quantile(F.col("value"), probs, mode).alias("q"))
+
+
 def long_numeric(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
     ids = ids or []
     return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]) \
@@ -61,12 +77,16 @@ def six_number(df: DataFrame, cols: list[str], exact: bool | None = None, by: li
     df = persist(df.select(*by, *cols)) if exact is None else df
     ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols, by).filter(F.col("value").isNotNull())
-    q = quantile(F.col("value"), [0.25, 0.5, 0.75], ex)
-    return (long.groupBy(*by, "variable").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), q.alias("__q"),
-        F.avg("value").alias("mean"), F.max("value").alias("max"))
-        .select(*by, "variable", "n", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                "mean", F.col("__q")[2].alias("q3"), "max"))
+    stats = [F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"),
+             F.max("value").alias("max")]
+    if ex == "distributed":
+        base = long.groupBy(*by, "variable").agg(*stats)
+        t = _join_null_safe(base, grouped_quantiles(long, [*by, "variable"], "value", [0.25, 0.5, 0.75])
+                            .withColumnRenamed("q", "__q"), [*by, "variable"])
+    else:
+        t = long.groupBy(*by, "variable").agg(*stats, quantile(F.col("value"), [0.25, 0.5, 0.75], ex).alias("__q"))
+    return t.select(*by, "variable", "n", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+                    "mean", F.col("__q")[2].alias("q3"), "max")
 
 
 def medians(df: DataFrame, cols: list[str], exact: bool | None = None) -> DataFrame:
@@ -74,6 +94,8 @@ def medians(df: DataFrame, cols: list[str], exact: bool | None = None) -> DataFr
     df = persist(df.select(*cols)) if exact is None else df
     ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols)
+    if ex == "distributed":
+        return grouped_quantiles(long, ["variable"], "value", [0.5]).select("variable", F.col("q")[0].alias("median"))
     return long.groupBy("variable").agg(quantile(F.col("value"), 0.5, ex).alias("median"))
 
 
@@ -83,7 +105,7 @@ def percentile_profile(df: DataFrame, cols: list[str], steps: int = 100, exact:
     ex = _use_exact(df, cols, exact)
     probs = [i / steps for i in range(steps + 1)]
     long = long_numeric(df, cols)
-    prof = long.groupBy("variable").agg(quantile(F.col("value"), probs, ex).alias("q"))
+    prof = _quantile_table(long, ["variable"], probs, ex)
     return prof.select("variable", F.posexplode("q").alias("pct", "value"))
 
 
@@ -100,20 +122,20 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, exact
     df = persist(df.select(*by, *cols))
     ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols, by).filter(F.col("value").isNotNull())
-    qs = long.groupBy(*by, "variable").agg(quantile(F.col("value"), [0.25, 0.5, 0.75], ex).alias("q"))
+    qs = _quantile_table(long, [*by, "variable"], [0.25, 0.5, 0.75], ex)
     qs = qs.select(*by, "variable", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                    F.col("q")[2].alias("q3"))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lo_fence", F.col("q1") - F.lit(coef) * F.col("iqr")) \
         .withColumn("hi_fence", F.col("q3") + F.lit(coef) * F.col("iqr"))
-    j = long.join(qs if by else F.broadcast(qs), [*by, "variable"], "inner")
+    j = _join_null_safe(long, qs if by else F.broadcast(qs), [*by, "variable"])
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     st = j.groupBy(*by, "variable").agg(
         F.min(F.when(inside, F.col("value"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("value"))).alias("upper_whisker"),
         F.count_if(~inside).cast("long").alias("n_outliers"),
         F.count(F.lit(1)).alias("n"))
-    return qs.join(st, [*by, "variable"], "inner").select(
+    return _join_null_safe(qs, st, [*by, "variable"]).select(
         *by, "variable", "n", "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker", "n_outliers")
 
 

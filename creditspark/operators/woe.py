@@ -113,9 +113,11 @@ def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto",
                   exact_cols: list[str] | None = None) -> dict[str, list[float]]:
     """Distinct type-7 quantile cuts at i/k per column (NULLs skipped).
 
-    ``method``: "exact" (``percentile``), "approx" (``percentile_approx``) or
-    "auto" (exact unless a column has more than EXACT_DISTINCT_LIMIT distinct
-    values; exact percentile buffers every distinct value of the group).
+    ``method``: "exact" (``percentile``, buffers a column's distinct values in
+    one task), "distributed" (same values via ``quantiles.grouped_quantiles``,
+    no single-task buffer), "approx" (``percentile_approx``) or "auto"
+    ("exact" for columns with at most EXACT_DISTINCT_LIMIT distinct values,
+    "distributed" above).
     ``exact_cols`` (when given) skips the detection pass of "auto".
     Returns a small dict (k - 1 values per column) for the fitted model.
     """
@@ -130,15 +132,19 @@ def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto",
         exact_cols = list(cols)
     else:
         exact_cols = []
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        if c in exact_cols:
-            aggs.append(F.percentile(x, probs).alias(c))
-        else:
-            aggs.append(F.percentile_approx(x, probs, 100000).cast("array<double>").alias(c))
-    row = df.agg(*aggs).first().asDict()
-    return {c: sorted({float(v) for v in (row[c] or []) if v is not None}) for c in cols}
+    rest = [c for c in cols if c not in exact_cols]
+    vals = {}
+    if exact_cols or method == "approx":
+        aggs = [F.percentile(F.col(c).cast("double"), probs).alias(c) for c in exact_cols]
+        if method == "approx":
+            aggs += [F.percentile_approx(F.col(c).cast("double"), probs, 100000).cast("array<double>").alias(c)
+                     for c in rest]
+        vals.update(df.agg(*aggs).first().asDict())
+    if rest and method != "approx":
+        from creditspark.operators.quantiles import grouped_quantiles
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in rest]).unpivot([], rest, "variable", "value")
+        vals.update({r["variable"]: r["q"] for r in grouped_quantiles(long, ["variable"], "value", probs).collect()})
+    return {c: sorted({float(v) for v in (vals.get(c) or []) if v is not None}) for c in cols}
 
 
 def bin_id(col: str | Column, cuts: list[float]) -> Column:

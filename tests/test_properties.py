@@ -210,3 +210,50 @@ def test_rose_exact_total(spark, sf_small):
     shares = {r["tag"]: r["n"] for r in bal.groupBy("tag").agg(F.count("*").alias("n")).collect()}
     assert sum(shares.values()) == n
     assert shares == {0: n - n // 2, 1: n // 2} or shares == {0: n // 2 + n % 2, 1: n // 2}
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 300])
+def test_distributed_exact_quantiles_equal_percentile(spark, sf_small, rows_per_bucket):
+    from creditspark.operators import profile
+    from creditspark.operators.quantiles import grouped_quantiles
+    mt = fx.modelling_table(spark, sf_small)
+    cols = ["bal", "n_trades", "income", "util"]
+    long = profile.long_numeric(mt, cols, ["tag"])
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+    got = {(r["tag"], r["variable"]): r["q"] for r in
+           grouped_quantiles(long, ["tag", "variable"], "value", probs, rows_per_bucket=rows_per_bucket).collect()}
+    ref = {(r["tag"], r["variable"]): r["q"] for r in
+           long.filter(F.col("value").isNotNull()).groupBy("tag", "variable")
+               .agg(F.percentile("value", probs).alias("q")).collect()}
+    assert set(got) == set(ref)
+    for k in ref:
+        assert got[k] == pytest.approx(ref[k], rel=1e-12, abs=1e-12), k
+
+
+def test_profiles_distributed_equal_exact(spark, sf_small):
+    from creditspark.operators import profile, quantiles
+    mt = fx.modelling_table(spark, sf_small)
+    cols = ["bal", "n_trades", "income"]
+    old = quantiles.ROWS_PER_BUCKET
+    quantiles.ROWS_PER_BUCKET = 200  # force several value buckets per group
+    try:
+        for fn, kw, key in [(profile.six_number, {"by": ["tag"]}, ("tag", "variable")),
+                            (profile.box_stats, {"by": ["tag"]}, ("tag", "variable")),
+                            (profile.percentile_profile, {}, ("variable", "pct")),
+                            (profile.medians, {}, ("variable",))]:
+            a = {tuple(r[k] for k in key): r.asDict() for r in fn(mt, cols, exact=True, **kw).collect()}
+            b = {tuple(r[k] for k in key): r.asDict() for r in fn(mt, cols, exact="distributed", **kw).collect()}
+            assert a.keys() == b.keys(), fn.__name__
+            for k in a:
+                for c, v in a[k].items():
+                    if isinstance(v, float):
+                        assert b[k][c] == pytest.approx(v, rel=1e-12, abs=1e-12), (fn.__name__, k, c)
+                    else:
+                        assert b[k][c] == v, (fn.__name__, k, c)
+        cut_e = woe.quantile_cuts(mt, cols, 10, "exact")
+        cut_d = woe.quantile_cuts(mt, cols, 10, "distributed")
+        assert cut_e.keys() == cut_d.keys()
+        for c in cut_e:
+            assert cut_d[c] == pytest.approx(cut_e[c], rel=1e-12, abs=1e-12)
+    finally:
+        quantiles.ROWS_PER_BUCKET = old
