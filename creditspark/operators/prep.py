@@ -54,22 +54,24 @@ class CapperModel:
 
 
 class WinsorCapper:
-    """PR12: cap/floor at fixed constants, or at learned percentiles (AG5 -> PR12)."""
+    """PR12: cap/floor at fixed constants, or at learned type-7 percentiles (AG5 -> PR12)."""
 
     def __init__(self, upper: dict[str, float] | None = None, lower: dict[str, float] | None = None,
-                 upper_pct: float | None = None, lower_pct: float | None = None, cols: list[str] | None = None):
+                 upper_pct: float | None = None, lower_pct: float | None = None, cols: list[str] | None = None,
+                 method: str = "auto"):
         self.upper, self.lower = upper or {}, lower or {}
         self.upper_pct, self.lower_pct = upper_pct, lower_pct
         self.cols = cols or sorted(set(self.upper) | set(self.lower))
+        self.method = method
 
     def fit(self, df: DataFrame) -> CapperModel:
         caps = {c: (self.lower.get(c), self.upper.get(c)) for c in self.cols}
         probs = [p for p in (self.lower_pct, self.upper_pct) if p is not None]
         if probs:
-            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 100000).alias(c)
-                           for c in self.cols]).first()
+            from creditspark.operators.quantiles import column_quantiles
+            qs = column_quantiles(df, self.cols, probs, self.method)
             for c in self.cols:
-                q = list(row[c])
+                q = list(qs[c])
                 lo = q.pop(0) if self.lower_pct is not None else caps[c][0]
                 hi = q.pop(0) if self.upper_pct is not None else caps[c][1]
                 caps[c] = (lo, hi)

@@ -29,6 +29,46 @@ from creditspark.operators.cache import persist
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
+EXACT_DISTINCT_LIMIT = 2_000_000  # above this many distinct values `percentile` is not used
+
+
+def exact_columns(df: DataFrame, cols: list[str]) -> list[str]:
+    """Columns whose approximate distinct count allows ``percentile`` (one aggregate pass)."""
+    nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
+    return [c for c in cols if nd[c] <= EXACT_DISTINCT_LIMIT]
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "auto",
+                     exact_cols: list[str] | None = None) -> dict[str, list[float | None]]:
+    """Type-7 quantiles per column (NULLs skipped) -> {column: [q per prob]} (small, for models).
+
+    ``method``: "exact" (``percentile``), "distributed" (``grouped_quantiles``),
+    "approx" (``percentile_approx``) or "auto" (``percentile`` for columns with
+    at most EXACT_DISTINCT_LIMIT distinct values, "distributed" above).
+    ``exact_cols`` (when given) skips the detection pass of "auto".
+    """
+    if not cols:
+        return {}
+    if exact_cols is not None:
+        exact_cols = [c for c in cols if c in exact_cols]
+    elif method == "auto":
+        exact_cols = exact_columns(df, cols)
+    elif method == "exact":
+        exact_cols = list(cols)
+    else:
+        exact_cols = []
+    rest = [c for c in cols if c not in exact_cols]
+    vals: dict = {}
+    if exact_cols or (rest and method == "approx"):
+        aggs = [F.percentile(F.col(c).cast("double"), probs).alias(c) for c in exact_cols]
+        if method == "approx":
+            aggs += [F.percentile_approx(F.col(c).cast("double"), probs, 100000).cast("array<double>").alias(c)
+                     for c in rest]
+        vals.update(df.agg(*aggs).first().asDict())
+    if rest and method != "approx":
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in rest]).unpivot([], rest, "variable", "value")
+        vals.update({r["variable"]: r["q"] for r in grouped_quantiles(long, ["variable"], "value", probs).collect()})
+    return {c: list(vals.get(c) or [None] * len(probs)) for c in cols}
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 
 from creditspark.operators.cache import persist, release
 
+from creditspark.operators.quantiles import EXACT_DISTINCT_LIMIT, column_quantiles, exact_columns  # noqa: F401
+
 MISC_LEVEL = "misc"
 MAX_LITERAL_LEVELS = 5000  # above this many levels a variable's lookup stays a DataFrame (join, not literal)
-EXACT_DISTINCT_LIMIT = 2_000_000  # above this many distinct values, quantiles are approximated
 
 
 # --------------------------------------------------------------------------- helpers
@@ -103,12 +104,6 @@ def woe_categorical(df: DataFrame, cols: list[str], label: str, min_share: float
 
 # --------------------------------------------------------------------------- quantile bins (WO4/5)
 
-def exact_columns(df: DataFrame, cols: list[str]) -> list[str]:
-    """Columns whose approximate distinct count allows an exact percentile (one aggregate pass)."""
-    nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
-    return [c for c in cols if nd[c] <= EXACT_DISTINCT_LIMIT]
-
-
 def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto",
                   exact_cols: list[str] | None = None) -> dict[str, list[float]]:
     """Distinct type-7 quantile cuts at i/k per column (NULLs skipped).
@@ -124,27 +119,8 @@ def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto",
     if k <= 1 or not cols:
         return {c: [] for c in cols}
     probs = [i / k for i in range(1, k)]
-    if exact_cols is not None:
-        exact_cols = [c for c in cols if c in exact_cols]
-    elif method == "auto":
-        exact_cols = exact_columns(df, cols)
-    elif method == "exact":
-        exact_cols = list(cols)
-    else:
-        exact_cols = []
-    rest = [c for c in cols if c not in exact_cols]
-    vals = {}
-    if exact_cols or method == "approx":
-        aggs = [F.percentile(F.col(c).cast("double"), probs).alias(c) for c in exact_cols]
-        if method == "approx":
-            aggs += [F.percentile_approx(F.col(c).cast("double"), probs, 100000).cast("array<double>").alias(c)
-                     for c in rest]
-        vals.update(df.agg(*aggs).first().asDict())
-    if rest and method != "approx":
-        from creditspark.operators.quantiles import grouped_quantiles
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in rest]).unpivot([], rest, "variable", "value")
-        vals.update({r["variable"]: r["q"] for r in grouped_quantiles(long, ["variable"], "value", probs).collect()})
-    return {c: sorted({float(v) for v in (vals.get(c) or []) if v is not None}) for c in cols}
+    vals = column_quantiles(df, cols, probs, method, exact_cols)
+    return {c: sorted({float(v) for v in vals[c] if v is not None}) for c in cols}
 
 
 def bin_id(col: str | Column, cuts: list[float]) -> Column:

@@ -257,3 +257,13 @@ def test_profiles_distributed_equal_exact(spark, sf_small):
             assert cut_d[c] == pytest.approx(cut_e[c], rel=1e-12, abs=1e-12)
     finally:
         quantiles.ROWS_PER_BUCKET = old
+
+
+def test_percentile_caps(spark, sf_small):
+    mt = fx.modelling_table(spark, sf_small)
+    m = prep.WinsorCapper(upper_pct=0.9, lower_pct=0.1, cols=["bal", "income"]).fit(mt)
+    ref = mt.agg(F.percentile("bal", [0.1, 0.9]).alias("b"), F.percentile("income", [0.1, 0.9]).alias("i")).first()
+    assert m.caps["bal"] == pytest.approx(tuple(ref["b"]))
+    assert m.caps["income"] == pytest.approx(tuple(ref["i"]))
+    out = m.transform(mt).agg(F.max("bal"), F.min("income")).first()
+    assert out[0] == pytest.approx(ref["b"][1]) and out[1] == pytest.approx(ref["i"][0])
