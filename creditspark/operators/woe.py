@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditspark.operators.cache import persist, release
-
 from creditspark.operators.quantiles import EXACT_DISTINCT_LIMIT, column_quantiles, exact_columns  # noqa: F401
 
 MISC_LEVEL = "misc"
