@@ -183,3 +183,44 @@ def credit_loss(spark, d):
     """FN5: defaulters approved per applicant without and with the model, and the saving."""
     return _fin(spark, d).select(r6("credit_loss_without_pct"), r6("credit_loss_with_pct"),
                                  r6("credit_loss_saved_pct"))
+
+
+@register("score_histogram", with_fixture(
+    f"""select g.bin, round(mn + g.bin * (mx - mn) / 30, 6) lo, round(mn + (g.bin + 1) * (mx - mn) / 30, 6) hi,
+               coalesce(c.n, 0) n
+        from (select cast(range as integer) bin from range(0, 30)) g
+        cross join mm
+        left join (select least(cast(floor((s - mn) / (mx - mn) * 30) as integer), 29) bin, count(*) n
+                   from sc cross join mm where s is not null group by 1) c on c.bin = g.bin""",
+    f"sc AS (select {SCORE_SQL} s from scored_all)", "mm AS (select min(s) mn, max(s) mx from sc)"))
+def score_histogram(spark, d):
+    """SC3: 30-bin histogram of the application scores (AG11 on the score)."""
+    from creditspark.operators.profile import histogram
+    return histogram(_scored_all(spark, d), "score", 30).select("bin", r6("lo"), r6("hi"), "n")
+
+
+def _score_box_sql():
+    pop = "case when tag is null then 'rejected' else 'approved' end"
+    fence = "value >= q1 - 1.5 * (q3 - q1) and value <= q3 + 1.5 * (q3 - q1)"
+    return with_fixture(
+        f"""select q.population, 'score' variable, s.n, round(q1, 6) q1, round(median, 6) median, round(q3, 6) q3,
+                   round(q3 - q1, 6) iqr, round(lw, 6) lower_whisker, round(uw, 6) upper_whisker, s.n_outliers
+            from q join (select u.population, count(*) n,
+                                min(case when {fence} then value end) lw, max(case when {fence} then value end) uw,
+                                cast(sum(case when {fence} then 0 else 1 end) as bigint) n_outliers
+                         from u join q on u.population = q.population group by u.population) s
+              on s.population = q.population""",
+        f"u AS (select {pop} population, {SCORE_SQL} value from scored_all)",
+        """q AS (select population, quantile_cont(value, 0.25) q1, quantile_cont(value, 0.5) median,
+                        quantile_cont(value, 0.75) q3 from u group by population)""")
+
+
+@register("score_box_by_population", _score_box_sql())
+def score_box_by_population(spark, d):
+    """SC5: boxplot statistics of the scores of approved vs rejected applicants (AG6/AG7 on the score)."""
+    from creditspark.operators.profile import box_stats
+    s = _scored_all(spark, d).withColumn(
+        "population", F.when(F.col("tag").isNull(), F.lit("rejected")).otherwise(F.lit("approved")))
+    t = box_stats(s, ["score"], by=["population"])
+    return t.select("population", "variable", "n", r6("q1"), r6("median"), r6("q3"), r6("iqr"),
+                    r6("lower_whisker"), r6("upper_whisker"), "n_outliers")

@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_every_key_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert len(QUERIES) == 97
+    assert len(QUERIES) == 99
 
 
 def test_entry_smoke(spark):
