@@ -3,11 +3,12 @@
 * Logistic GLM: ``GeneralizedLinearRegression(binomial, logit)`` (IRLS; each
   iteration is one distributed pass).  Coefficient table, AIC, p-values come
   from the training summary.
-* Stepwise AIC / backward elimination: every candidate fit is a Spark job on
-  ONE assembled design that is checkpointed to the session's reliable
-  checkpoint folder (survives executor loss and cuts lineage); column subsets
-  are taken with ``VectorSlicer``; candidate fits of a step run concurrently
-  from a driver thread pool.
+* Stepwise AIC / backward elimination work on ONE assembled design that is
+  checkpointed to the session's reliable checkpoint folder (survives executor
+  loss and cuts lineage).  All candidates of a stepwise step are fitted
+  together by batched IRLS (``irls.py``: one data pass per iteration);
+  ``batched=False`` fits them as separate GLMs (column subsets by
+  ``VectorSlicer``) from a driver thread pool.
 * VIF: X'WX accumulated as one aggregate over rows ((k+1)(k+2)/2 sums),
   inverted on the driver (k x k, k = number of predictors).
 * Trees: ``RandomForestClassifier`` / ``GBTClassifier``; boosting rounds are
