@@ -30,6 +30,45 @@ def _bucket_splits(df: DataFrame, order_col: str, n_buckets: int) -> list[float]
     return [float("-inf")] + cuts + [float("inf")]
 
 
+def partitioned_running_totals(df: DataFrame, partition_cols: list[str], order_col: str, value_cols: list[str],
+                               descending: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
+                               prefix: str = "cum_") -> DataFrame:
+    """``running_totals`` restarted in every group of ``partition_cols``.
+
+    Each group is cut into value buckets of about ``rows_per_bucket`` rows
+    (per-group cuts from ``percentile_approx``), so one large group is still
+    spread over many tasks.  ``df`` holds one row per (group, order value).
+    """
+    from creditspark.operators.quantiles import _join_null_safe
+    g = list(partition_cols)
+    df = persist(df)
+    max_rows = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+    n_b = min(MAX_BUCKETS, max(1, -(-max_rows // rows_per_bucket)))
+    x = F.col(order_col).cast("double")
+    if n_b > 1:
+        cuts = df.groupBy(*g).agg(F.percentile_approx(x, [i / n_b for i in range(1, n_b)], 10000).alias("__cuts"))
+        bucketed = _join_null_safe(df, cuts, g).withColumn(
+            "__bkt", F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(order_col).cast("double")))).drop("__cuts")
+    else:
+        bucketed = df.withColumn("__bkt", F.lit(0))
+    per_bucket = bucketed.groupBy(*g, "__bkt").agg(*[F.sum(c).alias(f"__b_{c}") for c in value_cols])
+    bucket_order = F.col("__bkt").desc() if descending else F.col("__bkt").asc()
+    w_prev = Window.partitionBy(*g).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*g)
+    offsets = per_bucket.select(
+        *g, "__bkt",
+        *[F.coalesce(F.sum(f"__b_{c}").over(w_prev), F.lit(0)).alias(f"__off_{c}") for c in value_cols],
+        *[F.sum(f"__b_{c}").over(w_all).alias(f"total_{c}") for c in value_cols])
+    joined = _join_null_safe(bucketed, offsets, [*g, "__bkt"])
+    row_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    w_in = Window.partitionBy(*g, "__bkt").orderBy(row_order).rowsBetween(Window.unboundedPreceding, 0)
+    out = joined
+    for c in value_cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"__off_{c}") + F.sum(c).over(w_in))
+        out = out.withColumn(f"prev_{c}", F.col(f"{prefix}{c}") - F.col(c))
+    return out.drop("__bkt", *[f"__off_{c}" for c in value_cols])
+
+
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = True,
                    n_buckets: int | None = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum) and ``prev_<c>`` (exclusive) per value column,

@@ -88,6 +88,18 @@ def auc(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_B
     return pts.agg((area / (_d(F.max("P")) * _d(F.max("N")))).alias("auc"))
 
 
+def auc_by_group(df: DataFrame, group_cols: list[str], score: str, label: str) -> DataFrame:
+    """EV10 for many curves at once: (group..., auc) with one running-sum pass partitioned by group."""
+    from creditspark.operators.cumulative import partitioned_running_totals
+    g = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+           .groupBy(*group_cols, F.col(score).alias("cutoff"))
+           .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
+                F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
+    r = partitioned_running_totals(g, group_cols, "cutoff", ["pos", "neg"], descending=True)
+    area = F.sum(_d("neg") * (_d("prev_pos") + _d("pos") / F.lit(2.0)))
+    return r.groupBy(*group_cols).agg((area / (_d(F.max("total_pos")) * _d(F.max("total_neg")))).alias("auc"))
+
+
 def ks(curve: DataFrame) -> DataFrame:
     """EV6: KS = max(tpr - fpr) over the curve."""
     return curve.agg(F.max(F.col("tpr") - F.col("fpr")).alias("ks"))

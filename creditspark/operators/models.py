@@ -31,7 +31,7 @@ from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditspark.operators.cache import persist, release
@@ -260,26 +260,51 @@ def fold_column(key: str, k: int, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int")
 
 
+def auc_per_round(model, valid: DataFrame, key: str, label: str) -> dict[int, float]:
+    """Validation AUC of the boosted model truncated after every round, without refitting.
+
+    Each tree's prediction is added as a column, the weighted contributions are
+    exploded to (row, round) and summed cumulatively per row (a window over one
+    row's rounds), and the AUC of every round's margin comes from one
+    running-sum pass partitioned by round.  ``key`` must identify a row.
+    """
+    from creditspark.operators.evaluate import auc_by_group
+    df = valid.select(key, "features", F.col(label).cast("int").alias(label))
+    weights = list(model.treeWeights)
+    for t, tree in enumerate(model.trees):
+        df = tree.copy().setPredictionCol(f"__t{t}").transform(df)
+    contrib = F.array(*[F.lit(float(w)) * F.col(f"__t{t}") for t, w in enumerate(weights)])
+    long = df.select(key, label, F.posexplode(contrib).alias("__r", "__c"))
+    w = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, 0)
+    margins = long.select(label, (F.col("__r") + 1).alias("round"), F.sum("__c").over(w).alias("margin"))
+    return {r["round"]: r["auc"] for r in auc_by_group(margins, ["round"], "margin", label).collect()}
+
+
 def boosting_cv(data: DataFrame, key: str, label: str, nfold: int = 5, rounds: int = 300,
                 parallelism: int = 4, **gbt_args):
-    """ML11: per-round mean validation log-loss over k folds; returns (rows, best_rounds).
+    """ML11: per round, mean / sd over k folds of the validation log-loss and AUC.
 
     Folds come from a hash of ``key``; the fold models are fitted concurrently
-    from ``parallelism`` driver threads (each fit is its own series of Spark jobs).
+    from ``parallelism`` driver threads (each fit is its own series of Spark
+    jobs).  Returns (rows, best_round) with the best round by mean AUC, the
+    reference's CV metric.
     """
     with_fold = persist(data.withColumn("__fold", fold_column(key, nfold)))
 
     def one(f):
         tr = with_fold.filter(F.col("__fold") != f)
         va = with_fold.filter(F.col("__fold") == f)
-        return boosted_trees(tr, label, rounds=rounds, **gbt_args).evaluateEachIteration(va)
+        m = boosted_trees(tr, label, rounds=rounds, **gbt_args)
+        aucs = auc_per_round(m, va, key, label)
+        return m.evaluateEachIteration(va), [aucs[i + 1] for i in range(len(aucs))]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        losses = list(pool.map(one, range(nfold)))
-    mean = np.mean(np.array(losses), axis=0)
-    sd = np.std(np.array(losses), axis=0)
-    rows = [(i + 1, float(mean[i]), float(sd[i])) for i in range(len(mean))]
-    best = int(np.argmin(mean)) + 1
+        res = list(pool.map(one, range(nfold)))
+    losses = np.array([r[0] for r in res])
+    aucs = np.array([r[1] for r in res])
+    rows = [(i + 1, float(losses[:, i].mean()), float(losses[:, i].std()), float(aucs[:, i].mean()),
+             float(aucs[:, i].std())) for i in range(losses.shape[1])]
+    best = int(np.argmax(aucs.mean(axis=0))) + 1
     return rows, best
 
 

@@ -182,11 +182,12 @@ def gbt_importance(spark, d):
 
 @register("gbt_cv")
 def gbt_cv(spark, d):
-    """ML11: 5-fold CV of boosting: mean / sd validation log-loss per round and the best round."""
+    """ML11: 5-fold CV of boosting: per round mean / sd validation log-loss and AUC, best round by AUC."""
     des = _design(spark, d, balance=False)
     rows, best = M.boosting_cv(des.vectors("train"), "application_id", "tag", nfold=5, rounds=CV_ROUNDS)
-    return spark.createDataFrame([(r, m, s, r == best) for r, m, s in rows],
-                                 "round int, mean_logloss double, sd_logloss double, is_best boolean")
+    return spark.createDataFrame(
+        [(r, ml, sl, ma, sa, r == best) for r, ml, sl, ma, sa in rows],
+        "round int, mean_logloss double, sd_logloss double, mean_auc double, sd_auc double, is_best boolean")
 
 
 @register("linear_svm")

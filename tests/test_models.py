@@ -54,3 +54,16 @@ def test_vif_finite_and_at_least_one(spark, design):
     v = dict(M.vif(design.balanced, fit))
     assert set(v) == set(design.features)
     assert all(x is not None and x >= 1.0 - 1e-9 for x in v.values())
+
+
+def test_auc_per_round_matches_truncated_model(spark, design):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    train, test = design.vectors("train"), design.vectors("test")
+    m = M.boosted_trees(train, "tag", rounds=8)
+    per_round = M.auc_per_round(m, test, "application_id", "tag")
+    assert sorted(per_round) == list(range(1, 9))
+    full = BinaryClassificationEvaluator(labelCol="tag", rawPredictionCol="rawPrediction").evaluate(m.transform(test))
+    assert per_round[8] == pytest.approx(full, abs=1e-9)
+    m3 = M.boosted_trees(train, "tag", rounds=3)
+    auc3 = BinaryClassificationEvaluator(labelCol="tag", rawPredictionCol="rawPrediction").evaluate(m3.transform(test))
+    assert per_round[3] == pytest.approx(auc3, abs=1e-9)

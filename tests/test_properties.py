@@ -267,3 +267,15 @@ def test_percentile_caps(spark, sf_small):
     assert m.caps["income"] == pytest.approx(tuple(ref["i"]))
     out = m.transform(mt).agg(F.max("bal"), F.min("income")).first()
     assert out[0] == pytest.approx(ref["b"][1]) and out[1] == pytest.approx(ref["i"][0])
+
+
+def test_auc_by_group_equals_single_auc(spark, sf_small, monkeypatch):
+    from creditspark.operators import cumulative
+    monkeypatch.setattr(cumulative, "ROWS_PER_BUCKET", 100)   # several buckets per group
+    s = fx.scored(spark, sf_small)
+    two = s.withColumn("grp", F.lit("a")).unionByName(
+        s.withColumn("grp", F.lit("b")).withColumn("p", F.lit(1.0) - F.col("p")))
+    got = {r["grp"]: r["auc"] for r in E.auc_by_group(two, ["grp"], "p", "tag").collect()}
+    ref = E.auc(s, "p", "tag").first()["auc"]
+    assert got["a"] == pytest.approx(ref, abs=1e-12)
+    assert got["b"] == pytest.approx(1 - ref, abs=1e-12)
