@@ -36,6 +36,8 @@ def iv_ranking(df: DataFrame, numeric: list[str], categorical: list[str], label:
                fine_k: int = 10, coarse_k: int = 3, min_share: float = 0.05,
                method: str = "auto") -> DataFrame:
     """(rank, variable, kind, n_bins, iv) sorted by IV descending, name tiebreak."""
+    # one narrow labelled projection serves every pass (cuts, bins, monotone check, categories)
+    df = persist(df.filter(F.col(label).isNotNull()).select(label, *numeric, *categorical))
     _, _, chosen = fine_and_coarse_bins(df, numeric, label, fine_k, coarse_k, method)
     num = chosen.groupBy("variable").agg(
         F.sum("iv").alias("iv"), F.count(F.lit(1)).cast("int").alias("n_bins"),
