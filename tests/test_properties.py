@@ -3,7 +3,8 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import Window
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from creditspark.operators import evaluate as E
@@ -279,3 +280,27 @@ def test_auc_by_group_equals_single_auc(spark, sf_small, monkeypatch):
     ref = E.auc(s, "p", "tag").first()["auc"]
     assert got["a"] == pytest.approx(ref, abs=1e-12)
     assert got["b"] == pytest.approx(1 - ref, abs=1e-12)
+
+
+def test_curve_monotone(spark, sf_small):
+    c = E.roc_curve(fx.scored(spark, sf_small), "p", "tag").toPandas().sort_values("cutoff", ascending=False)
+    assert c.tp.is_monotonic_increasing and c.fp.is_monotonic_increasing
+    assert c.rpp.is_monotonic_increasing and c.tpr.between(0, 1).all() and c.fpr.between(0, 1).all()
+    assert c.iloc[0].tp == 0 and c.iloc[-1].tpr == 1.0 and c.iloc[-1].fpr == 1.0
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 1)), min_size=2, max_size=60),
+       st.integers(1, 5), st.integers(1, 4))
+def test_auc_ks_random_ties_and_partitions(spark, rows, parts, buckets):
+    if len({y for _, y in rows}) < 2:
+        return
+    df = spark.createDataFrame([(float(s), y) for s, y in rows], "p double, tag int").repartition(parts)
+    pos = [s for s, y in rows if y == 1]
+    neg = [s for s, y in rows if y == 0]
+    brute = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
+    assert E.auc(df, "p", "tag", n_buckets=buckets).first()["auc"] == pytest.approx(brute, abs=1e-12)
+    cuts = sorted({s for s, _ in rows})
+    ks = max(sum(a >= c for a in pos) / len(pos) - sum(b >= c for b in neg) / len(neg) for c in cuts)
+    got = E.ks(E.roc_curve(df, "p", "tag", n_buckets=buckets)).first()["ks"]
+    assert got == pytest.approx(max(ks, 0.0), abs=1e-12)
