@@ -226,6 +226,38 @@ def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20,
     return edges
 
 
+def merge_similar_levels(levels: dict[str, tuple[int, int]], stop_limit: float = 0.1) -> dict[str, str]:
+    """WO1 option: merge categories with similar WOE.
+
+    ``levels`` maps level -> (n_good, n_bad) (NULL excluded; the table is the
+    bounded level table of a fitted model).  Levels are ordered by WOE and the
+    adjacent pair with the closest WOE is merged while the relative IV loss of
+    the step is <= ``stop_limit``.  Returns level -> group label ("a+b", sorted).
+    """
+    G = sum(g for g, _ in levels.values()) or 1
+    B = sum(b for _, b in levels.values()) or 1
+    groups = [([lv], g, b) for lv, (g, b) in levels.items()]
+
+    def woe_of(g, b):
+        return _woe_iv_py(g, b, G, B)[0]
+
+    def total_iv(gs):
+        return sum(_woe_iv_py(g, b, G, B)[1] for _, g, b in gs)
+
+    groups.sort(key=lambda t: (woe_of(t[1], t[2]), sorted(t[0])))
+    while len(groups) > 1:
+        cur = total_iv(groups)
+        w = [woe_of(g, b) for _, g, b in groups]
+        i = min(range(len(groups) - 1), key=lambda j: (abs(w[j + 1] - w[j]), j))
+        merged = groups[:i] + [(groups[i][0] + groups[i + 1][0], groups[i][1] + groups[i + 1][1],
+                                groups[i][2] + groups[i + 1][2])] + groups[i + 2:]
+        loss = (cur - total_iv(merged)) / cur if cur > 0 else 0.0
+        if loss > stop_limit:
+            break
+        groups = merged
+    return {lv: "+".join(sorted(members)) for members, _, _ in groups for lv in members}
+
+
 # --------------------------------------------------------------------------- fitted model (WO3/WO10)
 
 @dataclass
@@ -281,8 +313,9 @@ class WoeBinner:
 
     def __init__(self, label: str = "tag", categorical: list[str] | None = None,
                  numeric: list[str] | None = None, k: int = 10, min_share: float = 0.05,
-                 method: str = "auto"):
+                 method: str = "auto", merge_limit: float | None = None):
         self.label, self.k, self.min_share, self.method = label, k, min_share, method
+        self.merge_limit = merge_limit  # None: no similarity merge of category levels
         self.categorical = categorical or []
         self.numeric = numeric or []
 
@@ -305,6 +338,8 @@ class WoeBinner:
             t = table.filter(F.col("variable").isin(small)).collect() if small else []
             for v in small:
                 rows = [r for r in t if r["variable"] == v]
+                if self.merge_limit is not None:
+                    rows = self._merged_rows(rows)
                 spec = {"levels": {}, "null": 0.0, "misc": 0.0}
                 for r in rows:
                     if r["level"] is None:
@@ -324,6 +359,22 @@ class WoeBinner:
         release(lab)
         return model
 
+    def _merged_rows(self, rows):
+        """Replace each non-NULL level's WOE by the WOE of its similarity group."""
+        counts = {r["level"]: (r["n_good"], r["n_bad"]) for r in rows if r["level"] is not None}
+        group_of = merge_similar_levels(counts, self.merge_limit)
+        G = sum(r["n_good"] for r in rows) or 1
+        B = sum(r["n_bad"] for r in rows) or 1
+        sums = {}
+        for lv, (g, b) in counts.items():
+            sg, sb = sums.get(group_of[lv], (0, 0))
+            sums[group_of[lv]] = (sg + g, sb + b)
+        out = [r for r in rows if r["level"] is None]
+        for lv in counts:
+            g, b = sums[group_of[lv]]
+            out.append({"level": lv, "woe": _woe_iv_py(g, b, G, B)[0]})
+        return out
+
 
 def model_bins(spark: SparkSession, model: WoeModel) -> DataFrame:
     """The fitted model's lookup table as a small DataFrame (variable, key, woe)."""

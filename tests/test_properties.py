@@ -304,3 +304,19 @@ def test_auc_ks_random_ties_and_partitions(spark, rows, parts, buckets):
     ks = max(sum(a >= c for a in pos) / len(pos) - sum(b >= c for b in neg) / len(neg) for c in cuts)
     got = E.ks(E.roc_curve(df, "p", "tag", n_buckets=buckets)).first()["ks"]
     assert got == pytest.approx(max(ks, 0.0), abs=1e-12)
+
+
+def test_similar_level_merge(spark, sf_small):
+    mt = fx.modelling_table(spark, sf_small)
+    counts = {r["level"]: (r["n_good"], r["n_bad"]) for r in
+              woe.category_counts(mt, ["nation"], "tag").collect() if r["level"] is not None}
+    groups = woe.merge_similar_levels(counts, stop_limit=0.1)
+    assert set(groups) == set(counts)
+    assert 1 <= len(set(groups.values())) < len(counts)
+    for lv, g in groups.items():
+        assert lv in g.split("+")
+    model = woe.WoeBinner("tag", categorical=["nation"], min_share=0.0, merge_limit=0.1).fit(mt)
+    woes = model.categorical["nation"]["levels"]
+    for g in set(groups.values()):
+        members = g.split("+")
+        assert len({round(woes[m], 12) for m in members}) == 1
