@@ -81,12 +81,21 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
     if n_buckets is None:
         n_buckets = min(MAX_BUCKETS, max(1, -(-df.count() // ROWS_PER_BUCKET)))
     splits = _bucket_splits(df, order_col, n_buckets)
+    row_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if len(splits) < 3:
-        bucketed = df.withColumn("__bkt", F.lit(0))
-    else:
-        bucketed = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bkt", handleInvalid="keep") \
-            .transform(df.withColumn("__ord", F.col(order_col).cast("double")))
-        bucketed = bucketed.withColumn("__bkt", F.col("__bkt").cast("int")).drop("__ord")
+        # one bucket (at most ROWS_PER_BUCKET rows when sized automatically): offsets are 0,
+        # totals are a window over the same bucket, so no join is needed
+        one = df.withColumn("__bkt", F.lit(0))
+        w_run = Window.partitionBy("__bkt").orderBy(row_order).rowsBetween(Window.unboundedPreceding, 0)
+        w_tot = Window.partitionBy("__bkt")
+        for c in value_cols:
+            one = (one.withColumn(f"{prefix}{c}", F.sum(c).over(w_run))
+                      .withColumn(f"prev_{c}", F.col(f"{prefix}{c}") - F.col(c))
+                      .withColumn(f"total_{c}", F.sum(c).over(w_tot)))
+        return one.drop("__bkt")
+    bucketed = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bkt", handleInvalid="keep") \
+        .transform(df.withColumn("__ord", F.col(order_col).cast("double")))
+    bucketed = bucketed.withColumn("__bkt", F.col("__bkt").cast("int")).drop("__ord")
 
     per_bucket = bucketed.groupBy("__bkt").agg(*[F.sum(c).alias(f"__b_{c}") for c in value_cols])
     bucket_order = F.col("__bkt").desc() if descending else F.col("__bkt").asc()
@@ -99,7 +108,6 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
         *[F.sum(f"__b_{c}").over(w_all).alias(f"total_{c}") for c in value_cols],
     )
     joined = bucketed.join(F.broadcast(offsets), "__bkt", "inner")
-    row_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy("__bkt").orderBy(row_order).rowsBetween(Window.unboundedPreceding, 0)
     out = joined
     for c in value_cols:

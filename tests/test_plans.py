@@ -45,3 +45,11 @@ def test_running_sum_window_is_partitioned_by_bucket(spark, sf_small):
     specs = re.findall(r"\(\d+\) Window\nInput \[\d+\]: \[[^\n]*\]\nArguments: \[[^\n]*\], \[([^\]]*)\]", txt)
     # the row-level running sum is partitioned by bucket; the other windows run over the bucket table
     assert any("__bkt" in spec for spec in specs)
+
+
+def test_no_cross_join_operators(spark, sf_small):
+    for key in ["roc_curve", "auc", "lift", "cutoff_sweep", "stratified_split", "holdout_stability",
+                "dup_rows", "woe_apply", "iv_ranking", "box_stats", "histogram", "class_shares"]:
+        df = QUERIES[key](spark, sf_small)
+        txt = plan_text(df)
+        assert "NestedLoopJoin" not in txt and "CartesianProduct" not in txt, key
