@@ -345,7 +345,6 @@ def grid_search_rf(train: DataFrame, label: str, mtry_values: list[int], num_tre
     CrossValidator's average; kappa is averaged over the same folds from the sub-models'
     validation confusion matrices (EV3, one aggregate per fold and setting).
     """
-    from creditspark.operators.evaluate import confusion
     data = train.withColumn("__fold", fold_column(key, folds, seed))
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed)
     grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, [str(m) for m in mtry_values]).build()
@@ -355,12 +354,31 @@ def grid_search_rf(train: DataFrame, label: str, mtry_values: list[int], num_tre
     m = cv.fit(data)
     kappas = [0.0] * len(grid)
     for f, fold_models in enumerate(m.subModels):
-        valid = data.filter(F.col("__fold") == f)
+        # every setting's sub-model scores the fold in one projection; one aggregate counts all matrices
+        scored = data.filter(F.col("__fold") == f).select("features", F.col(label).cast("int").alias("__y"))
         for j, sub in enumerate(fold_models):
-            pred = sub.transform(valid).withColumn("__p", F.col("prediction").cast("int")) \
-                .withColumn("__y", F.col(label).cast("int"))
-            kappas[j] += (confusion(pred, "__p", "__y").first()["kappa"] or 0.0) / folds
+            scored = (sub.copy().setPredictionCol(f"__p{j}").setRawPredictionCol(f"__raw{j}")
+                      .setProbabilityCol(f"__prob{j}").transform(scored))
+        y = F.col("__y")
+        aggs = []
+        for j in range(len(fold_models)):
+            p = F.col(f"__p{j}").cast("int")
+            aggs += [F.count_if((p == 0) & (y == 0)).alias(f"tn{j}"), F.count_if((p == 0) & (y == 1)).alias(f"fn{j}"),
+                     F.count_if((p == 1) & (y == 0)).alias(f"fp{j}"), F.count_if((p == 1) & (y == 1)).alias(f"tp{j}")]
+        r = scored.agg(*aggs).first()
+        for j in range(len(fold_models)):
+            kappas[j] += kappa(r[f"tn{j}"], r[f"fn{j}"], r[f"fp{j}"], r[f"tp{j}"]) / folds
     rows = [(int(p[rf.featureSubsetStrategy]), float(a), float(k)) for p, a, k in zip(grid, m.avgMetrics, kappas)]
     return m, rows
 
 
+def kappa(tn: int, fn: int, fp: int, tp: int) -> float:
+    """Cohen's kappa of a 2 x 2 confusion matrix (same formula as ``evaluate.confusion``)."""
+    n = float(tn + fn + fp + tp)
+    if n == 0:
+        return 0.0
+    po = (tn + tp) / n
+    pe = ((tn + fn) * (tn + fp) + (fp + tp) * (fn + tp)) / (n * n)
+    return (po - pe) / (1.0 - pe) if pe != 1.0 else 0.0
+
+

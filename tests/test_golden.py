@@ -111,3 +111,9 @@ def test_csv_two_null_spellings_and_header_with_space(spark):
     assert df.columns == ["application_id", "no_of_dependents", "gender"]
     got = {r["application_id"]: (r["no_of_dependents"], r["gender"]) for r in df.collect()}
     assert got == {1: (3, "M"), 2: (None, "F"), 3: (None, None), 4: (5, None)}
+
+
+@pytest.mark.parametrize("tn,fn,fp,tp,acc,sens,spec,k", [m for m in MATRICES if m[-1] is not None])
+def test_python_kappa_matches_spark_kappa(tn, fn, fp, tp, acc, sens, spec, k):
+    from creditspark.operators.models import kappa
+    assert kappa(tn, fn, fp, tp) == pytest.approx(k, abs=6e-5)
