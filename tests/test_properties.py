@@ -320,3 +320,14 @@ def test_similar_level_merge(spark, sf_small):
     for g in set(groups.values()):
         members = g.split("+")
         assert len({round(woes[m], 12) for m in members}) == 1
+
+
+def test_numeric_merge_key_covers_all_rows(spark, sf_small):
+    import __spark_entry__ as entry
+    t = entry.queries()["woe_numeric_merge"](spark, sf_small)
+    labelled = fx.modelling_table(spark, sf_small).filter(F.col("tag").isNotNull()).count()
+    per_var = {r["variable"]: (r["n"], r["k"]) for r in
+               t.groupBy("variable").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()}
+    assert set(per_var) == {"util", "bal"}
+    for n, k in per_var.values():
+        assert n == labelled and 2 <= k <= 21
