@@ -19,3 +19,8 @@ def persist(df: DataFrame) -> DataFrame:
 def release(df: DataFrame) -> None:
     if df.is_cached:
         df.unpersist(blocking=False)
+
+
+def clear(spark) -> None:
+    """Drop every persisted intermediate of this session (call after a flow's results are written)."""
+    spark.catalog.clearCache()

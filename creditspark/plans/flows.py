@@ -25,6 +25,7 @@ from creditspark.operators import evaluate as E
 from creditspark.operators import models as M
 from creditspark.operators import quality as Q
 from creditspark.operators import scorecard as SC
+from creditspark.operators.cache import clear
 from creditspark.plans import ranking
 from creditspark.plans.modelling import CATEGORICAL, build_design
 from creditspark.session import get_spark, scratch_path
@@ -116,6 +117,7 @@ def main(argv: list[str]) -> None:
               "financials", "financials_holdout"):
         print(k)
         c[k].show(truncate=False)
+    clear(spark)
 
 
 if __name__ == "__main__":

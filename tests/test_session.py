@@ -22,3 +22,12 @@ def test_tune_for_input(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_clear_cache(spark):
+    from creditspark.operators.cache import clear, persist
+    df = persist(spark.range(10))
+    df.count()
+    assert df.is_cached
+    clear(spark)
+    assert not spark.range(10).is_cached
