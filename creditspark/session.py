@@ -62,7 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder.
 
     Uses the folder already set on the context, else ``spark.checkpoint.dir``
-    from the configuration, else (local runs only) a fresh temporary folder.
+    from the configuration, else (local masters only) a fresh temporary folder.
+    Raises where executors would not see such a folder.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -75,6 +76,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share; "
+                             f"master {sc.master} has executors on other machines")
         configured = tempfile.mkdtemp(prefix="creditspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
