@@ -15,11 +15,14 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +30,11 @@ from pyspark.sql import functions as F
 SIZE = 4096
 END_ID = 2
 GROUP_IDS = 8_000_000
-CACHED_WORDS = 300_000
+#: Words whose ids a task remembers; this bounds its memory alone.
+CACHED_WORDS = 400_000
 
-#: White space for the tokenizer and for us alike; its pre-tokenizer never joins across it, so the
-#: ids of a text are those of its words in turn.
-_WORD = re.compile(r"[^ \t\n\r]+")
+#: A lower-case Latin word and its punctuation: one pre-token each, whatever the rest of the text.
+_PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def word_tokenizer_path() -> str:
@@ -39,33 +42,83 @@ def word_tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_names() -> dict[int, str]:
+    """Byte-level alphabet: printable bytes stand for themselves, the rest follow from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in set(shown))
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class WordIds:
-    """Ids of texts through a bounded cache of words, as packed integers."""
+    """Ids of whole texts for ``word_bpe_49k``, through a bounded cache of words.
+
+    The pre-tokenizer never joins across blanks, tabs and line ends, so the ids of a text are those
+    of its words in turn.
+    Texts that are not in normal form C, or that hold a character or string whose treatment depends
+    on its place, go to the tokenizer as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.model = self.tok.model
+        self.names = _byte_names()
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        new = list({w for w in words if w not in self.known})
-        ids = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        return {w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(new, ids)}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = _WORD.findall(text or "")
-        try:
-            data = b"".join([self.known[w] for w in words])
-        except KeyError:
-            new = self._learn(words)
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known = {}
-                new = self._learn(words)
-            data = b"".join([self.known[w] if w in self.known else new[w] for w in words])
-            self.known.update((w, v) for w, v in new.items() if len(w) <= 64)
-        return np.frombuffer(data, self.dtype)
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        m = _PLAIN.fullmatch(word)
+        if not m:
+            return self._encode(word)
+        core, marks = m.groups()
+        if not core.isascii():
+            core = "".join([self.names[b] for b in core.encode()])
+        if marks not in self.marks:
+            self.marks[marks] = self._encode(marks)
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(core)]).tobytes() + self.marks[marks]
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text.  Each distinct word of the batch is looked up once."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        rows, plain = [], []
+        for i, t in enumerate(texts):
+            t = t or ""
+            if "<|" in t or "\u03a3" in t or not unicodedata.is_normalized("NFC", t):
+                out[i] = np.frombuffer(self._encode(t), self.dtype)
+            else:
+                rows.append(i)
+                plain.append(t.lower().replace("\n", " ").replace("\t", " ").replace("\r", " "))
+        if not rows:
+            return out
+        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        bank = [self._known(w) for w in coded.dictionary.to_pylist()]
+        size = np.fromiter(map(len, bank), np.int64, len(bank)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(bank), self.dtype)
+        first = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        n = size[word]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(first[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for k, i in enumerate(rows):
+            out[i] = ids[cuts[k]:cuts[k + 1]]
+        return out
+
+    def _known(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self._word(word) if word else b""
+            if len(self.known) >= CACHED_WORDS:
+                self.known.clear()
+            if len(word) <= 64:
+                self.known[word] = ids
+        return ids
 
 
 @cache
@@ -73,6 +126,16 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _blocks(batch: pa.RecordBatch, n_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``n_bytes`` of text (column 1), or of one longer text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + n_bytes)))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 class FirstFit:
     """Bins of equal size in a tournament tree; each inner node holds the larger room below it."""
 
@@ -148,12 +211,10 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, e
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _word_ids(path)
         for b in batches:
-            step = 500
-            for lo in range(0, b.num_rows, step):
-                part = b.slice(lo, step)
+            for part in _blocks(b):
                 rows, starts, totals, ids = [], [], [], []
-                for r, text in enumerate(part.column(1).to_pylist()):
-                    full = np.append(ids_of(text), ids_of.dtype.type(end_id))
+                for r, own in enumerate(ids_of(part.column(1).to_pylist())):
+                    full = np.append(own, ids_of.dtype.type(end_id))
                     for s in range(0, len(full), size):
                         rows.append(r)
                         starts.append(s)

@@ -215,7 +215,8 @@ def report(docs: DataFrame) -> DataFrame:
     d = detect(docs)
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    n = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    n = [count(kind) for kind in BASE]
     return d.select("doc_id", *n, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
