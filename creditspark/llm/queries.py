@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditspark.llm import packing, pii
+from creditspark.llm import decontam, packing, pii, quality_rules
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": lambda spark, sf: packing.report(table(spark, sf, "documents")),
+    "op3_decontam": lambda spark, sf: decontam.report(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op5_pii": lambda spark, sf: pii.report(table(spark, sf, "documents")),
+    "op8_quality_rules": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
+}
+ORACLES: dict[str, str] = {
+    "op3_decontam": decontam.ORACLE,
+    "op8_quality_rules": quality_rules.ORACLE,
 }
-ORACLES: dict[str, str] = {}
