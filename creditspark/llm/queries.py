@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditspark.llm import decontam, packing, pii, quality_rules, sharding, url_filter
+from creditspark.llm import decontam, jaccard_join, packing, pii, quality_rules, sharding, url_filter
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": lambda spark, sf: url_filter.report(table(spark, sf, "pages")),
     "op2_packing": lambda spark, sf: packing.report(table(spark, sf, "documents")),
     "op3_decontam": lambda spark, sf: decontam.report(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op4_jaccard_join": lambda spark, sf: jaccard_join.report(table(spark, sf, "documents")),
     "op5_pii": lambda spark, sf: pii.report(table(spark, sf, "documents")),
     "op6_sharding": lambda spark, sf: sharding.report(table(spark, sf, "documents")),
     "op8_quality_rules": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_decontam": decontam.ORACLE,
+    "op4_jaccard_join": jaccard_join.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
 }
