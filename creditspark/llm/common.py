@@ -53,7 +53,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     spark = edges.sparkSession
     e = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                .filter(F.col("u") > F.col("v")).distinct(), "links")
-    while True:
+    nxt = e
+    while not e.isEmpty():
         # large star: neighbours above a node move to the least of its closed neighbourhood
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

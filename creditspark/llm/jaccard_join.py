@@ -9,11 +9,13 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
 3. Groups.  Of a set of n shingles in that order the first ``n - ceil(percent * n / 100) + 1`` are its
    prefix; linked sets share a shingle of their prefixes.  Vertices with identical prefix and size
    collapse into one group, and only groups are joined.
-4. Group pairs that share a prefix shingle pass the length bound and the positional bound, then
-   members are expanded and verified on their whole sets.
-5. First each bucket's groups are paired with the bucket's least group alone, which gives most
-   components without the pairs of a large bucket.  Then pairs of groups whose members lie in
-   different components are joined, for every bucket that still holds several: components
+4. Group pairs that share a prefix shingle pass the length bound, the positional bound and the bitmap bound
+   (of two sets' parities by hash bit, as many bits differ at most as elements do), then members are
+   expanded and verified on their whole sets.
+5. First each bucket's groups are paired with one of them alone (the bucket's centre), which gives most
+   components without the pairs of a large bucket; while buckets would still have many pairs and
+   centres keep finding links, this is done again with other centres.  Then all pairs of groups whose members
+   lie in different components are joined, for every bucket that still holds several: components
    are those of all links, and pairs inside one component are not listed.
 
 Null texts, and texts without words, have an empty set and link with nothing.  Rows that repeat a doc_id
@@ -36,6 +38,8 @@ from creditspark.llm.shingles import blocks, shingle_sets
 
 #: Shingles that the order puts last.  They are broadcast: 2 MB.  Others differ in cost alone.
 COMMON = 1 << 18
+#: Parity bits of a set, in columns of 64.
+BITS = ["b0", "b1", "b2", "b3"]
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -78,8 +82,15 @@ def ordered(s: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~late], s[late][np.argsort(rank[at[late]])]])
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether each of 64 x BITS classes of hashes holds an odd number of the set's elements."""
+    n = 64 * len(BITS)
+    odd = np.bincount((s >> 7) & (n - 1), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """(digest, gid, n, tokens) per row with words; ``gid`` stands for prefix and size."""
+    """(digest, gid, n, tokens, BITS) per row with words; ``gid`` stands for prefix and size."""
     shared = docs.sparkSession.sparkContext.broadcast((common, rank))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,19 +100,23 @@ def _prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray, rank: n
                 once = {_digest(s): s for s in sets}
                 heads = [ordered(s, *shared.value)[:prefix_size(len(s), percent)] for s in once.values()]
                 sizes = [len(s) for s in once.values()]
+                bits = np.array([parities(s) for s in once.values()], np.int64).reshape(-1, len(BITS)).T
                 yield pa.RecordBatch.from_pydict({
                     "digest": pa.array(list(once), pa.binary()),
                     "gid": pa.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed=n) - (1 << 63) for h, n in zip(heads, sizes)], pa.int64()),
-                    "n": pa.array(sizes, pa.int64()), "tokens": pa.array(heads, pa.list_(pa.int64()))})
+                    "n": pa.array(sizes, pa.int64()), "tokens": pa.array(heads, pa.list_(pa.int64())), **{c: pa.array(np.ascontiguousarray(v)) for c, v in zip(BITS, bits)}})
 
-    return docs.select("text").mapInArrow(run, "digest binary, gid long, n long, tokens array<long>")
+    return docs.select("text").mapInArrow(run, "digest binary, gid long, n long, tokens array<long>, " + ", ".join(f"{c} long" for c in BITS))
 
 
 def _may_link(percent: int, a: str, b: str) -> Column:
-    """Length and positional bounds of two groups that share the shingle at ``a.pos`` and ``b.pos``."""
+    """Length, positional and bitmap bounds of two groups that share the shingle at ``a.pos`` and ``b.pos``.
+    Bitmaps are those of single members."""
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in BITS), F.lit(0))
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     most = 1 + F.least(na - F.col(f"{a}.pos") - 1, nb - F.col(f"{b}.pos") - 1)
-    return (percent * F.greatest(na, nb) <= 100 * F.least(na, nb)) & (most * (100 + percent) >= percent * (na + nb))
+    return ((percent * F.greatest(na, nb) <= 100 * F.least(na, nb)) & (most * (100 + percent) >= percent * (na + nb))
+            & ((F.col(f"{a}.many") > 1) | (F.col(f"{b}.many") > 1) | (differ * (100 + percent) <= (100 - percent) * (na + nb))))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -119,9 +134,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
 
 
+class _Links:
+    """Verified links so far, the pairs that were tried, and every vertex's component."""
+
+    def __init__(self, docs: DataFrame, rows: DataFrame, members: DataFrame, k: int, percent: int):
+        self.docs, self.rows, self.members, self.k, self.percent = docs, rows, members, k, percent
+        self.links = self.tried = None
+        self.labelled = members.withColumn("label", F.col("digest"))
+
+    def add(self, pairs: DataFrame) -> tuple[int, int]:
+        """Verify the pairs (a, b) that are new; how many were tried, and how many link."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if self.tried is not None:
+            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        met = stored(pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct(), "met")
+        found = stored(_verified(pairs, stored(_whole_sets(self.docs, self.rows, met, self.k), "whole-sets"), self.percent), "links")
+        n = pairs.count(), found.count()
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        self.links = found if self.links is None else self.links.unionByName(found)
+        if n[1]:
+            label = components(self.links, "a", "b")
+            self.labelled = stored(self.members.join(label.withColumnRenamed("node", "digest"), "digest", "left")
+                                   .select("gid", "n", "digest", *BITS, F.coalesce("label", "digest").alias("label")), "labelled")
+        return n
+
+    def sides(self) -> DataFrame:
+        """(gid, label, many, one, BITS): how many members each component has in each group, and one of them."""
+        return self.labelled.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("many"), F.min("digest").alias("one"), *[F.min(c).alias(c) for c in BITS])
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, th, n_shingles, component_id) per row: the least doc_id of the documents reachable by links."""
-    spark = docs.sparkSession
     marked = stored(_sets(docs, shingle), "sets")
     rows = marked.filter("n is not null").select("doc_id", "th", "digest", F.col("n").alias("n_shingles"))
     top = (marked.filter("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
@@ -130,60 +174,68 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     order = np.argsort(common)
     # the frame is sorted from the most frequent on: the earlier a row, the later in the order
     vertices = stored(_prefixes(docs, shingle, percent, common[order], -order).dropDuplicates(["digest"]), "vertices")
-    groups = vertices.dropDuplicates(["gid"]).select("gid", "n", "tokens")
-    members = vertices.select("gid", "n", "digest")
-    postings = groups.select("gid", "n", F.posexplode_outer("tokens").alias("pos", "token"))
-    # least group of each bucket that holds several
-    first = (postings.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("gid", "n", "pos")).alias("c"))
-             .filter("many > 1").select("token", "c.gid", "c.n", "c.pos"))
-    shared = stored(postings.join(first.select("token", F.struct("gid", "n", "pos").alias("c")), "token"), "buckets")
-    star = shared.alias("p").filter(F.col("p.gid") != F.col("p.c.gid")).withColumn("q", F.col("c")).filter(
-        _may_link(percent, "p", "q")).select(F.col("c.gid").alias("ga"), F.col("gid").alias("gb")).distinct()
-    several = members.groupBy("gid").agg(F.min("digest").alias("a"), F.count(F.lit(1)).alias("many"))
-    inside = several.filter("many > 1").join(members, "gid").filter("a <> digest").select("a", F.col("digest").alias("b"))
-    across = (star.join(several.select(F.col("gid").alias("ga"), "a"), "ga")
-              .join(members.select(F.col("gid").alias("gb"), F.col("digest").alias("b")), "gb").select("a", "b"))
-    pairs = stored(inside.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    # whole sets of the vertices that any pair can hold
-    met = (members.join(shared.select("gid").distinct(), "gid", "left_semi").select("digest")
-           .unionByName(inside.select(F.col("a").alias("digest"))).unionByName(inside.select(F.col("b").alias("digest"))).distinct())
-    sets = stored(_whole_sets(docs, rows, met, shingle), "whole-sets")
-    links = stored(_verified(pairs, sets, percent), "links")
-    label = stored(components(links, "a", "b"), "labels")
-    # what is left: groups of one bucket with members in different components
-    labelled = (members.join(sets.select("digest"), "digest", "left_semi").join(label.withColumnRenamed("node", "digest"), "digest", "left")
-                .select("gid", "digest", F.coalesce("label", "digest").alias("label")))
-    labelled = stored(labelled, "labelled")
-    sides = labelled.select("gid", "label").distinct()
-    buckets = shared.select("token", "gid", "n", "pos").join(sides, "gid")
-    mixed = buckets.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    open_ = stored(buckets.join(mixed, "token", "left_semi"), "open-buckets")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label")) & _may_link(percent, "x", "y"))
-            .select(F.col("x.gid").alias("ga"), F.col("x.label").alias("la"), F.col("y.gid").alias("gb"), F.col("y.label").alias("lb")).distinct())
-    within = stored(_same_group(labelled), "within")
-    side = lambda g, l, v: labelled.select(F.col("gid").alias(g), F.col("label").alias(l), F.col("digest").alias(v))
-    more = (rest.join(side("ga", "la", "a"), ["ga", "la"]).join(side("gb", "lb", "b"), ["gb", "lb"]).select("a", "b").unionByName(within)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
-    more = stored(more, "more-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, sets, percent))
-        label = stored(components(links, "a", "b"), "labels")
+    members = vertices.select("gid", "n", "digest", *BITS)
+    postings = vertices.select("gid", "n", F.posexplode_outer("tokens").alias("pos", "token"))
+    several = postings.groupBy("token").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi")).filter("lo <> hi").select("token")
+    buckets = stored(postings.join(several, "token").distinct(), "buckets")
+
+    found = _Links(docs, rows, members, shingle, percent)
+    one = members.groupBy("gid").agg(F.min("digest").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    found.add(one.drop("many").join(members, "gid").filter("a <> digest").select("a", F.col("digest").alias("b")))
+    turn = 0
+    while True:
+        mixed = _mixed(buckets, found.sides())
+        c = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+        size = c.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+        if turn and (not size[0] or size[1] <= 4 * size[0]):
+            break
+        tried, linked = found.add(_centre_pairs(mixed, found.labelled, percent, turn))
+        turn += 1
+        if 20 * linked < tried or not tried:
+            mixed = _mixed(buckets, found.sides())
+            break
+    found.add(_same_group(found.labelled).unionByName(_all_pairs(mixed, found.labelled, percent)))
+
     # an equal set needs no link; the least doc_id of a vertex, then of a component
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    named = least.join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    named = named.select("digest", "least", "label")
+    named = least.join(found.labelled.select("digest", "label"), "digest")
     whole = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = named.join(whole, "label").select("digest", "component_id")
+    named = named.join(whole, "label").select("digest", "component_id")
     full, none = rows.filter("n_shingles > 0"), rows.filter("n_shingles = 0")
-    return (full.join(found, "digest").select("doc_id", "th", "n_shingles", "component_id")
+    return (full.join(named, "digest").select("doc_id", "th", "n_shingles", "component_id")
             .unionByName(none.select("doc_id", "th", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
+def _mixed(buckets: DataFrame, sides: DataFrame) -> DataFrame:
+    """(gid, token, n, pos, and the columns of ``sides``) of the buckets that hold several components."""
+    rows = buckets.join(sides, "gid")
+    many = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
+    return stored(rows.join(many, "token", "left_semi"), "mixed")
+
+
+def _centre_pairs(mixed: DataFrame, labelled: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each bucket's centre (the least by a hash, another one every turn) with the members of its other groups."""
+    chance = F.xxhash64("gid", "label", F.lit(turn))
+    centre = (mixed.groupBy("token").agg(F.min(F.struct(chance.alias("h"), "gid", "n", "pos", "label", "one", "many", *BITS)).alias("c")).select("token", "c.*"))
+    x, y = centre.alias("x"), mixed.alias("y")
+    near = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label")) & _may_link(percent, "x", "y"))
+            .select(F.col("x.one").alias("a"), F.col("y.gid").alias("gid"), F.col("y.label").alias("label")).distinct())
+    return near.join(labelled, ["gid", "label"]).select("a", F.col("digest").alias("b"))
+
+
+def _all_pairs(mixed: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+    """Members of all pairs of groups of one bucket that lie in different components."""
+    x, y = mixed.alias("x"), mixed.alias("y")
+    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label")) & _may_link(percent, "x", "y"))
+            .select(F.col("x.gid").alias("ga"), F.col("x.label").alias("la"), F.col("y.gid").alias("gb"), F.col("y.label").alias("lb")).distinct())
+    side = lambda g, l, v: labelled.select(F.col("gid").alias(g), F.col("label").alias(l), F.col("digest").alias(v))
+    return rest.join(side("ga", "la", "a"), ["ga", "la"]).join(side("gb", "lb", "b"), ["gb", "lb"]).select("a", "b")
+
+
 def _same_group(labelled: DataFrame) -> DataFrame:
     """Pairs of vertices of one group that lie in different components."""
     mixed = labelled.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("gid")
-    open_ = labelled.join(mixed, "gid", "left_semi")
+    open_ = stored(labelled.join(mixed, "gid", "left_semi"), "open-groups")
     x, y = open_.alias("x"), open_.alias("y")
     return (x.join(y, (F.col("x.gid") == F.col("y.gid")) & (F.col("x.label") < F.col("y.label")))
             .select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")))
@@ -191,11 +243,10 @@ def _same_group(labelled: DataFrame) -> DataFrame:
 
 def _whole_sets(docs: DataFrame, rows: DataFrame, met: DataFrame, k: int) -> DataFrame:
     """(digest, items) of the given vertices, each made from the text of one of its rows."""
-    one = (rows.join(met, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("r"))
-           .select("r.doc_id", "r.th").distinct())
-    one = small(stored(one.select(F.col("doc_id").alias("one_id"), F.col("th").alias("one_th")), "one-row"), 300_000)
+    one = rows.join(met, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("r"))
+    one = small(stored(one.select(F.col("r.doc_id").alias("one_id"), F.col("r.th").alias("one_th")).distinct(), "one-row"), 300_000)
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    texts = texts.join(one, texts["doc_id"].eqNullSafe(one["one_id"]) & (texts["th"] == one["one_th"])).select("text")
+    texts = texts.join(one, texts["doc_id"].eqNullSafe(one["one_id"]) & (texts["th"] == one["one_th"]), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
