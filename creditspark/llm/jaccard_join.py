@@ -14,7 +14,7 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
    expanded and verified on their whole sets.
 5. First each bucket's groups are paired with one of them alone (the bucket's centre), which gives most
    components without the pairs of a large bucket; while buckets would still have many pairs and
-   centres keep finding links, this is done again with other centres.  Then all pairs of groups whose members
+   a turn finds a tenth of the best turn's links, this is done again with other centres.  Then all pairs of groups whose members
    lie in different components are joined, for every bucket that still holds several: components
    are those of all links, and pairs inside one component are not listed.
 
@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     found = _Links(docs, rows, members, shingle, percent)
     one = members.groupBy("gid").agg(F.min("digest").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     found.add(one.drop("many").join(members, "gid").filter("a <> digest").select("a", F.col("digest").alias("b")))
-    turn = 0
+    turn = most = 0
     while True:
         mixed = _mixed(buckets, found.sides())
         c = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
@@ -191,7 +191,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             break
         tried, linked = found.add(_centre_pairs(mixed, found.labelled, percent, turn))
         turn += 1
-        if 20 * linked < tried or not tried:
+        most = max(linked, most)
+        if 10 * linked < most or not tried:
             mixed = _mixed(buckets, found.sides())
             break
     found.add(_same_group(found.labelled).unionByName(_all_pairs(mixed, found.labelled, percent)))
