@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditspark.llm import decontam, jaccard_join, packing, pii, quality_rules, sharding, url_filter
+from creditspark.llm import (decontam, jaccard_join, packing, pii, pseudo_likelihood, quality_classifier, quality_rules,
+                             sharding, substring_dedup, url_filter)
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,7 +17,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": lambda spark, sf: jaccard_join.report(table(spark, sf, "documents")),
     "op5_pii": lambda spark, sf: pii.report(table(spark, sf, "documents")),
     "op6_sharding": lambda spark, sf: sharding.report(table(spark, sf, "documents")),
+    "op7_quality_classifier": lambda spark, sf: quality_classifier.report(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op8_quality_rules": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
+    "op9_substring_dedup": lambda spark, sf: substring_dedup.report(table(spark, sf, "documents")),
+    "op10_pseudo_likelihood": lambda spark, sf: pseudo_likelihood.report(table(spark, sf, "documents")),
 }
 ORACLES: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
