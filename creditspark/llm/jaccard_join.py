@@ -11,7 +11,7 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
    collapse into one group, and only groups are joined.
 4. Group pairs that share a prefix shingle pass the length bound, the positional bound and the bitmap bound
    (of two sets' parities by hash bit, as many bits differ at most as elements do), then members are
-   expanded and verified on their whole sets.
+   expanded, held against the most that their prefixes let them share, and verified on their whole sets.
 5. First each bucket's groups are paired with one of them alone (the bucket's centre), which gives most
    components without the pairs of a large bucket; while buckets would still have many pairs and
    a turn finds a tenth of the best turn's links, this is done again with other centres.  Then all pairs of groups whose members
@@ -38,6 +38,8 @@ from creditspark.llm.shingles import blocks, shingle_sets
 
 #: Shingles that the order puts last.  They are broadcast: 2 MB.  Others differ in cost alone.
 COMMON = 1 << 18
+#: Bytes of text whose sets a task holds at once.
+BLOCK = 4 << 20
 #: Parity bits of a set, in columns of 64.
 BITS = ["b0", "b1", "b2", "b3"]
 
@@ -52,12 +54,12 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in blocks(batch, 2):
+            for b in blocks(batch, 2, BLOCK):
                 sets = shingle_sets(b.column(2), k)
                 digests = [_digest(s) for s in sets]
                 each = list({d: s for d, s in zip(digests, sets)}.values())
                 tokens, seen = np.unique(np.concatenate(each), return_counts=True)
-                tokens, seen = tokens[seen > 2], seen[seen > 2]
+                tokens, seen = tokens[seen > 1], seen[seen > 1]
                 n, m = len(sets), len(tokens)
                 gap = lambda size, kind: pa.nulls(size, kind)
                 put = lambda a, kind, size: pa.concat_arrays([a, gap(size, kind)])
@@ -89,13 +91,11 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray, rank: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
     """(digest, gid, n, tokens, BITS) per row with words; ``gid`` stands for prefix and size."""
-    shared = docs.sparkSession.sparkContext.broadcast((common, rank))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in blocks(batch, 0):
+            for b in blocks(batch, 0, BLOCK):
                 sets = [s for s in shingle_sets(b.column(0), k) if len(s)]
                 once = {_digest(s): s for s in sets}
                 heads = [ordered(s, *shared.value)[:prefix_size(len(s), percent)] for s in once.values()]
@@ -119,6 +119,38 @@ def _may_link(percent: int, a: str, b: str) -> Column:
             & ((F.col(f"{a}.many") > 1) | (F.col(f"{b}.many") > 1) | (differ * (100 + percent) <= (100 - percent) * (na + nb))))
 
 
+def most_shared(x: np.ndarray, nx: int, y: np.ndarray, ny: int, common: np.ndarray, rank: np.ndarray) -> int:
+    """At most so many elements are shared by two sets with these prefixes and sizes: all of either prefix up to
+    where the shorter one ends is known, and of the rest any could be shared."""
+    kx, ky = (_order_key(v, common, rank) for v in (x, y))
+    end = min(kx[-1], ky[-1])
+    seen = len(np.intersect1d(x, y, assume_unique=True))
+    return seen + min(nx - int(np.searchsorted(kx, end, "right")), ny - int(np.searchsorted(ky, end, "right")))
+
+
+def _order_key(s: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Numbers that rise as ``ordered`` does (hashes that differ in the last bit alone may be equal)."""
+    at = np.minimum(np.searchsorted(common, s), max(len(common) - 1, 0))
+    late = common[at] == s if len(common) else np.zeros(len(s), bool)
+    early = (s.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(1)
+    return np.where(late, np.uint64(1 << 63) + (rank[at] + len(common)).astype(np.uint64) if len(common) else early, early)
+
+
+def _plausible(pairs: DataFrame, vertices: DataFrame, percent: int, shared) -> DataFrame:
+    """The pairs (a, b) whose prefixes allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())
+            heads = zip(batch.column(3), batch.column(5))
+            keep = [most_shared(x.values.to_numpy(), nx, y.values.to_numpy(), ny, *shared.value) * (100 + percent) >= percent * (nx + ny)
+                    for (nx, ny), (x, y) in zip(sizes, heads)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    of = lambda v: vertices.select(F.col("digest").alias(v), F.col("n").alias(f"n_{v}"), F.col("tokens").alias(f"head_{v}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "head_a", "n_b", "head_b")
+    return both.mapInArrow(run, "a binary, b binary")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of vertices that link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +169,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 class _Links:
     """Verified links so far, the pairs that were tried, and every vertex's component."""
 
-    def __init__(self, docs: DataFrame, rows: DataFrame, members: DataFrame, k: int, percent: int):
-        self.docs, self.rows, self.members, self.k, self.percent = docs, rows, members, k, percent
+    def __init__(self, docs: DataFrame, rows: DataFrame, vertices: DataFrame, k: int, percent: int, shared):
+        self.docs, self.rows, self.vertices, self.k, self.percent, self.shared = docs, rows, vertices, k, percent, shared
+        self.members = members = vertices.select("gid", "n", "digest", *BITS)
         self.links = self.tried = None
         self.labelled = members.withColumn("label", F.col("digest"))
 
@@ -148,10 +181,12 @@ class _Links:
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        met = stored(pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct(), "met")
-        found = stored(_verified(pairs, stored(_whole_sets(self.docs, self.rows, met, self.k), "whole-sets"), self.percent), "links")
-        n = pairs.count(), found.count()
+        tried = pairs.count()
         self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        pairs = stored(_plausible(pairs, self.vertices, self.percent, self.shared), "plausible")
+        met = stored(pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct(), "met")
+        found = stored(_verified(pairs, _whole_sets(self.docs, self.rows, met, self.k), self.percent), "links")
+        n = tried, found.count()
         self.links = found if self.links is None else self.links.unionByName(found)
         if n[1]:
             label = components(self.links, "a", "b")
@@ -173,13 +208,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     common = top["token"].to_numpy(np.int64)
     order = np.argsort(common)
     # the frame is sorted from the most frequent on: the earlier a row, the later in the order
-    vertices = stored(_prefixes(docs, shingle, percent, common[order], -order).dropDuplicates(["digest"]), "vertices")
-    members = vertices.select("gid", "n", "digest", *BITS)
+    shared = docs.sparkSession.sparkContext.broadcast((common[order], -order))
+    vertices = stored(_prefixes(docs, shingle, percent, shared).dropDuplicates(["digest"]), "vertices")
+    members = vertices.select("gid", "n", "digest")
     postings = vertices.select("gid", "n", F.posexplode_outer("tokens").alias("pos", "token"))
     several = postings.groupBy("token").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi")).filter("lo <> hi").select("token")
     buckets = stored(postings.join(several, "token").distinct(), "buckets")
 
-    found = _Links(docs, rows, members, shingle, percent)
+    found = _Links(docs, rows, vertices, shingle, percent, shared)
     one = members.groupBy("gid").agg(F.min("digest").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     found.add(one.drop("many").join(members, "gid").filter("a <> digest").select("a", F.col("digest").alias("b")))
     turn = most = 0
@@ -187,7 +223,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         mixed = _mixed(buckets, found.sides())
         c = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         size = c.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        if turn and (not size[0] or size[1] <= 4 * size[0]):
+        if turn and (not size[0] or size[1] <= 16 * size[0]):
             break
         tried, linked = found.add(_centre_pairs(mixed, found.labelled, percent, turn))
         turn += 1
@@ -250,13 +286,16 @@ def _whole_sets(docs: DataFrame, rows: DataFrame, met: DataFrame, k: int) -> Dat
     texts = texts.join(one, texts["doc_id"].eqNullSafe(one["one_id"]) & (texts["th"] == one["one_th"]), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[bytes] = set()
         for batch in batches:
-            for b in blocks(batch, 0):
-                sets = shingle_sets(b.column(0), k)
-                yield pa.RecordBatch.from_pydict({"digest": pa.array([_digest(s) for s in sets], pa.binary()), "items": pa.array([s.tobytes() for s in sets], pa.binary())})
+            for b in blocks(batch, 0, BLOCK):
+                sets = {d: s for s in shingle_sets(b.column(0), k) if (d := _digest(s)) not in done}
+                done.update(sets)
+                yield pa.RecordBatch.from_pydict({"digest": pa.array(list(sets), pa.binary()), "items": pa.array([s.tobytes() for s in sets.values()], pa.binary())})
 
+    sets = stored(texts.mapInArrow(run, "digest binary, items binary"), "whole-sets")
     # a row may be there several times
-    return texts.mapInArrow(run, "digest binary, items binary").dropDuplicates(["digest"])
+    return sets.dropDuplicates(["digest"]) if sets.count() > met.count() else sets
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def place(vectors: np.ndarray, room: np.ndarray, turn: int = 0) -> np.ndarray:
     return out
 
 
-def shard(docs: DataFrame, n_shards: int = 16, first: int = 64, cut: int = 2, seed: int = 42) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 16, first: int = 64, cut: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, size, tokens, digest, text_crc32, shard, slot) per row; slots are gapless from 0 in each shard."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("\0null"))).alias("digest"), F.crc32(text).alias("text_crc32"),

@@ -82,6 +82,7 @@ def test_prefix_and_bitmap_bounds_lose_no_pair():
         rank = np.array(r.sample(range(len(common)), len(common)))
         x, y = (jaccard_join.ordered(np.array(sorted(s), np.int64), common, rank)[:jaccard_join.prefix_size(len(s), 80)].tolist() for s in (a, b))
         assert set(x) & set(y)
+        assert jaccard_join.most_shared(np.array(x), len(a), np.array(y), len(b), common, rank) >= both
         odd = sum(bin(int(p) & (2**64 - 1) ^ int(q) & (2**64 - 1)).count("1") for p, q in zip(*(jaccard_join.parities(np.array(sorted(s), np.int64)) for s in (a, b))))
         assert odd <= len(a ^ b)
 

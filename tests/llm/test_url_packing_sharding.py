@@ -128,7 +128,7 @@ def test_shards_are_even_and_slots_gapless(spark):
         sizes[x["shard"]] += x["size"]
         slots[x["shard"]].add(x["slot"])
     assert all(s == set(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == len(rows)
-    assert set(sizes) == set(range(16)) and max(sizes.values()) <= 1.02 * min(sizes.values())
+    assert set(sizes) == set(range(16)) and max(sizes.values()) <= 1.02 * min(sizes.values()), sizes
 
 
 def test_equal_texts_share_a_shard(spark):
