@@ -1,26 +1,76 @@
 """Persistence at branch points of multi-pass operators.
 
-Operators that scan their input more than once (quantile cuts then bin
-counts, IRLS iterations, split histogram then assignment) persist the narrow
-projection they need, MEMORY_AND_DISK so it spills instead of failing.
-Lost blocks are recomputed from lineage, so this survives executor loss.
+Operators that scan their input more than once persist the narrow projection they need,
+MEMORY_AND_DISK so it spills instead of failing.  Lost blocks are recomputed from lineage, so this
+survives executor loss.
+
+Every block has an owner: what an operator persists and cannot release itself (its result still
+reads it) is released at the end of the enclosing ``scope``; a registered query that starts
+releases what earlier queries left.  A plan that several callers persist stays until the last
+of them releases it.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: semantic hash of a plan -> the frames that hold it
+_held: dict[int, list[DataFrame]] = {}
+_order: list[DataFrame] = []
 
 
 def persist(df: DataFrame) -> DataFrame:
-    return df if df.is_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+    """``df``, persisted for the caller; to be released by it or by the scope."""
+    held = _held.setdefault(df.semanticHash(), [])
+    if not held:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(df)
+    _order.append(df)
+    return df
 
 
 def release(df: DataFrame) -> None:
-    if df.is_cached:
-        df.unpersist(blocking=False)
+    """Give back one ``persist``; the blocks go with the last one."""
+    held = _held.get(df.semanticHash(), [])
+    if held:
+        held.pop()
+        for i in range(len(_order) - 1, -1, -1):
+            if _order[i] is df:
+                del _order[i]
+                break
+        if not held:
+            del _held[df.semanticHash()]
+            df.unpersist(blocking=False)
+
+
+@contextmanager
+def scope():
+    """Releases at its end whatever was persisted inside."""
+    mark = len(_order)
+    try:
+        yield
+    finally:
+        for df in _order[mark:][::-1]:
+            release(df)
+
+
+def release_all() -> None:
+    for df in _order[::-1]:
+        release(df)
 
 
 def clear(spark) -> None:
     """Drop every persisted intermediate of this session (call after a flow's results are written)."""
+    _held.clear()
+    _order.clear()
     spark.catalog.clearCache()
+
+
+def small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to have at most ``most`` rows; else as it is, for the
+    planner to join by a shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -5,7 +5,7 @@ Instead, rows are cut into ``n_buckets`` contiguous ranges of the order
 column (boundaries from ``percentile_approx``, so each range holds about the
 same number of rows), per-range totals are prefix-summed on the tiny range
 table, and each range computes its own running sum plus its offset.
-The offset table has at most ``n_buckets`` rows, so broadcasting it is safe.
+The offset table has one row per million and is broadcast if it is counted to be small.
 """
 
 from __future__ import annotations
@@ -14,18 +14,22 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspark.operators.cache import persist
+from creditspark.operators.cache import persist, small
 
 DEFAULT_BUCKETS = None          # None: sized from the input
 ROWS_PER_BUCKET = 1_000_000     # target rows per running-sum task
-MAX_BUCKETS = 16384             # bounds the broadcast offset table
+
+
+def _accuracy(n_buckets: int) -> int:
+    """Ranks are off by at most a tenth of a bucket."""
+    return max(10_000, 10 * n_buckets)
 
 
 def _bucket_splits(df: DataFrame, order_col: str, n_buckets: int) -> list[float]:
     if n_buckets <= 1:
         return [float("-inf"), float("inf")]
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("q")).first()
+    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, _accuracy(n_buckets)).alias("q")).first()
     cuts = sorted({float(x) for x in (row["q"] or []) if x is not None})
     return [float("-inf")] + cuts + [float("inf")]
 
@@ -43,10 +47,10 @@ def partitioned_running_totals(df: DataFrame, partition_cols: list[str], order_c
     g = list(partition_cols)
     df = persist(df)
     max_rows = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
-    n_b = min(MAX_BUCKETS, max(1, -(-max_rows // rows_per_bucket)))
+    n_b = max(1, -(-max_rows // rows_per_bucket))
     x = F.col(order_col).cast("double")
     if n_b > 1:
-        cuts = df.groupBy(*g).agg(F.percentile_approx(x, [i / n_b for i in range(1, n_b)], 10000).alias("__cuts"))
+        cuts = df.groupBy(*g).agg(F.percentile_approx(x, [i / n_b for i in range(1, n_b)], _accuracy(n_b)).alias("__cuts"))
         bucketed = _join_null_safe(df, cuts, g).withColumn(
             "__bkt", F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(order_col).cast("double")))).drop("__cuts")
     else:
@@ -79,7 +83,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
     """
     df = persist(df)
     if n_buckets is None:
-        n_buckets = min(MAX_BUCKETS, max(1, -(-df.count() // ROWS_PER_BUCKET)))
+        n_buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
     splits = _bucket_splits(df, order_col, n_buckets)
     row_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if len(splits) < 3:
@@ -107,7 +111,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
         *[F.coalesce(F.sum(f"__b_{c}").over(w_prev), F.lit(0)).alias(f"__off_{c}") for c in value_cols],
         *[F.sum(f"__b_{c}").over(w_all).alias(f"total_{c}") for c in value_cols],
     )
-    joined = bucketed.join(F.broadcast(offsets), "__bkt", "inner")
+    joined = bucketed.join(small(offsets), "__bkt", "inner")
     w_in = Window.partitionBy("__bkt").orderBy(row_order).rowsBetween(Window.unboundedPreceding, 0)
     out = joined
     for c in value_cols:

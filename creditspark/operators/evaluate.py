@@ -7,6 +7,7 @@ Conventions (from the reference):
 * Confusion-matrix metrics (EV2, EV3, EV11) use class 0 as positive, as the
   reference's confusionMatrix(..., positive = "0"), so there sensitivity is
   the share of goods kept and specificity the share of defaulters caught.
+* A rate over an empty class is NULL: one-class data have no AUC and no tpr or fpr.
 
 Scale: the curve is built from ``groupBy(score)`` (map-side combine) and a
 bucketed running sum (``cumulative.running_totals``) - no global window over
@@ -59,9 +60,9 @@ def _metrics(pts: DataFrame) -> DataFrame:
     tp, fp, P, N = F.col("tp"), F.col("fp"), F.col("P"), F.col("N")
     return pts.select(
         "cutoff", "tp", "fp", (N - fp).alias("tn"), (P - tp).alias("fn"),
-        (_d(tp) / _d(P)).alias("tpr"), (_d(fp) / _d(N)).alias("fpr"), (_d(N - fp) / _d(N)).alias("tnr"),
-        (_d(tp + N - fp) / _d(P + N)).alias("acc"), (_d(tp + fp) / _d(P + N)).alias("rpp"),
-        (((tp + fp) * 10 + P + N - 1).cast("long") / (P + N)).cast("long").alias("decile"))
+        F.try_divide(_d(tp), _d(P)).alias("tpr"), F.try_divide(_d(fp), _d(N)).alias("fpr"), F.try_divide(_d(N - fp), _d(N)).alias("tnr"),
+        F.try_divide(_d(tp + N - fp), _d(P + N)).alias("acc"), F.try_divide(_d(tp + fp), _d(P + N)).alias("rpp"),
+        F.try_divide(((tp + fp) * 10 + P + N - 1).cast("long"), P + N).cast("long").alias("decile"))
 
 
 def roc_curve(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_BUCKETS,
@@ -85,7 +86,7 @@ def auc(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_B
     """EV10: trapezoid area under the ROC curve (ties handled: a tied group is one segment)."""
     pts = roc_points(df, score, label, n_buckets, quantize)
     area = F.sum(_d("neg") * (_d("prev_tp") + _d("pos") / F.lit(2.0)))
-    return pts.agg((area / (_d(F.max("P")) * _d(F.max("N")))).alias("auc"))
+    return pts.agg(F.try_divide(area, _d(F.max("P")) * _d(F.max("N"))).alias("auc"))
 
 
 def auc_by_group(df: DataFrame, group_cols: list[str], score: str, label: str) -> DataFrame:
@@ -97,7 +98,7 @@ def auc_by_group(df: DataFrame, group_cols: list[str], score: str, label: str) -
                 F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
     r = partitioned_running_totals(g, group_cols, "cutoff", ["pos", "neg"], descending=True)
     area = F.sum(_d("neg") * (_d("prev_pos") + _d("pos") / F.lit(2.0)))
-    return r.groupBy(*group_cols).agg((area / (_d(F.max("total_pos")) * _d(F.max("total_neg")))).alias("auc"))
+    return r.groupBy(*group_cols).agg(F.try_divide(area, _d(F.max("total_pos")) * _d(F.max("total_neg"))).alias("auc"))
 
 
 def ks(curve: DataFrame) -> DataFrame:
@@ -115,14 +116,14 @@ def decile_table(curve: DataFrame) -> DataFrame:
     out = c.groupBy("decile").agg(
         F.max(F.col("tpr") - F.col("fpr")).alias("ks"), F.max("tpr").alias("gain"),
         F.max_by(F.struct("tp", "fp", "tpr", "rpp"), F.col("rpp")).alias("l"),
-        F.max(_d(F.col("tp") + F.col("fn")) / _d(n_all)).alias("base_rate"))
+        F.max(F.try_divide(_d(F.col("tp") + F.col("fn")), _d(n_all))).alias("base_rate"))
     w = Window.orderBy("decile")  # <= 10 rows
     prev_tp = F.coalesce(F.lag("l.tp").over(w), F.lit(0))
     prev_n = F.coalesce(F.lag(F.col("l.tp") + F.col("l.fp")).over(w), F.lit(0))
     return out.select(
-        "decile", "ks", "gain", (F.col("l.tpr") / F.col("l.rpp")).alias("cum_lift"),
-        (F.try_divide(_d(F.col("l.tp") - prev_tp), _d(F.col("l.tp") + F.col("l.fp") - prev_n))
-         / F.col("base_rate")).alias("decile_lift"))
+        "decile", "ks", "gain", F.try_divide(F.col("l.tpr"), F.col("l.rpp")).alias("cum_lift"),
+        F.try_divide(F.try_divide(_d(F.col("l.tp") - prev_tp), _d(F.col("l.tp") + F.col("l.fp") - prev_n)),
+                     F.col("base_rate")).alias("decile_lift"))
 
 
 def grid(n: int = 100, hi: float = 0.91, lo: float = 0.0) -> list[float]:
@@ -162,8 +163,8 @@ def cutoff_sweep(df: DataFrame, score: str, label: str, cutoffs: list[float]) ->
     tn, fn = N - fp, P - tp
     return s.select("i", "cutoff", tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
                     tn.cast("long").alias("tn"), fn.cast("long").alias("fn"),
-                    (_d(tn) / _d(N)).alias("sensitivity"), (_d(tp) / _d(P)).alias("specificity"),
-                    (_d(tp + tn) / _d(P + N)).alias("accuracy"))
+                    F.try_divide(_d(tn), _d(N)).alias("sensitivity"), F.try_divide(_d(tp), _d(P)).alias("specificity"),
+                    F.try_divide(_d(tp + tn), _d(P + N)).alias("accuracy"))
 
 
 def confusion(df: DataFrame, pred: str, actual: str) -> DataFrame:
@@ -181,8 +182,8 @@ def confusion(df: DataFrame, pred: str, actual: str) -> DataFrame:
 def with_confusion_metrics(c: DataFrame) -> DataFrame:
     tn, fn, fp, tp = (_d(x) for x in ("tn", "fn", "fp", "tp"))
     n = tn + fn + fp + tp
-    po = (tn + tp) / n
-    pe = ((tn + fn) * (tn + fp) + (fp + tp) * (fn + tp)) / (n * n)
+    po = F.try_divide(tn + tp, n)
+    pe = F.try_divide((tn + fn) * (tn + fp) + (fp + tp) * (fn + tp), n * n)
     return c.select("*", po.alias("accuracy"), F.try_divide(tn, tn + fp).alias("sensitivity"),
                     F.try_divide(tp, tp + fn).alias("specificity"),
                     F.try_divide(po - pe, F.lit(1.0) - pe).alias("kappa"))

@@ -4,16 +4,16 @@ Stepwise selection scores every single-term drop and add at each step.
 Fitting those candidates one by one costs (candidates x iterations) passes
 over the data.  Here each iteration is ONE pass: every partition computes,
 for every candidate c, the partial sums X_c' W_c X_c, X_c' W_c z_c and the
-log-likelihood at the current coefficients (numpy inside the task), emits
-them as (candidate, kind, i, j, value) rows, and a groupBy reduces them
-(map-side combined, tiny output: candidates x (k+1)^2 rows).  The driver
-solves the (k+1) x (k+1) normal equations per candidate.
+log-likelihood at the current coefficients (numpy inside the task) and
+emits one binary block per candidate; a few tasks add the blocks up and the
+driver solves the (k+1) x (k+1) normal equations per candidate.
 
 AIC = -2 loglik + 2 (k_c + 1), identical to the GLM summary at convergence.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,10 +22,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditspark.operators.cache import persist, release
-
 EPS = 1e-15
-SCHEMA = "c int, kind string, i int, j int, v double"
+SCHEMA = "c int, block binary"
+REDUCERS = 32
 
 
 @dataclass
@@ -56,57 +55,84 @@ def _partials(subsets: list[list[int]], betas: list[np.ndarray]):
                 A, g, ll = acc[c]
                 acc[c] = (A + Xc.T @ (Xc * w[:, None]), g + Xc.T @ (w * z),
                           ll + float(np.sum(y * np.log(p) + (1 - y) * np.log(1 - p))))
-        rows = []
-        for c, (A, g, ll) in enumerate(acc):
-            m = A.shape[0]
-            rows += [(c, "A", i, j, float(A[i, j])) for i in range(m) for j in range(i, m)]
-            rows += [(c, "g", i, -1, float(g[i])) for i in range(m)]
-            rows.append((c, "ll", -1, -1, ll))
-        yield pd.DataFrame(rows, columns=["c", "kind", "i", "j", "v"])
+        yield pd.DataFrame([(c, np.concatenate([A.ravel(), g, [ll]]).tobytes()) for c, (A, g, ll) in enumerate(acc)], columns=["c", "block"])
     return fn
 
 
+def _summed(batches):
+    """Blocks of one task, added up per candidate."""
+    total: dict[int, np.ndarray] = {}
+    for pdf in batches:
+        for c, block in zip(pdf["c"], pdf["block"]):
+            v = np.frombuffer(block)
+            total[c] = total[c] + v if c in total else v.copy()
+    yield pd.DataFrame([(c, v.tobytes()) for c, v in total.items()], columns=["c", "block"])
+
+
 def _reduce(data: DataFrame, subsets, betas):
-    red = (data.mapInPandas(_partials(subsets, betas), SCHEMA)
-               .groupBy("c", "kind", "i", "j").agg(F.sum("v").alias("v")).collect())
+    """X'WX, X'Wz and the log-likelihood of every candidate: one block per candidate and task, added up by
+    REDUCERS tasks (each task's blocks go to one of them), whose few sums the driver adds."""
+    blocks = data.mapInPandas(_partials(subsets, betas), SCHEMA).withColumn("r", F.pmod(F.spark_partition_id(), F.lit(REDUCERS)))
     out = [(np.zeros((len(s) + 1, len(s) + 1)), np.zeros(len(s) + 1), 0.0) for s in subsets]
-    for r in red:
+    for r in blocks.repartition(REDUCERS, "r").select("c", "block").mapInPandas(_summed, SCHEMA).collect():
+        v, m = np.frombuffer(r["block"]), len(subsets[r["c"]]) + 1
         A, g, ll = out[r["c"]]
-        if r["kind"] == "A":
-            A[r["i"], r["j"]] = A[r["j"], r["i"]] = r["v"]
-        elif r["kind"] == "g":
-            g[r["i"]] = r["v"]
-        else:
-            out[r["c"]] = (A, g, r["v"])
+        out[r["c"]] = (A + v[:m * m].reshape(m, m), g + v[m * m:m * m + m], ll + v[-1])
     return out
 
 
-def batched_logit(design: DataFrame, features_col: str, label: str, subsets: list[list[int]],
-                  max_iter: int = 25, tol: float = 1e-8) -> list[BatchFit]:
-    """Fit ``len(subsets)`` logistic models (columns of ``features_col`` by index) together."""
-    data = persist(design.select(vector_to_array(F.col(features_col)).alias("x"),
-                                 F.col(label).cast("double").alias("y")))
+def independent(gram: np.ndarray, subset: list[int], tol: float = 1e-9) -> list[int]:
+    """The columns of ``subset`` that are no combination of the constant and earlier ones, as ``glm`` aliases
+    terms: elimination in the given order over ``gram`` (X'X with the constant first)."""
+    order = [0] + [i + 1 for i in subset]
+    a = gram[np.ix_(order, order)].astype(float)
+    scale, kept = np.diag(a).copy(), []
+    for j in range(len(order)):
+        if a[j, j] <= tol * scale[j] or scale[j] <= 0:
+            a[j, :] = a[:, j] = 0.0
+            continue
+        if j:
+            kept.append(subset[j - 1])
+        row = a[j].copy()
+        for i in range(j + 1, len(order)):
+            a[i] -= row * (row[i] / row[j])
+    return kept
+
+
+def array_design(design: DataFrame, features_col: str, label: str) -> DataFrame:
+    """(x, y) rows for ``batched_logit``."""
+    return design.select(vector_to_array(F.col(features_col)).alias("x"), F.col(label).cast("double").alias("y"))
+
+
+def gram_matrix(data: DataFrame, k: int) -> np.ndarray:
+    """X'X of all ``k`` columns with the constant first, in one pass over ``array_design`` rows."""
+    return 4.0 * _reduce(data, [list(range(k))], [np.zeros(k + 1)])[0][0]
+
+
+def batched_logit(data: DataFrame, wanted: list[list[int]], gram: np.ndarray, max_iter: int = 200, tol: float = 1e-9) -> list[BatchFit]:
+    """Fit ``len(wanted)`` logistic models (columns of ``x`` by index) together.
+
+    ``data`` is ``array_design``'s, persisted by the caller.  Dependent columns are aliased: the fit is that of the
+    others, their coefficient is NaN and they do not count in the AIC.  Converged means that the deviance
+    moved by less than ``tol`` of itself, as in ``glm``; whatever has not by ``max_iter`` is reported by a warning.
+    """
+    subsets = [independent(gram, s) for s in wanted]
     betas = [np.zeros(len(s) + 1) for s in subsets]
     active = [True] * len(subsets)
+    last = [-np.inf] * len(subsets)
     for _ in range(max_iter):
         stats = _reduce(data, subsets, betas)
-        new = []
-        for c, (A, g, _) in enumerate(stats):
-            try:
-                new.append(np.linalg.solve(A, g))
-            except np.linalg.LinAlgError:
-                new.append(betas[c])
-        active = [bool(np.max(np.abs(n - b)) > tol * (1 + np.max(np.abs(b)))) for n, b in zip(new, betas)]
-        betas = new
+        active = [abs(ll - was) > tol * (abs(ll) + 0.1) for (_, _, ll), was in zip(stats, last)]
+        last = [ll for _, _, ll in stats]
         if not any(active):
             break
-    final = _reduce(data, subsets, betas)
+        betas = [np.linalg.lstsq(A, g, rcond=None)[0] if on else b for (A, g, _), b, on in zip(stats, betas, active)]
     fits = []
-    for c, (A, _, ll) in enumerate(final):
-        try:
-            se = np.sqrt(np.diag(np.linalg.inv(A)))
-        except np.linalg.LinAlgError:
-            se = np.full(len(betas[c]), np.nan)
-        fits.append(BatchFit(subsets[c], betas[c], se, ll, -2 * ll + 2 * len(betas[c]), not active[c]))
-    release(data)
+    for c, (A, _, ll) in enumerate(stats):
+        whole, se = np.full(len(wanted[c]) + 1, np.nan), np.full(len(wanted[c]) + 1, np.nan)
+        at = [0] + [1 + wanted[c].index(i) for i in subsets[c]]
+        whole[at], se[at] = betas[c], np.sqrt(np.abs(np.diag(np.linalg.pinv(A))))
+        fits.append(BatchFit(wanted[c], whole, se, ll, -2 * ll + 2 * len(betas[c]), not active[c]))
+    if any(active):
+        warnings.warn(f"{sum(active)} of {len(active)} logistic fits had not converged after {max_iter} iterations", stacklevel=2)
     return fits

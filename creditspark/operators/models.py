@@ -14,28 +14,29 @@
 * Trees: ``RandomForestClassifier`` / ``GBTClassifier``; boosting rounds are
   chosen by k-fold ``evaluateEachIteration`` (log-loss per round).
 * Kernel SVM re-aimed as random Fourier features (Rahimi & Recht 2007):
-  z(x) = sqrt(2/D) cos(Wx + b) written as D built-in column expressions
-  (no UDF), then ``LinearSVC``.
+  z(x) = sqrt(2/D) cos(xW + b) by one matrix product per Arrow batch, then ``LinearSVC``.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LinearSVC, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditspark.operators.cache import persist, release
-from creditspark.session import checkpoint_dir
+from creditspark.session import scratch_path
 
 INTERCEPT = "(Intercept)"
 
@@ -52,9 +53,11 @@ def assemble(df: DataFrame, features: list[str], label: str, out: str = "feature
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """Materialise to the shared checkpoint folder (never a machine-local copy)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder and read it back: cuts the lineage, survives lost executors and, unlike a
+    checkpointed RDD, still reads only the columns that are asked for."""
+    path = scratch_path(df.sparkSession, "design")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # --------------------------------------------------------------------------- GLM (ML1, ML2, ML6)
@@ -97,19 +100,17 @@ def fit_logit_vector(design: DataFrame, label: str, features: list[str], feature
                      tol: float = 1e-8, max_iter: int = 50) -> GlmFit:
     glr = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label, featuresCol=features_col,
                                       tol=tol, maxIter=max_iter, regParam=0.0, fitIntercept=True)
-    cached = not design.is_cached
     design = persist(design)
     m = glr.fit(design)
-    if cached:
-        release(design)
     s = m.summary
     try:
         se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
     except Exception:  # noqa: BLE001 - singular information matrix
         k = len(features) + 1
         se, tv, pv = [float("nan")] * k, [float("nan")] * k, [float("nan")] * k
-    return GlmFit(features, [float(x) for x in m.coefficients], float(m.intercept), se, tv, pv,
-                  float(s.aic), m)
+    fit = GlmFit(features, [float(x) for x in m.coefficients], float(m.intercept), se, tv, pv, float(s.aic), m)
+    release(design)  # the summary reads it
+    return fit
 
 
 def fit_logit(df: DataFrame, features: list[str], label: str, tol: float = 1e-8, max_iter: int = 50) -> GlmFit:
@@ -124,9 +125,18 @@ class DesignCache:
 
     def __init__(self, df: DataFrame, candidates: list[str], label: str):
         self.candidates, self.label = list(candidates), label
+        from creditspark.operators.irls import array_design, gram_matrix
         self.design = reliable(assemble(df, candidates, label, out="all_features"))
+        self.arrays = persist(array_design(self.design, "all_features", label))
+        self.gram = gram_matrix(self.arrays, len(self.candidates))
+
+    def independent(self, subset: list[str]) -> list[str]:
+        """``subset`` without aliased terms."""
+        from creditspark.operators.irls import independent
+        return [self.candidates[i] for i in independent(self.gram, [self.candidates.index(c) for c in subset])]
 
     def fit(self, subset: list[str]) -> GlmFit | None:
+        subset = self.independent(subset)
         if not subset:
             return None
         idx = [self.candidates.index(c) for c in subset]
@@ -142,12 +152,13 @@ def _aic(fit: GlmFit | None) -> float:
 
 
 def step_aic(df: DataFrame, candidates: list[str], label: str, start: list[str] | None = None,
-             max_steps: int = 30, parallelism: int = 4, batched: bool = True) -> tuple[list[str], list[tuple]]:
+             parallelism: int = 4, batched: bool = True) -> tuple[list[str], list[tuple]]:
     """ML3: bidirectional stepwise selection by AIC (ties broken by term name).
 
     ``batched``: all candidate fits of a step share one pass per IRLS
     iteration (``irls.batched_logit``); otherwise each candidate is a
     separate GLM fit, run concurrently from a driver thread pool.
+    An aliased term counts as absent, so it neither helps nor is dropped for nothing.
     Returns the chosen predictors and the path [(step, action, term, aic)].
     """
     from creditspark.operators.irls import batched_logit
@@ -157,37 +168,36 @@ def step_aic(df: DataFrame, candidates: list[str], label: str, start: list[str]
 
     def aics(subsets: list[list[str]], pool) -> list[float]:
         if batched:
-            fits = batched_logit(cache.design, "all_features", label,
-                                 [[candidates.index(c) for c in s] for s in subsets])
+            fits = batched_logit(cache.arrays, [[candidates.index(c) for c in s] for s in subsets], cache.gram)
             return [f.aic if f.converged and np.isfinite(f.aic) else float("inf") for f in fits]
         return [_aic(f) for f in pool.map(cache.fit, subsets)]
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         best = aics([current], pool)[0]
         path = [(0, "start", None, best)]
-        for step in range(1, max_steps + 1):
+        for step in itertools.count(1):  # every step lowers the AIC, so this ends
             moves = [("drop", c, [x for x in current if x != c]) for c in current if len(current) > 1]
             moves += [("add", c, current + [c]) for c in candidates if c not in current]
             scores = aics([m[2] for m in moves], pool)
             scored = sorted(((a, m[1], m[0], m[2]) for a, m in zip(scores, moves)), key=lambda t: (t[0], t[1]))
-            if not scored or scored[0][0] >= best:
+            if not scored or not scored[0][0] < best - 1e-9 * abs(best):
                 break
             best, term, action, current = scored[0][0], scored[0][1], scored[0][2], scored[0][3]
             path.append((step, action, term, best))
+    release(cache.arrays)
     return current, path
 
 
-def backward_pvalue(df: DataFrame, features: list[str], label: str, alpha: float = 0.05,
-                    max_steps: int = 30) -> tuple[list[str], list[tuple]]:
+def backward_pvalue(df: DataFrame, features: list[str], label: str, alpha: float = 0.05) -> tuple[list[str], list[tuple]]:
     """ML4: refit without the term of largest p-value while it exceeds alpha.
 
     Returns the kept predictors and the path [(step, dropped_term, p_value, aic_after)].
     """
     cache = DesignCache(df, features, label)
-    current = list(features)
+    current = cache.independent(features)
     fit = cache.fit(current)
     path = [(0, None, None, _aic(fit))]
-    for step in range(1, max_steps + 1):
+    for step in itertools.count(1):  # every step drops a term
         if fit is None or len(current) <= 1:
             break
         pv = fit.p_values[:-1]
@@ -198,6 +208,7 @@ def backward_pvalue(df: DataFrame, features: list[str], label: str, alpha: float
         current = [c for c in current if c != dropped]
         fit = cache.fit(current)
         path.append((step, dropped, float(pv[j]), _aic(fit)))
+    release(cache.arrays)
     return current, path
 
 
@@ -205,17 +216,11 @@ def backward_pvalue(df: DataFrame, features: list[str], label: str, alpha: float
 
 def vif(df: DataFrame, fit: GlmFit) -> list[tuple[str, float | None]]:
     """ML5: VIF_j = (R^-1)_jj with R the correlation form of vcov = (X'WX)^-1 (intercept removed)."""
+    from creditspark.operators.irls import _reduce, array_design
     feats = fit.features
-    cols = [F.lit(1.0)] + [F.col(f).cast("double") for f in feats]
-    p = fit.probability()
-    w = p * (F.lit(1.0) - p)
-    k = len(cols)
-    sums = [F.sum(w * cols[i] * cols[j]).alias(f"s_{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = df.dropna(subset=feats).agg(*sums).first()
-    xtwx = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            xtwx[i, j] = xtwx[j, i] = row[f"s_{i}_{j}"]
+    data = array_design(assemble(df.withColumn("__y", F.lit(0.0)), feats, "__y"), "features", "__y")
+    beta = np.array([fit.intercept, *fit.coefficients])
+    xtwx = _reduce(data, [list(range(len(feats)))], [beta])[0][0]
     try:
         vcov = np.linalg.inv(xtwx)[1:, 1:]
         sd = np.sqrt(np.diag(vcov))
@@ -240,10 +245,12 @@ def random_forest(train: DataFrame, label: str, num_trees: int = 500, mtry: int
 
 
 def boosted_trees(train: DataFrame, label: str, rounds: int = 193, step: float = 0.7, depth: int = 3,
-                  colsample: float = 0.933, min_child: int = 2, seed: int = 100):
+                  colsample: float = 0.933, min_child: int = 2, gamma: float = 0.0, seed: int = 100):
+    """ML10.  ``gamma`` is the least gain of a split (``minInfoGain``), on Spark's scale: variance reduction per row,
+    not the booster's loss over all rows."""
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, stepSize=step, maxDepth=depth,
                         subsamplingRate=1.0, featureSubsetStrategy=repr(colsample),
-                        minInstancesPerNode=min_child, seed=seed)
+                        minInstancesPerNode=min_child, minInfoGain=gamma, seed=seed)
     return gbt.fit(train)
 
 
@@ -260,24 +267,24 @@ def fold_column(key: str, k: int, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int")
 
 
-def auc_per_round(model, valid: DataFrame, key: str, label: str) -> dict[int, float]:
+def auc_per_round(model, valid: DataFrame, label: str, digits: int = 4) -> dict[int, float | None]:
     """Validation AUC of the boosted model truncated after every round, without refitting.
 
-    Each tree's prediction is added as a column, the weighted contributions are
-    exploded to (row, round) and summed cumulatively per row (a window over one
-    row's rounds), and the AUC of every round's margin comes from one
-    running-sum pass partitioned by round.  ``key`` must identify a row.
+    Each tree's prediction is added as a column and the running margins are one array per row (no shuffle).
+    Margins are rounded to ``digits`` places, so that what is shuffled is one count per (round, rounded
+    margin) and task, however many rows there are; ties count half, as always.
     """
     from creditspark.operators.evaluate import auc_by_group
-    df = valid.select(key, "features", F.col(label).cast("int").alias(label))
+    df = valid.select("features", F.col(label).cast("int").alias(label))
     weights = list(model.treeWeights)
     for t, tree in enumerate(model.trees):
         df = tree.copy().setPredictionCol(f"__t{t}").transform(df)
     contrib = F.array(*[F.lit(float(w)) * F.col(f"__t{t}") for t, w in enumerate(weights)])
-    long = df.select(key, label, F.posexplode(contrib).alias("__r", "__c"))
-    w = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, 0)
-    margins = long.select(label, (F.col("__r") + 1).alias("round"), F.sum("__c").over(w).alias("margin"))
-    return {r["round"]: r["auc"] for r in auc_by_group(margins, ["round"], "margin", label).collect()}
+    running = F.aggregate(contrib, F.array().cast("array<double>"),
+                          lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
+    margins = df.select(label, running.alias("__m")).select(label, F.posexplode("__m").alias("__r", "margin"))
+    rounded = margins.select(label, (F.col("__r") + 1).alias("round"), F.round("margin", digits).alias("margin"))
+    return {r["round"]: r["auc"] for r in auc_by_group(rounded, ["round"], "margin", label).collect()}
 
 
 def boosting_cv(data: DataFrame, key: str, label: str, nfold: int = 5, rounds: int = 300,
@@ -295,16 +302,18 @@ def boosting_cv(data: DataFrame, key: str, label: str, nfold: int = 5, rounds: i
         tr = with_fold.filter(F.col("__fold") != f)
         va = with_fold.filter(F.col("__fold") == f)
         m = boosted_trees(tr, label, rounds=rounds, **gbt_args)
-        aucs = auc_per_round(m, va, key, label)
-        return m.evaluateEachIteration(va), [aucs[i + 1] for i in range(len(aucs))]
+        aucs = auc_per_round(m, va, label)
+        return m.evaluateEachIteration(va), [np.nan if aucs.get(i + 1) is None else aucs[i + 1] for i in range(rounds)]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         res = list(pool.map(one, range(nfold)))
+    release(with_fold)
     losses = np.array([r[0] for r in res])
-    aucs = np.array([r[1] for r in res])
-    rows = [(i + 1, float(losses[:, i].mean()), float(losses[:, i].std()), float(aucs[:, i].mean()),
-             float(aucs[:, i].std())) for i in range(losses.shape[1])]
-    best = int(np.argmax(aucs.mean(axis=0))) + 1
+    aucs = np.array([r[1] for r in res], float)
+    aucs = aucs[~np.isnan(aucs).all(axis=1)]  # a fold of one class has no AUC
+    mean, sd = (aucs.mean(axis=0), aucs.std(axis=0)) if len(aucs) else (np.full(rounds, np.nan),) * 2
+    rows = [(i + 1, float(losses[:, i].mean()), float(losses[:, i].std()), float(mean[i]), float(sd[i])) for i in range(losses.shape[1])]
+    best = int(np.argmax(mean)) + 1 if len(aucs) else int(np.argmin(losses.mean(axis=0))) + 1
     return rows, best
 
 
@@ -314,39 +323,63 @@ def linear_svm(train: DataFrame, label: str, reg: float = 0.0, max_iter: int = 1
     return LinearSVC(labelCol=label, featuresCol="features", regParam=reg, maxIter=max_iter).fit(train)
 
 
+def fourier_matrix(n_features: int, sigma: float, n_components: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """W_ij ~ N(0, 2 sigma) (variance) and b_j ~ U(0, 2 pi): parameters, drawn on the driver."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, math.sqrt(2.0 * sigma), size=(n_features, n_components)), rng.uniform(0.0, 2 * math.pi, size=n_components)
+
+
 def fourier_features(df: DataFrame, features: list[str], sigma: float, n_components: int = 256,
                      seed: int = 1, out: str = "features") -> DataFrame:
-    """ML14: random Fourier map for the kernel exp(-sigma ||x - x'||^2), as column expressions.
+    """ML14: random Fourier map for the kernel exp(-sigma ||x - x'||^2), z(x) = sqrt(2/D) cos(x W + b), one
+    matrix product per Arrow batch (256 column expressions would leave whole-stage code generation)."""
+    w, b = fourier_matrix(len(features), sigma, n_components, seed)
+    scale = math.sqrt(2.0 / n_components)
+
+    @F.pandas_udf("array<double>")
+    def mapped(x: pd.Series) -> pd.Series:
+        return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()) @ w + b)) if len(x) else [], dtype=object)
 
-    W_ij ~ N(0, 2 sigma) (variance), b_j ~ U(0, 2 pi); the k x D matrix is drawn on
-    the driver (a parameter, not data) and inlined as literals.
+    return df.withColumn(out, array_to_vector(mapped(F.array(*[F.col(f).cast("double") for f in features]))))
+
+
+def svm_grid(train: DataFrame, features: list[str], label: str, key: str, costs: list[float], sigmas: list[float],
+             folds: int = 2, n_components: int = 256, max_iter: int = 100) -> tuple[list[tuple], tuple[float, float]]:
+    """ML15: cross-validated grid over cost and kernel width of the Fourier-feature SVM.
+
+    Folds come from a hash of ``key``.  A cost C is ``regParam = 1 / (C n)``, the same objective up to a factor.
+    Returns ([(C, sigma, accuracy, kappa)], (best C, best sigma)) by accuracy; ties go to the first.
     """
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * sigma), size=(len(features), n_components))
-    b = rng.uniform(0.0, 2 * math.pi, size=n_components)
-    scale = math.sqrt(2.0 / n_components)
-    comps = []
-    for j in range(n_components):
-        lin = F.lit(float(b[j]))
-        for i, f in enumerate(features):
-            lin = lin + F.lit(float(W[i, j])) * F.col(f).cast("double")
-        comps.append((F.lit(scale) * F.cos(lin)).alias(f"__rff{j}"))
-    wide = df.select("*", *comps)
-    va = VectorAssembler(inputCols=[f"__rff{j}" for j in range(n_components)], outputCol=out)
-    return va.transform(wide).drop(*[f"__rff{j}" for j in range(n_components)])
+    rows = []
+    for sigma in sigmas:
+        z = persist(fourier_features(train, features, sigma, n_components).select(
+            "features", F.col(label).cast("double").alias(label), fold_column(key, folds).alias("__fold")))
+        for cost in costs:
+            parts = []
+            for f in range(folds):
+                fit = z.filter(F.col("__fold") != f)
+                model = linear_svm(fit, label, reg=1.0 / (cost * max(fit.count(), 1)), max_iter=max_iter)
+                p, y = F.col("prediction").cast("int"), F.col(label).cast("int")
+                r = model.transform(z.filter(F.col("__fold") == f)).agg(
+                    F.count_if((p == 0) & (y == 0)), F.count_if((p == 0) & (y == 1)), F.count_if((p == 1) & (y == 0)), F.count_if((p == 1) & (y == 1))).first()
+                parts.append(((r[0] + r[3]) / max(sum(r), 1), kappa(*r)))
+            rows.append((float(cost), float(sigma), float(np.mean([a for a, _ in parts])), float(np.mean([k for _, k in parts]))))
+        release(z)
+    best = max(rows, key=lambda t: t[2])
+    return rows, (best[0], best[1])
 
 
 # --------------------------------------------------------------------------- CV grid (ML15, ML16)
 
 def grid_search_rf(train: DataFrame, label: str, mtry_values: list[int], num_trees: int = 100,
-                   folds: int = 5, seed: int = 100, parallelism: int = 4, key: str = "application_id"):
+                   folds: int = 5, seed: int = 100, parallelism: int = 4, key: str = "application_id", max_depth: int = 10):
     """ML15: CrossValidator over RF mtry, folds from a hash of ``key`` (reproducible, partition
     independent).  Returns (cv_model, [(mtry, accuracy, kappa)]): accuracy is the
     CrossValidator's average; kappa is averaged over the same folds from the sub-models'
     validation confusion matrices (EV3, one aggregate per fold and setting).
     """
     data = train.withColumn("__fold", fold_column(key, folds, seed))
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed)
+    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed, maxDepth=max_depth)
     grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, [str(m) for m in mtry_values]).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol="__fold", numFolds=folds,

@@ -19,6 +19,11 @@ from creditspark.functions.columns import cap
 class StandardizerModel:
     stats: dict[str, tuple[float | None, float | None]]  # col -> (mean, sample sd)
 
+    @property
+    def constant(self) -> list[str]:
+        """Columns without variance, which no model can use."""
+        return [c for c, (_, sd) in self.stats.items() if not sd]
+
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
         cols = {}
         for c, (mu, sd) in self.stats.items():
@@ -57,19 +62,17 @@ class WinsorCapper:
     """PR12: cap/floor at fixed constants, or at learned type-7 percentiles (AG5 -> PR12)."""
 
     def __init__(self, upper: dict[str, float] | None = None, lower: dict[str, float] | None = None,
-                 upper_pct: float | None = None, lower_pct: float | None = None, cols: list[str] | None = None,
-                 method: str = "auto"):
+                 upper_pct: float | None = None, lower_pct: float | None = None, cols: list[str] | None = None):
         self.upper, self.lower = upper or {}, lower or {}
         self.upper_pct, self.lower_pct = upper_pct, lower_pct
         self.cols = cols or sorted(set(self.upper) | set(self.lower))
-        self.method = method
 
     def fit(self, df: DataFrame) -> CapperModel:
         caps = {c: (self.lower.get(c), self.upper.get(c)) for c in self.cols}
         probs = [p for p in (self.lower_pct, self.upper_pct) if p is not None]
         if probs:
             from creditspark.operators.quantiles import column_quantiles
-            qs = column_quantiles(df, self.cols, probs, self.method)
+            qs = column_quantiles(df, self.cols, probs)
             for c in self.cols:
                 q = list(qs[c])
                 lo = q.pop(0) if self.lower_pct is not None else caps[c][0]

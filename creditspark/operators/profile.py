@@ -2,12 +2,7 @@
 
 Many variables are profiled in ONE pass: columns are unpivoted to
 (variable, value) and grouped by variable, instead of one scan per column.
-Quantiles: ``exact=True`` uses ``percentile`` (buffers each group's distinct
-values in one task), ``exact=False`` uses ``percentile_approx``, and the
-default ``exact=None`` uses ``percentile`` while the approximate distinct
-count stays under ``EXACT_DISTINCT_LIMIT`` and otherwise the distributed
-exact algorithm of ``quantiles.grouped_quantiles`` (same values, no
-single-task buffer).
+Quantiles are exact (type 7) by ``quantiles.grouped_quantiles``, whatever the size.
 """
 
 from __future__ import annotations
@@ -19,8 +14,6 @@ from creditspark.functions.columns import cut_index
 from creditspark.operators.cache import persist
 from creditspark.operators.quantiles import _join_null_safe, grouped_quantiles
 
-EXACT_DISTINCT_LIMIT = 2_000_000
-
 
 def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str]:
     """FL5: numeric columns from the schema (no job), minus key/label columns named in ``exclude``."""
@@ -29,31 +22,6 @@ def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
-def _use_exact(df: DataFrame, cols: list[str], exact: bool | None) -> str:
-    """'percentile', 'approx' or 'distributed' (see module docstring)."""
-    if exact in ("percentile", "approx", "distributed"):
-        return exact
-    if exact is True:
-        return "percentile"
-    if exact is False:
-        return "approx"
-    nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
-    return "percentile" if max(nd.values() or [0]) <= EXACT_DISTINCT_LIMIT else "distributed"
-
-
-def quantile(x: Column, probs, mode: str) -> Column:
-    if mode == "percentile":
-        return F.percentile(x, probs)
-    return F.percentile_approx(x, probs, 100000).cast("array<double>" if isinstance(probs, list) else "double")
-
-
-def _quantile_table(long: DataFrame, keys: list[str], probs: list[float], mode: str) -> DataFrame:
-    """(keys..., q array) per group."""
-    if mode == "distributed":
-        return grouped_quantiles(long, keys, "value", probs)
-    return long.filter(F.col("value").isNotNull()).groupBy(*keys).agg(quantile(F.col("value"), probs, mode).alias("q"))
-
-
 def long_numeric(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
     ids = ids or []
     return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]) \
@@ -66,51 +34,35 @@ def class_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def class_shares(df: DataFrame, col: str) -> DataFrame:
-    """AG2: ``prop.table``: counts divided by the total (window over the tiny count table)."""
-    c = class_counts(df, col)
-    return c.withColumn("share", F.col("n").cast("double") / F.sum("n").over(Window.partitionBy(F.lit(1))))
+    """AG2: ``prop.table``: counts divided by the total, a one-row aggregate of the counts."""
+    total = F.lit(df.count())
+    return class_counts(df, col).withColumn("share", F.col("n").cast("double") / total)
 
 
-def six_number(df: DataFrame, cols: list[str], exact: bool | None = None, by: list[str] | None = None) -> DataFrame:
+def six_number(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:
     """AG3: (variable, n, min, q1, median, mean, q3, max), NULLs skipped."""
     by = by or []
-    df = persist(df.select(*by, *cols)) if exact is None else df
-    ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols, by).filter(F.col("value").isNotNull())
-    stats = [F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"),
-             F.max("value").alias("max")]
-    if ex == "distributed":
-        base = long.groupBy(*by, "variable").agg(*stats)
-        t = _join_null_safe(base, grouped_quantiles(long, [*by, "variable"], "value", [0.25, 0.5, 0.75])
-                            .withColumnRenamed("q", "__q"), [*by, "variable"])
-    else:
-        t = long.groupBy(*by, "variable").agg(*stats, quantile(F.col("value"), [0.25, 0.5, 0.75], ex).alias("__q"))
-    return t.select(*by, "variable", "n", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                    "mean", F.col("__q")[2].alias("q3"), "max")
-
-
-def medians(df: DataFrame, cols: list[str], exact: bool | None = None) -> DataFrame:
+    base = long.groupBy(*by, "variable").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("min"),
+                                             F.avg("value").alias("mean"), F.max("value").alias("max"))
+    q = grouped_quantiles(long, [*by, "variable"], "value", [0.25, 0.5, 0.75])
+    return _join_null_safe(base, q, [*by, "variable"]).select(
+        *by, "variable", "n", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), "mean", F.col("q")[2].alias("q3"), "max")
+
+
+def medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """AG4: (variable, median), NULLs skipped."""
-    df = persist(df.select(*cols)) if exact is None else df
-    ex = _use_exact(df, cols, exact)
-    long = long_numeric(df, cols)
-    if ex == "distributed":
-        return grouped_quantiles(long, ["variable"], "value", [0.5]).select("variable", F.col("q")[0].alias("median"))
-    return long.groupBy("variable").agg(quantile(F.col("value"), 0.5, ex).alias("median"))
+    q = grouped_quantiles(long_numeric(df, cols), ["variable"], "value", [0.5])
+    return q.select("variable", F.col("q")[0].alias("median"))
 
 
-def percentile_profile(df: DataFrame, cols: list[str], steps: int = 100, exact: bool | None = None) -> DataFrame:
+def percentile_profile(df: DataFrame, cols: list[str], steps: int = 100) -> DataFrame:
     """AG5: ``quantile(x, seq(0, 1, 1/steps))`` per variable: (variable, pct, value)."""
-    df = persist(df.select(*cols)) if exact is None else df
-    ex = _use_exact(df, cols, exact)
-    probs = [i / steps for i in range(steps + 1)]
-    long = long_numeric(df, cols)
-    prof = _quantile_table(long, ["variable"], probs, ex)
+    prof = grouped_quantiles(long_numeric(df, cols), ["variable"], "value", [i / steps for i in range(steps + 1)])
     return prof.select("variable", F.posexplode("q").alias("pct", "value"))
 
 
-def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, exact: bool | None = None,
-              coef: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, coef: float = 1.5) -> DataFrame:
     """AG6/AG7: quartiles, 1.5*IQR whiskers (extreme values inside the fence) and outlier count.
 
     Pass 1 computes the quartiles per (group, variable) - a small table;
@@ -119,10 +71,8 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, exact
     data, so the join strategy is left to AQE's measured-size check.
     """
     by = by or []
-    df = persist(df.select(*by, *cols))
-    ex = _use_exact(df, cols, exact)
     long = long_numeric(df, cols, by).filter(F.col("value").isNotNull())
-    qs = _quantile_table(long, [*by, "variable"], [0.25, 0.5, 0.75], ex)
+    qs = grouped_quantiles(long, [*by, "variable"], "value", [0.25, 0.5, 0.75])
     qs = qs.select(*by, "variable", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                    F.col("q")[2].alias("q3"))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")) \
@@ -191,10 +141,9 @@ def histogram(df: DataFrame, col: str, bins: int = 30, spark: SparkSession | Non
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """AG12: pairwise-complete Pearson correlations (var_x < var_y in list order), one agg pass."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
-                    for a, b in pairs])
-    long = wide.unpivot([], [f"{a}__{b}" for a, b in pairs], "pair", "corr")
-    return long.select(F.split("pair", "__")[0].alias("var_x"), F.split("pair", "__")[1].alias("var_y"), "corr")
+    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
+    return wide.select(F.inline(rows))
 
 
 def count_above_below(df: DataFrame, col: str, threshold: float) -> DataFrame:

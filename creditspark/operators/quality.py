@@ -34,8 +34,9 @@ def duplicate_occurrences(df: DataFrame, keys: list[str], order_cols: list[str]
     first = (df.groupBy(*keys)
                .agg(F.min(F.struct(*ordering)).alias("__first"), F.count(F.lit(1)).alias("__n"))
                .filter(F.col("__n") > 1))
-    j = copies.join(first, keys, "inner")
-    is_first = F.struct(*[F.col(c) for c in ordering]) == F.col("__first")
+    first = first.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__first")
+    j = copies.join(first, reduce(lambda a, b: a & b, [copies[k].eqNullSafe(first[f"__k_{k}"]) for k in keys]))
+    is_first = F.struct(*[F.col(c) for c in ordering]).eqNullSafe(F.col("__first"))
     extra = F.col("__copies") - F.when(is_first, 1).otherwise(0)
     out = j.withColumn("__extra", extra).filter(F.col("__extra") > 0)
     out = out.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__extra").cast("int"))))
@@ -48,8 +49,9 @@ def ambiguous_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def drop_ambiguous_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """DQ3/JN2: drop *all* rows of keys that occur more than once (left anti join)."""
-    return df.join(ambiguous_keys(df, keys), keys, "left_anti")
+    """DQ3/JN2: drop *all* rows of keys that occur more than once (left anti join; NULL equals NULL)."""
+    bad = ambiguous_keys(df, keys).select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    return df.join(bad, reduce(lambda a, b: a & b, [df[k].eqNullSafe(bad[f"__k_{k}"]) for k in keys]), "left_anti")
 
 
 def null_cells(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -1,126 +1,94 @@
-"""Exact type-7 quantiles per group without buffering a group in one task.
-
-``percentile`` keeps every distinct value of a group in one aggregation
-buffer; for a continuous column with billions of distinct values that does
-not fit.  Here the same answer is computed with joins, windows and
-aggregates that all stay distributed:
-
-1. value histogram: (group, value, count) with map-side combining;
-2. per group, the histogram is cut into value buckets of about
-   ``rows_per_bucket`` distinct values (cuts from ``percentile_approx``);
-   bucket totals are prefix-summed per group (tiny table) and each bucket
-   computes running counts, so every value knows its rank range
-   [prev, cum) in its group;
-3. the target ranks of type 7 (h = (n - 1) p, floor(h), ceil(h)) are
-   joined to the value whose rank range contains them, and the two order
-   statistics are interpolated exactly as ``percentile`` does.
-
-Output: one row per group with ``q`` = array of quantiles in ``probs`` order.
+"""Exact type-7 quantiles per group, by one distributed algorithm at every size.
+
+A quantile needs one or two order statistics, so nothing is sorted as a whole:
+
+1. Each group's values are counted in BUCKETS equal steps between its least and greatest value (one
+   aggregate, at most BUCKETS rows per group after map-side combining), and the running counts tell in which
+   bucket each wanted rank lies.
+2. Only rows of such buckets go on (a join on group and bucket); a bucket that still holds more than
+   ``rows_per_bucket`` values is cut again in the same way, over its own least and greatest value.
+3. What is left of each bucket, at most ``rows_per_bucket`` values, is sorted and yields its ranks; a bucket of one
+   single value needs no sorting, however many rows it has.
+
+No task holds more than ``rows_per_bucket`` values, no rows are joined to ranks by a range, and no
+distinct count picks another method.  Output: one row per group with ``q`` = quantiles in ``probs`` order.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspark.operators.cache import persist
-
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
-EXACT_DISTINCT_LIMIT = 2_000_000  # above this many distinct values `percentile` is not used
+from creditspark.operators.cache import persist, small
 
+ROWS_PER_BUCKET = 100_000
+BUCKETS = 2_048
 
-def exact_columns(df: DataFrame, cols: list[str]) -> list[str]:
-    """Columns whose approximate distinct count allows ``percentile`` (one aggregate pass)."""
-    nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
-    return [c for c in cols if nd[c] <= EXACT_DISTINCT_LIMIT]
 
-
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "auto",
-                     exact_cols: list[str] | None = None) -> dict[str, list[float | None]]:
-    """Type-7 quantiles per column (NULLs skipped) -> {column: [q per prob]} (small, for models).
-
-    ``method``: "exact" (``percentile``), "distributed" (``grouped_quantiles``),
-    "approx" (``percentile_approx``) or "auto" (``percentile`` for columns with
-    at most EXACT_DISTINCT_LIMIT distinct values, "distributed" above).
-    ``exact_cols`` (when given) skips the detection pass of "auto".
-    """
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Type-7 quantiles per column (NULLs skipped) -> {column: [q per prob]} (small, for models)."""
     if not cols:
         return {}
-    if exact_cols is not None:
-        exact_cols = [c for c in cols if c in exact_cols]
-    elif method == "auto":
-        exact_cols = exact_columns(df, cols)
-    elif method == "exact":
-        exact_cols = list(cols)
-    else:
-        exact_cols = []
-    rest = [c for c in cols if c not in exact_cols]
-    vals: dict = {}
-    if exact_cols or (rest and method == "approx"):
-        aggs = [F.percentile(F.col(c).cast("double"), probs).alias(c) for c in exact_cols]
-        if method == "approx":
-            aggs += [F.percentile_approx(F.col(c).cast("double"), probs, 100000).cast("array<double>").alias(c)
-                     for c in rest]
-        vals.update(df.agg(*aggs).first().asDict())
-    if rest and method != "approx":
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in rest]).unpivot([], rest, "variable", "value")
-        vals.update({r["variable"]: r["q"] for r in grouped_quantiles(long, ["variable"], "value", probs).collect()})
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "variable", "value")
+    vals = {r["variable"]: r["q"] for r in grouped_quantiles(long, ["variable"], "value", probs).collect()}
     return {c: list(vals.get(c) or [None] * len(probs)) for c in cols}
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys`` where NULL matches NULL (a NULL group is a group)."""
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL (a NULL group is a group)."""
     r = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = [left[c].eqNullSafe(r[f"__r_{c}"]) for c in keys]
-    return left.join(r, cond, "inner").drop(*[f"__r_{c}" for c in keys])
+    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(r[f"__r_{c}"]) for c in keys])
+    return left.join(r, cond, how).drop(*[f"__r_{c}" for c in keys])
 
 
 def grouped_quantiles(long: DataFrame, group_cols: list[str], value: str, probs: list[float],
-                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    g = list(group_cols)
-    vals = long.filter(F.col(value).isNotNull()).select(*g, F.col(value).cast("double").alias("__v"))
-    vc = persist(vals.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    per_group = vc.groupBy(*g).agg(F.sum("__c").alias("__n"), F.count(F.lit(1)).alias("__d"))
-    max_d = per_group.agg(F.max("__d")).first()[0] or 0
-    n_buckets = min(MAX_BUCKETS, max(1, math.ceil(max_d / rows_per_bucket)))
-    if n_buckets > 1:
-        cut_probs = [i / n_buckets for i in range(1, n_buckets)]
-        cuts = vc.groupBy(*g).agg(F.percentile_approx("__v", cut_probs, 10000).alias("__cuts"))
-        vb = _join_null_safe(vc, cuts, g).withColumn(
-            "__b", F.size(F.filter(F.col("__cuts"), lambda s: s < F.col("__v")))).drop("__cuts")
-    else:
-        vb = vc.withColumn("__b", F.lit(0))
-    # prefix sums over the (group, bucket) totals: groups x buckets rows
-    bt = vb.groupBy(*g, "__b").agg(F.sum("__c").alias("__bc"))
-    w_off = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = bt.select(*g, "__b", F.coalesce(F.sum("__bc").over(w_off), F.lit(0)).alias("__off"))
-    w_run = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (_join_null_safe(vb, off, [*g, "__b"])
-                .withColumn("__cum", F.col("__off") + F.sum("__c").over(w_run))
-                .withColumn("__prev", F.col("__cum") - F.col("__c")))
-    # target order statistics per group and probability
-    pos = (F.col("__n") - 1).cast("double") * F.col("__p")
-    targets = (per_group.select(*g, "__n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
-                                .alias("__pi", "__p"))
-               .withColumn("__pos", pos)
-               .withColumn("__lo", F.floor("__pos").cast("long"))
-               .withColumn("__hi", F.ceil("__pos").cast("long")))
-    ends = targets.select(*g, "__pi", "__pos", "__lo", "__hi",
-                          F.explode(F.array(F.struct(F.lit(0).alias("w"), F.col("__lo").alias("r")),
-                                            F.struct(F.lit(1).alias("w"), F.col("__hi").alias("r")))).alias("__t"))
-    hit = (_join_null_safe(ranked, ends, g)
-                 .where((F.col("__prev") <= F.col("__t.r")) & (F.col("__t.r") < F.col("__cum"))))
-    pair = hit.groupBy(*g, "__pi").agg(
-        F.max(F.when(F.col("__t.w") == 0, F.col("__v"))).alias("__xl"),
-        F.max(F.when(F.col("__t.w") == 1, F.col("__v"))).alias("__xh"),
-        F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
-    # interpolation as in Spark's percentile: (hi - pos) * x_lo + (pos - lo) * x_hi
-    q = (F.when((F.col("__hi") == F.col("__lo")) | (F.col("__xl") == F.col("__xh")), F.col("__xl"))
-          .otherwise((F.col("__hi") - F.col("__pos")) * F.col("__xl")
-                     + (F.col("__pos") - F.col("__lo")) * F.col("__xh")))
-    per_p = pair.select(*g, "__pi", q.alias("__q"))
-    return per_p.groupBy(*g).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__pi", "__q"))), lambda s: s["__q"]).alias("q"))
+                      rows_per_bucket: int | None = None) -> DataFrame:
+    g, rows_per_bucket = list(group_cols), rows_per_bucket or ROWS_PER_BUCKET
+    vals = persist(long.filter(F.col(value).isNotNull()).select(*g, F.col(value).cast("double").alias("__v")))
+    groups = persist(vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
+    last = (F.col("__n") - 1).cast("double")
+    ends = [end(last * F.lit(float(p))).cast("long") for p in probs for end in (F.floor, F.ceil)]
+    # open parts: a range of values, how many rows of the group lie below it, and the ranks wanted in it
+    parts = groups.select("*", F.array_distinct(F.array(*ends)).alias("__ranks"), F.lit(0).cast("long").alias("__below"))
+    rows, keys, found, turn = vals, list(g), None, 0
+    while True:
+        parts = persist(parts)
+        single = parts.filter(F.col("__lo") == F.col("__hi")).select(*g, F.explode("__ranks").alias("__r"), F.col("__lo").alias("__v"))
+        found = single if found is None else found.unionByName(single)
+        parts = parts.filter(F.col("__lo") < F.col("__hi"))
+        fits = F.col("__n") <= rows_per_bucket
+        held = _join_null_safe(rows, small(parts.filter(fits).drop("__n")), keys)
+        sorted_ = held.groupBy(*keys, "__below", "__ranks").agg(F.sort_array(F.collect_list("__v")).alias("__s"))
+        found = found.unionByName(sorted_.select(*g, F.explode("__ranks").alias("__r"), "__below", "__s")
+                                  .select(*g, "__r", F.get("__s", (F.col("__r") - F.col("__below")).cast("int")).alias("__v")))
+        parts = persist(parts.filter(~fits))
+        if parts.isEmpty():
+            break
+        step = f"__b{turn}"
+        # halved before they are subtracted: the range of two doubles may not be a double
+        share = (F.col("__v") / 2 - F.col("__lo") / 2) / (F.col("__hi") / 2 - F.col("__lo") / 2)
+        rows = _join_null_safe(rows, small(parts.select(*keys, "__lo", "__hi")), keys).withColumn(
+            step, F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")).drop("__lo", "__hi")
+        counts = rows.groupBy(*keys, step).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        before = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        parent = small(parts.select(*keys, "__below", F.col("__ranks").alias("__all")))
+        below = F.col("__below") + F.col("__off")
+        parts = _join_null_safe(counts, parent, keys).withColumn("__below", below).withColumn(
+            "__ranks", F.filter("__all", lambda r: (r >= F.col("__below")) & (r < F.col("__below") + F.col("__n"))))
+        parts = parts.filter(F.size("__ranks") > 0).select(*keys, step, "__n", "__lo", "__hi", "__ranks", "__below")
+        keys, turn = [*keys, step], turn + 1
+    stats = found.groupBy(*g).agg(F.map_from_entries(F.collect_set(F.struct("__r", "__v"))).alias("__m"))
+    out = _join_null_safe(groups.select(*g, "__n"), stats, g)
+
+    def quantile(p: float):
+        pos = last * F.lit(float(p))
+        lo, hi = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+        x, y = F.try_element_at("__m", lo), F.try_element_at("__m", hi)
+        # interpolation as in Spark's percentile: (hi - pos) * x_lo + (pos - lo) * x_hi
+        return F.when((hi == lo) | (x == y), x).otherwise((hi - pos) * x + (pos - lo) * y)
+
+    return out.select(*g, F.array(*[quantile(p) for p in probs]).alias("q"))
+

@@ -11,9 +11,9 @@ SA1 stratified split, deterministic and partition-independent:
   bucket (about n / 16^prefix_hex per class, i.e. n / 1M by default) are ranked.
 
 SA3 class balancing (ROSE-style smoothed bootstrap): each class is resampled
-  to about N/2 rows by a Poisson(N / (2 n_c)) replication count per row
-  (inverse CDF of a hash-derived uniform, so results do not depend on
-  partitioning), rows are replicated with ``explode(sequence)``, and numeric
+  to about N/2 rows by a replication count of N / (2 n_c) on average per row
+  (Poisson by the inverse CDF of a hash-derived uniform, so results do not depend on
+  partitioning; large counts draw only their fraction), rows are replicated with ``explode(sequence)``, and numeric
   features get Gaussian kernel noise h_j,c * z with
   h_j,c = (4 / ((d + 2) n_c)) ^ (1 / (d + 4)) * sd_j,c (Menardi & Torelli).
   Everything stays distributed; only per-class statistics reach the driver.
@@ -27,15 +27,21 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspark.operators.cache import persist
+from creditspark.operators.cache import persist, small
 
 SEP = "|"
 TWO53 = float(2 ** 53)
+WHOLE_ABOVE = 16.0
+COPIES_PER_TASK = 100_000
 
 
-def rank_key(key: str, seed) -> Column:
+def rank_key(key: str, seed, row: list[str] | None = None) -> Column:
+    """md5 of key and seed; a NULL key is ranked by a hash of its row's columns, so that such rows spread."""
     s = F.col(seed).cast("string") if isinstance(seed, str) else F.lit(str(seed))
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(SEP), s))
+    k = F.col(key).cast("string")
+    if row:
+        k = F.coalesce(k, F.concat(F.lit("NULL "), F.xxhash64(*row).cast("string")))
+    return F.md5(F.concat(k, F.lit(SEP), s))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: int | list[int],
@@ -51,7 +57,7 @@ def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: in
     if multi:
         lab = lab.withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seed])))
     grp = [label, "seed"] if multi else [label]
-    h = rank_key(key, "seed" if multi else seed)
+    h = rank_key(key, "seed" if multi else seed, df.columns)
     with_h = lab.withColumn("__h", h).withColumn(
         "__b", F.conv(F.substring("__h", 1, prefix_hex), 16, 10).cast("long"))
     hist = with_h.groupBy(*grp, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
@@ -71,9 +77,8 @@ def stratified_split(df: DataFrame, key: str, label: str, ratio: float, seed: in
     bounds = (hist.filter((F.col("__before") < F.col("__target")) & (F.col("__cum") >= F.col("__target")))
                   .select(*grp, F.col("__b").alias("__bstar"), (F.col("__target") - F.col("__before"))
                           .alias("__need")))
-    # one row per (class, seed): broadcast is bounded.  A class whose target is 0 has no
-    # boundary bucket: nothing of it is sampled.
-    j = with_h.join(F.broadcast(bounds), grp, "left")
+    # one row per (class, seed).  A class whose target is 0 has no boundary bucket: nothing of it is sampled.
+    j = with_h.join(small(bounds), grp, "left")
     bstar = F.coalesce(F.col("__bstar"), F.lit(-1))
     outside = j.filter(F.col("__b") != bstar).withColumn(flag, F.col("__b") < bstar)
     inside = j.filter(F.col("__b") == bstar)
@@ -88,6 +93,13 @@ def stratified_sample(df: DataFrame, key: str, label: str, ratio: float, seed: i
     return stratified_split(df, key, label, ratio, seed, flag="__s").filter("__s").drop("__s")
 
 
+def md5_uniform(key: str, salt: str) -> Column:
+    """Deterministic U(0, 1] from the first 52 bits of md5(key|salt); any SQL engine can repeat it."""
+    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(SEP + salt)))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+    return (bits + F.lit(1.0)) / F.lit(float(2 ** 52))
+
+
 def _uniform(*cols: Column) -> Column:
     """Deterministic U(0, 1] from a 64-bit hash of the given columns."""
     hv = F.xxhash64(*cols)
@@ -95,21 +107,33 @@ def _uniform(*cols: Column) -> Column:
 
 
 def _poisson_cdf(lam: float, tail: float = 1e-12) -> list[float]:
+    """P(X <= k) for k = 0, 1, ... until 1 - tail; ``lam`` is at most WHOLE_ABOVE."""
     cdf, p, k, acc = [], math.exp(-lam), 0, 0.0
-    while True:
+    while acc < 1.0 - tail:
         acc += p
         cdf.append(min(acc, 1.0))
-        if acc >= 1.0 - tail or k > lam + 50 * math.sqrt(lam) + 100:
-            break
         k += 1
         p *= lam / k
     return cdf
 
 
-def _poisson_count(u: Column, lam: float) -> Column:
-    """Inverse-CDF Poisson draw: number of CDF values below u (literal array, JVM-side)."""
-    cdf = F.array(*[F.lit(c) for c in _poisson_cdf(lam)])
-    return F.size(F.filter(cdf, lambda c: c < u))
+def replication_count(u: Column, lam: float) -> Column:
+    """Copies of a row, ``lam`` on average: Poisson by the inverse CDF, the number of CDF values below u (a short
+    literal array, JVM-side).  Above WHOLE_ABOVE the whole part is fixed and only the fraction is drawn."""
+    whole = math.floor(lam) if lam > WHOLE_ABOVE else 0
+    cdf = F.array(*[F.lit(c) for c in _poisson_cdf(lam - whole)])
+    return F.lit(whole).cast("long") + F.size(F.filter(cdf, lambda c: c < u))
+
+
+def replicate(df: DataFrame, n: str, copy: str) -> DataFrame:
+    """Each row ``n`` times, numbered from 1 in ``copy``.  Rows with more than COPIES_PER_TASK copies are cut into as
+    many pieces, which are spread before they are written out."""
+    last = F.floor((F.col(n) - 1) / F.lit(COPIES_PER_TASK)).cast("long")
+    cut = df.filter(F.col(n) > 0).withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    if df.filter(F.col(n) > COPIES_PER_TASK).limit(1).count():
+        cut = cut.repartition("__piece", *[F.col(c) for c in df.columns[:1]])
+    first = F.col("__piece") * COPIES_PER_TASK
+    return cut.withColumn(copy, F.explode(F.sequence(first + 1, F.least(first + COPIES_PER_TASK, F.col(n))))).drop("__piece")
 
 
 def rose_balance(df: DataFrame, key: str, label: str, features: list[str], seed: int = 1,
@@ -134,16 +158,15 @@ def rose_balance(df: DataFrame, key: str, label: str, features: list[str], seed:
         lam = targets[cls] / float(n_c)
         if exact_total:
             lam *= 1.0 + 6.0 / math.sqrt(max(targets[cls], 1))
-        u = _uniform(F.col(key), F.lit(seed), F.lit("poisson"))
-        k = _poisson_count(u, lam)
+        u = md5_uniform(key, f"{seed}|copies")
+        k = replication_count(u, lam)
         cond = F.col(label) == F.lit(cls)
         count_expr = F.when(cond, k) if count_expr is None else count_expr.when(cond, k)
         hfac = shrink * (4.0 / ((d + 2) * n_c)) ** (1.0 / (d + 4))
         for c in features:
             hv = F.lit(hfac * (r[f"sd_{c}"] or 0.0))
             h_expr[c] = F.when(cond, hv) if h_expr[c] is None else h_expr[c].when(cond, hv)
-    rep = lab.withColumn("__k", count_expr.otherwise(F.lit(0))).filter(F.col("__k") > 0)
-    rep = rep.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__k"))))
+    rep = replicate(lab.withColumn("__k", count_expr.otherwise(F.lit(0).cast("long"))), "__k", "copy")
     out = []
     for i, c in enumerate(features):
         u1 = _uniform(F.col(key), F.col("copy"), F.lit(seed), F.lit(2 * i))

@@ -77,6 +77,7 @@ def financials(df: DataFrame, p: str, label: str, cutoff: float, gain: float = G
     profit_with = TN*gain + TP*loss - FP*gain - FN*loss (positive = default);
     net gain and % gain vs approving everybody; revenue loss = good declined / all good;
     credit loss = defaulters approved / all applicants, without and with the model.
+    A percentage of nothing is NULL.
     """
     c = confusion(df.withColumn("__pred", predict_at(p, cutoff)), "__pred", label)
     tn, fn, fp, tp = (_d(x) for x in ("tn", "fn", "fp", "tp"))
@@ -85,8 +86,8 @@ def financials(df: DataFrame, p: str, label: str, cutoff: float, gain: float = G
     with_m = tn * F.lit(gain) + tp * F.lit(loss) - fp * F.lit(gain) - fn * F.lit(loss)
     return c.select(
         "tn", "fn", "fp", "tp", without.alias("profit_without"), with_m.alias("profit_with"),
-        (with_m - without).alias("net_gain"), ((with_m - without) * F.lit(100.0) / without).alias("pct_gain"),
-        (fp * F.lit(100.0) / (tn + fp)).alias("revenue_loss_pct"),
-        ((fn + tp) * F.lit(100.0) / n).alias("credit_loss_without_pct"),
-        (fn * F.lit(100.0) / n).alias("credit_loss_with_pct"),
-        (tp * F.lit(100.0) / n).alias("credit_loss_saved_pct"))
+        (with_m - without).alias("net_gain"), F.try_divide((with_m - without) * F.lit(100.0), without).alias("pct_gain"),
+        F.try_divide(fp * F.lit(100.0), tn + fp).alias("revenue_loss_pct"),
+        F.try_divide((fn + tp) * F.lit(100.0), n).alias("credit_loss_without_pct"),
+        F.try_divide(fn * F.lit(100.0), n).alias("credit_loss_with_pct"),
+        F.try_divide(tp * F.lit(100.0), n).alias("credit_loss_saved_pct"))

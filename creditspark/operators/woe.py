@@ -25,11 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditspark.operators.cache import persist, release
-from creditspark.operators.quantiles import EXACT_DISTINCT_LIMIT, column_quantiles, exact_columns  # noqa: F401
+from creditspark.operators.cache import persist, release, small
+from creditspark.operators.quantiles import column_quantiles
 
 MISC_LEVEL = "misc"
-MAX_LITERAL_LEVELS = 5000  # above this many levels a variable's lookup stays a DataFrame (join, not literal)
 
 
 # --------------------------------------------------------------------------- helpers
@@ -45,22 +44,19 @@ def _bad(label: str) -> Column:
 def add_woe_iv(counts: DataFrame, adjust: float = 0.0) -> DataFrame:
     """Given (variable, ..., n, n_good, n_bad) bin rows, add pct, woe, iv.
 
-    Totals come from a window partitioned by variable; the input is a bin
-    table (tiny), never row-level data.
+    Totals are one aggregate by variable that is joined back (one row per variable), so a variable
+    with very many levels is not one task.  Without goods or without bads the WOE is 0.
     """
-    w = Window.partitionBy("variable")
-    tot = F.sum("n").over(w).cast("double")
-    g_tot = F.sum("n_good").over(w).cast("double")
-    b_tot = F.sum("n_bad").over(w).cast("double")
-    out = counts.withColumn("__N", tot).withColumn("__G", g_tot).withColumn("__B", b_tot)
-    pg = (F.col("n_good").cast("double") + F.lit(adjust)) / F.col("__G")
-    pb = (F.col("n_bad").cast("double") + F.lit(adjust)) / F.col("__B")
+    totals = counts.groupBy("variable").agg(*[F.sum(c).cast("double").alias(t) for c, t in (("n", "__N"), ("n_good", "__G"), ("n_bad", "__B"))])
+    out = counts.join(F.broadcast(totals), "variable")
+    pg = F.try_divide(F.col("n_good").cast("double") + F.lit(adjust), F.col("__G"))
+    pb = F.try_divide(F.col("n_bad").cast("double") + F.lit(adjust), F.col("__B"))
     zero_cell = (F.col("n_good") == 0) | (F.col("n_bad") == 0)
     woe = (F.when(zero_cell & F.lit(adjust == 0.0), F.lit(0.0))
             .otherwise(F.ln(F.try_divide(pg, pb))))
     out = (out.withColumn("pct", F.col("n").cast("double") / F.col("__N"))
               .withColumn("woe", F.coalesce(woe, F.lit(0.0)))
-              .withColumn("iv", (pg - pb) * F.col("woe")))
+              .withColumn("iv", F.coalesce((pg - pb) * F.col("woe"), F.lit(0.0))))
     return out.drop("__N", "__G", "__B")
 
 
@@ -86,8 +82,9 @@ def pool_levels(counts: DataFrame, min_share: float) -> DataFrame:
     """Pool non-NULL levels holding < min_share of a variable's rows into 'misc'."""
     if min_share <= 0:
         return counts
-    share = F.col("n").cast("double") / F.sum("n").over(Window.partitionBy("variable")).cast("double")
-    tagged = counts.withColumn(
+    totals = counts.groupBy("variable").agg(F.sum("n").cast("double").alias("__N"))
+    share = F.col("n").cast("double") / F.col("__N")
+    tagged = counts.join(F.broadcast(totals), "variable").withColumn(
         "level", F.when(F.col("level").isNotNull() & (share < F.lit(min_share)), F.lit(MISC_LEVEL))
                   .otherwise(F.col("level")))
     return tagged.groupBy("variable", "level").agg(
@@ -103,22 +100,15 @@ def woe_categorical(df: DataFrame, cols: list[str], label: str, min_share: float
 
 # --------------------------------------------------------------------------- quantile bins (WO4/5)
 
-def quantile_cuts(df: DataFrame, cols: list[str], k: int, method: str = "auto",
-                  exact_cols: list[str] | None = None) -> dict[str, list[float]]:
+def quantile_cuts(df: DataFrame, cols: list[str], k: int) -> dict[str, list[float]]:
     """Distinct type-7 quantile cuts at i/k per column (NULLs skipped).
 
-    ``method``: "exact" (``percentile``, buffers a column's distinct values in
-    one task), "distributed" (same values via ``quantiles.grouped_quantiles``,
-    no single-task buffer), "approx" (``percentile_approx``) or "auto"
-    ("exact" for columns with at most EXACT_DISTINCT_LIMIT distinct values,
-    "distributed" above).
-    ``exact_cols`` (when given) skips the detection pass of "auto".
     Returns a small dict (k - 1 values per column) for the fitted model.
     """
     if k <= 1 or not cols:
         return {c: [] for c in cols}
     probs = [i / k for i in range(1, k)]
-    vals = column_quantiles(df, cols, probs, method, exact_cols)
+    vals = column_quantiles(df, cols, probs)
     return {c: sorted({float(v) for v in vals[c] if v is not None}) for c in cols}
 
 
@@ -149,11 +139,11 @@ def numeric_bin_counts(df: DataFrame, cuts: dict[str, list[float]], label: str)
         F.sum(_bad(label)).cast("long").alias("n_bad"))
 
 
-def info_table(df: DataFrame, cols: list[str], label: str, k: int = 10, method: str = "auto",
-               cuts: dict[str, list[float]] | None = None, exact_cols: list[str] | None = None) -> DataFrame:
+def info_table(df: DataFrame, cols: list[str], label: str, k: int = 10,
+               cuts: dict[str, list[float]] | None = None) -> DataFrame:
     """Quantile-bin information table with cumulative IV per variable (WO4-WO6)."""
     lab = persist(df.filter(F.col(label).isNotNull()).select(label, *cols))
-    cuts = cuts if cuts is not None else quantile_cuts(lab, cols, k, method, exact_cols)
+    cuts = cuts if cuts is not None else quantile_cuts(lab, cols, k)
     t = add_woe_iv(numeric_bin_counts(lab, cuts, label))
     w = Window.partitionBy("variable").orderBy("bin_id").rowsBetween(Window.unboundedPreceding, 0)
     return t.withColumn("iv_cum", F.sum("iv").over(w))
@@ -190,7 +180,7 @@ def _woe_iv_py(g, b, G, B):
 
 
 def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20,
-                     stop_limit: float = 0.1, method: str = "auto") -> list[float]:
+                     stop_limit: float = 0.1) -> list[float]:
     """Return merged cut points for ``col``.
 
     Starts from ``start_bins`` quantile bins (one Spark pass), then merges the
@@ -199,7 +189,7 @@ def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20,
     (at most ``start_bins`` + 1 rows), not on data.
     """
     lab = persist(df.filter(F.col(label).isNotNull()).select(label, col))
-    cuts = quantile_cuts(lab, [col], start_bins, method)[col]
+    cuts = quantile_cuts(lab, [col], start_bins)[col]
     rows = numeric_bin_counts(lab, {col: cuts}, label).filter(F.col("bin_id") >= 0) \
         .orderBy("bin_id").collect()
     bins = [[r["bin_id"], r["n_good"], r["n_bad"]] for r in rows]
@@ -292,14 +282,15 @@ class WoeModel:
     def transform(self, df: DataFrame, prefix: str = "woe_", replace: bool = False) -> DataFrame:
         """Add ``woe_<var>`` columns, or overwrite the originals when ``replace``.
 
-        Literal lookups are a projection; high-cardinality variables are a left
-        join against their level table (strategy chosen by AQE from its size).
+        Literal lookups are a projection; variables without pooled levels are a left join against their
+        level table, broadcast if it is counted to be small.  NULLs match no level and are spread by
+        the planner's skew handling.
         """
         out = df
         for v, (table, null_woe, misc_woe) in self.lookups.items():
             name = v if replace else f"{prefix}{v}"
             lk = table.select(F.col("level").alias(f"__lvl_{v}"), F.col("woe").alias(f"__woe_{v}"))
-            out = out.join(lk, F.col(v).cast("string") == F.col(f"__lvl_{v}"), "left")
+            out = out.join(small(lk), F.col(v).cast("string") == F.col(f"__lvl_{v}"), "left")
             out = out.withColumn(name, F.when(F.col(v).isNull(), F.lit(float(null_woe)))
                                  .otherwise(F.coalesce(F.col(f"__woe_{v}"), F.lit(float(misc_woe)))))
             out = out.drop(f"__lvl_{v}", f"__woe_{v}")
@@ -313,8 +304,10 @@ class WoeBinner:
 
     def __init__(self, label: str = "tag", categorical: list[str] | None = None,
                  numeric: list[str] | None = None, k: int = 10, min_share: float = 0.05,
-                 method: str = "auto", merge_limit: float | None = None):
-        self.label, self.k, self.min_share, self.method = label, k, min_share, method
+                 merge_limit: float | None = None):
+        if merge_limit is not None and min_share <= 0:
+            raise ValueError("merge_limit needs min_share > 0, which bounds the number of levels")
+        self.label, self.k, self.min_share = label, k, min_share
         self.merge_limit = merge_limit  # None: no similarity merge of category levels
         self.categorical = categorical or []
         self.numeric = numeric or []
@@ -325,18 +318,18 @@ class WoeBinner:
                       .select(self.label, *self.categorical, *self.numeric))
         if self.categorical:
             table = persist(woe_categorical(lab, self.categorical, self.label, self.min_share))
-            sizes = {r["variable"]: r["n"] for r in table.groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
-                     .collect()}
-            small = [v for v in self.categorical if sizes.get(v, 0) <= MAX_LITERAL_LEVELS]
+            # pooling leaves at most 1 / min_share levels and three more: literals.  Without it a level
+            # table stays a DataFrame, however small it is
+            literal = self.categorical if self.min_share > 0 else []
             for v in self.categorical:
-                if v in small:
+                if v in literal:
                     continue
                 special = {r["level"]: r["woe"] for r in table.filter(
                     (F.col("variable") == v) & (F.col("level").isNull() | (F.col("level") == MISC_LEVEL))).collect()}
                 model.lookups[v] = (table.filter((F.col("variable") == v) & F.col("level").isNotNull())
                                     .select("level", "woe"), special.get(None, 0.0), special.get(MISC_LEVEL, 0.0))
-            t = table.filter(F.col("variable").isin(small)).collect() if small else []
-            for v in small:
+            t = table.filter(F.col("variable").isin(literal)).collect() if literal else []
+            for v in literal:
                 rows = [r for r in t if r["variable"] == v]
                 if self.merge_limit is not None:
                     rows = self._merged_rows(rows)
@@ -351,7 +344,7 @@ class WoeBinner:
                         spec["levels"][r["level"]] = r["woe"]
                 model.categorical[v] = spec
         if self.numeric:
-            cuts = quantile_cuts(lab, self.numeric, self.k, self.method)
+            cuts = quantile_cuts(lab, self.numeric, self.k)
             t = add_woe_iv(numeric_bin_counts(lab, cuts, self.label)).collect()
             for v in self.numeric:
                 model.numeric[v] = {"cuts": cuts[v],

@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditspark.operators import cache
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _fresh(fn):
+    """The query, after releasing what earlier queries' operators persisted."""
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cache.release_all()
+        return fn(spark, sf_dir)
+    return run
+
+
 def register(key: str, sql: str | None = None):
     """Register a query ``fn(spark, sf_dir) -> DataFrame`` under ``key`` with optional oracle SQL."""
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+        QUERIES[key] = _fresh(fn)
         if sql is not None:
             ORACLES[key] = sql
         return fn

@@ -9,6 +9,7 @@ and the balanced training set is the smoothed bootstrap (SA3).
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -52,14 +53,18 @@ def build_design(mt: DataFrame, seed: int = 100, ratio: float = 0.7, balance: bo
                             min_share=min_share).fit(train_raw)
     scaler = prep.Standardizer(SCALED).fit(train_raw)
 
+    features = [f for f in FEATURES if f not in {f"z_{c}" for c in scaler.constant}]
+    if len(features) < len(FEATURES):
+        warnings.warn(f"left out of the design, being constant: {scaler.constant}", stacklevel=2)
+
     def enc(df):
         e = scaler.transform(encoder.transform(df, prefix="woe_"), prefix="z_")
-        return e.select("application_id", "tag", *FEATURES)
+        return e.select("application_id", "tag", *features)
 
     train, test = enc(train_raw), enc(test_raw)
     if balance:
-        bal = sampling.rose_balance(train.dropna(subset=FEATURES), "application_id", "tag", FEATURES, seed=1)
+        bal = sampling.rose_balance(train.dropna(subset=features), "application_id", "tag", features, seed=1)
         bal = reliable(bal.drop("copy"))
     else:
         bal = train
-    return Design(train, test, bal, list(FEATURES), encoder, scaler)
+    return Design(train, test, bal, features, encoder, scaler)

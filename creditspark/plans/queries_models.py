@@ -15,6 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
+from creditspark.functions.columns import predict_at
 from creditspark.operators import models as M
 from creditspark.operators.cache import persist
 from creditspark.operators import scorecard as SC
@@ -24,12 +25,23 @@ from creditspark.plans.oracle_base import with_fixture
 from creditspark.sources import fixtures as fx
 
 NA_LEVEL = "NA"
-RF_TREES = 100
-RF_MTRY = 5
+# fixed values: settings of the models
+RF_TREES, RF_MTRY = 350, 8
+REJECT_TREES, REJECT_MTRY = 500, 5
+RF_GRID = [7, 8, 9, 10]
 GBT_ROUNDS = 193
-CV_ROUNDS = 100
+CV_ROUNDS = 300
 RFF_SIGMA = 0.022
 RFF_COMPONENTS = 256
+SVM_COSTS, SVM_SIGMAS, SVM_FOLDS = [1.0, 2.0, 3.0], [0.01, 0.02], 2
+GBT_CUTOFF = 0.195
+
+_designs: dict = {}
+
+
+def forget_designs() -> None:
+    """Let the next model query build its design anew (bench)."""
+    _designs.clear()
 
 
 def _lab_levels(spark, d):
@@ -104,8 +116,17 @@ def glm_score(spark, d):
 
 # ---------------------------------------------------------------- rows-only model keys (path B design)
 
-def _design(spark, d, balance=True):
-    return build_design(fx.modelling_table(spark, d), balance=balance)
+def _design(spark, d):
+    """The path B design, built once per session and folder (it is written to the shared folder)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _designs:
+        _designs[key] = build_design(fx.modelling_table(spark, d))
+    return _designs[key]
+
+
+def _holdout(des, pred, *cols):
+    """All holdout rows; those with a NULL feature have no prediction."""
+    return des.test.select("application_id", "tag").join(pred.select("application_id", *cols), "application_id", "left")
 
 
 def _path_df(spark, path, cols):
@@ -146,10 +167,10 @@ def _rf(spark, d):
 
 @register("rf_prob")
 def rf_prob(spark, d):
-    """ML7/ML8: random forest (mtry 5) class-1 probability on the holdout."""
+    """ML7/ML8: random forest (350 trees, mtry 8) class-1 probability on the holdout."""
     des, model = _rf(spark, d)
     pred = model.transform(des.vectors("test"))
-    return pred.select("application_id", "tag", M.positive_probability(pred).alias("prob"))
+    return _holdout(des, pred, M.positive_probability(pred).alias("prob"))
 
 
 @register("rf_importance")
@@ -160,17 +181,17 @@ def rf_importance(spark, d):
 
 
 def _gbt(spark, d):
-    des = _design(spark, d, balance=False)
-    model = M.boosted_trees(des.vectors("train"), "tag", rounds=GBT_ROUNDS)
+    des = _design(spark, d)
+    model = M.boosted_trees(des.vectors("balanced"), "tag", rounds=GBT_ROUNDS)
     return des, model
 
 
 @register("gbt_prob")
 def gbt_prob(spark, d):
-    """ML10/ML12: boosted trees (eta .7, depth 3, 193 rounds) probability on the holdout."""
+    """ML10/ML12: boosted trees (eta .7, depth 3, 193 rounds, balanced rows): holdout probability, class at .195."""
     des, model = _gbt(spark, d)
     pred = model.transform(des.vectors("test"))
-    return pred.select("application_id", "tag", M.positive_probability(pred).alias("prob"))
+    return _holdout(des, pred, M.positive_probability(pred).alias("prob")).withColumn("pred", predict_at("prob", GBT_CUTOFF))
 
 
 @register("gbt_importance")
@@ -183,8 +204,8 @@ def gbt_importance(spark, d):
 @register("gbt_cv")
 def gbt_cv(spark, d):
     """ML11: 5-fold CV of boosting: per round mean / sd validation log-loss and AUC, best round by AUC."""
-    des = _design(spark, d, balance=False)
-    rows, best = M.boosting_cv(des.vectors("train"), "application_id", "tag", nfold=5, rounds=CV_ROUNDS)
+    des = _design(spark, d)
+    rows, best = M.boosting_cv(des.vectors("balanced"), "application_id", "tag", nfold=5, rounds=CV_ROUNDS)
     return spark.createDataFrame(
         [(r, ml, sl, ma, sa, r == best) for r, ml, sl, ma, sa in rows],
         "round int, mean_logloss double, sd_logloss double, mean_auc double, sd_auc double, is_best boolean")
@@ -195,27 +216,48 @@ def linear_svm(spark, d):
     """ML13: linear SVM on the full balanced training side (no 5 % cost sample needed)."""
     des = _design(spark, d)
     model = M.linear_svm(des.vectors("balanced"), "tag")
-    pred = model.transform(des.vectors("test"))
-    return pred.select("application_id", "tag", F.col("prediction").cast("int").alias("pred"))
+    return _holdout(des, model.transform(des.vectors("test")), F.col("prediction").cast("int").alias("pred"))
 
 
 @register("rff_svm")
 def rff_svm(spark, d):
     """ML14: RBF-kernel SVM via random Fourier features (sigma .022, 256 components) + linear SVM."""
+    return _rff(_design(spark, d), RFF_SIGMA)
+
+
+def _rff(des, sigma, cost=None):
+    tr = M.fourier_features(des.balanced.dropna(subset=des.features), des.features, sigma, RFF_COMPONENTS)
+    te = M.fourier_features(des.test.dropna(subset=des.features), des.features, sigma, RFF_COMPONENTS)
+    reg = 0.0 if cost is None else 1.0 / (cost * max(des.balanced.count(), 1))
+    model = M.linear_svm(tr.withColumn("tag", F.col("tag").cast("double")), "tag", reg=reg)
+    return _holdout(des, model.transform(te.select("application_id", "features")), F.col("prediction").cast("int").alias("pred"))
+
+
+def _svm_grid(spark, d):
     des = _design(spark, d)
-    tr = M.fourier_features(des.balanced.dropna(subset=des.features), des.features, RFF_SIGMA, RFF_COMPONENTS)
-    te = M.fourier_features(des.test.dropna(subset=des.features), des.features, RFF_SIGMA, RFF_COMPONENTS)
-    model = M.linear_svm(tr.withColumn("tag", F.col("tag").cast("double")), "tag")
-    pred = model.transform(te.withColumn("tag", F.col("tag").cast("double")))
-    return pred.select("application_id", F.col("tag").cast("int").alias("tag"),
-                       F.col("prediction").cast("int").alias("pred"))
+    train = des.balanced.dropna(subset=des.features)
+    return des, *M.svm_grid(train, des.features, "tag", "application_id", SVM_COSTS, SVM_SIGMAS, SVM_FOLDS, RFF_COMPONENTS)
+
+
+@register("svm_grid_cv")
+def svm_grid_cv(spark, d):
+    """ML15: 2-fold cross-validated grid of the kernel SVM over cost and sigma: accuracy and kappa per setting."""
+    _, rows, _ = _svm_grid(spark, d)
+    return spark.createDataFrame(rows, "cost double, sigma double, accuracy double, kappa double")
+
+
+@register("svm_cv_predict")
+def svm_cv_predict(spark, d):
+    """ML16: holdout classes by the kernel SVM with the grid's best cost and sigma."""
+    des, _, (cost, sigma) = _svm_grid(spark, d)
+    return _rff(des, sigma, cost)
 
 
 def _grid(spark, d):
     des = _design(spark, d)
     # folds hash the applicant key: bootstrap copies of one applicant never straddle folds
     vec = des.vectors("balanced")
-    cvm, table = M.grid_search_rf(vec, "tag", [3, 4, 5], num_trees=50, folds=5, key="application_id")
+    cvm, table = M.grid_search_rf(vec, "tag", RF_GRID, num_trees=RF_TREES, folds=5, key="application_id")
     return des, cvm, table
 
 
@@ -231,20 +273,35 @@ def cv_predict(spark, d):
     """ML16: the cross-validated best model's holdout predictions."""
     des, cvm, _ = _grid(spark, d)
     pred = cvm.bestModel.transform(des.vectors("test"))
-    return pred.select("application_id", "tag", M.positive_probability(pred).alias("prob"))
+    return _holdout(des, pred, M.positive_probability(pred).alias("prob"))
 
 
-@register("reject_retrain")
-def reject_retrain(spark, d):
-    """RJ4: rejects get inferred tags (p >= .51), join the labelled rows, and the logistic model is
-    refitted on the augmented population; returns the coefficient table."""
+def _augmented(spark, d):
+    """Labelled rows and rejects, these with the class that the fitted path B model gives them at .51."""
     mt = fx.modelling_table(spark, d)
-    rej = SC.infer_rejects(mt.filter(F.col("tag").isNull()).withColumn("p", fx.fixed_scorer()), "p", 0.51)
-    rej = rej.filter(F.col("inferred_tag").isNotNull()).withColumn("tag", F.col("inferred_tag")) \
-        .drop("p", "inferred_tag")
-    augmented = mt.filter(F.col("tag").isNotNull()).unionByName(rej)
-    des = build_design(augmented)
+    des = _design(spark, d)
     fit = M.fit_logit(des.balanced, des.features, "tag")
-    return fit.table(spark).withColumn("aic", F.lit(fit.aic))
+    scored = des.encode(mt.filter(F.col("tag").isNull())).withColumn("p", fit.probability())
+    tags = SC.infer_rejects(scored, "p", 0.51).select("application_id", "inferred_tag")
+    both = mt.join(tags, "application_id", "left").withColumn("tag", F.coalesce("tag", "inferred_tag")).drop("inferred_tag")
+    return build_design(both.filter(F.col("tag").isNotNull()))
 
 
+@register("reject_retrain")
+def reject_retrain(spark, d):
+    """RJ4: rejects get tags inferred by the fitted model (p >= .51), join the labelled rows, and the logistic model
+    is selected by AIC and refitted on the augmented population; coefficients with their VIF."""
+    des = _augmented(spark, d)
+    chosen, _ = M.step_aic(des.balanced, des.features, "tag")
+    fit = M.fit_logit(des.balanced, chosen, "tag")
+    factors = spark.createDataFrame(M.vif(des.balanced, fit), "term string, vif double")
+    return fit.table(spark).withColumn("aic", F.lit(fit.aic)).join(F.broadcast(factors), "term", "left")
+
+
+@register("reject_forest")
+def reject_forest(spark, d):
+    """RJ4: random forest (500 trees, mtry 5) on the augmented population: holdout probability."""
+    des = _augmented(spark, d)
+    model = M.random_forest(des.vectors("balanced"), "tag", num_trees=REJECT_TREES, mtry=REJECT_MTRY)
+    pred = model.transform(des.vectors("test"))
+    return _holdout(des, pred, M.positive_probability(pred).alias("prob"))

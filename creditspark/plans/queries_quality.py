@@ -10,16 +10,21 @@ from creditspark.plans.oracle_base import with_fixture
 from creditspark.sources import fixtures as fx
 
 LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-           "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+           "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 LI_KEY = ["l_orderkey", "l_linenumber"]
 LI_ORDER = [c for c in LI_COLS if c not in LI_KEY]
 LI_SEL = ", ".join(LI_COLS)
+LI_OUT = ", ".join([*LI_COLS[:-1], "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate"])
 
 
 def _li(spark, d):
     return fx.table(spark, d, "lineitem").select(*LI_COLS)
 
 
+def _shown(df):
+    return df.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("distinct_keys", with_fixture(
     """select 'lineitem' table_name, cast(sum(n) as bigint) n_rows, count(*) n_distinct_keys
        from (select l_orderkey, l_linenumber, count(*) n from lineitem group by l_orderkey, l_linenumber) s
@@ -35,23 +40,23 @@ def distinct_keys(spark, d):
 
 
 @register("dup_rows", with_fixture(
-    f"""select {LI_SEL} from (
+    f"""select {LI_OUT} from (
           select *, row_number() over (partition by l_orderkey, l_linenumber
                                        order by {', '.join(LI_ORDER)}) rn
           from (select {LI_SEL} from lineitem) s) t where rn > 1"""))
 def dup_rows(spark, d):
     """DQ2: second and later occurrences of each (order, line number) key."""
-    return q.duplicate_occurrences(_li(spark, d), LI_KEY, LI_ORDER)
+    return _shown(q.duplicate_occurrences(_li(spark, d), LI_KEY, LI_ORDER))
 
 
 @register("drop_ambiguous_keys", with_fixture(
-    f"""select {LI_SEL} from lineitem l where not exists (
+    f"""select {LI_OUT} from lineitem l where not exists (
           select 1 from (select l_orderkey k1, l_linenumber k2 from lineitem
                          group by l_orderkey, l_linenumber having count(*) > 1) x
           where x.k1 = l.l_orderkey and x.k2 = l.l_linenumber)"""))
 def drop_ambiguous_keys(spark, d):
     """DQ3: remove every row of a key that occurs more than once."""
-    return q.drop_ambiguous_keys(_li(spark, d), LI_KEY)
+    return _shown(q.drop_ambiguous_keys(_li(spark, d), LI_KEY))
 
 
 def _nulls_sql(table, cols):

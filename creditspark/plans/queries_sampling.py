@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from creditspark.operators import sampling as S
 from creditspark.plans.catalog import register
+from creditspark.plans.modelling import build_design
 from creditspark.plans.oracle_base import with_fixture
 from creditspark.sources import fixtures as fx
 
 SEED = 100
-BALANCE_FEATURES = ["tenure_days", "income", "price", "n_trades", "qty", "util", "bal"]
 
 
 def _split_sql(ratio, seed, sampled_only):
@@ -39,7 +41,24 @@ def stratified_sample_5pct(spark, d):
 
 @register("rose_balance")
 def rose_balance(spark, d):
-    """SA3: smoothed-bootstrap balancing of the training side to about 50/50 (rows only)."""
-    mt = fx.modelling_table(spark, d).dropna(subset=BALANCE_FEATURES)
-    train = S.stratified_split(mt, "application_id", "tag", 0.7, SEED).filter("is_train").drop("is_train")
-    return S.rose_balance(train, "application_id", "tag", BALANCE_FEATURES, seed=1)
+    """SA3: smoothed-bootstrap balancing of the training side to about 50/50 (rows only).  The features are
+    those of the encoded design, where a NULL has a bin, so no row is left out."""
+    return build_design(fx.modelling_table(spark, d)).balanced
+
+
+def _copies_sql():
+    """Copies per training row: Poisson by the inverse CDF of md5's first 52 bits; the class's rate is N / (2 n)."""
+    cdf = "list_count(list_transform(range(0, 60), lambda k: case when u > cdf_at(lam, k) then 1 end))"
+    return with_fixture(
+        f"""select application_id, tag, {cdf.replace('cdf_at(lam, k)', 'list_sum(list_transform(range(0, k + 1), lambda j: exp(-lam + j * ln(lam) - lgamma(j + 1))))')}::bigint as copies
+            from (select application_id, tag,
+                         (('0x' || substr(md5(cast(application_id as varchar) || '|1|copies'), 1, 13))::bigint::double + 1) / 4503599627370496 as u,
+                         count(*) over () / (2.0 * count(*) over (partition by tag)) as lam from lab) s""")
+
+
+@register("rose_copies", _copies_sql())
+def rose_copies(spark, d):
+    """SA3: how often balancing takes each labelled row (no kernel noise)."""
+    lab = fx.modelling_table(spark, d).filter(F.col("tag").isNotNull()).select("application_id", "tag")
+    got = S.rose_balance(lab, "application_id", "tag", [], seed=1).groupBy("application_id").agg(F.count(F.lit(1)).alias("copies"))
+    return lab.join(got, "application_id", "left").select("application_id", "tag", F.coalesce("copies", F.lit(0).cast("long")).alias("copies"))

@@ -16,15 +16,14 @@ from creditspark.operators.cache import persist
 
 
 def fine_and_coarse_bins(df: DataFrame, numeric: list[str], label: str, fine_k: int = 10,
-                         coarse_k: int = 3, method: str = "auto") -> tuple[DataFrame, DataFrame, DataFrame]:
+                         coarse_k: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return (fine bin table, monotone flags, chosen bin table per variable)."""
     lab = persist(df.filter(F.col(label).isNotNull()).select(label, *numeric))
-    exact = woe.exact_columns(lab, numeric) if method == "auto" else (numeric if method == "exact" else [])
-    fine = persist(woe.info_table(lab, numeric, label, k=fine_k, exact_cols=exact))  # bin table: tiny
+    fine = persist(woe.info_table(lab, numeric, label, k=fine_k))  # bin table: tiny
     flags = woe.monotone_flags(fine)
     non_mono = [r["variable"] for r in flags.filter(~F.col("is_monotone")).collect()]
     if non_mono:
-        coarse = woe.info_table(lab, non_mono, label, k=coarse_k, exact_cols=exact)
+        coarse = woe.info_table(lab, non_mono, label, k=coarse_k)
         chosen = (fine.filter(~F.col("variable").isin(non_mono)).withColumn("n_bins_k", F.lit(fine_k))
                   .unionByName(coarse.withColumn("n_bins_k", F.lit(coarse_k))))
     else:
@@ -33,12 +32,11 @@ def fine_and_coarse_bins(df: DataFrame, numeric: list[str], label: str, fine_k:
 
 
 def iv_ranking(df: DataFrame, numeric: list[str], categorical: list[str], label: str,
-               fine_k: int = 10, coarse_k: int = 3, min_share: float = 0.05,
-               method: str = "auto") -> DataFrame:
+               fine_k: int = 10, coarse_k: int = 3, min_share: float = 0.05) -> DataFrame:
     """(rank, variable, kind, n_bins, iv) sorted by IV descending, name tiebreak."""
     # one narrow labelled projection serves every pass (cuts, bins, monotone check, categories)
     df = persist(df.filter(F.col(label).isNotNull()).select(label, *numeric, *categorical))
-    _, _, chosen = fine_and_coarse_bins(df, numeric, label, fine_k, coarse_k, method)
+    _, _, chosen = fine_and_coarse_bins(df, numeric, label, fine_k, coarse_k)
     num = chosen.groupBy("variable").agg(
         F.sum("iv").alias("iv"), F.count(F.lit(1)).cast("int").alias("n_bins"),
         F.max("n_bins_k").alias("k"))

@@ -6,6 +6,7 @@ create a local one when the session has none (tests, laptops).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -43,15 +44,14 @@ def get_spark(master: str | None = None, app_name: str = "creditspark",
     return spark
 
 
-def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_partitions: int = 100_000) -> int:
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20) -> int:
     """Size shuffle and scan partitions from the input size (runtime SQL settings).
 
     Shuffle partitions ~ input / 256 MB (AQE coalesces small ones afterwards),
     scan splits of 256 MB, advisory post-shuffle size 256 MB.  Returns the
     shuffle partition count.
     """
-    n = max(1, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    n = max(1, -(-int(input_bytes) // target_partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
@@ -85,6 +85,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder.  It is the session's own: ``clear_scratch``
+    or the end of the driver's Python deletes it."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/scratch"
+    if not _scratch:
+        atexit.register(clear_scratch, spark)
+    _scratch.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+_scratch: set[str] = set()
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables that this session wrote (whatever still reads them is lost)."""
+    jvm = spark.sparkContext._jvm
+    try:
+        for base in _scratch:
+            path = jvm.org.apache.hadoop.fs.Path(base)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session has ended: its checkpoint folder is for the cluster to clean
+        return
+    _scratch.clear()

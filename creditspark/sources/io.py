@@ -25,10 +25,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         reader = reader.option("inferSchema", "true")
     df = reader.csv(path)
     # string columns: the empty field is NULL too
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            df = df.withColumn(f.name, F.when(F.col(f.name) == "", F.lit(None)).otherwise(F.col(f.name)))
-    return df
+    quoted = lambda name: F.col("`" + name.replace("`", "``") + "`")  # noqa: E731 - headers hold dots
+    return df.select([F.nullif(quoted(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else quoted(f.name)
+                      for f in df.schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, null_value: str = "NA", mode: str = "overwrite") -> None:

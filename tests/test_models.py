@@ -60,7 +60,7 @@ def test_auc_per_round_matches_truncated_model(spark, design):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     train, test = design.vectors("train"), design.vectors("test")
     m = M.boosted_trees(train, "tag", rounds=8)
-    per_round = M.auc_per_round(m, test, "application_id", "tag")
+    per_round = M.auc_per_round(m, test, "tag", digits=12)
     assert sorted(per_round) == list(range(1, 9))
     full = BinaryClassificationEvaluator(labelCol="tag", rawPredictionCol="rawPrediction").evaluate(m.transform(test))
     assert per_round[8] == pytest.approx(full, abs=1e-9)

@@ -34,7 +34,7 @@ def test_column_pruning_reaches_scans(spark, sf_small):
 
 
 def test_filters_pushed_to_scan(spark, sf_small):
-    txt = plan_text(QUERIES["dup_rows"](spark, sf_small))
+    txt = plan_text(QUERIES["inner_join"](spark, sf_small))
     assert "PushedFilters" in txt
 
 

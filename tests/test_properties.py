@@ -129,11 +129,12 @@ def test_cutoff_sweep_matches_brute_force(spark, sf_small):
         assert (got[i]["tp"], got[i]["fp"]) == (tp, fp)
 
 
-def test_high_cardinality_woe_join_path_equals_literal_path(spark, sf_small, monkeypatch):
+def test_unpooled_woe_join_path_equals_literal_path(spark, sf_small):
     mt = fx.modelling_table(spark, sf_small)
-    lit_model = woe.WoeBinner("tag", categorical=["nation", "priority"], min_share=0.03).fit(mt)
-    monkeypatch.setattr(woe, "MAX_LITERAL_LEVELS", 2)
-    join_model = woe.WoeBinner("tag", categorical=["nation", "priority"], min_share=0.03).fit(mt)
+    lit_model = woe.WoeBinner("tag", categorical=["nation", "priority"], min_share=1e-9).fit(mt)
+    join_model = woe.WoeBinner("tag", categorical=["nation", "priority"], min_share=0.0).fit(mt)
+    with pytest.raises(ValueError):
+        woe.WoeBinner("tag", categorical=["nation"], min_share=0.0, merge_limit=0.1)
     assert set(join_model.lookups) == {"nation", "priority"} and not join_model.categorical
     cols = ["application_id", "woe_nation", "woe_priority"]
     a = lit_model.transform(mt).select(*cols)
@@ -165,7 +166,8 @@ def test_batched_irls_matches_glm(spark, sf_small):
     mt = prep.Standardizer(feats).fit(mt).transform(mt)
     design = M.assemble(mt, feats, "tag")
     subsets = [[0, 1], [0, 2, 3], [0, 1, 2, 3]]
-    fits = irls.batched_logit(design, "features", "tag", subsets)
+    data = irls.array_design(design, "features", "tag")
+    fits = irls.batched_logit(data, subsets, irls.gram_matrix(data, max(max(s, default=0) for s in subsets) + 1))
     for s, f in zip(subsets, fits):
         ref = M.fit_logit(mt, [feats[i] for i in s], "tag", tol=1e-10)
         assert f.converged
@@ -231,19 +233,20 @@ def test_distributed_exact_quantiles_equal_percentile(spark, sf_small, rows_per_
         assert got[k] == pytest.approx(ref[k], rel=1e-12, abs=1e-12), k
 
 
-def test_profiles_distributed_equal_exact(spark, sf_small):
+def test_profiles_in_several_rounds_equal_one_round(spark, sf_small):
     from creditspark.operators import profile, quantiles
     mt = fx.modelling_table(spark, sf_small)
     cols = ["bal", "n_trades", "income"]
-    old = quantiles.ROWS_PER_BUCKET
-    quantiles.ROWS_PER_BUCKET = 200  # force several value buckets per group
+    old = quantiles.ROWS_PER_BUCKET, quantiles.BUCKETS
     try:
         for fn, kw, key in [(profile.six_number, {"by": ["tag"]}, ("tag", "variable")),
                             (profile.box_stats, {"by": ["tag"]}, ("tag", "variable")),
                             (profile.percentile_profile, {}, ("variable", "pct")),
                             (profile.medians, {}, ("variable",))]:
-            a = {tuple(r[k] for k in key): r.asDict() for r in fn(mt, cols, exact=True, **kw).collect()}
-            b = {tuple(r[k] for k in key): r.asDict() for r in fn(mt, cols, exact="distributed", **kw).collect()}
+            quantiles.ROWS_PER_BUCKET, quantiles.BUCKETS = old
+            a = {tuple(r[k] for k in key): r.asDict() for r in fn(mt, cols, **kw).collect()}
+            quantiles.ROWS_PER_BUCKET, quantiles.BUCKETS = 20, 8
+            b = {tuple(r[k] for k in key): r.asDict() for r in fn(mt, cols, **kw).collect()}
             assert a.keys() == b.keys(), fn.__name__
             for k in a:
                 for c, v in a[k].items():
@@ -251,13 +254,15 @@ def test_profiles_distributed_equal_exact(spark, sf_small):
                         assert b[k][c] == pytest.approx(v, rel=1e-12, abs=1e-12), (fn.__name__, k, c)
                     else:
                         assert b[k][c] == v, (fn.__name__, k, c)
-        cut_e = woe.quantile_cuts(mt, cols, 10, "exact")
-        cut_d = woe.quantile_cuts(mt, cols, 10, "distributed")
+        probs = [i / 10 for i in range(1, 10)]
+        exact = mt.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in cols]).first().asDict()
+        cut_e = {c: sorted(set(v)) for c, v in exact.items()}
+        cut_d = woe.quantile_cuts(mt, cols, 10)
         assert cut_e.keys() == cut_d.keys()
         for c in cut_e:
             assert cut_d[c] == pytest.approx(cut_e[c], rel=1e-12, abs=1e-12)
     finally:
-        quantiles.ROWS_PER_BUCKET = old
+        quantiles.ROWS_PER_BUCKET, quantiles.BUCKETS = old
 
 
 def test_percentile_caps(spark, sf_small):
@@ -315,7 +320,7 @@ def test_similar_level_merge(spark, sf_small):
     assert 1 <= len(set(groups.values())) < len(counts)
     for lv, g in groups.items():
         assert lv in g.split("+")
-    model = woe.WoeBinner("tag", categorical=["nation"], min_share=0.0, merge_limit=0.1).fit(mt)
+    model = woe.WoeBinner("tag", categorical=["nation"], min_share=0.001, merge_limit=0.1).fit(mt)
     woes = model.categorical["nation"]["levels"]
     for g in set(groups.values()):
         members = g.split("+")

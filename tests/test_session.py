@@ -17,7 +17,7 @@ def test_tune_for_input(spark):
     try:
         assert tune_for_input(spark, 10 * (1 << 30)) == 40
         assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
-        assert tune_for_input(spark, 100 * (1 << 40)) == 100_000   # capped
+        assert tune_for_input(spark, 100 * (1 << 40)) == 409_600
         assert tune_for_input(spark, 1) == 1
     finally:
         for k, v in old.items():
