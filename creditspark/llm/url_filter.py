@@ -2,8 +2,8 @@
 
 A list of rules (host suffix and path prefix, ``block`` or ``allow``) is hashed with 64-bit xxhash,
 range-partitioned and sorted by digest with Spark, and written to the shared folder.  Spark ships those
-files to every executor once (``addFile``); there a worker lays the digests out as one flat sorted
-array file which all workers of the executor memory-map, so a list costs page cache, not heap.
+files to every executor once (``addFile``); there a worker lays digests and strings out as one flat sorted
+file which all workers of the executor memory-map, so a list costs page cache, not heap.
 
 A URL's candidate keys are its host and each parent domain, each with the path cut to every length that
 a rule's path has.  Keys of a whole batch are hashed and probed together by binary search; each
@@ -68,18 +68,21 @@ def build_index(rules: DataFrame) -> tuple[list[str], list[int]]:
 
 
 class DigestArray:
-    """One sorted index file: digests memory-mapped, strings read where a digest hits."""
+    """One sorted index file, memory-mapped: digests are searched, strings read where a digest hits."""
 
     def __init__(self, name: str):
         source = SparkFiles.get(name)
-        flat = f"{source}.digests.npy"
-        table = pq.read_table(source)
+        flat = f"{source}.arrow"
         if not os.path.exists(flat):
-            own = f"{flat}.{uuid.uuid4().hex}.npy"
-            np.save(own, table["digest"].combine_chunks().to_numpy())
+            table = pq.read_table(source).combine_chunks()
+            own = f"{flat}.{uuid.uuid4().hex}"
+            with pa.ipc.new_file(own, table.schema) as out:
+                out.write_table(table)
             os.replace(own, flat)  # whichever worker is last: the files are equal
-        self.digests = np.load(flat, mmap_mode="r")
-        self.rules, self.verdicts = table["rule"].combine_chunks(), table["verdict"].combine_chunks()
+        table = pa.ipc.open_file(pa.memory_map(flat)).read_all().combine_chunks()
+        # one record batch: these are views of the mapped file
+        self.digests = table["digest"].chunk(0).to_numpy() if table.num_rows else np.zeros(0, np.int64)
+        self.rules, self.verdicts = table["rule"], table["verdict"]
 
     def probe(self, keys: list[str], digests: np.ndarray) -> Iterator[tuple[int, str]]:
         """(key's place, verdict) of every key that is a rule."""
