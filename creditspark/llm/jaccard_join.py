@@ -12,8 +12,8 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
 4. Group pairs that share a prefix shingle pass the length bound, the positional bound and the bitmap bound
    (of two sets' parities by hash bit, as many bits differ at most as elements do), then members are
    expanded, held against the most that their prefixes let them share, and verified on their whole sets.
-5. First each bucket's groups are paired with one of them alone (the bucket's centre), which gives most
-   components without the pairs of a large bucket; while buckets would still have many pairs and
+5. First each bucket's groups are paired with CENTRES of them alone, which gives most components
+   without the pairs of a large bucket; while buckets would still have many pairs and
    a turn finds a tenth of the best turn's links, this is done again with other centres.  Then all pairs of groups whose members
    lie in different components are joined, for every bucket that still holds several: components
    are those of all links, and pairs inside one component are not listed.
@@ -38,6 +38,9 @@ from creditspark.llm.shingles import blocks, shingle_sets
 
 #: Shingles that the order puts last.  They are broadcast: 2 MB.  Others differ in cost alone.
 COMMON = 1 << 18
+#: Groups of a bucket with which all others are paired first, and the pairs for each group of a bucket from which
+#: that is worth another turn.
+CENTRES, MANY_PAIRS = 3, 64
 #: Bytes of text whose sets a task holds at once.
 BLOCK = 4 << 20
 #: Parity bits of a set, in columns of 64.
@@ -73,6 +76,25 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
         run, f"{key}, th long, digest binary, n long, token long, seen long")
 
 
+def _common(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most COMMON of the most frequent shingles, sorted, and their rank (the more frequent, the higher)."""
+    counts = stored(marked.filter("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")), "shingle-counts")
+    # by eighths of a doubling: a few hundred levels, whatever the counts
+    level = F.floor(8 * F.log2("seen")).cast("int")
+    least, total = None, 0
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
+        total += r["n"]
+        if total > COMMON:
+            break
+        least = r["level"]
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    top = counts.filter(level >= least).toPandas().sort_values(["seen", "token"])
+    common = top["token"].to_numpy(np.int64)
+    order = np.argsort(common)
+    return common[order], order
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -133,7 +155,7 @@ def _order_key(s: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarra
     at = np.minimum(np.searchsorted(common, s), max(len(common) - 1, 0))
     late = common[at] == s if len(common) else np.zeros(len(s), bool)
     early = (s.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(1)
-    return np.where(late, np.uint64(1 << 63) + (rank[at] + len(common)).astype(np.uint64) if len(common) else early, early)
+    return np.where(late, np.uint64(1 << 63) + rank[at].astype(np.uint64) if len(common) else early, early)
 
 
 def _plausible(pairs: DataFrame, vertices: DataFrame, percent: int, shared) -> DataFrame:
@@ -203,12 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """(doc_id, th, n_shingles, component_id) per row: the least doc_id of the documents reachable by links."""
     marked = stored(_sets(docs, shingle), "sets")
     rows = marked.filter("n is not null").select("doc_id", "th", "digest", F.col("n").alias("n_shingles"))
-    top = (marked.filter("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
-           .orderBy(F.desc("seen"), "token").limit(COMMON).toPandas())
-    common = top["token"].to_numpy(np.int64)
-    order = np.argsort(common)
-    # the frame is sorted from the most frequent on: the earlier a row, the later in the order
-    shared = docs.sparkSession.sparkContext.broadcast((common[order], -order))
+    shared = docs.sparkSession.sparkContext.broadcast(_common(marked))
     vertices = stored(_prefixes(docs, shingle, percent, shared).dropDuplicates(["digest"]), "vertices")
     members = vertices.select("gid", "n", "digest")
     postings = vertices.select("gid", "n", F.posexplode_outer("tokens").alias("pos", "token"))
@@ -217,15 +234,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     found = _Links(docs, rows, vertices, shingle, percent, shared)
     one = members.groupBy("gid").agg(F.min("digest").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    found.add(one.drop("many").join(members, "gid").filter("a <> digest").select("a", F.col("digest").alias("b")))
+    inside = one.drop("many").join(members, "gid").filter("a <> digest").select("a", F.col("digest").alias("b"))
     turn = most = 0
     while True:
         mixed = _mixed(buckets, found.sides())
         c = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         size = c.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        if turn and (not size[0] or size[1] <= 16 * size[0]):
+        if turn and (not size[0] or size[1] <= MANY_PAIRS * size[0]):
             break
-        tried, linked = found.add(_centre_pairs(mixed, found.labelled, percent, turn))
+        pairs = _centre_pairs(mixed, found.labelled, percent, turn)
+        tried, linked = found.add(pairs if turn else pairs.unionByName(inside))
         turn += 1
         most = max(linked, most)
         if 10 * linked < most or not tried:
@@ -251,9 +269,11 @@ def _mixed(buckets: DataFrame, sides: DataFrame) -> DataFrame:
 
 
 def _centre_pairs(mixed: DataFrame, labelled: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each bucket's centre (the least by a hash, another one every turn) with the members of its other groups."""
-    chance = F.xxhash64("gid", "label", F.lit(turn))
-    centre = (mixed.groupBy("token").agg(F.min(F.struct(chance.alias("h"), "gid", "n", "pos", "label", "one", "many", *BITS)).alias("c")).select("token", "c.*"))
+    """Each bucket's centres (the least by a few hashes, others every turn) with the members of its other groups."""
+    row = ["gid", "n", "pos", "label", "one", "many", *BITS]
+    least = [F.min(F.struct(F.xxhash64("gid", "label", F.lit(CENTRES * turn + k)).alias("h"), *row)).alias(f"c{k}") for k in range(CENTRES)]
+    some = F.array_distinct(F.array(*[F.struct(*[F.col(f"c{k}.{c}").alias(c) for c in row]) for k in range(CENTRES)]))
+    centre = mixed.groupBy("token").agg(*least).select("token", F.inline_outer(some))
     x, y = centre.alias("x"), mixed.alias("y")
     near = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label")) & _may_link(percent, "x", "y"))
             .select(F.col("x.one").alias("a"), F.col("y.gid").alias("gid"), F.col("y.label").alias("label")).distinct())
