@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from creditspark.operators import woe
 from creditspark.plans import ranking
 from creditspark.plans.catalog import r6, register
-from creditspark.plans.oracle_base import (CATEGORICAL, NUMERIC, categorical_woe_ctes, info_table_ctes,
+from creditspark.plans.oracle_base import (CATEGORICAL, NUMERIC, categorical_woe_ctes, info_table_ctes, woe_cols_sql,
                                            monotone_ctes, with_fixture)
 from creditspark.sources import fixtures as fx
 
@@ -188,7 +188,41 @@ def woe_replace(spark, d):
     return model.transform(mt, replace=True).select("application_id", *[r6(c) for c in NULL_BEARING])
 
 
-@register("woe_numeric_merge")
+def _merge_sql(cols, k, limit):
+    """Adjacent bins merged by closest WOE while a step loses ix most ``limit`` of the IV, as lists in a recursion."""
+    woe = lambda g, b: f"case when {g} = 0 or {b} = 0 then 0.0 else ln(({g} / gt) / ({b} / bt)) end"
+    iv = lambda g, b: (f"list_sum(list_transform(range(1, len({g}) + 1), lambda i: ({g}[i] / gt - {b}[i] / bt) * "
+                       + woe(f"{g}[i]", f"{b}[i]") + "))")
+    merged = lambda x: f"list_concat({x}[1:ix - 1], [{x}[ix] + {x}[ix + 1]], {x}[ix + 2:])"
+    ctes = [c.replace("list_distinct(quantile_cont(x,", "list_sort(list_distinct(quantile_cont(x,").replace("])) cuts", "]))) cuts")
+            for c in info_table_ctes("it", cols, k)]
+    return with_fixture(
+        f"select variable, {', '.join(c for c in BIN_COLS if c != 'variable')}, round(pct, 6) pct, round(woe, 6) woe, round(iv, 6) iv, round(iv_cum, 6) iv_cum from fin",
+        *ctes,
+        """first AS (select c.variable, list(n_good::double order by bin_id) as g, list(n_bad::double order by bin_id) as b,
+                            list(cuts[bin_id + 1] order by bin_id) as e, sum(n_good)::double as gt, sum(n_bad)::double as bt
+                     from it_c c join it_q q on q.variable = c.variable where bin_id >= 0 group by c.variable)""",
+        f"""steps AS (select variable, 0 as step, g, b, e[1:len(g) - 1] as e, gt, bt from first
+           union all
+           select variable, step, g2, b2, e2, gt, bt from (
+             select variable, step + 1 as step, {merged('g')} as g2, {merged('b')} as b2, list_concat(e[1:ix - 1], e[ix + 1:]) as e2, gt, bt, cur from (
+               select *, list_position(gaps, list_min(gaps)) as ix from (
+                 select *, {iv('g', 'b')} as cur,
+                        list_transform(range(1, len(g)), lambda i: abs({woe('g[i]', 'b[i]')} - {woe('g[i + 1]', 'b[i + 1]')})) as gaps
+                 from steps where len(g) > 1) x1) x2) x3
+           where (case when cur > 0 then (cur - {iv('g2', 'b2')}) / cur else 0 end) <= {limit})""",
+        "cut AS (select variable, arg_max(e, step) as cuts from steps group by variable)",
+        """f_b AS (select u.variable, case when x is null then -1 else cast(len(list_filter(q.cuts, lambda c: c < x)) as integer) end bin_id, x, tag
+                  from it_u u join cut q on u.variable = q.variable)""",
+        """f_c AS (select variable, bin_id, min(x) min_value, max(x) max_value, count(*) n,
+                  cast(sum(case when tag = 0 then 1 else 0 end) as bigint) n_good, cast(sum(case when tag = 1 then 1 else 0 end) as bigint) n_bad
+                  from f_b group by variable, bin_id)""",
+        f"f_w AS ({woe_cols_sql('f_c')})",
+        "fin AS (select *, sum(iv) over (partition by variable order by bin_id rows between unbounded preceding and current row) iv_cum from f_w)",
+    ).replace("WITH", "WITH RECURSIVE", 1)
+
+
+@register("woe_numeric_merge", _merge_sql(["util", "bal"], 20, 0.01))
 def woe_numeric_merge(spark, d):
     """WO2: supervised merge of twenty quantile bins with IV-loss stop limit 0.01, then the merged table."""
     mt = _mt(spark, d)
