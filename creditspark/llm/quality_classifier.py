@@ -206,7 +206,7 @@ def learned_lexicon(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROW
     n = known.agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") != 1).alias("rest")).first()
     odds = (F.col("bad") + .5) / (n["bad"] + 1) / ((F.col("rest") + .5) / (n["rest"] + 1))
     top = (seen.filter(F.col("bad") >= max(5, n["bad"] / 100)).withColumn("odds", odds).filter("odds >= 20")
-           .orderBy(F.desc("odds"), F.desc("bad"), "word").limit(5 * LEXICON))
+           .orderBy(F.desc("odds"), F.desc("bad"), "word").limit(2 * LEXICON))
     held: dict[str, set] = {}
     for r in rows.filter("bad").join(F.broadcast(top.select("word")), "word").select("doc_id", "word").toPandas().itertuples():
         held.setdefault(r.word, set()).add(r.doc_id)
