@@ -228,7 +228,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(_common(marked))
     vertices = stored(_prefixes(docs, shingle, percent, shared).dropDuplicates(["digest"]), "vertices")
     members = vertices.select("gid", "n", "digest")
-    postings = vertices.select("gid", "n", F.posexplode_outer("tokens").alias("pos", "token"))
+    postings = vertices.select("gid", "n", "tokens", F.posexplode_outer("tokens").alias("pos", "token"))
+    postings = postings.select("gid", "n", "pos", "token", F.get("tokens", F.col("pos") - 1).alias("before"))
     several = postings.groupBy("token").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi")).filter("lo <> hi").select("token")
     buckets = stored(postings.join(several, "token").distinct(), "buckets")
 
@@ -262,7 +263,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 
 def _mixed(buckets: DataFrame, sides: DataFrame) -> DataFrame:
-    """(gid, token, n, pos, and the columns of ``sides``) of the buckets that hold several components."""
+    """(gid, token, n, pos, before, and the columns of ``sides``) of the buckets that hold several components."""
     rows = buckets.join(sides, "gid")
     many = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
     return stored(rows.join(many, "token", "left_semi"), "mixed")
@@ -281,9 +282,14 @@ def _centre_pairs(mixed: DataFrame, labelled: DataFrame, percent: int, turn: int
 
 
 def _all_pairs(mixed: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
-    """Members of all pairs of groups of one bucket that lie in different components."""
+    """Members of all pairs of groups of one bucket that lie in different components.
+
+    Two groups whose prefixes go on alike would meet in bucket after bucket: where both have the same shingle
+    before this one they have met there, with wider bounds.  Their first common shingle always counts.
+    """
     x, y = mixed.alias("x"), mixed.alias("y")
-    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label")) & _may_link(percent, "x", "y"))
+    first = F.coalesce(F.col("x.before") != F.col("y.before"), F.lit(True))
+    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label")) & first & _may_link(percent, "x", "y"))
             .select(F.col("x.gid").alias("ga"), F.col("x.label").alias("la"), F.col("y.gid").alias("gb"), F.col("y.label").alias("lb")).distinct())
     side = lambda g, l, v: labelled.select(F.col("gid").alias(g), F.col("label").alias(l), F.col("digest").alias(v))
     return rest.join(side("ga", "la", "a"), ["ga", "la"]).join(side("gb", "lb", "b"), ["gb", "lb"]).select("a", "b")
