@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditspark.operators.cache import small  # noqa: F401 - the modules here take it from this one
 from creditspark.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -22,13 +23,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, most: int = 200_000) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to have at most ``most`` rows; a larger one is
-    joined as the planner sees fit, by a shuffle."""
-    few = df.limit(most + 1).count() <= most
-    return F.broadcast(df) if few else df
-
-
 def ascii_lower(col: Column) -> Column:
     """Only A-Z become lower case."""
     return F.translate(col, UPPER, LOWER)

@@ -330,7 +330,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row of its least (doc_id, text
-    hash).  Texts without words all stay; rows that are equal in every column count as one."""
+    hash).  Texts without words all stay; rows that share doc_id and text count as one.  Where a whole component has
+    no doc_id, one row of each distinct text stays."""
     cols = docs.columns
     found = stored(near_duplicates(docs, shingle, percent), "components")
     one = (found.filter("n_shingles > 0").groupBy(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("th")).alias("own"))
