@@ -42,7 +42,7 @@ COMMON = 1 << 18
 #: that is worth another turn.
 CENTRES, MANY_PAIRS = 3, 64
 #: Bytes of text whose sets a task holds at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Parity bits of a set, in columns of 64.
 BITS = ["b0", "b1", "b2", "b3"]
 

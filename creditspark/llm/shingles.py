@@ -15,14 +15,16 @@ _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB866
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
 
 
-def blocks(batch: pa.RecordBatch, text: int, n_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``n_bytes`` of text, or of one longer text."""
+def blocks(batch: pa.RecordBatch, text: int, n_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``n_bytes`` of text, or of one longer text.  After the last one Arrow's spare memory goes back:
+    workers stay for later tasks."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy())
     lo = 0
     while lo < batch.num_rows:
         hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + n_bytes)))
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def folded(texts: pa.Array) -> pa.Array:
