@@ -1,19 +1,24 @@
 """Documents scored by masked pseudo-likelihood.
 
 Every word is predicted from the words on both its sides by a small window network, trained in numpy:
-``hidden = tanh(sum of one table per place around the word)``, ``softmax(hidden @ out)`` over word classes, and a
-word's share of its class.  A document's score is the sum of the logarithms over all its words.
-
-1. Words are hashed to BUCKETS; every task counts its own, Spark sums the counts (over all documents).  The most
-   frequent buckets are classes of their own, the others share the rest.
-2. Every task trains the network on its documents from one common start, predicting one in MASK words of
-   each (another one for each text); the tasks' weights are averaged by Spark, each by its words.
-3. Every word of every document is scored with the averaged network.
-
-The counts and the weights have a fixed size; they alone reach the driver and are broadcast.
-
-Null texts and texts without words have 0 words, score 0 and no mean.  Repeated rows get equal scores.  An empty
-table returns no rows.  Columns besides ``doc_id`` and ``text`` are not read.
+``hidden = tanh(sum of one table per place around the word)``, a softmax over word classes, then a binary tree
+over the words of the class in which every turn is a sigmoid of the same hidden layer.  A document's score is the
+sum of the logarithms over all its words.
+
+1. Spark counts the distinct words; the counts stay a table.  The most frequent words (HEAD, or WIDTH times
+   the root of the number of distinct words if that is more) are leaves of their own; the rarer ones share a quarter
+   as many leaves by their hash, and within such a leaf a word has its share of the leaf's count, joined from the table.
+2. The OWN largest leaves are classes, the others lie in SHARED classes of like frequency.  Before training
+   the model is the unigram model.
+3. Documents as leaf numbers are dealt into parts of about GROUP words, whatever the partitions of the input.  In each
+   of MASK rounds every part trains on one in MASK words of each text, from the last averaged weights; after all
+   rounds every word was a target once.  A row of weights is averaged over the parts that touched it.
+4. Every word of every document is scored.
+
+The leaves' weights are collected and broadcast; they grow with the root of the number of distinct words.
+
+Null texts and texts without words have 0 words, score 0 and no mean.  Repeated rows get equal scores up to rounding.
+An empty table returns no rows.  Columns besides ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -22,169 +27,319 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditspark.llm.common import stored
 from creditspark.llm.shingles import blocks, word_hashes
 
-BUCKETS = 1 << 18
+HEAD, WIDTH = 1 << 15, 32
 OWN, SHARED = 160, 32
 CLASSES = OWN + SHARED
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 24
+#: A row of weights: one per hidden unit and, where rows are outputs, the constant.
+ROW = HIDDEN + 1
 MASK = 4
+GROUP = 4 << 20
 STEP, RATE = 2048, .08
-LAYOUT = {"table": (len(PLACES), CLASSES + 1, HIDDEN), "bias": (HIDDEN,), "out": (HIDDEN, CLASSES), "lift": (CLASSES,)}
+SLOT = 2048
+PAST = {"table": 1e-8, "bias": 1e-4, "out": 1e-4, "node": 1e-8}
 
 
-def start(seed: int = 5) -> dict[str, np.ndarray]:
+def start(leaves: int = CLASSES, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return {k: (rng.standard_normal(shape) * (.1 if len(shape) > 1 else 0)).astype(np.float32) for k, shape in LAYOUT.items()}
-
-
-def flat(net: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([net[k].ravel() for k in LAYOUT])
-
-
-def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k, shape in LAYOUT.items():
-        n = int(np.prod(shape))
-        out[k] = v[at:at + n].reshape(shape).astype(np.float32)
-        at += n
-    return out
+    net = {"table": rng.standard_normal((len(PLACES) * (leaves + 1), ROW)) * .1, "bias": np.zeros((1, ROW)), "out": rng.standard_normal((CLASSES, ROW)) * .1}
+    net["out"][:, -1] = 0
+    return {k: v.astype(np.float32) for k, v in net.items()}
 
 
 class Vocabulary:
-    """Class of each bucket, and the logarithm of its share of its class."""
-
-    def __init__(self, counts: np.ndarray):
-        order = np.argsort(-counts, kind="stable")
-        self.classes = (OWN + np.arange(BUCKETS) % SHARED).astype(np.int32)
-        self.classes[order[:OWN]] = np.arange(OWN)
-        total = np.bincount(self.classes, weights=counts + 1.0, minlength=CLASSES)
-        self.share = np.log((counts + 1.0) / total[self.classes]).astype(np.float32)
-        self.prior = np.log(total / total.sum()).astype(np.float32)
-
-
-def buckets_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    words, at = word_hashes(texts)
-    return (words & np.uint64(BUCKETS - 1)).astype(np.int64), at
-
-
-def around(classes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' classes in a row with gaps of the boundary class between texts, and the words' places in it."""
+    """Leaf of each word, and each leaf's class and place in the tree of its class."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, rest: np.ndarray):
+        """``words`` (sorted hashes) with their counts, and the summed counts of the leaves of rarer words."""
+        n = np.concatenate([counts, rest]).astype(np.float64)
+        order = np.argsort(-n, kind="stable")
+        self.words, self.n_rest, self.size = words, len(rest), len(n)
+        leaf = np.empty(len(n), np.int32)
+        leaf[order] = np.arange(len(n))
+        self.leaf, self.rest_leaf = leaf[:len(words)], leaf[len(words):]
+        n = n[order]
+        mass = np.cumsum(n[OWN:])
+        shared = OWN + np.minimum(((mass - n[OWN:]) / max(mass[-1], 1) * SHARED).astype(np.int64), SHARED - 1) if len(mass) else np.zeros(0, np.int64)
+        self.classes = np.concatenate([np.arange(min(OWN, len(n))), shared]).astype(np.int32)
+        first = np.searchsorted(self.classes, np.arange(CLASSES + 1))
+        m = np.diff(first)
+        # a class is a heap: inner nodes 1 to m - 1, leaves m to 2m - 1; its nodes are numbered from its first leaf on
+        self.base = first[self.classes].astype(np.int64)
+        self.heap = (m[self.classes] + np.arange(len(n)) - self.base).astype(np.int64)
+        self.depth = int(self.heap.max()).bit_length() - 1 if len(n) else 0
+        total = np.bincount(self.classes, weights=n, minlength=CLASSES)
+        self.prior = np.log(np.maximum(total / max(total.sum(), 1), 1e-13))
+        self.turn = np.zeros(len(n))
+        for c in range(OWN, CLASSES):
+            k = m[c]
+            heap = np.zeros(2 * k + 1)
+            heap[k:2 * k] = n[first[c]:first[c + 1]] + 1e-3
+            for level in range(int(k).bit_length(), -1, -1):
+                p = np.arange(1 << level, min(2 << level, k))
+                heap[p] = heap[2 * p] + heap[2 * p + 1]
+            p = np.arange(1, k)
+            self.turn[first[c] + p] = np.log(heap[2 * p + 1] / heap[2 * p])
+        self.log_n = np.log(np.maximum(n, 1))
+
+    def encode(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' leaves, and whether they share them."""
+        at = np.minimum(np.searchsorted(self.words, words), max(len(self.words) - 1, 0))
+        rare = self.words[at] != words if len(self.words) else np.ones(len(words), bool)
+        leaf = self.leaf[at] if len(self.words) else np.zeros(len(words), np.int32)
+        if rare.any():
+            leaf[rare] = self.rest_leaf[(words[rare] % np.uint64(self.n_rest)).astype(np.int64)]
+        return leaf, rare
+
+    def net(self) -> dict[str, np.ndarray]:
+        """The unigram model."""
+        net = start(self.size)
+        net["out"][:, -1] = self.prior
+        net["node"] = np.zeros((self.size, ROW), np.float32)
+        net["node"][:, -1] = self.turn
+        return net
+
+    def path(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes from each leaf up, whether the path turns right there, and which of them are real."""
+        heap = self.heap[leaf][:, None] >> np.arange(self.depth + 1)
+        real = heap[:, 1:] > 0
+        return np.where(real, self.base[leaf][:, None] + heap[:, 1:], 0), (heap[:, :-1] & 1).astype(np.float32), real
+
+
+def around(classes: np.ndarray, at: np.ndarray, edge: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' words in a row with gaps of ``edge`` between texts, and the words' places in it."""
     pad = max(PLACES)
     doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
     place = np.arange(len(classes)) + pad * (doc + 1)
-    row = np.full(len(classes) + pad * len(at), CLASSES, np.int32)
+    row = np.full(len(classes) + pad * len(at), edge, np.int32)
     row[place] = classes
     return row, place
 
 
+def beside(net: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rows of the table that the words at ``place`` see, one line per place around them."""
+    return np.stack([row[place + p] + k * (len(net["table"]) // len(PLACES)) for k, p in enumerate(PLACES)])
+
+
 def forward(net: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hidden layer, and log-probabilities of all classes, for the words at ``place``."""
-    h = net["bias"] + net["table"][0][row[place + PLACES[0]]]
-    for k in range(1, len(PLACES)):
-        h += net["table"][k][row[place + PLACES[k]]]
+    h = net["bias"] + net["table"][beside(net, row, place)].sum(axis=0)
     np.tanh(h, out=h)
-    z = h @ net["out"]
-    z += net["lift"]
+    h[:, -1] = 1
+    z = h @ net["out"].T
     z -= z.max(axis=1, keepdims=True)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return h, z
 
 
-def learn(net: dict[str, np.ndarray], past: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray) -> None:
-    """One AdaGrad step for the words at ``place``; both dictionaries change."""
+def turns(net: dict[str, np.ndarray], h: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the nodes, and the logit of turning right at each."""
+    vec = net["node"][node]
+    return vec, np.matmul(vec, h[:, :, None])[:, :, 0]
+
+
+def move(net: dict[str, np.ndarray], past: dict[str, np.ndarray], key: str, rows: np.ndarray, grads: np.ndarray, touched: dict | None) -> None:
+    """AdaGrad on some rows of one matrix; ``grads`` of equal rows add up."""
+    order = np.argsort(rows, kind="stable")
+    u, first = np.unique(rows[order], return_index=True)
+    g = np.add.reduceat(grads[order], first, axis=0)
+    p = past[key][u] + g * g
+    past[key][u] = p
+    net[key][u] -= RATE * g / np.sqrt(p)
+    if touched is not None:
+        touched[key][u] += np.diff(np.append(first, len(rows)))
+
+
+def learn(net: dict[str, np.ndarray], past: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray, v: Vocabulary | None = None, touched: dict | None = None) -> None:
+    """One AdaGrad step for the words at ``place``; the dictionaries change.  Without a vocabulary words are classes."""
     h, logp = forward(net, row, place)
-    n = len(place)
+    n, target = len(place), row[place]
     err = np.exp(logp, out=logp)
-    err[np.arange(n), row[place]] -= 1
+    err[np.arange(n), target if v is None else v.classes[target]] -= 1
     err /= n
-    dh = (err @ net["out"].T) * (1 - h * h)
-    cell = np.arange(HIDDEN)
-    grads = {"out": h.T @ err, "lift": err.sum(axis=0), "bias": dh.sum(axis=0),
-             "table": np.stack([np.bincount((row[place + p][:, None] * HIDDEN + cell).ravel(), weights=dh.ravel(), minlength=(CLASSES + 1) * HIDDEN)
-                                .reshape(CLASSES + 1, HIDDEN) for p in PLACES]).astype(np.float32)}
-    for k, g in grads.items():
+    dh = err @ net["out"]
+    if v is not None and len(deep := np.flatnonzero(v.classes[target] >= OWN)):
+        node, right, real = v.path(target[deep])
+        vec, s = turns(net, h[deep], node)
+        e = np.where(real, 1 / (1 + np.exp(-s)) - right, 0).astype(np.float32) / n
+        dh[deep] += np.matmul(e[:, None, :], vec)[:, 0]
+        at, level = np.nonzero(real)
+        if len(at):
+            move(net, past, "node", node[at, level], e[at, level][:, None] * h[deep[at]], touched)
+    dh *= 1 - h * h  # the constant unit is 1: no gradient
+    seen = beside(net, row, place).ravel()
+    move(net, past, "table", seen, np.tile(dh, (len(PLACES), 1)), touched)
+    for k, g in (("out", err.T @ h), ("bias", dh.sum(axis=0, keepdims=True))):
         past[k] += g * g
         net[k] -= RATE * g / np.sqrt(past[k])
+        if touched is not None:
+            touched[k] += n
 
 
-def count_buckets(docs: DataFrame) -> np.ndarray:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for b in blocks(batch, 0):
-                seen += np.bincount(buckets_of(b.column(0))[0], minlength=BUCKETS)
-        there = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(seen[there], pa.int64())], ["bucket", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return counts
+def log_likelihoods(net: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """Logarithm of the probability of the leaf of each word at ``place``."""
+    h, z = forward(net, row, place)
+    target = row[place]
+    logp = z[np.arange(len(z)), v.classes[target]].astype(np.float64)
+    deep = np.flatnonzero(v.classes[target] >= OWN)
+    if len(deep):
+        node, right, real = v.path(target[deep])
+        s = turns(net, h[deep], node)[1]
+        logp[deep] -= np.where(real, np.logaddexp(0, np.where(right > 0, -s, s)), 0).sum(axis=1)
+    return logp
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """The average of the networks that the tasks train on their documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    size = len(flat(start()))
+def count_words(docs: DataFrame) -> DataFrame:
+    """(w, n): each distinct word's hash and how often it occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in blocks(batch, 0, 4 << 20):
+                w, n = np.unique(word_hashes(b.column(0))[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n, pa.int64())], ["w", "n"])
+
+    return docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, int, int]:
+    """The vocabulary, the least count of a word with its own leaf, and the number of all words."""
+    by_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).toArrow()
+    n, words = (by_n[c].to_numpy() for c in ("n", "words"))
+    order = np.argsort(-n)
+    n, words = n[order], words[order]
+    size = max(HEAD, int(WIDTH * words.sum() ** .5))
+    fits = int(np.searchsorted(np.cumsum(words), size, side="right"))
+    least = int(n[fits - 1]) if fits else int(n[0]) + 1 if len(n) else 1
+    head = counts.filter(F.col("n") >= least).toArrow()
+    w = head["w"].to_numpy().view(np.uint64)
+    order = np.argsort(w)
+    n_rest = size // 4
+    rest = np.zeros(n_rest if fits < len(n) else 0, np.int64)
+    if len(rest):
+        # the remainder of the hash as an unsigned number
+        leaf = F.pmod(F.pmod("w", F.lit(n_rest)) + F.when(F.col("w") < 0, F.lit((1 << 64) % n_rest)).otherwise(F.lit(0)), F.lit(n_rest))
+        sums = counts.filter(F.col("n") < least).groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n")).toArrow()
+        rest[sums["leaf"].to_numpy()] = sums["n"].to_numpy()
+    return Vocabulary(w[order], head["n"].to_numpy()[order], rest), least, int((n * words).sum())
+
+
+def encoded(docs: DataFrame, v: Vocabulary, parts: int) -> DataFrame:
+    """(rid, doc_id, leaves, rare) for every row, in ``parts`` parts: its words' leaves, and the hashes of those that share one."""
+    shared = docs.sparkSession.sparkContext.broadcast(v)
+    key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        net = start()
-        net["lift"] += v.prior
-        past = {k: np.full(shape, 1e-4, np.float32) for k, shape in LAYOUT.items()}
-        done = 0
+        rid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for b in blocks(batch, 0, 1 << 20):
-                bucket, at = buckets_of(b.column(0))
-                row, place = around(v.classes[bucket], at)
-                doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-                # the first masked word of a text follows from its length
-                masked = place[(np.arange(len(place)) - at[doc] + np.diff(at)[doc]) % MASK == 0]
-                for lo in range(0, len(masked), STEP):
-                    learn(net, past, row, masked[lo:lo + STEP])
-                done += len(place)
-        if done:
-            weights = flat(net).astype(np.float64) * done
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, size), pa.int32()), pa.array(np.append(done, weights))], ["cell", "value"])
-
-    rows = docs.select("text").mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
-    rows = rows.sort_values("cell")["value"].to_numpy()
-    return unflat(rows[1:] / rows[0]) if len(rows) else start()
-
-
-def score_texts(texts: pa.Array, net: dict[str, np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(words, sum of log-probabilities) of each text."""
-    bucket, at = buckets_of(texts)
-    classes = vocabulary.classes[bucket]
-    row, place = around(classes, at)
-    logp = vocabulary.share[bucket].astype(np.float64)
-    for lo in range(0, len(place), 4 * STEP):
-        part = slice(lo, lo + 4 * STEP)
-        _, z = forward(net, row, place[part])
-        logp[part] += z[np.arange(len(z)), classes[part]]
-    sums = np.concatenate([[0.0], np.cumsum(logp)])
-    return np.diff(at), sums[at[1:]] - sums[at[:-1]]
+            for b in blocks(batch, 1):
+                words, at = word_hashes(b.column(1))
+                leaf, rare = shared.value.encode(words)
+                rares = np.concatenate([[0], np.cumsum(rare)])[at]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.arange(rid, rid + b.num_rows)), b.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(leaf, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(rares, pa.int32()), pa.array(words[rare].view(np.int64)))], ["rid", "doc_id", "leaves", "rare"])
+                rid += b.num_rows
+
+    return stored(docs.select("doc_id", "text").mapInArrow(run, f"rid long, {key}, leaves array<int>, rare array<long>").repartition(parts), "leaves")
+
+
+def pieces(column: pa.ListArray, n: int = 1 << 18) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Rows of about ``n`` words together, with the words and where each row's begin."""
+    at = column.offsets.to_numpy()
+    values = column.values.to_numpy()
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + n, side="right")) - 1)
+        yield slice(lo, hi), values[at[lo]:at[hi]], at[lo:hi + 1] - at[lo]
+        lo = hi
+
+
+def average(table: pa.Table) -> pa.Table:
+    """One slot's rows of all parts: changes weighted by how often each part touched the row."""
+    row, times, past, change = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("row", np.int32), ("times", np.float32), ("past", np.float32), ("change", np.float16)))
+    order = np.argsort(row, kind="stable")
+    u, first = np.unique(row[order], return_index=True)
+    total = np.add.reduceat(times[order], first)
+    change = np.add.reduceat(change.reshape(-1, ROW)[order] * times[order][:, None], first, axis=0) / total[:, None]
+    past = np.add.reduceat(past[order] * times[order], first) / total
+    return pa.table({"row": [u.astype(np.int32).tobytes()], "past": [past.astype(np.float32).tobytes()], "change": [change.astype(np.float32).tobytes()]})
+
+
+def train(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
+    """The network after MASK rounds over the encoded documents."""
+    net = v.net()
+    past = {k: np.full(len(net[k]), PAST[k], np.float32) for k in net}
+    base = dict(zip(net, np.cumsum([0, *map(len, net.values())])))
+    sc = docs.sparkSession.sparkContext
+    words = sc.broadcast(v)
+    for r in range(MASK):
+        last = sc.broadcast((net, past))
+
+        def run(batches: Iterator[pa.RecordBatch], r=r, last=last) -> Iterator[pa.RecordBatch]:
+            v = words.value
+            old, seen = last.value
+            own = {k: x.copy() for k, x in old.items()}
+            sums = {k: np.repeat(x[:, None], ROW, axis=1) for k, x in seen.items()}
+            touched = {k: np.zeros(len(x), np.float32) for k, x in old.items()}
+            for batch in batches:
+                for _, leaf, at in pieces(batch.column(0)):
+                    row, place = around(leaf, at, v.size)
+                    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+                    masked = place[(np.arange(len(place)) - at[doc] + r) % MASK == 0]
+                    for lo in range(0, len(masked), STEP):
+                        learn(own, sums, row, masked[lo:lo + STEP], v, touched)
+            for k in own:
+                u = np.flatnonzero(touched[k])
+                for rows in np.split(u, np.flatnonzero(np.diff((u + base[k]) // SLOT)) + 1) if len(u) else []:
+                    yield pa.RecordBatch.from_pydict({
+                        "slot": pa.array([int(rows[0] + base[k]) // SLOT], pa.int32()), "row": [(rows + base[k]).astype(np.int32).tobytes()], "times": [touched[k][rows].tobytes()],
+                        "past": [sums[k][rows].mean(axis=1, dtype=np.float32).tobytes()], "change": [(own[k][rows] - old[k][rows]).astype(np.float16).tobytes()]})
+
+        new = docs.select("leaves").mapInArrow(run, "slot int, row binary, times binary, past binary, change binary").groupBy("slot").applyInArrow(
+            average, "row binary, past binary, change binary").toArrow()
+        row, seen, change = (np.frombuffer(b"".join(new[c].to_pylist()), t) for c, t in (("row", np.int32), ("past", np.float32), ("change", np.float32)))
+        net, past = {k: x.copy() for k, x in net.items()}, {k: x.copy() for k, x in past.items()}
+        for k in net:
+            mine = (row >= base[k]) & (row < base[k] + len(net[k]))
+            net[k][row[mine] - base[k]] += change.reshape(-1, ROW)[mine]
+            past[k][row[mine] - base[k]] = seen[mine]
+        last.unpersist()
+    return net
 
 
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_likelihood) for every row."""
-    vocabulary = Vocabulary(count_buckets(docs))
-    net = train(docs, vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((net, vocabulary))
+    counts = stored(count_words(docs), "words")
+    v, least, total = vocabulary_of(counts)
+    rows = encoded(docs, v, -(-total // GROUP) or 1)
+    shared = docs.sparkSession.sparkContext.broadcast((train(rows, v), v))
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, v = shared.value
+        shares = np.zeros(v.size)
+        shares[v.rest_leaf] = v.log_n[v.rest_leaf]
         for batch in batches:
-            for b in blocks(batch, 1):
-                n, total = score_texts(b.column(1), *shared.value)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(np.where(n > 0, total, 0.0))], ["doc_id", "n_words", "log_likelihood"])
-
-    out = docs.select("doc_id", "text").mapInArrow(run, f"{key}, n_words long, log_likelihood double")
+            for part, leaf, at in pieces(batch.column(2)):
+                row, place = around(leaf, at, v.size)
+                logp = -shares[leaf]
+                for lo in range(0, len(place), 2 * STEP):
+                    logp[lo:lo + 2 * STEP] += log_likelihoods(net, row, place[lo:lo + 2 * STEP], v)
+                sums = np.concatenate([[0.0], np.cumsum(logp)])
+                n = np.diff(at)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(n, pa.int64()), pa.array(np.where(n > 0, sums[at[1:]] - sums[at[:-1]], 0.0))],
+                                                 ["rid", "doc_id", "n_words", "leaves_ll"])
+
+    out = rows.select("rid", "doc_id", "leaves").mapInArrow(run, f"rid long, {key}, n_words long, leaves_ll double")
+    rare = rows.select("rid", F.explode("rare").alias("w")).join(counts.filter(F.col("n") < least), "w").groupBy("rid").agg(F.sum(F.log("n")).alias("rare_ll"))
+    out = out.join(rare, "rid", "left").select("doc_id", "n_words", (F.col("leaves_ll") + F.coalesce("rare_ll", F.lit(0.0))).alias("log_likelihood"))
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
