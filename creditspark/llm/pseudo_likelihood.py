@@ -42,7 +42,7 @@ HIDDEN = 24
 #: A row of weights: one per hidden unit and, where rows are outputs, the constant.
 ROW = HIDDEN + 1
 MASK = 4
-GROUP = 4 << 20
+GROUP = 16 << 20
 STEP, RATE = 2048, .08
 SLOT = 2048
 PAST = {"table": 1e-8, "bias": 1e-4, "out": 1e-4, "node": 1e-8}

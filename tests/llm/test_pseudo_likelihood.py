@@ -39,3 +39,11 @@ def test_context_counts_for_thousands_of_words(spark):
     got = means(frame(spark, rows).repartition(2))
     assert np.mean([got[i] > got[10_000 + i] + .2 for i in range(100)]) > .95
     assert np.mean([got[i] for i in range(3000)]) > unigram(texts) + .5
+
+
+def test_partitions_do_not_change_the_model(spark):
+    texts = walks(random.Random(4), 300, 2000, 60)
+    rows = frame(spark, [(i, " ".join(w)) for i, w in enumerate(texts)])
+    few, many = (np.mean(list(means(rows.repartition(n)).values())) for n in (2, 200))
+    assert abs(few - many) < .1
+    assert min(few, many) > unigram(texts) + .5
