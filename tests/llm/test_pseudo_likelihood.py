@@ -47,3 +47,22 @@ def test_partitions_do_not_change_the_model(spark):
     few, many = (np.mean(list(means(rows.repartition(n)).values())) for n in (2, 200))
     assert abs(few - many) < .1
     assert min(few, many) > unigram(texts) + .5
+
+
+@pytest.mark.parametrize("head", [1 << 15, 500])
+def test_every_word_has_its_own_probability(spark, monkeypatch, head):
+    monkeypatch.setattr(pseudo_likelihood, "HEAD", head)
+    monkeypatch.setattr(pseudo_likelihood, "WIDTH", 1)
+    words = [f"w{i}" for i in range(6000)]
+    rows = [(i, w) for i, w in enumerate(words) for _ in range(1 + i % 3 + 40 * (i < 400))]
+    got = means(frame(spark, rows).repartition(3))
+    # one-word texts all have the same context: their probabilities add up to 1
+    assert sum(exp(x) for x in got.values()) == pytest.approx(1, abs=1e-3)
+    if head == 500:
+        v, least, total = pseudo_likelihood.vocabulary_of(pseudo_likelihood.count_words(frame(spark, rows)))
+        assert (len(v.words), least, total) == (400, 41, len(rows))
+        leaf = {}
+        for i in range(400, 6000):
+            at = int(v.encode(pseudo_likelihood.word_hashes(pseudo_likelihood.pa.array([words[i]]))[0])[0][0])
+            leaf.setdefault(at, []).append(got[i] - log(1 + i % 3))
+        assert all(max(x) - min(x) < 1e-4 for x in leaf.values())
