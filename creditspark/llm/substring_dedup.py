@@ -1,17 +1,20 @@
 """Repeated passages by content-defined chunking.
 
-A gear rolling hash over a text's bytes (the last 16 count) cuts it wherever the hash falls under a
-bound, so cuts depend on content alone and an insertion moves only the chunks it touches.  Every chunk's
-digest is counted over the corpus (one row per distinct digest and task before the shuffle) with its least
-doc_id; the digests that occur twice or more join back to the chunks (the planner splits a hot
-digest).  In each document, neighbouring repeated chunks form a run; runs of at least ``least`` characters
-are passages.  A chunk's first occurrence in the document of least doc_id stays; what else of it is
-there is to be removed.
+A gear rolling hash over a text's bytes (the last 16 count) cuts it at the least hash of every REACH neighbouring
+places (all of them if equal, so that periodic stretches are cut as well): cuts depend on content alone, lie no
+further apart than that, and an insertion moves only the ones it touches.  From every cut on, the stretch to the first
+cut at least ``least`` characters on is a sequence; its digest is counted over the corpus (one row per distinct
+digest and task before the shuffle) with its least doc_id, and the digests that occur twice or more join
+back to the sequences (the planner splits a hot digest).  In each document, the sequences that recur form the passages
+where they overlap or touch, so every part of a passage lies in a stretch of ``least`` characters that occurs
+elsewhere as a whole.  A sequence's first occurrence in the document of least doc_id stays; what else of the
+passages is there is to be removed.  A shared passage of ``least`` + 16 + 3 REACH single-byte characters always
+holds a sequence.
 
 Offsets are code points, the end is exclusive.  Null and empty texts have no chunks.  A row is told from
-others by its doc_id and text: rows that repeat both are one document here, and get equal results.  Of chunks that
+others by its doc_id and text: rows that repeat both are one document here, and get equal results.  Of sequences that
 only documents without doc_id hold, each such document keeps one.  Other columns are not read.  A digest
-has 64 bits: a chance match of one chunk makes no run.
+has 64 bits.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from creditspark.llm.common import stored
 from creditspark.llm.shingles import blocks
 
-MEAN = 24
+REACH = 40
 LEAST = 100
 WINDOW = 16
 
@@ -40,24 +43,43 @@ def _gear() -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(bytes([b]), seed=9) & 0xFFFF for b in range(256)], np.uint16)
 
 
-def cuts(data: bytes | np.ndarray, mean: int = MEAN) -> np.ndarray:
+def _least(h: np.ndarray, n: int) -> np.ndarray:
+    """The least of every ``n`` neighbours."""
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        h = np.minimum(h[:-step], h[step:])
+        size += step
+    return h
+
+
+def cuts(data: bytes | np.ndarray, reach: int = REACH) -> np.ndarray:
     """Ends of all chunks of ``data``.  With 16-bit hashes a byte is shifted out after 16 steps, so the rolling
     sum is that of 16 shifted copies."""
     raw = np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data
     if not len(raw):
         return np.zeros(0, np.int64)
+    if len(raw) < WINDOW + reach:
+        return np.array([len(raw)])
     g = _gear()[raw]
     h = g.copy()
-    for j in range(1, min(WINDOW, len(g))):
+    for j in range(1, WINDOW):
         h[j:] += g[:-j] << np.uint16(j)
-    # a cut never splits a code point
-    start = np.append((raw[1:] & 0xC0) != 0x80, True)
-    ends = np.flatnonzero((h < 65536 // mean) & start) + 1
+    # only whole windows of whole hashes count, so a text's cuts are also those of any text around it
+    h = h[WINDOW - 1:]
+    low = _least(h, reach)
+    # the highest of the leasts of all windows around a place
+    edge = np.zeros(reach - 1, np.uint16)
+    high = ~_least(~np.concatenate([edge, low, edge]), reach)
+    ends = np.flatnonzero(h == high) + WINDOW
+    # a cut never splits a code point: it moves on to the end of it
+    first = np.flatnonzero((raw & 0xC0) != 0x80)
+    ends = np.unique(np.append(first, len(raw))[np.searchsorted(first, ends)])
     return ends if len(ends) and ends[-1] == len(raw) else np.append(ends, len(raw))
 
 
-def chunks(docs: DataFrame, mean: int = MEAN) -> DataFrame:
-    """(doc_id, th, start, n_chars, digest) for every chunk."""
+def sequences(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
+    """(doc_id, th, start, n_chars, digest) of the stretch from every cut to the first one ``least`` characters on."""
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,14 +90,16 @@ def chunks(docs: DataFrame, mean: int = MEAN) -> DataFrame:
                     if not text:
                         continue
                     raw = np.frombuffer(text, np.uint8)
-                    ends = cuts(raw, mean)
-                    first = np.concatenate([[0], ends[:-1]])
-                    points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                    row.append(np.full(len(ends), r))
-                    start.append(points[first])
-                    size.append(points[ends] - points[first])
-                    digest += [xxhash.xxh3_64_intdigest(text[i:j]) for i, j in zip(first.tolist(), ends.tolist())]
-                if not row:
+                    at = np.concatenate([[0], cuts(raw, reach)])
+                    chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[at]
+                    last = np.searchsorted(chars, chars + least)
+                    first = np.flatnonzero(last < len(at))
+                    last = last[first]
+                    row.append(np.full(len(first), r))
+                    start.append(chars[first])
+                    size.append(chars[last] - chars[first])
+                    digest += [xxhash.xxh3_64_intdigest(text[i:j]) for i, j in zip(at[first].tolist(), at[last].tolist())]
+                if not digest:
                     continue
                 take = pa.array(np.concatenate(row))
                 col = lambda x: pa.array(np.concatenate(x), pa.int32())
@@ -85,10 +109,10 @@ def chunks(docs: DataFrame, mean: int = MEAN) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"{key}, th long, start int, n_chars int, digest long")
 
 
-def repeats(docs: DataFrame, mean: int = MEAN, least: int = LEAST) -> DataFrame:
+def repeats(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
     """(doc_id, th, passages, removable) per row with a passage: arrays of (start, end), in order.
     ``passages`` are all that occur elsewhere too, ``removable`` those parts of which this is not the first."""
-    every = chunks(docs, mean)
+    every = sequences(docs, reach, least)
     twice = every.groupBy("digest").agg(F.count(F.lit(1)).alias("many"), F.min("doc_id").alias("first")).filter("many > 1").select("digest", "first")
     own = every.join(twice, "digest").select("doc_id", "th", F.struct("start", "n_chars", "digest", (~F.col("doc_id").eqNullSafe(F.col("first"))).alias("later")).alias("c"))
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
@@ -98,29 +122,31 @@ def repeats(docs: DataFrame, mean: int = MEAN, least: int = LEAST) -> DataFrame:
 
 
 def merge(found: list[tuple[int, int, int, bool]], least: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Passages and removable parts of a document's repeated chunks (start, n_chars, digest, later), in order."""
+    """Passages and removable parts of a document's repeated sequences (start, n_chars, digest, later), in order."""
     seen: set[int] = set()
-    runs: list[list[tuple[int, int, bool]]] = []
+    passages: list[tuple[int, int]] = []
+    again: list[tuple[int, int]] = []
+    kept: list[tuple[int, int]] = []
     for start, n, digest, later in found:
-        later = later or digest in seen
+        for spans in (passages, again if later or digest in seen else kept):
+            if spans and spans[-1][1] >= start:
+                spans[-1] = (spans[-1][0], max(spans[-1][1], start + n))
+            else:
+                spans.append((start, start + n))
         seen.add(digest)
-        if runs and runs[-1][-1][1] == start:
-            runs[-1].append((start, start + n, later))
-        else:
-            runs.append([(start, start + n, later)])
-    passages, removable = [], []
-    for run in runs:
-        if run[-1][1] - run[0][0] < least:
-            continue
-        passages.append((run[0][0], run[-1][1]))
-        part = None
-        for start, end, later in [*run, (0, 0, False)]:
-            if later:
-                part = (part[0] if part else start, end)
-            elif part:
-                if part[1] - part[0] >= least:
-                    removable.append(part)
-                part = None
+    passages = [p for p in passages if p[1] - p[0] >= least]
+    # what a first occurrence covers stays
+    removable, i = [], 0
+    for start, end in again:
+        while i < len(kept) and kept[i][1] <= start:
+            i += 1
+        k = i
+        while start < end:
+            stop = min(end, kept[k][0]) if k < len(kept) else end
+            if stop - start >= least:
+                removable.append((start, stop))
+            start = max(start, kept[k][1]) if k < len(kept) else end
+            k += 1
     return passages, removable
 
 
