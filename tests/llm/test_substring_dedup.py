@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from creditspark.llm import substring_dedup
 
 from .conftest import frame
@@ -21,6 +23,25 @@ def test_neighbouring_common_phrases_are_no_passage(spark):
     assert max(len(p) for p in phrases) < 100 and not any(x["n_repeats"] for x in got)
 
 
+@pytest.mark.parametrize("variety", [1, 2, 5, 25, 400])
+def test_shared_passages_are_found_whatever_their_variety(spark, variety):
+    r = random.Random(variety)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(4, 7)))
+    rows, where = [], {}
+    for i in range(150):
+        few = [word() for _ in range(variety)]
+        passage = " ".join(r.choice(few) for _ in range(51))
+        for side in range(2):
+            before, after = (" ".join(word() for _ in range(30)) for _ in range(2))
+            rows.append((2 * i + side, f"{before} {passage} {after}"))
+            where[2 * i + side] = (len(before) + 1, len(before) + 1 + len(passage))
+    got = {x["doc_id"]: x for x in substring_dedup.report(frame(spark, rows)).collect()}
+    for d, (lo, hi) in where.items():
+        found = spans(got[d]["passages"])
+        assert found and all(lo - 4 <= s and e <= hi + 4 for s, e in found)  # contexts may share letters by chance
+    assert all(got[d]["n_removable_chars"] > 0 for d in where if d % 2)
+
+
 def test_overlapping_sequences():
     found = [(0, 110, 1, False), (20, 120, 2, True), (50, 130, 3, True), (300, 100, 4, True), (330, 110, 5, True)]
     assert substring_dedup.merge(found, 50) == ([(0, 180), (300, 440)], [(110, 180), (300, 440)])
