@@ -66,3 +66,10 @@ def test_every_word_has_its_own_probability(spark, monkeypatch, head):
             at = int(v.encode(pseudo_likelihood.word_hashes(pseudo_likelihood.pa.array([words[i]]))[0])[0][0])
             leaf.setdefault(at, []).append(got[i] - log(1 + i % 3))
         assert all(max(x) - min(x) < 1e-4 for x in leaf.values())
+
+
+def test_words_of_short_texts_are_trained(spark):
+    r = random.Random(5)
+    texts = [[f"a{k}", f"b{k}"] for k in (r.randrange(40) for _ in range(60_000))]
+    got = means(frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]).repartition(2))
+    assert np.mean(list(got.values())) > unigram(texts) + .2
