@@ -267,12 +267,12 @@ def fold_column(key: str, k: int, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int")
 
 
-def auc_per_round(model, valid: DataFrame, label: str, digits: int = 4) -> dict[int, float | None]:
+def auc_per_round(model, valid: DataFrame, label: str, digits: int | None = None) -> dict[int, float | None]:
     """Validation AUC of the boosted model truncated after every round, without refitting.
 
     Each tree's prediction is added as a column and the running margins are one array per row (no shuffle).
-    Margins are rounded to ``digits`` places, so that what is shuffled is one count per (round, rounded
-    margin) and task, however many rows there are; ties count half, as always.
+    What is shuffled is one count per (round, margin) and task: rows in equal leaves have equal margins, and ties
+    count half, as always.  ``digits`` rounds the margins first, which ties different ones.
     """
     from creditspark.operators.evaluate import auc_by_group
     df = valid.select("features", F.col(label).cast("int").alias(label))
@@ -283,8 +283,9 @@ def auc_per_round(model, valid: DataFrame, label: str, digits: int = 4) -> dict[
     running = F.aggregate(contrib, F.array().cast("array<double>"),
                           lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
     margins = df.select(label, running.alias("__m")).select(label, F.posexplode("__m").alias("__r", "margin"))
-    rounded = margins.select(label, (F.col("__r") + 1).alias("round"), F.round("margin", digits).alias("margin"))
-    return {r["round"]: r["auc"] for r in auc_by_group(rounded, ["round"], "margin", label).collect()}
+    margin = F.col("margin") if digits is None else F.round("margin", digits).alias("margin")
+    margins = margins.select(label, (F.col("__r") + 1).alias("round"), margin)
+    return {r["round"]: r["auc"] for r in auc_by_group(margins, ["round"], "margin", label).collect()}
 
 
 def boosting_cv(data: DataFrame, key: str, label: str, nfold: int = 5, rounds: int = 300,

@@ -67,3 +67,22 @@ def test_auc_per_round_matches_truncated_model(spark, design):
     m3 = M.boosted_trees(train, "tag", rounds=3)
     auc3 = BinaryClassificationEvaluator(labelCol="tag", rawPredictionCol="rawPrediction").evaluate(m3.transform(test))
     assert per_round[3] == pytest.approx(auc3, abs=1e-9)
+
+
+def test_auc_per_round_does_not_tie_close_margins(spark):
+    class Tree:
+        def copy(self):
+            return self
+
+        def setPredictionCol(self, name):
+            self.name = name
+            return self
+
+        def transform(self, df):
+            return df.withColumn(self.name, F.col("features") * 1e-6)
+
+    class Model:
+        trees, treeWeights = [Tree()], [1.0]
+
+    valid = spark.createDataFrame([(float(i), int(i >= 5)) for i in range(10)], "features double, tag int")
+    assert M.auc_per_round(Model(), valid, "tag") == {1: 1.0}
