@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditspark.llm import (decontam, jaccard_join, packing, pii, pseudo_likelihood, quality_classifier, quality_rules,
-                             sharding, substring_dedup, url_filter)
+from creditspark.llm import (conversation_trie, decontam, jaccard_join, minhash_dedup, packing, pii, pseudo_likelihood, quality_classifier,
+                             quality_rules, sharding, substring_dedup, token_alignment, url_filter)
 from creditspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,10 +21,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
     "op9_substring_dedup": lambda spark, sf: substring_dedup.report(table(spark, sf, "documents")),
     "op10_pseudo_likelihood": lambda spark, sf: pseudo_likelihood.report(table(spark, sf, "documents")),
+    "op11_conversation_trie": lambda spark, sf: conversation_trie.report(table(spark, sf, "conversations")),
+    "op12_token_alignment": lambda spark, sf: token_alignment.report(table(spark, sf, "documents")),
+    "op13_minhash_dedup": lambda spark, sf: minhash_dedup.report(table(spark, sf, "documents")),
 }
 ORACLES: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_decontam": decontam.ORACLE,
     "op4_jaccard_join": jaccard_join.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "op11_conversation_trie": conversation_trie.ORACLE,
+    "op13_minhash_dedup": minhash_dedup.ORACLE,
 }

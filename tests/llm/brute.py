@@ -1,6 +1,9 @@
 """Plain versions of the operators, for small inputs."""
 
+import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 
@@ -94,3 +97,62 @@ def url(u, listed=RULES, default="allow"):
     path = re.match(r"[^?#]*", rest[len(host):])[0]
     fits = [(len(h + p), h + p, v) for h, p, v in listed if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return (host, path, max(fits)[1], max(fits)[2]) if fits else (host, path, None, default)
+
+
+def trie(rows):
+    """Nodes of rebuilt conversations, of (conv_id, turn, role, text) rows."""
+    turns = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            turns[c].append(((t is not None, t or 0), hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest(), role, text))
+    turns = {c: [x[2:] for x in sorted(v)] for c, v in turns.items()}
+    built = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(math.fmod(c, 20))
+        built[c] = tuple(turns.get(base, [])[:h] + own[h:])
+    members = defaultdict(list)
+    for c, seq in built.items():
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append(c)
+    out = []
+    for p, m in members.items():
+        below = [q for q in members if q[:len(p)] == p]
+        kids = [q for q in below if len(q) == len(p) + 1]
+        ends = ",".join(map(str, sorted(c for c in m if built[c] == p)))
+        out.append((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(kids),
+                    sum(not any(len(r) > len(q) and r[:len(q)] == q for r in below) for q in below),
+                    sum((len(members[q]) - 1) * len(words(q[-1][1])) for q in below if q), hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def token_alignment(rows, a, b, a_bytes, b_bytes):
+    """Of each (doc_id, text) row the alignment of the ids that ``a`` and ``b`` give."""
+    docs, count = [], Counter()
+    for d, t in rows:
+        ids = (a(t), b(t)) if t else ([], [])
+        whole = f" {t}".encode()
+        if not t or any(b"".join(map(f, x)) != whole for f, x in zip((a_bytes, b_bytes), ids)):
+            docs.append((d, None))
+            continue
+        spans = []
+        for f, x in zip((a_bytes, b_bytes), ids):
+            at, own = 0, []
+            for i in x:
+                own.append((i, at, at := at + len(f(i))))
+            spans.append(own)
+        links = [(i, j) for i, s, e in spans[0] for j, u, v in spans[1] if s < v and u < e]
+        both = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups, lo = [], 0
+        for hi in both:
+            groups.append("|".join(",".join(str(i) for i, _, e in x if lo < e <= hi) for x in spans))
+            lo = hi
+        docs.append((d, (len(ids[0]), len(ids[1]), groups, links)))
+        count.update(set(links))
+    best = defaultdict(int)
+    for (i, _), n in count.items():
+        best[i] = max(best[i], n)
+    return [(d, 0, 0, 0, 0, 0, 0, "") if x is None else
+            (d, x[0], x[1], len(x[2]), len(x[3]), sum(count[p] == best[p[0]] for p in x[3]), sum(count[p] for p in x[3]), hashlib.sha256(";".join(x[2]).encode()).hexdigest())
+            for d, x in docs]
