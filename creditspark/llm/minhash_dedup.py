@@ -11,6 +11,7 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
    collide, so a vertex with fewer recurring pairs than the threshold links with nothing.
 4. Prefix.  Of its c recurring pairs, rarest first, a vertex is listed under the first c - threshold + 1: two
    vertices that agree in enough coordinates share one of these.
+   Pairs of one list go on if their sizes, and the parities of their shingles by hash bits, let them be so similar.
 5. Skip.  The long lists, which the prefix leaves out, are not merged: candidates from the short ones are held against
    each other's whole signature, and those with fewer collisions than the threshold go.
 6. What is left is confirmed on whole sets, made again from the texts of the listed vertices alone.
@@ -42,6 +43,8 @@ from creditspark.llm.shingles import blocks, shingle_sets
 
 COORDINATES = 96
 LOSS = 1e-7
+#: Parity bits of a set, in columns of 64.
+BITS = ["b0", "b1", "b2", "b3"]
 #: Pairs for each listed vertex from which another turn of centres comes before all pairs.
 MANY_PAIRS = 8
 
@@ -81,39 +84,51 @@ def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.nda
     return out
 
 
+def parities(sets: list[np.ndarray], bits: int = 64 * len(BITS)) -> np.ndarray:
+    """One line of ``bits`` parities per set, as 64-bit numbers: how many shingles have each value of their upper bits.
+    Two sets differ in as many bits, at most, as in shingles."""
+    out = np.zeros((len(sets), bits // 64), np.int64)
+    for lo in range(0, len(sets), 1024):
+        part = sets[lo:lo + 1024]
+        every = np.concatenate(part).view(np.uint64)
+        cell = np.repeat(np.arange(len(part)), [len(s) for s in part]) * bits + (every >> np.uint64(40)).astype(np.int64) % bits
+        odd = (np.bincount(cell, minlength=len(part) * bits) & 1).astype(np.uint8)
+        out[lo:lo + 1024] = np.packbits(odd).view(np.int64).reshape(len(part), -1)
+    return out
+
+
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, th, digest, n, sig) of every row."""
+    """(doc_id, th, digest, n, sig, BITS) of every row."""
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in blocks(batch, 2):
                 sets = shingle_sets(b.column(2), shingle)
-                sig = signatures(sets).view(np.int32)
+                sig, odd = signatures(sets).view(np.int32), parities(sets)
                 at = np.arange(0, sig.size + 1, COORDINATES, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     b.column(0), b.column(1), pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(at), pa.array(sig.ravel()))], ["doc_id", "th", "digest", "n", "sig"])
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(sig.ravel())), *[pa.array(odd[:, i]) for i in range(len(BITS))]], ["doc_id", "th", "digest", "n", "sig", *BITS])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"{key}, th long, digest binary, n long, sig array<int>")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"{key}, th long, digest binary, n long, sig array<int>, " + ", ".join(f"{c} long" for c in BITS))
 
 
 def _lists(vertices: DataFrame, least: int) -> DataFrame:
-    """(k, v, before, digest, n): vertices under the pairs of their prefixes, in lists of several vertices."""
+    """(t, before, digest, n, BITS): vertices under the (coordinate, value) pairs of their prefixes, in lists of several."""
     posted = vertices.select("digest", F.posexplode("sig").alias("k", "v"))
-    several = posted.groupBy("k", "v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    own = posted.join(several, ["k", "v"]).groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("df", "k", "v"))).alias("own"))
+    posted = posted.select("digest", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(0xFFFFFFFF)).alias("t"))
+    several = posted.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = posted.join(several, "t").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("own"))
     own = own.filter(F.size("own") >= least)
     prefix = own.select("digest", F.posexplode(F.slice("own", 1, F.size("own") - least + 1)).alias("at", "p"), "own")
-    prefix = prefix.select("digest", F.col("p.k").alias("k"), F.col("p.v").alias("v"), F.get("own", F.col("at") - 1).alias("b"))
-    prefix = prefix.withColumn("before", F.xxhash64("b.k", "b.v")).drop("b")
-    prefix = stored(prefix, "prefixes")
-    shared = prefix.groupBy("k", "v").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").select("k", "v")
-    return stored(prefix.join(shared, ["k", "v"]).join(vertices.select("digest", "n"), "digest"), "lists")
+    prefix = stored(prefix.select("digest", F.col("p.t").alias("t"), F.get("own", F.col("at") - 1)["t"].alias("before")), "prefixes")
+    shared = prefix.groupBy("t").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").select("t")
+    return stored(prefix.join(shared, "t").join(vertices.select("digest", "n", *BITS), "digest"), "lists")
 
 
 def _sets_of(docs: DataFrame, listed: DataFrame, shingle: int) -> DataFrame:
@@ -151,22 +166,25 @@ def _confirmed(pairs: DataFrame, listed: DataFrame, sets: DataFrame, least: int,
     return near.join(items("a", "ia"), "a").join(items("b", "ib"), "b").select("a", "b", "ia", "ib").mapInArrow(run, "a binary, b binary")
 
 
-def _open(lists: DataFrame, label: DataFrame) -> DataFrame:
-    """The rows of ``lists`` with their component, of lists that hold several components."""
-    rows = lists.join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+def _open(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """The list rows with their component, of lists that hold several components."""
+    rows = rows.drop("label").join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     rows = stored(rows, "labelled")
-    many = rows.groupBy("k", "v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("k", "v")
-    return stored(rows.join(many, ["k", "v"], "left_semi"), "open-lists")
+    many = rows.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("t")
+    return stored(rows.join(many, "t", "left_semi"), "open-lists")
 
 
 def _may_link(percent: int):
+    """Different components, sizes near enough, and no more different parities than shingles may differ."""
     n, m = F.col("x.n"), F.col("y.n")
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.col("x.label") != F.col("y.label"))
+    bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in BITS), F.lit(0))
+    return ((F.col("x.label") != F.col("y.label")) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & ((100 + percent) * bits <= (100 - percent) * (n + m)))
 
 
 def _pairs(x: DataFrame, y: DataFrame, where) -> DataFrame:
     x, y = x.alias("x"), y.alias("y")
-    met = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.v") == F.col("y.v")) & where)
+    met = x.join(y, (F.col("x.t") == F.col("y.t")) & where)
     return met.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
 
 
@@ -174,21 +192,22 @@ def _links(lists: DataFrame, listed: DataFrame, sets: DataFrame, least: int, per
     """(node, label) of all vertices with a link."""
     spark = lists.sparkSession
     label = spark.createDataFrame([], "node binary, label binary")
-    links, turn, most = None, 0, 0
+    rows, links, found, turn, most = lists, None, 0, 0, 0
     while True:
-        rows = _open(lists, label)
-        each = rows.groupBy("k", "v", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("k", "v").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+        rows = _open(rows, label)  # a list that holds one component stays so
+        each = rows.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("t").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         size = each.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
         if not size[0]:
             break
-        last = size[1] <= MANY_PAIRS * size[0] or turn > 0 and 10 * found < most  # noqa: F821 - found is of the turn before
+        last = size[1] <= MANY_PAIRS * size[0] or turn > 0 and 10 * found < most
         if last:
             # where both have the same pair before this one they have met in its list
             once = F.col("x.before").isNull() | F.col("y.before").isNull() | (F.col("x.before") != F.col("y.before"))
             tried = _pairs(rows, rows, (F.col("x.digest") < F.col("y.digest")) & once & _may_link(percent))
         else:
-            centre = rows.groupBy("k", "v").agg(F.min(F.struct(F.xxhash64("digest", F.lit(turn)).alias("h"), "digest", "n", "label")).alias("c"))
-            tried = _pairs(centre.select("k", "v", "c.digest", "c.n", "c.label"), rows, _may_link(percent))
+            cols = ["digest", "n", "label", *BITS]
+            centre = rows.groupBy("t").agg(F.min(F.struct(F.xxhash64("digest", F.lit(turn)).alias("h"), *cols)).alias("c"))
+            tried = _pairs(centre.select("t", *[f"c.{c}" for c in cols]), rows, _may_link(percent))
         new = stored(_confirmed(tried, listed, sets, least, percent), "found-links")
         found = new.count()
         most = max(most, found)
@@ -206,7 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     least = threshold(percent)
     signed = stored(_signed(docs, shingle), "signatures")
     rows = signed.select("doc_id", "th", "digest", F.col("n").alias("n_shingles"))
-    vertices = signed.filter("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    vertices = signed.filter("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"), *[F.first(c).alias(c) for c in BITS])
     vertices = stored(vertices, "vertices")
     lists = _lists(vertices, least)
     listed = stored(vertices.join(lists.select("digest").distinct(), "digest"), "listed")
