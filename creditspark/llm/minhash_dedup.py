@@ -13,7 +13,7 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
    vertices that agree in enough coordinates share one of these.
    Pairs of one list go on if their sizes, and the parities of their shingles by hash bits, let them be so similar.
 5. Skip.  The long lists, which the prefix leaves out, are not merged: candidates from the short ones are held against
-   each other's whole signature, and those with fewer collisions than the threshold go.
+   each other's whole signature, in its lowest byte per coordinate, and those with fewer collisions than the threshold go.
 6. What is left is confirmed on whole sets, made again from the texts of the listed vertices alone.
 
 A list of many vertices is not paired within itself.  First each list's centre, the vertex with its least hash, is
@@ -38,15 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditspark.llm.common import components, stored
+from creditspark.llm.common import components, small, stored
 from creditspark.llm.shingles import blocks, shingle_sets
 
 COORDINATES = 96
 LOSS = 1e-7
 #: Parity bits of a set, in columns of 64.
 BITS = ["b0", "b1", "b2", "b3"]
-#: Pairs for each listed vertex from which another turn of centres comes before all pairs.
-MANY_PAIRS = 8
+#: Pairs for each listed vertex from which another turn of centres comes before all pairs.  Most fall to the bounds of ``_may_link``.
+MANY_PAIRS = 256
 
 
 @cache
@@ -102,7 +102,7 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, th, digest, n, sig, BITS) of every row."""
+    """(doc_id, th, digest, n, sig, low, BITS) of every row; ``low`` has the lowest byte of each coordinate."""
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +111,12 @@ def _signed(docs: DataFrame, shingle: int) -> DataFrame:
                 sets = shingle_sets(b.column(2), shingle)
                 sig, odd = signatures(sets).view(np.int32), parities(sets)
                 at = np.arange(0, sig.size + 1, COORDINATES, dtype=np.int32)
+                low = [x.tobytes() for x in sig.astype(np.uint8)]
                 yield pa.RecordBatch.from_arrays([
                     b.column(0), b.column(1), pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(at), pa.array(sig.ravel())), *[pa.array(odd[:, i]) for i in range(len(BITS))]], ["doc_id", "th", "digest", "n", "sig", *BITS])
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(sig.ravel())), pa.array(low, pa.binary()), *[pa.array(odd[:, i]) for i in range(len(BITS))]], ["doc_id", "th", "digest", "n", "sig", "low", *BITS])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"{key}, th long, digest binary, n long, sig array<int>, " + ", ".join(f"{c} long" for c in BITS))
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"{key}, th long, digest binary, n long, sig array<int>, low binary, " + ", ".join(f"{c} long" for c in BITS))
 
 
 def _lists(vertices: DataFrame, least: int) -> DataFrame:
@@ -149,12 +150,12 @@ def _sets_of(docs: DataFrame, listed: DataFrame, shingle: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, listed: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
     """The pairs (a, b) that collide often enough and are as similar as that on their whole sets."""
-    sig = lambda v, s: listed.select(F.col("digest").alias(v), F.col("sig").alias(s))
-    hits = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    near = stored(pairs.join(sig("a", "sa"), "a").join(sig("b", "sb"), "b").filter(hits >= least).select("a", "b"), "collided")
-    items = lambda v, s: sets.select(F.col("digest").alias(v), F.col("items").alias(s))
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in batch.columns[2:])
+            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
@@ -163,12 +164,17 @@ def _confirmed(pairs: DataFrame, listed: DataFrame, sets: DataFrame, least: int,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return near.join(items("a", "ia"), "a").join(items("b", "ib"), "b").select("a", "b", "ia", "ib").mapInArrow(run, "a binary, b binary")
+    def with_both(pairs: DataFrame, of: DataFrame, col: str) -> DataFrame:
+        side = lambda v: of.select(F.col("digest").alias(v), F.col(col).alias(f"{col}_{v}"))
+        return small(pairs).join(side("a"), "a").join(side("b"), "b").select("a", "b", f"{col}_a", f"{col}_b")
+
+    near = stored(with_both(stored(pairs, "pairs"), listed, "low").mapInArrow(hits, "a binary, b binary"), "collided")
+    return with_both(near, sets, "items").mapInArrow(similar, "a binary, b binary")
 
 
 def _open(rows: DataFrame, label: DataFrame) -> DataFrame:
     """The list rows with their component, of lists that hold several components."""
-    rows = rows.drop("label").join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    rows = rows.drop("label").join(small(label.withColumnRenamed("node", "digest")), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     rows = stored(rows, "labelled")
     many = rows.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("t")
     return stored(rows.join(many, "t", "left_semi"), "open-lists")
@@ -190,16 +196,17 @@ def _pairs(x: DataFrame, y: DataFrame, where) -> DataFrame:
 
 def _links(lists: DataFrame, listed: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
     """(node, label) of all vertices with a link."""
-    spark = lists.sparkSession
-    label = spark.createDataFrame([], "node binary, label binary")
-    rows, links, found, turn, most = lists, None, 0, 0, 0
-    while True:
-        rows = _open(rows, label)  # a list that holds one component stays so
-        each = rows.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("t").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        size = each.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        if not size[0]:
-            break
-        last = size[1] <= MANY_PAIRS * size[0] or turn > 0 and 10 * found < most
+    label = lists.sparkSession.createDataFrame([], "node binary, label binary")
+    rows, links, found, turn, most, last = lists.withColumn("label", F.col("digest")), None, 0, 0, 0, False
+    while not last:
+        if found:
+            rows = _open(rows, label)  # a list that holds one component stays so
+        if turn:
+            each = rows.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("t").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+            size = each.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+            if not size[0]:
+                break
+            last = size[1] <= MANY_PAIRS * size[0] or 10 * found < most or not found
         if last:
             # where both have the same pair before this one they have met in its list
             once = F.col("x.before").isNull() | F.col("y.before").isNull() | (F.col("x.before") != F.col("y.before"))
@@ -215,8 +222,6 @@ def _links(lists: DataFrame, listed: DataFrame, sets: DataFrame, least: int, per
         if found:
             links = new if links is None else links.unionByName(new)
             label = stored(components(links, "a", "b"), "labels")
-        if last:
-            break
     return label
 
 
@@ -225,10 +230,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     least = threshold(percent)
     signed = stored(_signed(docs, shingle), "signatures")
     rows = signed.select("doc_id", "th", "digest", F.col("n").alias("n_shingles"))
-    vertices = signed.filter("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"), *[F.first(c).alias(c) for c in BITS])
+    vertices = signed.filter("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("low").alias("low"), *[F.first(c).alias(c) for c in BITS])
     vertices = stored(vertices, "vertices")
     lists = _lists(vertices, least)
-    listed = stored(vertices.join(lists.select("digest").distinct(), "digest"), "listed")
+    listed = stored(vertices.select("digest", "one", "low").join(lists.select("digest").distinct(), "digest"), "listed")
     label = _links(lists, listed, _sets_of(docs, listed, shingle), least, percent)
     # a vertex without a link is its own component
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
