@@ -13,7 +13,7 @@ Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their set
    vertices that agree in enough coordinates share one of these.
    Pairs of one list go on if their sizes, and the parities of their shingles by hash bits, let them be so similar.
 5. Skip.  The long lists, which the prefix leaves out, are not merged: candidates from the short ones are held against
-   each other's whole signature, in its lowest byte per coordinate, and those with fewer collisions than the threshold go.
+   each other's whole signature, in its lowest byte per coordinate, and those with fewer collisions than the threshold, or with more different parities than may be, go.
 6. What is left is confirmed on whole sets, made again from the texts of the listed vertices alone.
 
 A list of many vertices is not paired within itself.  First each list's centre, the vertex with its least hash, is
@@ -43,7 +43,8 @@ from creditspark.llm.shingles import blocks, shingle_sets
 
 COORDINATES = 96
 LOSS = 1e-7
-#: Parity bits of a set, in columns of 64.
+#: Parity bits of a set; and the same by the remainder of their place, in columns of 64.
+PARITIES = 1024
 BITS = ["b0", "b1", "b2", "b3"]
 #: Pairs for each listed vertex from which another turn of centres comes before all pairs.  Most fall to the bounds of ``_may_link``.
 MANY_PAIRS = 256
@@ -84,25 +85,30 @@ def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.nda
     return out
 
 
-def parities(sets: list[np.ndarray], bits: int = 64 * len(BITS)) -> np.ndarray:
+def parities(sets: list[np.ndarray], bits: int = PARITIES) -> np.ndarray:
     """One line of ``bits`` parities per set, as 64-bit numbers: how many shingles have each value of their upper bits.
     Two sets differ in as many bits, at most, as in shingles."""
     out = np.zeros((len(sets), bits // 64), np.int64)
-    for lo in range(0, len(sets), 1024):
-        part = sets[lo:lo + 1024]
+    for lo in range(0, len(sets), 256):
+        part = sets[lo:lo + 256]
         every = np.concatenate(part).view(np.uint64)
         cell = np.repeat(np.arange(len(part)), [len(s) for s in part]) * bits + (every >> np.uint64(40)).astype(np.int64) % bits
         odd = (np.bincount(cell, minlength=len(part) * bits) & 1).astype(np.uint8)
-        out[lo:lo + 1024] = np.packbits(odd).view(np.int64).reshape(len(part), -1)
+        out[lo:lo + 256] = np.packbits(odd).view(np.int64).reshape(len(part), -1)
     return out
 
 
+def folded(odd: np.ndarray) -> np.ndarray:
+    """Parities by fewer bits."""
+    return np.bitwise_xor.reduce(odd.reshape(len(odd), -1, len(BITS)), axis=1)
+
+
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, th, digest, n, sig, low, BITS) of every row; ``low`` has the lowest byte of each coordinate."""
+    """(doc_id, th, digest, n, sig, low, BITS) of every row; ``low`` has the lowest byte of each coordinate and the parities."""
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +117,8 @@ def _signed(docs: DataFrame, shingle: int) -> DataFrame:
                 sets = shingle_sets(b.column(2), shingle)
                 sig, odd = signatures(sets).view(np.int32), parities(sets)
                 at = np.arange(0, sig.size + 1, COORDINATES, dtype=np.int32)
-                low = [x.tobytes() for x in sig.astype(np.uint8)]
+                low = [x.tobytes() + y.tobytes() for x, y in zip(sig.astype(np.uint8), odd)]
+                odd = folded(odd)
                 yield pa.RecordBatch.from_arrays([
                     b.column(0), b.column(1), pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(sig.ravel())), pa.array(low, pa.binary()), *[pa.array(odd[:, i]) for i in range(len(BITS))]], ["doc_id", "th", "digest", "n", "sig", "low", *BITS])
@@ -152,8 +159,11 @@ def _confirmed(pairs: DataFrame, listed: DataFrame, sets: DataFrame, least: int,
     """The pairs (a, b) that collide often enough and are as similar as that on their whole sets."""
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in batch.columns[2:])
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in batch.columns[2:4])
+            collided = (x[:, :COORDINATES] == y[:, :COORDINATES]).sum(axis=1) >= least
+            differ = np.bitwise_count(x[:, COORDINATES:] ^ y[:, COORDINATES:]).sum(axis=1, dtype=np.int64)
+            n = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array(collided & ((100 + percent) * differ <= (100 - percent) * n)))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,12 +174,13 @@ def _confirmed(pairs: DataFrame, listed: DataFrame, sets: DataFrame, least: int,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    def with_both(pairs: DataFrame, of: DataFrame, col: str) -> DataFrame:
-        side = lambda v: of.select(F.col("digest").alias(v), F.col(col).alias(f"{col}_{v}"))
-        return small(pairs).join(side("a"), "a").join(side("b"), "b").select("a", "b", f"{col}_a", f"{col}_b")
+    def with_both(pairs: DataFrame, of: DataFrame, *cols: str) -> DataFrame:
+        side = lambda v: of.select(F.col("digest").alias(v), *[F.col(c).alias(f"{c}_{v}") for c in cols])
+        return small(pairs).join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{v}" for c in cols for v in "ab"])
 
-    near = stored(with_both(stored(pairs, "pairs"), listed, "low").mapInArrow(hits, "a binary, b binary"), "collided")
-    return with_both(near, sets, "items").mapInArrow(similar, "a binary, b binary")
+    near = stored(with_both(stored(pairs, "pairs"), listed, "low", "n").mapInArrow(hits, "a binary, b binary"), "collided")
+    met = small(stored(near.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "met"))
+    return with_both(near, sets.join(met, "digest", "left_semi"), "items").mapInArrow(similar, "a binary, b binary")
 
 
 def _open(rows: DataFrame, label: DataFrame) -> DataFrame:
@@ -233,7 +244,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     vertices = signed.filter("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("low").alias("low"), *[F.first(c).alias(c) for c in BITS])
     vertices = stored(vertices, "vertices")
     lists = _lists(vertices, least)
-    listed = stored(vertices.select("digest", "one", "low").join(lists.select("digest").distinct(), "digest"), "listed")
+    listed = stored(vertices.select("digest", "one", "low", "n").join(lists.select("digest").distinct(), "digest"), "listed")
     label = _links(lists, listed, _sets_of(docs, listed, shingle), least, percent)
     # a vertex without a link is its own component
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
