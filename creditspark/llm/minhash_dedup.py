@@ -141,7 +141,7 @@ def _lists(vertices: DataFrame, least: int) -> DataFrame:
 
 def _sets_of(docs: DataFrame, listed: DataFrame, shingle: int) -> DataFrame:
     """(digest, items) of the listed vertices, each made from the text of one of its rows."""
-    one = listed.select(F.col("one.doc_id").alias("one_id"), F.col("one.th").alias("one_th"))
+    one = small(stored(listed.select(F.col("one.doc_id").alias("one_id"), F.col("one.th").alias("one_th")).distinct(), "one-row"), 300_000)
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     texts = texts.join(one, texts["doc_id"].eqNullSafe(one["one_id"]) & (texts["th"] == one["one_th"]), "left_semi").select("text")
 
