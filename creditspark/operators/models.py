@@ -11,8 +11,8 @@
   ``VectorSlicer``) from a driver thread pool.
 * VIF: X'WX accumulated as one aggregate over rows ((k+1)(k+2)/2 sums),
   inverted on the driver (k x k, k = number of predictors).
-* Trees: ``RandomForestClassifier`` / ``GBTClassifier``; boosting rounds are
-  chosen by k-fold ``evaluateEachIteration`` (log-loss per round).
+* Trees: ``trees.py`` (histogram forests, second-order boosting and their
+  cross-validation); ``RandomForestClassifier`` / ``GBTClassifier`` are offered beside it.
 * Kernel SVM re-aimed as random Fourier features (Rahimi & Recht 2007):
   z(x) = sqrt(2/D) cos(xW + b) by one matrix product per Arrow batch, then ``LinearSVC``.
 """
@@ -27,15 +27,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LinearSVC, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditspark.operators.cache import persist, release
+from creditspark.operators.trees import kappa
 from creditspark.session import scratch_path
 
 INTERCEPT = "(Intercept)"
@@ -288,36 +287,6 @@ def auc_per_round(model, valid: DataFrame, label: str, digits: int | None = None
     return {r["round"]: r["auc"] for r in auc_by_group(margins, ["round"], "margin", label).collect()}
 
 
-def boosting_cv(data: DataFrame, key: str, label: str, nfold: int = 5, rounds: int = 300,
-                parallelism: int = 4, **gbt_args):
-    """ML11: per round, mean / sd over k folds of the validation log-loss and AUC.
-
-    Folds come from a hash of ``key``; the fold models are fitted concurrently
-    from ``parallelism`` driver threads (each fit is its own series of Spark
-    jobs).  Returns (rows, best_round) with the best round by mean AUC, the
-    reference's CV metric.
-    """
-    with_fold = persist(data.withColumn("__fold", fold_column(key, nfold)))
-
-    def one(f):
-        tr = with_fold.filter(F.col("__fold") != f)
-        va = with_fold.filter(F.col("__fold") == f)
-        m = boosted_trees(tr, label, rounds=rounds, **gbt_args)
-        aucs = auc_per_round(m, va, label)
-        return m.evaluateEachIteration(va), [np.nan if aucs.get(i + 1) is None else aucs[i + 1] for i in range(rounds)]
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        res = list(pool.map(one, range(nfold)))
-    release(with_fold)
-    losses = np.array([r[0] for r in res])
-    aucs = np.array([r[1] for r in res], float)
-    aucs = aucs[~np.isnan(aucs).all(axis=1)]  # a fold of one class has no AUC
-    mean, sd = (aucs.mean(axis=0), aucs.std(axis=0)) if len(aucs) else (np.full(rounds, np.nan),) * 2
-    rows = [(i + 1, float(losses[:, i].mean()), float(losses[:, i].std()), float(mean[i]), float(sd[i])) for i in range(losses.shape[1])]
-    best = int(np.argmax(mean)) + 1 if len(aucs) else int(np.argmin(losses.mean(axis=0))) + 1
-    return rows, best
-
-
 # --------------------------------------------------------------------------- SVMs (ML13, ML14)
 
 def linear_svm(train: DataFrame, label: str, reg: float = 0.0, max_iter: int = 100):
@@ -368,51 +337,3 @@ def svm_grid(train: DataFrame, features: list[str], label: str, key: str, costs:
         release(z)
     best = max(rows, key=lambda t: t[2])
     return rows, (best[0], best[1])
-
-
-# --------------------------------------------------------------------------- CV grid (ML15, ML16)
-
-def grid_search_rf(train: DataFrame, label: str, mtry_values: list[int], num_trees: int = 100,
-                   folds: int = 5, seed: int = 100, parallelism: int = 4, key: str = "application_id", max_depth: int = 10):
-    """ML15: CrossValidator over RF mtry, folds from a hash of ``key`` (reproducible, partition
-    independent).  Returns (cv_model, [(mtry, accuracy, kappa)]): accuracy is the
-    CrossValidator's average; kappa is averaged over the same folds from the sub-models'
-    validation confusion matrices (EV3, one aggregate per fold and setting).
-    """
-    data = train.withColumn("__fold", fold_column(key, folds, seed))
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed, maxDepth=max_depth)
-    grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, [str(m) for m in mtry_values]).build()
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol="__fold", numFolds=folds,
-                        parallelism=parallelism, seed=seed, collectSubModels=True)
-    m = cv.fit(data)
-    kappas = [0.0] * len(grid)
-    for f, fold_models in enumerate(m.subModels):
-        # every setting's sub-model scores the fold in one projection; one aggregate counts all matrices
-        scored = data.filter(F.col("__fold") == f).select("features", F.col(label).cast("int").alias("__y"))
-        for j, sub in enumerate(fold_models):
-            scored = (sub.copy().setPredictionCol(f"__p{j}").setRawPredictionCol(f"__raw{j}")
-                      .setProbabilityCol(f"__prob{j}").transform(scored))
-        y = F.col("__y")
-        aggs = []
-        for j in range(len(fold_models)):
-            p = F.col(f"__p{j}").cast("int")
-            aggs += [F.count_if((p == 0) & (y == 0)).alias(f"tn{j}"), F.count_if((p == 0) & (y == 1)).alias(f"fn{j}"),
-                     F.count_if((p == 1) & (y == 0)).alias(f"fp{j}"), F.count_if((p == 1) & (y == 1)).alias(f"tp{j}")]
-        r = scored.agg(*aggs).first()
-        for j in range(len(fold_models)):
-            kappas[j] += kappa(r[f"tn{j}"], r[f"fn{j}"], r[f"fp{j}"], r[f"tp{j}"]) / folds
-    rows = [(int(p[rf.featureSubsetStrategy]), float(a), float(k)) for p, a, k in zip(grid, m.avgMetrics, kappas)]
-    return m, rows
-
-
-def kappa(tn: int, fn: int, fp: int, tp: int) -> float:
-    """Cohen's kappa of a 2 x 2 confusion matrix (same formula as ``evaluate.confusion``)."""
-    n = float(tn + fn + fp + tp)
-    if n == 0:
-        return 0.0
-    po = (tn + tp) / n
-    pe = ((tn + fn) * (tn + fp) + (fp + tp) * (fn + tp)) / (n * n)
-    return (po - pe) / (1.0 - pe) if pe != 1.0 else 0.0
-
-

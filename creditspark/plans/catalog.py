@@ -45,4 +45,4 @@ def load_all() -> None:
     """Import every query module so their ``register`` calls run."""
     from creditspark.plans import (  # noqa: F401
         queries_io, queries_quality, queries_prep, queries_profile, queries_woe,
-        queries_sampling, queries_models, queries_evaluate, queries_scorecard, queries_closed_form)
+        queries_sampling, queries_models, queries_evaluate, queries_scorecard, queries_closed_form, queries_trees)

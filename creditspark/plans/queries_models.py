@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from creditspark.functions.columns import predict_at
 from creditspark.operators import models as M
+from creditspark.operators import trees as T
 from creditspark.operators.cache import persist
 from creditspark.operators import scorecard as SC
 from creditspark.plans.catalog import r6, register
@@ -35,6 +36,8 @@ RFF_SIGMA = 0.022
 RFF_COMPONENTS = 256
 SVM_COSTS, SVM_SIGMAS, SVM_FOLDS = [1.0, 2.0, 3.0], [0.01, 0.02], 2
 GBT_CUTOFF = 0.195
+REJECT_CUTOFF, REJECT_TUNED_CUTOFF = 0.32, 0.27
+CV_FOLDS = 5
 
 _designs: dict = {}
 
@@ -159,53 +162,52 @@ def vif(spark, d):
     return spark.createDataFrame(M.vif(des.balanced, fit), "variable string, vif double")
 
 
+def _matrix(des, folds: int = 1):
+    """The balanced rows as binned blocks; folds hash the applicant key, so copies of one applicant stay together."""
+    return T.binned(des.balanced, des.features, "tag", "application_id", M.fold_column("application_id", folds) if folds > 1 else None)
+
+
 def _rf(spark, d):
     des = _design(spark, d)
-    model = M.random_forest(des.vectors("balanced"), "tag", num_trees=RF_TREES, mtry=RF_MTRY)
-    return des, model
+    return des, T.forest(_matrix(des), RF_TREES, RF_MTRY)
 
 
 @register("rf_prob")
 def rf_prob(spark, d):
     """ML7/ML8: random forest (350 trees, mtry 8) class-1 probability on the holdout."""
     des, model = _rf(spark, d)
-    pred = model.transform(des.vectors("test"))
-    return _holdout(des, pred, M.positive_probability(pred).alias("prob"))
+    return _holdout(des, model.score(des.test, "application_id"), "prob")
 
 
 @register("rf_importance")
 def rf_importance(spark, d):
     """ML9: random forest importance (normalised impurity decrease), ranked."""
-    des, model = _rf(spark, d)
-    return M.importance_table(spark, model, des.features)
+    return T.importance_table(spark, _rf(spark, d)[1])
 
 
 def _gbt(spark, d):
     des = _design(spark, d)
-    model = M.boosted_trees(des.vectors("balanced"), "tag", rounds=GBT_ROUNDS)
-    return des, model
+    return des, T.boost(_matrix(des), T.Boost(rounds=GBT_ROUNDS))[0]
 
 
 @register("gbt_prob")
 def gbt_prob(spark, d):
-    """ML10/ML12: boosted trees (eta .7, depth 3, 193 rounds, balanced rows): holdout probability, class at .195."""
+    """ML10/ML12: boosted trees (eta .7, gamma 5, depth 3, child weight 2, 193 rounds): holdout probability, class at .195."""
     des, model = _gbt(spark, d)
-    pred = model.transform(des.vectors("test"))
-    return _holdout(des, pred, M.positive_probability(pred).alias("prob")).withColumn("pred", predict_at("prob", GBT_CUTOFF))
+    return _holdout(des, model.score(des.test, "application_id"), "prob").withColumn("pred", predict_at("prob", GBT_CUTOFF))
 
 
 @register("gbt_importance")
 def gbt_importance(spark, d):
-    """ML12: boosted-tree importance, ranked."""
-    des, model = _gbt(spark, d)
-    return M.importance_table(spark, model, des.features)
+    """ML12: boosted-tree importance by gain, ranked."""
+    return T.importance_table(spark, _gbt(spark, d)[1])
 
 
 @register("gbt_cv")
 def gbt_cv(spark, d):
     """ML11: 5-fold CV of boosting: per round mean / sd validation log-loss and AUC, best round by AUC."""
     des = _design(spark, d)
-    rows, best = M.boosting_cv(des.vectors("balanced"), "application_id", "tag", nfold=5, rounds=CV_ROUNDS)
+    rows, best = T.boost_cv(_matrix(des, CV_FOLDS), T.Boost(rounds=CV_ROUNDS), CV_FOLDS)
     return spark.createDataFrame(
         [(r, ml, sl, ma, sa, r == best) for r, ml, sl, ma, sa in rows],
         "round int, mean_logloss double, sd_logloss double, mean_auc double, sd_auc double, is_best boolean")
@@ -253,27 +255,32 @@ def svm_cv_predict(spark, d):
     return _rff(des, sigma, cost)
 
 
-def _grid(spark, d):
-    des = _design(spark, d)
-    # folds hash the applicant key: bootstrap copies of one applicant never straddle folds
-    vec = des.vectors("balanced")
-    cvm, table = M.grid_search_rf(vec, "tag", RF_GRID, num_trees=RF_TREES, folds=5, key="application_id")
-    return des, cvm, table
+def _grid(des, n_trees: int):
+    """(matrix, [(mtry, accuracy, kappa)])"""
+    m = _matrix(des, CV_FOLDS)
+    return m, T.forest_cv(m, RF_GRID, n_trees, CV_FOLDS)
+
+
+def _best_forest(des, n_trees: int):
+    """The forest of the grid's best mtry (the first at equal accuracy), on all balanced rows."""
+    m, table = _grid(des, n_trees)
+    return T.forest(m, n_trees, max(table, key=lambda t: t[1])[0])
+
+
+GRID = "mtry int, accuracy double, kappa double"
 
 
 @register("grid_cv")
 def grid_cv(spark, d):
     """ML15: 5-fold cross-validated grid over random-forest mtry: accuracy and kappa per setting."""
-    _, _, table = _grid(spark, d)
-    return spark.createDataFrame(table, "mtry int, accuracy double, kappa double")
+    return spark.createDataFrame(_grid(_design(spark, d), RF_TREES)[1], GRID)
 
 
 @register("cv_predict")
 def cv_predict(spark, d):
     """ML16: the cross-validated best model's holdout predictions."""
-    des, cvm, _ = _grid(spark, d)
-    pred = cvm.bestModel.transform(des.vectors("test"))
-    return _holdout(des, pred, M.positive_probability(pred).alias("prob"))
+    des = _design(spark, d)
+    return _holdout(des, _best_forest(des, RF_TREES).score(des.test, "application_id"), "prob")
 
 
 def _augmented(spark, d):
@@ -300,8 +307,21 @@ def reject_retrain(spark, d):
 
 @register("reject_forest")
 def reject_forest(spark, d):
-    """RJ4: random forest (500 trees, mtry 5) on the augmented population: holdout probability."""
+    """RJ4: random forest (500 trees, mtry 5) on the augmented population: holdout probability, class at .32."""
+    des = _augmented(spark, d)
+    model = T.forest(_matrix(des), REJECT_TREES, REJECT_MTRY)
+    return _holdout(des, model.score(des.test, "application_id"), "prob").withColumn("pred", predict_at("prob", REJECT_CUTOFF))
+
+
+@register("reject_grid_cv")
+def reject_grid_cv(spark, d):
+    """RJ4: the 5-fold grid over mtry on the augmented population."""
+    return spark.createDataFrame(_grid(_augmented(spark, d), REJECT_TREES)[1], GRID)
+
+
+@register("reject_cv_predict")
+def reject_cv_predict(spark, d):
+    """RJ4: the best forest of that grid: holdout probability, class at .27."""
     des = _augmented(spark, d)
-    model = M.random_forest(des.vectors("balanced"), "tag", num_trees=REJECT_TREES, mtry=REJECT_MTRY)
-    pred = model.transform(des.vectors("test"))
-    return _holdout(des, pred, M.positive_probability(pred).alias("prob"))
+    pred = _best_forest(des, REJECT_TREES).score(des.test, "application_id")
+    return _holdout(des, pred, "prob").withColumn("pred", predict_at("prob", REJECT_TUNED_CUTOFF))
