@@ -1,21 +1,25 @@
 """Documents scored by masked pseudo-likelihood.
 
-Every word is predicted from the words on both its sides by a small window network, trained in numpy:
-``hidden = tanh(sum of one table per place around the word)``, a softmax over word classes, then a binary tree
-over the words of the class in which every turn is a sigmoid of the same hidden layer.  A document's score is the
-sum of the logarithms over all its words.
+Every word is predicted from the words on both its sides by a window network without hidden layer, in numpy: words are the leaves
+of a tree of three levels with ``width`` branches each, and at every level the branch is a softmax of the branch's prior and, for each
+place around the word, one row of weights chosen by the neighbour, times a gain.  A document's score is the sum of the logarithms
+over all its words.
 
 1. Spark counts the distinct words; the counts stay a table.  The most frequent words (HEAD, or WIDTH times
    the root of the number of distinct words if that is more) are leaves of their own; the rarer ones share a quarter
    as many leaves by their hash, and within such a leaf a word has its share of the leaf's count, joined from the table.
-2. The OWN largest leaves are classes, the others lie in SHARED classes of like frequency.  Before training
-   the model is the unigram model.
-3. Documents as leaf numbers are dealt into parts of about GROUP words, whatever the partitions of the input.  In each
-   of MASK rounds every part trains on one in MASK words of each text, from the last averaged weights; after all
-   rounds every word was a target once.  A row of weights is averaged over the parts that touched it.
+   Leaves are dealt to the branches in turn by their frequency, so that frequent words are apart on every level.
+2. The first level sees two neighbours on either side, each as its leaf; the second, of one branch, the next neighbours by the
+   first two levels of their own place in the tree; the third, of one twig, by the first.
+3. Training makes every word a target in both its passes.  The first counts (row, branch) pairs; a weight is the logarithm of how
+   much more often than by chance the branch follows, drawn to 0 where that is rare.  The second sums gradient and curvature
+   of the corpus' log-likelihood in the gains, which take a Newton step (the problem is concave).
 4. Every word of every document is scored.
 
-The leaves' weights are collected and broadcast; they grow with the root of the number of distinct words.
+Both passes only add numbers up, so the model does not depend on how the corpus is cut into partitions.  Tasks send counts as
+compressed blocks by slot, which are added up FAN at a time, so no task reads a block of every other.
+
+The weights are broadcast; they grow with the number of leaves to the power 4/3, that is with the distinct words' to 2/3.
 
 Null texts and texts without words have 0 words, score 0 and no mean.  Repeated rows get equal scores up to rounding.
 An empty table returns no rows.  Columns besides ``doc_id`` and ``text`` are not read.
@@ -33,30 +37,21 @@ from pyspark.sql import functions as F
 
 from creditspark.llm.common import stored
 from creditspark.llm.shingles import blocks, word_hashes
+from creditspark.llm.token_alignment import _spread as spread
+from creditspark.llm.token_alignment import _squeezed as squeezed
 
 HEAD, WIDTH = 1 << 15, 32
-OWN, SHARED = 160, 32
-CLASSES = OWN + SHARED
-PLACES = (-2, -1, 1, 2)
-HIDDEN = 24
-#: A row of weights: one per hidden unit and, where rows are outputs, the constant.
-ROW = HIDDEN + 1
-MASK = 4
-GROUP = 16 << 20
-STEP, RATE = 2048, .08
-SLOT = 2048
-PAST = {"table": 1e-8, "bias": 1e-4, "out": 1e-4, "node": 1e-8}
-
-
-def start(leaves: int = CLASSES, seed: int = 5) -> dict[str, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    net = {"table": rng.standard_normal((len(PLACES) * (leaves + 1), ROW)) * .1, "bias": np.zeros((1, ROW)), "out": rng.standard_normal((CLASSES, ROW)) * .1}
-    net["out"][:, -1] = 0
-    return {k: v.astype(np.float32) for k, v in net.items()}
+#: Neighbours that each level sees.
+PLACES = ((-2, -1, 1, 2), (-1, 1), (-1, 1))
+#: Counts by which a weight is drawn to 0, and the gains before training.
+SMOOTH, START = 2.0, 0.5
+STEP = 4096
+#: Cells of a slot, and blocks that one task adds up.
+SLOT, FAN = 1 << 17, 64
 
 
 class Vocabulary:
-    """Leaf of each word, and each leaf's class and place in the tree of its class."""
+    """Leaf of each word, and the leaves' places in the tree."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, rest: np.ndarray):
         """``words`` (sorted hashes) with their counts, and the summed counts of the leaves of rarer words."""
@@ -67,28 +62,36 @@ class Vocabulary:
         leaf[order] = np.arange(len(n))
         self.leaf, self.rest_leaf = leaf[:len(words)], leaf[len(words):]
         n = n[order]
-        mass = np.cumsum(n[OWN:])
-        shared = OWN + np.minimum(((mass - n[OWN:]) / max(mass[-1], 1) * SHARED).astype(np.int64), SHARED - 1) if len(mass) else np.zeros(0, np.int64)
-        self.classes = np.concatenate([np.arange(min(OWN, len(n))), shared]).astype(np.int32)
-        first = np.searchsorted(self.classes, np.arange(CLASSES + 1))
-        m = np.diff(first)
-        # a class is a heap: inner nodes 1 to m - 1, leaves m to 2m - 1; its nodes are numbered from its first leaf on
-        self.base = first[self.classes].astype(np.int64)
-        self.heap = (m[self.classes] + np.arange(len(n)) - self.base).astype(np.int64)
-        self.depth = int(self.heap.max()).bit_length() - 1 if len(n) else 0
-        total = np.bincount(self.classes, weights=n, minlength=CLASSES)
-        self.prior = np.log(np.maximum(total / max(total.sum(), 1), 1e-13))
-        self.turn = np.zeros(len(n))
-        for c in range(OWN, CLASSES):
-            k = m[c]
-            heap = np.zeros(2 * k + 1)
-            heap[k:2 * k] = n[first[c]:first[c + 1]] + 1e-3
-            for level in range(int(k).bit_length(), -1, -1):
-                p = np.arange(1 << level, min(2 << level, k))
-                heap[p] = heap[2 * p] + heap[2 * p + 1]
-            p = np.arange(1, k)
-            self.turn[first[c] + p] = np.log(heap[2 * p + 1] / heap[2 * p])
         self.log_n = np.log(np.maximum(n, 1))
+        self.width = w = max(2, int(np.ceil(round(len(n) ** (1 / 3), 9))))
+        r = np.arange(len(n) + 1)
+        #: Of every leaf, and of the edge of a text (the last): its branch, twig, and leaf on the twig.
+        self.branch, self.twig = np.append(r[:-1] % w, w).astype(np.int32), np.append(r[:-1] % (w * w), w * w).astype(np.int32)
+        #: Per level: the node where the level's choice is made, and the choice.
+        self.node = (np.zeros(len(n), np.int32), self.branch[:-1], self.twig[:-1])
+        self.choice = (self.branch[:-1], (self.twig[:-1] // w).astype(np.int32), (r[:-1] // (w * w)).astype(np.int32))
+        self.prior = []
+        for level in range(3):
+            sums = np.bincount(self.node[level].astype(np.int64) * w + self.choice[level], weights=np.maximum(n, 1e-9), minlength=w ** (level + 1)).astype(float).reshape(-1, w)
+            total = sums.sum(axis=1, keepdims=True)
+            p = np.divide(sums, total, out=np.zeros_like(sums), where=total > 0)
+            self.prior.append(np.log(np.maximum(p, 1e-30)).astype(np.float32))
+
+    def rows(self) -> tuple[int, int, int]:
+        """Rows of weights for one place of each level: by leaf; by branch and neighbour's twig; by twig and neighbour's branch."""
+        w = self.width
+        return self.size + 1, w * (w * w + 1), w * w * (w + 1)
+
+    def tables(self) -> list[tuple[int, int, int]]:
+        """(level, place, rows) of every table of weights."""
+        return [(level, p, self.rows()[level]) for level, places in enumerate(PLACES) for p in places]
+
+    def row(self, level: int, target: np.ndarray, beside: np.ndarray) -> np.ndarray:
+        """The row of weights that a neighbour chooses for the node of the target."""
+        if level == 0:
+            return beside
+        w = self.width
+        return self.branch[target] * (w * w + 1) + self.twig[beside] if level == 1 else self.twig[target] * (w + 1) + self.branch[beside]
 
     def encode(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words' leaves, and whether they share them."""
@@ -99,104 +102,73 @@ class Vocabulary:
             leaf[rare] = self.rest_leaf[(words[rare] % np.uint64(self.n_rest)).astype(np.int64)]
         return leaf, rare
 
-    def net(self) -> dict[str, np.ndarray]:
-        """The unigram model."""
-        net = start(self.size)
-        net["out"][:, -1] = self.prior
-        net["node"] = np.zeros((self.size, ROW), np.float32)
-        net["node"][:, -1] = self.turn
-        return net
-
-    def path(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes from each leaf up, whether the path turns right there, and which of them are real."""
-        heap = self.heap[leaf][:, None] >> np.arange(self.depth + 1)
-        real = heap[:, 1:] > 0
-        return np.where(real, self.base[leaf][:, None] + heap[:, 1:], 0), (heap[:, :-1] & 1).astype(np.float32), real
-
 
-def around(classes: np.ndarray, at: np.ndarray, edge: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+class Network:
+    """Weights per table, and their gains."""
+
+    def __init__(self, v: Vocabulary, counts: list[np.ndarray]):
+        self.weights, self.gains = [], [np.full(len(p), START) for p in PLACES]
+        for (level, _, rows), n in zip(v.tables(), counts):
+            n = n.reshape(rows, v.width)
+            node = np.zeros(rows, np.int64) if level == 0 else np.arange(rows) // (rows // len(v.prior[level]))
+            chance = n.sum(axis=1, keepdims=True) * np.exp(v.prior[level].astype(np.float64))[node]
+            self.weights.append(np.log((n + SMOOTH) / (chance + SMOOTH)).astype(np.float32))
+
+    def level(self, v: Vocabulary, level: int, target: np.ndarray, beside: dict[int, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """The rows of weights that the neighbours choose, the log-probabilities of all choices, and the words' choices."""
+        first = sum(map(len, PLACES[:level]))
+        seen = [self.weights[first + i][v.row(level, target, beside[p])] for i, p in enumerate(PLACES[level])]
+        z = v.prior[level][v.node[level][target]]
+        for x, gain in zip(seen, self.gains[level]):
+            z += np.float32(gain) * x
+        z -= z.max(axis=1, keepdims=True)
+        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+        return seen, z, v.choice[level][target]
+
+    def log_likelihoods(self, v: Vocabulary, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of the leaf of each word at ``place``."""
+        target, beside = row[place], {p: row[place + p] for p in PLACES[0]}
+        total = np.zeros(len(place))
+        for level in range(3):
+            _, z, choice = self.level(v, level, target, beside)
+            total += z[np.arange(len(z)), choice]
+        return total
+
+    def slopes(self, v: Vocabulary, row: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+        """Per level: log-likelihood, its gradient in the gains and minus its second derivatives, summed over the words."""
+        target, beside = row[place], {p: row[place + p] for p in PLACES[0]}
+        out = []
+        for level in range(3):
+            seen, z, choice = self.level(v, level, target, beside)
+            at = np.arange(len(z))
+            ll = z[at, choice].sum(dtype=np.float64)
+            p = np.exp(z, out=z)
+            weighted = [p * x for x in seen]
+            mean = np.stack([x.sum(axis=1) for x in weighted]).astype(np.float64)
+            gradient = np.array([x[at, choice].sum(dtype=np.float64) for x in seen]) - mean.sum(axis=1)
+            square = np.array([[np.vdot(a, b) for b in seen] for a in weighted], np.float64)
+            out.append(np.concatenate([[ll], gradient, (square - mean @ mean.T).ravel()]))
+        return out
+
+    def improve(self, sums: list[np.ndarray]) -> None:
+        """One Newton step of the gains."""
+        for level, x in enumerate(sums):
+            k = len(PLACES[level])
+            curve = x[1 + k:].reshape(k, k)
+            ridge = 1e-6 * max(float(np.trace(curve)), 1.0) * np.eye(k)
+            self.gains[level] = np.clip(self.gains[level] + np.linalg.solve(curve + ridge, x[1:1 + k]), 0.0, 1.5)
+
+
+def around(leaves: np.ndarray, at: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' words in a row with gaps of ``edge`` between texts, and the words' places in it."""
-    pad = max(PLACES)
+    pad = max(PLACES[0])
     doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    place = np.arange(len(classes)) + pad * (doc + 1)
-    row = np.full(len(classes) + pad * len(at), edge, np.int32)
-    row[place] = classes
+    place = np.arange(len(leaves)) + pad * (doc + 1)
+    row = np.full(len(leaves) + pad * len(at), edge, np.int32)
+    row[place] = leaves
     return row, place
 
 
-def beside(net: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Rows of the table that the words at ``place`` see, one line per place around them."""
-    return np.stack([row[place + p] + k * (len(net["table"]) // len(PLACES)) for k, p in enumerate(PLACES)])
-
-
-def forward(net: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden layer, and log-probabilities of all classes, for the words at ``place``."""
-    h = net["bias"] + net["table"][beside(net, row, place)].sum(axis=0)
-    np.tanh(h, out=h)
-    h[:, -1] = 1
-    z = h @ net["out"].T
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return h, z
-
-
-def turns(net: dict[str, np.ndarray], h: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the nodes, and the logit of turning right at each."""
-    vec = net["node"][node]
-    return vec, np.matmul(vec, h[:, :, None])[:, :, 0]
-
-
-def move(net: dict[str, np.ndarray], past: dict[str, np.ndarray], key: str, rows: np.ndarray, grads: np.ndarray, touched: dict | None) -> None:
-    """AdaGrad on some rows of one matrix; ``grads`` of equal rows add up."""
-    order = np.argsort(rows, kind="stable")
-    u, first = np.unique(rows[order], return_index=True)
-    g = np.add.reduceat(grads[order], first, axis=0)
-    p = past[key][u] + g * g
-    past[key][u] = p
-    net[key][u] -= RATE * g / np.sqrt(p)
-    if touched is not None:
-        touched[key][u] += np.diff(np.append(first, len(rows)))
-
-
-def learn(net: dict[str, np.ndarray], past: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray, v: Vocabulary | None = None, touched: dict | None = None) -> None:
-    """One AdaGrad step for the words at ``place``; the dictionaries change.  Without a vocabulary words are classes."""
-    h, logp = forward(net, row, place)
-    n, target = len(place), row[place]
-    err = np.exp(logp, out=logp)
-    err[np.arange(n), target if v is None else v.classes[target]] -= 1
-    err /= n
-    dh = err @ net["out"]
-    if v is not None and len(deep := np.flatnonzero(v.classes[target] >= OWN)):
-        node, right, real = v.path(target[deep])
-        vec, s = turns(net, h[deep], node)
-        e = np.where(real, 1 / (1 + np.exp(-s)) - right, 0).astype(np.float32) / n
-        dh[deep] += np.matmul(e[:, None, :], vec)[:, 0]
-        at, level = np.nonzero(real)
-        if len(at):
-            move(net, past, "node", node[at, level], e[at, level][:, None] * h[deep[at]], touched)
-    dh *= 1 - h * h  # the constant unit is 1: no gradient
-    seen = beside(net, row, place).ravel()
-    move(net, past, "table", seen, np.tile(dh, (len(PLACES), 1)), touched)
-    for k, g in (("out", err.T @ h), ("bias", dh.sum(axis=0, keepdims=True))):
-        past[k] += g * g
-        net[k] -= RATE * g / np.sqrt(past[k])
-        if touched is not None:
-            touched[k] += n
-
-
-def log_likelihoods(net: dict[str, np.ndarray], row: np.ndarray, place: np.ndarray, v: Vocabulary) -> np.ndarray:
-    """Logarithm of the probability of the leaf of each word at ``place``."""
-    h, z = forward(net, row, place)
-    target = row[place]
-    logp = z[np.arange(len(z)), v.classes[target]].astype(np.float64)
-    deep = np.flatnonzero(v.classes[target] >= OWN)
-    if len(deep):
-        node, right, real = v.path(target[deep])
-        s = turns(net, h[deep], node)[1]
-        logp[deep] -= np.where(real, np.logaddexp(0, np.where(right > 0, -s, s)), 0).sum(axis=1)
-    return logp
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """(w, n): each distinct word's hash and how often it occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,8 +202,8 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, int, int]:
     return Vocabulary(w[order], head["n"].to_numpy()[order], rest), least, int((n * words).sum())
 
 
-def encoded(docs: DataFrame, v: Vocabulary, parts: int) -> DataFrame:
-    """(rid, doc_id, leaves, rare) for every row, in ``parts`` parts: its words' leaves, and the hashes of those that share one."""
+def encoded(docs: DataFrame, v: Vocabulary) -> DataFrame:
+    """(rid, doc_id, leaves, rare) for every row: its words' leaves, and the hashes of those that share one."""
     shared = docs.sparkSession.sparkContext.broadcast(v)
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
@@ -247,7 +219,7 @@ def encoded(docs: DataFrame, v: Vocabulary, parts: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(rares, pa.int32()), pa.array(words[rare].view(np.int64)))], ["rid", "doc_id", "leaves", "rare"])
                 rid += b.num_rows
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, f"rid long, {key}, leaves array<int>, rare array<long>").repartition(parts), "leaves")
+    return stored(docs.select("doc_id", "text").mapInArrow(run, f"rid long, {key}, leaves array<int>, rare array<long>"), "leaves")
 
 
 def pieces(column: pa.ListArray, n: int = 1 << 18) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -261,64 +233,95 @@ def pieces(column: pa.ListArray, n: int = 1 << 18) -> Iterator[tuple[slice, np.n
         lo = hi
 
 
-def average(table: pa.Table) -> pa.Table:
-    """One slot's rows of all parts: changes weighted by how often each part touched the row."""
-    row, times, past, change = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("row", np.int32), ("times", np.float32), ("past", np.float32), ("change", np.float16)))
-    order = np.argsort(row, kind="stable")
-    u, first = np.unique(row[order], return_index=True)
-    total = np.add.reduceat(times[order], first)
-    change = np.add.reduceat(change.reshape(-1, ROW)[order] * times[order][:, None], first, axis=0) / total[:, None]
-    past = np.add.reduceat(past[order] * times[order], first) / total
-    return pa.table({"row": [u.astype(np.int32).tobytes()], "past": [past.astype(np.float32).tobytes()], "change": [change.astype(np.float32).tobytes()]})
+COUNTS = "slot int, part int, n int, cell binary, count binary"
+
+
+def _block(slot: int, part: int, dense: np.ndarray) -> pa.RecordBatch:
+    cell = np.flatnonzero(dense)
+    return pa.RecordBatch.from_pydict({
+        "slot": pa.array([slot], pa.int32()), "part": pa.array([part], pa.int32()), "n": pa.array([len(cell)], pa.int32()),
+        "cell": [squeezed(np.diff(cell, prepend=0).astype(np.int32))], "count": [squeezed(dense[cell].astype(np.int64))]})
+
+
+def _dense(n: int, cell: bytes, count: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(spread(cell, np.int32, n)), spread(count, np.int64, n)
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of one slot's blocks."""
+    total = np.zeros(SLOT, np.int64)
+    for r in table.to_pylist():
+        cell, count = _dense(r["n"], r["cell"], r["count"])
+        total[cell] += count
+    return pa.Table.from_batches([_block(table["slot"][0].as_py(), table["part"][0].as_py(), total)])
 
 
-def train(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
-    """The network after MASK rounds over the encoded documents."""
-    net = v.net()
-    past = {k: np.full(len(net[k]), PAST[k], np.float32) for k in net}
-    base = dict(zip(net, np.cumsum([0, *map(len, net.values())])))
+def count_pairs(docs: DataFrame, v: Vocabulary) -> list[np.ndarray]:
+    """How often each choice was made beside each row of weights, one array per table."""
+    shared = docs.sparkSession.sparkContext.broadcast(v)
+    cells = [rows * v.width for _, _, rows in v.tables()]
+    first = np.cumsum([0, *[-(-c // SLOT) for c in cells]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, part = shared.value, TaskContext.get().partitionId() // FAN
+        sums = [np.zeros(c, np.int32) for c in cells]
+        for batch in batches:
+            for _, leaf, at in pieces(batch.column(0)):
+                row, place = around(leaf, at, v.size)
+                target = row[place]
+                for (level, p, _), total in zip(v.tables(), sums):
+                    cell = v.row(level, target, row[place + p]).astype(np.int64) * v.width + v.choice[level][target]
+                    total += np.bincount(cell, minlength=len(total)).astype(np.int32)
+        for t, total in enumerate(sums):
+            for s in range(first[t], first[t + 1]):
+                if (own := total[(s - first[t]) * SLOT:(s - first[t] + 1) * SLOT]).any():
+                    yield _block(s, part, own)
+
+    found, parts = docs.select("leaves").mapInArrow(run, COUNTS), -(-docs.rdd.getNumPartitions() // FAN)
+    while True:
+        found = found.groupBy("slot", "part").applyInArrow(_added, COUNTS)
+        if parts <= 1:
+            break
+        found = stored(found, "pair-counts").withColumn("part", F.expr(f"part div {FAN}").cast("int"))
+        parts = -(-parts // FAN)
+    out = [np.zeros((first[t + 1] - first[t]) * SLOT, np.int64) for t in range(len(cells))]
+    for r in found.toLocalIterator():
+        t = int(np.searchsorted(first, r["slot"], side="right")) - 1
+        cell, count = _dense(r["n"], bytes(r["cell"]), bytes(r["count"]))
+        out[t][(r["slot"] - first[t]) * SLOT + cell] = count
+    return [x[:c] for x, c in zip(out, cells)]
+
+
+def train(docs: DataFrame, v: Vocabulary) -> Network:
+    """The network of the encoded documents."""
+    net = Network(v, count_pairs(docs, v))
     sc = docs.sparkSession.sparkContext
-    words = sc.broadcast(v)
-    for r in range(MASK):
-        last = sc.broadcast((net, past))
-
-        def run(batches: Iterator[pa.RecordBatch], r=r, last=last) -> Iterator[pa.RecordBatch]:
-            v = words.value
-            old, seen = last.value
-            own = {k: x.copy() for k, x in old.items()}
-            sums = {k: np.repeat(x[:, None], ROW, axis=1) for k, x in seen.items()}
-            touched = {k: np.zeros(len(x), np.float32) for k, x in old.items()}
-            for batch in batches:
-                for _, leaf, at in pieces(batch.column(0)):
-                    row, place = around(leaf, at, v.size)
-                    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-                    masked = place[(np.arange(len(place)) - at[doc] + r) % MASK == 0]
-                    for lo in range(0, len(masked), STEP):
-                        learn(own, sums, row, masked[lo:lo + STEP], v, touched)
-            for k in own:
-                u = np.flatnonzero(touched[k])
-                for rows in np.split(u, np.flatnonzero(np.diff((u + base[k]) // SLOT)) + 1) if len(u) else []:
-                    yield pa.RecordBatch.from_pydict({
-                        "slot": pa.array([int(rows[0] + base[k]) // SLOT], pa.int32()), "row": [(rows + base[k]).astype(np.int32).tobytes()], "times": [touched[k][rows].tobytes()],
-                        "past": [sums[k][rows].mean(axis=1, dtype=np.float32).tobytes()], "change": [(own[k][rows] - old[k][rows]).astype(np.float16).tobytes()]})
-
-        new = docs.select("leaves").mapInArrow(run, "slot int, row binary, times binary, past binary, change binary").groupBy("slot").applyInArrow(
-            average, "row binary, past binary, change binary").toArrow()
-        row, seen, change = (np.frombuffer(b"".join(new[c].to_pylist()), t) for c, t in (("row", np.int32), ("past", np.float32), ("change", np.float32)))
-        net, past = {k: x.copy() for k, x in net.items()}, {k: x.copy() for k, x in past.items()}
-        for k in net:
-            mine = (row >= base[k]) & (row < base[k] + len(net[k]))
-            net[k][row[mine] - base[k]] += change.reshape(-1, ROW)[mine]
-            past[k][row[mine] - base[k]] = seen[mine]
-        last.unpersist()
+    shared = sc.broadcast((net, v))
+    sizes = [1 + len(p) + len(p) ** 2 for p in PLACES]
+    names = [f"s{i}" for i in range(sum(sizes))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, v = shared.value
+        total = np.zeros(sum(sizes))
+        for batch in batches:
+            for _, leaf, at in pieces(batch.column(0)):
+                row, place = around(leaf, at, v.size)
+                for lo in range(0, len(place), STEP):
+                    total += np.concatenate(net.slopes(v, row, place[lo:lo + STEP]))
+        yield pa.RecordBatch.from_pydict({c: [x] for c, x in zip(names, total.tolist())})
+
+    sums = docs.select("leaves").mapInArrow(run, ", ".join(f"{c} double" for c in names)).agg(*[F.sum(c) for c in names]).first()
+    if sums[0] is not None:
+        net.improve(np.split(np.array(sums, float), np.cumsum(sizes)[:-1]))
+    shared.unpersist()
     return net
 
 
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_likelihood) for every row."""
     counts = stored(count_words(docs), "words")
-    v, least, total = vocabulary_of(counts)
-    rows = encoded(docs, v, -(-total // GROUP) or 1)
+    v, least, _ = vocabulary_of(counts)
+    rows = encoded(docs, v)
     shared = docs.sparkSession.sparkContext.broadcast((train(rows, v), v))
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
@@ -330,8 +333,8 @@ def score(docs: DataFrame) -> DataFrame:
             for part, leaf, at in pieces(batch.column(2)):
                 row, place = around(leaf, at, v.size)
                 logp = -shares[leaf]
-                for lo in range(0, len(place), 2 * STEP):
-                    logp[lo:lo + 2 * STEP] += log_likelihoods(net, row, place[lo:lo + 2 * STEP], v)
+                for lo in range(0, len(place), STEP):
+                    logp[lo:lo + STEP] += net.log_likelihoods(v, row, place[lo:lo + STEP])
                 sums = np.concatenate([[0.0], np.cumsum(logp)])
                 n = np.diff(at)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(n, pa.int64()), pa.array(np.where(n > 0, sums[at[1:]] - sums[at[:-1]], 0.0))],

@@ -41,12 +41,55 @@ def test_context_counts_for_thousands_of_words(spark):
     assert np.mean([got[i] for i in range(3000)]) > unigram(texts) + .5
 
 
-def test_partitions_do_not_change_the_model(spark):
+def test_partitions_do_not_change_the_model(spark, monkeypatch):
+    """1, 4 and 40 partitions, with sums of two blocks at a time: the same scores."""
+    monkeypatch.setattr(pseudo_likelihood, "FAN", 2)
     texts = walks(random.Random(4), 300, 2000, 60)
     rows = frame(spark, [(i, " ".join(w)) for i, w in enumerate(texts)])
-    few, many = (np.mean(list(means(rows.repartition(n)).values())) for n in (2, 200))
-    assert abs(few - many) < .1
-    assert min(few, many) > unigram(texts) + .5
+    got = [means(rows.repartition(n)) for n in (1, 4, 40)]
+    for other in got[1:]:
+        assert max(abs(got[0][i] - other[i]) for i in got[0]) < 1e-3
+    assert np.mean(list(got[0].values())) > unigram(texts) + .5
+
+
+def test_training_passes_against_plain_sums(spark):
+    """The pair counts by hand, and the gains' slopes against differences of the log-likelihood."""
+    r = random.Random(7)
+    texts = walks(r, 60, 50, 30) + [["a1"], []]
+    rows = frame(spark, [(i, " ".join(w)) for i, w in enumerate(texts)]).repartition(3)
+    v, _, total = pseudo_likelihood.vocabulary_of(pseudo_likelihood.count_words(rows))
+    docs = pseudo_likelihood.encoded(rows, v)
+    counts = pseudo_likelihood.count_pairs(docs, v)
+    want = [Counter() for _ in v.tables()]
+    leaves = [x["leaves"] for x in docs.select("leaves").collect()]
+    w = v.width
+    for own in leaves:
+        for i, t in enumerate(own):
+            path = (t % w, t // w % w, t // w // w)
+            for (level, p, _), n in zip(v.tables(), want):
+                u = own[i + p] if 0 <= i + p < len(own) else None
+                row = (v.size if u is None else u, (t % w) * (w * w + 1) + (w * w if u is None else u % (w * w)), (t % (w * w)) * (w + 1) + (w if u is None else u % w))[level]
+                n[row * w + path[level]] += 1
+    for n, x in zip(want, counts):
+        assert {int(i): int(x[i]) for i in np.flatnonzero(x)} == dict(n)
+    net = pseudo_likelihood.Network(v, counts)
+    at = np.cumsum([0, *map(len, leaves)])
+    row, place = pseudo_likelihood.around(np.array([x for own in leaves for x in own], np.int32), at, v.size)
+    before = net.log_likelihoods(v, row, place).sum()
+    slopes = net.slopes(v, row, place)
+    assert before == pytest.approx(sum(x[0] for x in slopes), rel=1e-5)
+    for level, x in enumerate(slopes):
+        for i in range(len(pseudo_likelihood.PLACES[level])):
+            both = []
+            for e in (.01, -.01):
+                net.gains[level][i] += e
+                both.append(net.log_likelihoods(v, row, place).sum())
+                net.gains[level][i] -= e
+            k = len(pseudo_likelihood.PLACES[level])
+            assert (both[0] - both[1]) / .02 == pytest.approx(x[1 + i], rel=.02, abs=.5)
+            assert (2 * before - both[0] - both[1]) / 1e-4 == pytest.approx(x[1 + k:].reshape(k, k)[i, i], rel=.1, abs=20)
+    net.improve(slopes)
+    assert net.log_likelihoods(v, row, place).sum() > before
 
 
 @pytest.mark.parametrize("head", [1 << 15, 500])
