@@ -45,7 +45,8 @@ HEAD, WIDTH = 1 << 15, 32
 PLACES = ((-2, -1, 1, 2), (-1, 1), (-1, 1))
 #: Counts by which a weight is drawn to 0, and the gains before training.
 SMOOTH, START = 2.0, 0.5
-STEP = 4096
+#: Words at a time: their logits stay in a core's cache.
+STEP = 2048
 #: Cells of a slot, and blocks that one task adds up.
 SLOT, FAN = 1 << 17, 64
 
@@ -91,7 +92,8 @@ class Vocabulary:
         if level == 0:
             return beside
         w = self.width
-        return self.branch[target] * (w * w + 1) + self.twig[beside] if level == 1 else self.twig[target] * (w + 1) + self.branch[beside]
+        near, far = (self.branch, self.twig) if level == 1 else (self.twig, self.branch)
+        return near.take(target) * ((w * w if level == 1 else w) + 1) + far.take(beside)
 
     def encode(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words' leaves, and whether they share them."""
@@ -114,39 +116,39 @@ class Network:
             chance = n.sum(axis=1, keepdims=True) * np.exp(v.prior[level].astype(np.float64))[node]
             self.weights.append(np.log((n + SMOOTH) / (chance + SMOOTH)).astype(np.float32))
 
-    def level(self, v: Vocabulary, level: int, target: np.ndarray, beside: dict[int, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """The rows of weights that the neighbours choose, the log-probabilities of all choices, and the words' choices."""
-        first = sum(map(len, PLACES[:level]))
-        seen = [self.weights[first + i][v.row(level, target, beside[p])] for i, p in enumerate(PLACES[level])]
-        z = v.prior[level][v.node[level][target]]
-        for x, gain in zip(seen, self.gains[level]):
-            z += np.float32(gain) * x
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return seen, z, v.choice[level][target]
-
-    def log_likelihoods(self, v: Vocabulary, row: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Logarithm of the probability of the leaf of each word at ``place``."""
-        target, beside = row[place], {p: row[place + p] for p in PLACES[0]}
-        total = np.zeros(len(place))
-        for level in range(3):
-            _, z, choice = self.level(v, level, target, beside)
-            total += z[np.arange(len(z)), choice]
-        return total
+    def whole(self, v: Vocabulary) -> list[np.ndarray]:
+        """The weights times their gains, the prior added to the last table of each level: a level's sum is its logits."""
+        out, at = [], 0
+        for level, places in enumerate(PLACES):
+            out += [self.weights[at + i] * np.float32(g) for i, g in enumerate(self.gains[level])]
+            at += len(places)
+            out[-1] += np.repeat(v.prior[level], len(out[-1]) // len(v.prior[level]), axis=0)
+        return out
 
     def slopes(self, v: Vocabulary, row: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
         """Per level: log-likelihood, its gradient in the gains and minus its second derivatives, summed over the words."""
-        target, beside = row[place], {p: row[place + p] for p in PLACES[0]}
-        out = []
-        for level in range(3):
-            seen, z, choice = self.level(v, level, target, beside)
-            at = np.arange(len(z))
-            ll = z[at, choice].sum(dtype=np.float64)
-            p = np.exp(z, out=z)
-            weighted = [p * x for x in seen]
-            mean = np.stack([x.sum(axis=1) for x in weighted]).astype(np.float64)
-            gradient = np.array([x[at, choice].sum(dtype=np.float64) for x in seen]) - mean.sum(axis=1)
-            square = np.array([[np.vdot(a, b) for b in seen] for a in weighted], np.float64)
+        target, first, out = row[place], 0, []
+        at, one = np.arange(len(place)) * v.width, np.ones(v.width, np.float32)
+        own = np.empty((len(place), v.width), np.float32)
+        for level, places in enumerate(PLACES):
+            seen = [self.weights[first + i].take(v.row(level, target, row[place + p]), axis=0) for i, p in enumerate(places)]
+            first += len(places)
+            p = v.prior[level].take(v.node[level].take(target), axis=0)
+            for x, gain in zip(seen, self.gains[level]):
+                p += np.multiply(x, np.float32(gain), out=own)
+            chosen = at + v.choice[level].take(target)
+            ll = p.ravel().take(chosen).sum(dtype=np.float64)
+            total = np.exp(p, out=p) @ one
+            ll -= np.log(total).sum(dtype=np.float64)
+            p /= total[:, None]
+            mean, square = np.empty((len(seen), len(place))), np.empty((len(seen), len(seen)))
+            gradient = np.empty(len(seen))
+            for i, x in enumerate(seen):
+                np.multiply(p, x, out=own)
+                mean[i] = own @ one
+                gradient[i] = x.ravel().take(chosen).sum(dtype=np.float64) - mean[i].sum()
+                for j in range(i + 1):
+                    square[i, j] = square[j, i] = np.vdot(own, seen[j])
             out.append(np.concatenate([[ll], gradient, (square - mean @ mean.T).ravel()]))
         return out
 
@@ -159,6 +161,18 @@ class Network:
             self.gains[level] = np.clip(self.gains[level] + np.linalg.solve(curve + ridge, x[1:1 + k]), 0.0, 1.5)
 
 
+def log_likelihoods(whole: list[np.ndarray], v: Vocabulary, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Logarithm of the probability of the leaf of each word at ``place``, by the network's whole tables."""
+    target, tables = row[place], iter(whole)
+    at, one, out = np.arange(len(place)) * v.width, np.ones(v.width, np.float32), np.zeros(len(place))
+    for level, places in enumerate(PLACES):
+        z = sum((next(tables).take(v.row(level, target, row[place + p]), axis=0) for p in places[1:]),
+                next(tables).take(v.row(level, target, row[place + places[0]]), axis=0))
+        out += z.ravel().take(at + v.choice[level].take(target))
+        out -= np.log(np.exp(z, out=z) @ one)
+    return out
+
+
 def around(leaves: np.ndarray, at: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' words in a row with gaps of ``edge`` between texts, and the words' places in it."""
     pad = max(PLACES[0])
@@ -322,7 +336,7 @@ def score(docs: DataFrame) -> DataFrame:
     counts = stored(count_words(docs), "words")
     v, least, _ = vocabulary_of(counts)
     rows = encoded(docs, v)
-    shared = docs.sparkSession.sparkContext.broadcast((train(rows, v), v))
+    shared = docs.sparkSession.sparkContext.broadcast((train(rows, v).whole(v), v))
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,14 +348,14 @@ def score(docs: DataFrame) -> DataFrame:
                 row, place = around(leaf, at, v.size)
                 logp = -shares[leaf]
                 for lo in range(0, len(place), STEP):
-                    logp[lo:lo + STEP] += net.log_likelihoods(v, row, place[lo:lo + STEP])
+                    logp[lo:lo + STEP] += log_likelihoods(net, v, row, place[lo:lo + STEP])
                 sums = np.concatenate([[0.0], np.cumsum(logp)])
                 n = np.diff(at)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(n, pa.int64()), pa.array(np.where(n > 0, sums[at[1:]] - sums[at[:-1]], 0.0))],
                                                  ["rid", "doc_id", "n_words", "leaves_ll"])
 
     out = rows.select("rid", "doc_id", "leaves").mapInArrow(run, f"rid long, {key}, n_words long, leaves_ll double")
-    rare = rows.select("rid", F.explode("rare").alias("w")).join(counts.filter(F.col("n") < least), "w").groupBy("rid").agg(F.sum(F.log("n")).alias("rare_ll"))
+    rare = rows.select("rid", F.explode("rare").alias("w")).join(counts.filter(F.col("n") < least).hint("shuffle_hash"), "w").groupBy("rid").agg(F.sum(F.log("n")).alias("rare_ll"))
     out = out.join(rare, "rid", "left").select("doc_id", "n_words", (F.col("leaves_ll") + F.coalesce("rare_ll", F.lit(0.0))).alias("log_likelihood"))
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
