@@ -88,7 +88,8 @@ class WordIds:
         rows, plain = [], []
         for i, t in enumerate(texts):
             t = t or ""
-            if "<|" in t or "\u03a3" in t or not unicodedata.is_normalized("NFC", t):
+            # lower-casing may undo the normal form, which the tokenizer would make anew for a word
+            if "<|" in t or "\u03a3" in t or not unicodedata.is_normalized("NFC", t) or not unicodedata.is_normalized("NFC", t.lower()):
                 out[i] = np.frombuffer(self._encode(t), self.dtype)
             else:
                 rows.append(i)

@@ -35,8 +35,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_ACCOUNT = re.compile(r"(?:[ \t]*(?:no\.?|number|nr\.?|#))?[ \t]*[:=#]?[ \t]*([A-Za-z]{0,4}[0-9](?:[ -]?[A-Za-z0-9])*)", re.I)
-_SECRET = re.compile(r"[ \t]*[:=][ \t]*[\"']?([A-Za-z0-9_+/=.-]{6,})")
+#: No account is longer than 34 letters and digits.  Blanks are not given back, so no run of them is read twice.
+_ACCOUNT = re.compile(r"(?:[ \t]*+(?:no\.?|number|nr\.?|#))?[ \t]*+[:=#]?[ \t]*+([A-Za-z]{0,4}[0-9](?:[ -]?[A-Za-z0-9]){0,40})", re.I | re.ASCII)
+_SECRET = re.compile(r"[ \t]*+[:=][ \t]*+[\"']?([A-Za-z0-9_+/=.-]{6,}+)")
 _USERINFO = re.compile(r"[^\s/?#@]+@[^\s/?#]+[^\s]*")
 
 
@@ -98,7 +99,7 @@ def _ip(text: str, at: int, done: int):
     for k in range(0, len(parts) - 3, 4):
         four = parts[k:k + 4]
         end = p + sum(map(len, four)) + 3
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in four):
+        if all(len(y := x.lstrip("0")) <= 3 and int(y or "0") <= 255 for x in four):
             found.append((p, end))
         p = end + 1
     return found, m.end()
@@ -124,10 +125,16 @@ def _account(text: str, at: int, done: int):
     body = re.sub("[ -]", "", m[1])
     end = m.end(1)
     if body[:2].isalpha():  # an IBAN may be followed by more words: the longest valid head counts
-        for stop in range(end, m.start(1) + 14, -1):
-            if stop == len(text) or not text[stop].isalnum():
-                if iban(re.sub("[ -]", "", text[m.start(1):stop]).upper()):
-                    return [(m.start(1), stop)], stop
+        if not body[2:4].isdigit():
+            return [], done
+        size, stops = 0, []
+        for stop in range(m.start(1), end):
+            size += text[stop] not in " -"
+            if 15 <= size <= 34 and text[stop] not in " -" and (stop + 1 == len(text) or not text[stop + 1].isalnum()):
+                stops.append((stop + 1, size))
+        for stop, size in reversed(stops):
+            if iban(body[:size].upper()):
+                return [(m.start(1), stop)], stop
         return [], done
     lead = re.match(r"[0-9](?:[ -]?[0-9])*", m[1])
     whole = lead and (lead.end() == len(m[1]) or not m[1][lead.end()].isalnum())
@@ -137,8 +144,10 @@ def _account(text: str, at: int, done: int):
 
 def _secret(text: str, at: int, done: int):
     m = _SECRET.match(text, at)
-    ok = m and any(c in "0123456789" for c in m[1])
-    return ([m.span(1)], m.end()) if ok else ([], done)
+    if not m:
+        return [], done
+    # a value without digits has none after its inner cues either: it is not read again
+    return ([m.span(1)] if any(c in "0123456789" for c in m[1]) else []), m.end()
 
 
 def _url(text: str, at: int, done: int):

@@ -7,8 +7,8 @@ where the dot product of the group's vector with the shard's residual capacity i
 ends nearly even, so the shards do.
 
 Groups above ``1 / first`` of a shard, of which there are a bounded number, are placed before all others, over
-whole shards; the cells share out what these leave.  Only a group above ``1 / cut`` of a shard is cut: its
-rows are dealt by a hash over chunks of about that size.  Groups are counted before anything moves (one row
+whole shards; the cells share out what these leave.  Only a group of more bytes than a shard is cut: its
+rows are dealt by a hash over as few chunks as may each fit into a shard.  Groups are counted before anything moves (one row
 per group and task), texts themselves are never shuffled, and slots are numbered by buckets of bounded size.
 
 A null text has size 1 and no tokens, and null texts form one group.  Rows that repeat a doc_id are
@@ -51,7 +51,7 @@ def place(vectors: np.ndarray, room: np.ndarray, turn: int = 0) -> np.ndarray:
     return out
 
 
-def shard(docs: DataFrame, n_shards: int = 16, first: int = 64, cut: int = 4, seed: int = 42) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 16, first: int = 64, seed: int = 42) -> DataFrame:
     """(doc_id, size, tokens, digest, text_crc32, shard, slot) per row; slots are gapless from 0 in each shard."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("\0null"))).alias("digest"), F.crc32(text).alias("text_crc32"),
@@ -64,7 +64,8 @@ def shard(docs: DataFrame, n_shards: int = 16, first: int = 64, cut: int = 4, se
         return rows.select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     part = F.greatest(F.col("size") / total["size"], F.col("rows") / total["rows"]) * n_shards
     # at most 2 x first x n_shards groups are this large
-    large = groups.filter(part * first > 1).select("digest", F.when(F.col("rows") > 1, F.ceil(part * cut)).otherwise(1).cast("long").alias("chunks"))
+    chunks = F.when(F.col("rows") > 1, F.ceil(F.col("size") / total["size"] * n_shards)).otherwise(1).cast("long")
+    large = groups.filter(part * first > 1).select("digest", chunks.alias("chunks"))
     rows = rows.join(F.broadcast(large), "digest", "left")
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("chunks"))).drop("chunks")
     chunks = rows.filter("chunk is not null").groupBy("digest", "chunk").agg(*vector).toPandas().sort_values(["digest", "chunk"])

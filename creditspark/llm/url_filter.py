@@ -43,8 +43,8 @@ def host_and_path(url):
     return ascii_lower(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)), F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
-def build_index(rules: DataFrame) -> tuple[list[str], list[int]]:
-    """Index files of ``rules`` (rule, verdict), known to all executors by these names, and the lengths of the rules' paths."""
+def build_index(rules: DataFrame) -> tuple[list[str], list[int], list[int]]:
+    """Index files of ``rules`` (rule, verdict), known to all executors by these names, and the lengths of the rules' paths and hosts."""
     spark = rules.sparkSession
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,13 +58,14 @@ def build_index(rules: DataFrame) -> tuple[list[str], list[int]]:
     path = scratch_path(spark, "url-index")
     clean.mapInArrow(digest, "digest long, rule string, verdict string").write.parquet(path + "-raw")
     rows = spark.read.schema("digest long, rule string, verdict string").parquet(path + "-raw")
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("rule") - F.instr("rule", "/") + 1).alias("lengths")).first()
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("rule") - F.instr("rule", "/") + 1).alias("lengths"),
+                     F.collect_set(F.instr("rule", "/") - 1).alias("hosts")).first()
     files = -(-stats["n"] // FILE_ROWS) or 1
     rows.repartitionByRange(files, "digest").sortWithinPartitions("digest", "rule").write.parquet(path)
     found = spark.read.schema(rows.schema).parquet(path).inputFiles()
     for f in found:
         spark.sparkContext.addFile(f)
-    return [os.path.basename(f) for f in found], sorted(stats["lengths"])
+    return [os.path.basename(f) for f in found], sorted(stats["lengths"]), sorted(stats["hosts"])
 
 
 class DigestArray:
@@ -101,27 +102,27 @@ def _array(name: str) -> DigestArray:
     return DigestArray(name)
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[str]:
-    """Host, then its parent domains, each with the path's beginnings of the given lengths."""
-    out, h = [], host
-    while h:
-        out += [h + path[:n] for n in lengths if n <= len(path)]
-        h = h.partition(".")[2]
+def candidates(host: str, path: str, lengths: list[int], hosts: list[int]) -> list[str]:
+    """The host and its parent domains of the given lengths, each with the path's beginnings of the given lengths."""
+    out, n = [], len(host)
+    for k in hosts:
+        if 0 < k == n or 0 < k < n and host[n - k - 1] == ".":
+            out += [host[n - k:] + path[:m] for m in lengths if m <= len(path)]
     return out
 
 
 def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
     """(key, host, path, rule, verdict) for every row; a narrow pass, whatever the list's size."""
-    names, lengths = build_index(rules)
+    names, lengths, hosts = build_index(rules)
     host, path = host_and_path(F.col(url))
     kind = pages.schema[key].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = [_array(n) for n in names]
         for b in batches:
-            owner, keys, hosts = [], [], []
+            owner, keys = [], []
             for r, (h, p) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                own = candidates(h, p, lengths)
+                own = candidates(h, p, lengths, hosts)
                 keys += own
                 owner += [r] * len(own)
             digests = np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys)).view(np.int64)
