@@ -40,13 +40,13 @@ from creditspark.llm.shingles import blocks, word_hashes
 from creditspark.llm.token_alignment import _spread as spread
 from creditspark.llm.token_alignment import _squeezed as squeezed
 
-HEAD, WIDTH = 1 << 15, 32
+HEAD, WIDTH = 1 << 14, 16
 #: Neighbours that each level sees.
 PLACES = ((-2, -1, 1, 2), (-1, 1), (-1, 1))
 #: Counts by which a weight is drawn to 0, and the gains before training.
 SMOOTH, START = 2.0, 0.5
 #: Words at a time: their logits stay in a core's cache.
-STEP = 2048
+STEP = 1024
 #: Cells of a slot, and blocks that one task adds up.
 SLOT, FAN = 1 << 17, 64
 
@@ -64,6 +64,7 @@ class Vocabulary:
         self.leaf, self.rest_leaf = leaf[:len(words)], leaf[len(words):]
         n = n[order]
         self.log_n = np.log(np.maximum(n, 1))
+        self.kind = np.dtype(np.uint16 if len(n) < 1 << 16 else np.uint32)
         self.width = w = max(2, int(np.ceil(round(len(n) ** (1 / 3), 9))))
         r = np.arange(len(n) + 1)
         #: Of every leaf, and of the edge of a text (the last): its branch, twig, and leaf on the twig.
@@ -141,8 +142,7 @@ class Network:
             total = np.exp(p, out=p) @ one
             ll -= np.log(total).sum(dtype=np.float64)
             p /= total[:, None]
-            mean, square = np.empty((len(seen), len(place))), np.empty((len(seen), len(seen)))
-            gradient = np.empty(len(seen))
+            mean, square, gradient = np.empty((len(seen), len(place))), np.empty((len(seen), len(seen))), np.empty(len(seen))
             for i, x in enumerate(seen):
                 np.multiply(p, x, out=own)
                 mean[i] = own @ one
@@ -183,13 +183,27 @@ def around(leaves: np.ndarray, at: np.ndarray, edge: int) -> tuple[np.ndarray, n
     return row, place
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(w, n): each distinct word's hash and how often it occurs."""
+def count_words(docs: DataFrame, most: int = 1 << 19) -> DataFrame:
+    """(w, n): each distinct word's hash and how often it occurs; a task holds some ``most`` words' counts."""
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        w, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(w, kind="stable")  # sorted runs are merged
+        w, n = w[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.zeros(0, int)
+        return w[first], np.add.reduceat(n, first) if len(first) else n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        out = lambda x: pa.RecordBatch.from_arrays([pa.array(x[0].view(np.int64)), pa.array(x[1], pa.int64())], ["w", "n"])
         for batch in batches:
             for b in blocks(batch, 0, 4 << 20):
-                w, n = np.unique(word_hashes(b.column(0))[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n, pa.int64())], ["w", "n"])
+                held.append(np.unique(word_hashes(b.column(0))[0], return_counts=True))
+                if sum(len(w) for w, _ in held) > 2 * most:
+                    held = [merged(held)]
+                    if len(held[0][0]) > most:
+                        yield out(held.pop())
+        if held:
+            yield out(merged(held))
 
     return docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
@@ -222,24 +236,31 @@ def encoded(docs: DataFrame, v: Vocabulary) -> DataFrame:
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rid = TaskContext.get().partitionId() << 40
+        rid, kind = TaskContext.get().partitionId() << 40, shared.value.kind
         for batch in batches:
             for b in blocks(batch, 1):
                 words, at = word_hashes(b.column(1))
                 leaf, rare = shared.value.encode(words)
                 rares = np.concatenate([[0], np.cumsum(rare)])[at]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(rid, rid + b.num_rows)), b.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(leaf, pa.int32())),
+                    pa.array(np.arange(rid, rid + b.num_rows)), b.column(0), _bytes(leaf.astype(kind), at),
                     pa.ListArray.from_arrays(pa.array(rares, pa.int32()), pa.array(words[rare].view(np.int64)))], ["rid", "doc_id", "leaves", "rare"])
                 rid += b.num_rows
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, f"rid long, {key}, leaves array<int>, rare array<long>"), "leaves")
+    return stored(docs.select("doc_id", "text").mapInArrow(run, f"rid long, {key}, leaves binary, rare array<long>"), "leaves")
+
+
+def _bytes(numbers: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Runs of numbers as binary values."""
+    ends = (at * numbers.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(numbers.tobytes())])
 
 
-def pieces(column: pa.ListArray, n: int = 1 << 18) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, kind: np.dtype, n: int = 1 << 20) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Rows of about ``n`` words together, with the words and where each row's begin."""
-    at = column.offsets.to_numpy()
-    values = column.values.to_numpy()
+    _, ends, data = column.buffers()
+    at = np.frombuffer(ends, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) // kind.itemsize
+    values = np.frombuffer(data or b"", kind, int(at[-1]) if data else 0)
     lo = 0
     while lo < len(column):
         hi = max(lo + 1, int(np.searchsorted(at, at[lo] + n, side="right")) - 1)
@@ -278,14 +299,15 @@ def count_pairs(docs: DataFrame, v: Vocabulary) -> list[np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, part = shared.value, TaskContext.get().partitionId() // FAN
-        sums = [np.zeros(c, np.int32) for c in cells]
+        sums = [np.zeros(c, np.int64) for c in cells]
         for batch in batches:
-            for _, leaf, at in pieces(batch.column(0)):
+            for _, leaf, at in pieces(batch.column(0), v.kind):
                 row, place = around(leaf, at, v.size)
                 target = row[place]
                 for (level, p, _), total in zip(v.tables(), sums):
-                    cell = v.row(level, target, row[place + p]).astype(np.int64) * v.width + v.choice[level][target]
-                    total += np.bincount(cell, minlength=len(total)).astype(np.int32)
+                    cell = v.row(level, target, row[place + p]) * np.int64(v.width)
+                    cell += v.choice[level].take(target)
+                    total += np.bincount(cell, minlength=len(total))
         for t, total in enumerate(sums):
             for s in range(first[t], first[t + 1]):
                 if (own := total[(s - first[t]) * SLOT:(s - first[t] + 1) * SLOT]).any():
@@ -318,7 +340,7 @@ def train(docs: DataFrame, v: Vocabulary) -> Network:
         net, v = shared.value
         total = np.zeros(sum(sizes))
         for batch in batches:
-            for _, leaf, at in pieces(batch.column(0)):
+            for _, leaf, at in pieces(batch.column(0), v.kind):
                 row, place = around(leaf, at, v.size)
                 for lo in range(0, len(place), STEP):
                     total += np.concatenate(net.slopes(v, row, place[lo:lo + STEP]))
@@ -344,7 +366,7 @@ def score(docs: DataFrame) -> DataFrame:
         shares = np.zeros(v.size)
         shares[v.rest_leaf] = v.log_n[v.rest_leaf]
         for batch in batches:
-            for part, leaf, at in pieces(batch.column(2)):
+            for part, leaf, at in pieces(batch.column(2), v.kind):
                 row, place = around(leaf, at, v.size)
                 logp = -shares[leaf]
                 for lo in range(0, len(place), STEP):

@@ -61,7 +61,7 @@ def test_training_passes_against_plain_sums(spark):
     docs = pseudo_likelihood.encoded(rows, v)
     counts = pseudo_likelihood.count_pairs(docs, v)
     want = [Counter() for _ in v.tables()]
-    leaves = [x["leaves"] for x in docs.select("leaves").collect()]
+    leaves = [np.frombuffer(x["leaves"], v.kind).tolist() for x in docs.select("leaves").collect()]
     w = v.width
     for own in leaves:
         for i, t in enumerate(own):
