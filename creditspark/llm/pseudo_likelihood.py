@@ -46,7 +46,7 @@ PLACES = ((-2, -1, 1, 2), (-1, 1), (-1, 1))
 #: Counts by which a weight is drawn to 0, and the gains before training.
 SMOOTH, START = 2.0, 0.5
 #: Words at a time: their logits stay in a core's cache.
-STEP = 1024
+STEP = 2048
 #: Cells of a slot, and blocks that one task adds up.
 SLOT, FAN = 1 << 17, 64
 
