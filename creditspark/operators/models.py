@@ -30,6 +30,7 @@ from pyspark.ml.classification import GBTClassifier, LinearSVC, RandomForestClas
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.errors.exceptions.captured import IllegalArgumentException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def fit_logit_vector(design: DataFrame, label: str, features: list[str], feature
     s = m.summary
     try:
         se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
-    except Exception:  # noqa: BLE001 - singular information matrix
+    except (IllegalArgumentException, UnsupportedOperationException):  # singular information matrix
         k = len(features) + 1
         se, tv, pv = [float("nan")] * k, [float("nan")] * k, [float("nan")] * k
     fit = GlmFit(features, [float(x) for x in m.coefficients], float(m.intercept), se, tv, pv, float(s.aic), m)
@@ -142,7 +143,7 @@ class DesignCache:
         sl = VectorSlicer(inputCol="all_features", outputCol="features", indices=idx)
         try:
             return fit_logit_vector(sl.transform(self.design), self.label, list(subset))
-        except Exception:  # noqa: BLE001 - separation / rank deficiency: score as +inf AIC
+        except (IllegalArgumentException, UnsupportedOperationException):  # rank deficiency: score as +inf AIC
             return None
 
 

@@ -105,11 +105,19 @@ def quantile_cuts(df: DataFrame, cols: list[str], k: int) -> dict[str, list[floa
 
     Returns a small dict (k - 1 values per column) for the fitted model.
     """
-    if k <= 1 or not cols:
-        return {c: [] for c in cols}
-    probs = [i / k for i in range(1, k)]
-    vals = column_quantiles(df, cols, probs)
-    return {c: sorted({float(v) for v in vals[c] if v is not None}) for c in cols}
+    return quantile_cuts_of(df, cols, [k])[0]
+
+
+def quantile_cuts_of(df: DataFrame, cols: list[str], ks: list[int]) -> list[dict[str, list[float]]]:
+    """``quantile_cuts`` for several numbers of bins, from one search."""
+    probs = [[i / k for i in range(1, k)] for k in ks]
+    every = sum(probs, [])
+    vals = column_quantiles(df, cols, every) if cols and every else {c: [] for c in cols}
+    out, at = [], 0
+    for own in probs:
+        out.append({c: sorted({float(v) for v in vals[c][at:at + len(own)] if v is not None}) for c in cols})
+        at += len(own)
+    return out
 
 
 def bin_id(col: str | Column, cuts: list[float]) -> Column:

@@ -218,10 +218,10 @@ def holdout_stability(spark, d):
     t = test.join(base, "application_id", "left").withColumn("pred", predict_at("p", CUTOFF))
     m = t.groupBy("seed").agg(F.count(F.lit(1)).alias("n_test"),
                   F.avg((F.col("pred") == F.col("tag")).cast("double")).alias("accuracy"),
-                  (F.count_if((F.col("pred") == 0) & (F.col("tag") == 0)).cast("double")
-                   / F.count_if(F.col("tag") == 0).cast("double")).alias("sensitivity"),
-                  (F.count_if((F.col("pred") == 1) & (F.col("tag") == 1)).cast("double")
-                   / F.count_if(F.col("tag") == 1).cast("double")).alias("specificity"),
+                  F.try_divide(F.count_if((F.col("pred") == 0) & (F.col("tag") == 0)).cast("double"),
+                               F.count_if(F.col("tag") == 0).cast("double")).alias("sensitivity"),
+                  F.try_divide(F.count_if((F.col("pred") == 1) & (F.col("tag") == 1)).cast("double"),
+                               F.count_if(F.col("tag") == 1).cast("double")).alias("specificity"),
                   F.count_if(F.col("in100").isNotNull()).cast("long").alias("overlap_train100"))
     return m.select("seed", "n_test", r6("accuracy"), r6("sensitivity"), r6("specificity"), "overlap_train100")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from creditspark.plans.catalog import register
 from creditspark.plans.oracle_base import with_fixture
 from creditspark.session import scratch_path
@@ -26,3 +29,27 @@ def csv_roundtrip(spark, d):
     path = scratch_path(spark, "applications-csv")
     io.write_csv(app, path)
     return io.read_csv(spark, path, schema=app.schema)
+
+
+_LINE = """case when application_id % 97 = 5 then application_id || ',x1,' || {seg}
+               when application_id % 101 = 7 then application_id || ',2'
+               when application_id % 103 = 9 then application_id || ',3,' || {seg} || ',more'
+               when application_id % 107 = 11 then application_id || ',NA,'
+               else application_id || ',' || tenure_days || ',' || {seg} end"""
+
+
+@register("csv_rejects", with_fixture(
+    f"""select case when bad then 'rejected' else 'good' end kind, case when bad then null else application_id end application_id,
+               case when bad or application_id % 107 = 11 then null else tenure_days end tenure_days,
+               case when bad or application_id % 107 = 11 then null else segment end segment,
+               case when bad then {_LINE.format(seg='segment')} end record
+        from (select *, application_id % 97 = 5 or application_id % 101 = 7 or application_id % 103 = 9 bad from app)"""))
+def csv_rejects(spark, d):
+    """IO1: a CSV with wrong types, missing and surplus fields is read into good rows and rejected lines."""
+    app = fx.applications(spark, d)
+    path = scratch_path(spark, "rejects-csv")
+    app.select(F.expr(_LINE.format(seg="segment")).alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("application_id", T.LongType()), T.StructField("tenure_days", T.LongType()), T.StructField("segment", T.StringType())])
+    good, rejected = io.read_csv_with_rejects(spark, path, schema, header=False)
+    return good.select(F.lit("good").alias("kind"), *schema.names, F.lit(None).cast("string").alias("record")).unionByName(
+        rejected.select(F.lit("rejected").alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], "record"))

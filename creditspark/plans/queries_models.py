@@ -119,9 +119,19 @@ def glm_score(spark, d):
 
 # ---------------------------------------------------------------- rows-only model keys (path B design)
 
+def _files(spark, d):
+    """Names, sizes and times of the tables that a design is built from."""
+    jvm, out = spark.sparkContext._jvm, []
+    for t in ("orders", "customer", "lineitem"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{d}/{t}.parquet")
+        for f in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def _design(spark, d):
-    """The path B design, built once per session and folder (it is written to the shared folder)."""
-    key = (spark.sparkContext.applicationId, d)
+    """The path B design, built once per session and state of the folder's files (it is written to the shared folder)."""
+    key = (spark.sparkContext.applicationId, d, _files(spark, d))
     if key not in _designs:
         _designs[key] = build_design(fx.modelling_table(spark, d))
     return _designs[key]

@@ -19,11 +19,12 @@ def fine_and_coarse_bins(df: DataFrame, numeric: list[str], label: str, fine_k:
                          coarse_k: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return (fine bin table, monotone flags, chosen bin table per variable)."""
     lab = persist(df.filter(F.col(label).isNotNull()).select(label, *numeric))
-    fine = persist(woe.info_table(lab, numeric, label, k=fine_k))  # bin table: tiny
+    fine_cuts, coarse_cuts = woe.quantile_cuts_of(lab, numeric, [fine_k, coarse_k])
+    fine = persist(woe.info_table(lab, numeric, label, cuts=fine_cuts))  # bin table: tiny
     flags = woe.monotone_flags(fine)
     non_mono = [r["variable"] for r in flags.filter(~F.col("is_monotone")).collect()]
     if non_mono:
-        coarse = woe.info_table(lab, non_mono, label, k=coarse_k)
+        coarse = woe.info_table(lab, non_mono, label, cuts={c: coarse_cuts[c] for c in non_mono})
         chosen = (fine.filter(~F.col("variable").isin(non_mono)).withColumn("n_bins_k", F.lit(fine_k))
                   .unionByName(coarse.withColumn("n_bins_k", F.lit(coarse_k))))
     else:

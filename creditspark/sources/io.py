@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditspark.operators.cache import persist
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_value: str = "NA") -> DataFrame:
@@ -30,6 +32,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                       for f in df.schema.fields])
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType, null_value: str = "NA",
+                          header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """IO1 with a side output: (rows that fit the schema, lines that do not as (record, file)).
+
+    A line is rejected for a value that is not of its column's type, or for too few or too many fields.  The scan is persisted
+    for both sides (``cache.release`` gives it back): a value that is not read cannot be found wrong.
+    """
+    bad = "_corrupt_record"
+    full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    rows = (spark.read.schema(full).option("header", str(header).lower()).option("nullValue", null_value).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", bad).csv(path).withColumn("_file", F.input_file_name()))
+    rows = persist(rows)
+    good = rows.filter(F.col(bad).isNull()).select([F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                                                    for f in schema.fields])
+    return good, rows.filter(F.col(bad).isNotNull()).select(F.col(bad).alias("record"), F.col("_file").alias("file"))
+
+
 def write_csv(df: DataFrame, path: str, null_value: str = "NA", mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").option("nullValue", null_value).csv(path)
 
