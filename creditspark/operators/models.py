@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditspark.operators.cache import persist, release
-from creditspark.operators.trees import kappa
+from creditspark.operators.trees import kappa  # noqa: F401 - callers take it from here
 from creditspark.session import scratch_path
 
 INTERCEPT = "(Intercept)"
@@ -312,29 +312,3 @@ def fourier_features(df: DataFrame, features: list[str], sigma: float, n_compone
         return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()) @ w + b)) if len(x) else [], dtype=object)
 
     return df.withColumn(out, array_to_vector(mapped(F.array(*[F.col(f).cast("double") for f in features]))))
-
-
-def svm_grid(train: DataFrame, features: list[str], label: str, key: str, costs: list[float], sigmas: list[float],
-             folds: int = 2, n_components: int = 256, max_iter: int = 100) -> tuple[list[tuple], tuple[float, float]]:
-    """ML15: cross-validated grid over cost and kernel width of the Fourier-feature SVM.
-
-    Folds come from a hash of ``key``.  A cost C is ``regParam = 1 / (C n)``, the same objective up to a factor.
-    Returns ([(C, sigma, accuracy, kappa)], (best C, best sigma)) by accuracy; ties go to the first.
-    """
-    rows = []
-    for sigma in sigmas:
-        z = persist(fourier_features(train, features, sigma, n_components).select(
-            "features", F.col(label).cast("double").alias(label), fold_column(key, folds).alias("__fold")))
-        for cost in costs:
-            parts = []
-            for f in range(folds):
-                fit = z.filter(F.col("__fold") != f)
-                model = linear_svm(fit, label, reg=1.0 / (cost * max(fit.count(), 1)), max_iter=max_iter)
-                p, y = F.col("prediction").cast("int"), F.col(label).cast("int")
-                r = model.transform(z.filter(F.col("__fold") == f)).agg(
-                    F.count_if((p == 0) & (y == 0)), F.count_if((p == 0) & (y == 1)), F.count_if((p == 1) & (y == 0)), F.count_if((p == 1) & (y == 1))).first()
-                parts.append(((r[0] + r[3]) / max(sum(r), 1), kappa(*r)))
-            rows.append((float(cost), float(sigma), float(np.mean([a for a, _ in parts])), float(np.mean([k for _, k in parts]))))
-        release(z)
-    best = max(rows, key=lambda t: t[2])
-    return rows, (best[0], best[1])

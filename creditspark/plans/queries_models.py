@@ -20,6 +20,7 @@ from creditspark.operators import models as M
 from creditspark.operators import trees as T
 from creditspark.operators.cache import persist
 from creditspark.operators import scorecard as SC
+from creditspark.operators import svm as SVM
 from creditspark.plans.catalog import r6, register
 from creditspark.plans.modelling import build_design
 from creditspark.plans.oracle_base import with_fixture
@@ -237,32 +238,31 @@ def rff_svm(spark, d):
     return _rff(_design(spark, d), RFF_SIGMA)
 
 
-def _rff(des, sigma, cost=None):
+def _rff(des, sigma):
     tr = M.fourier_features(des.balanced.dropna(subset=des.features), des.features, sigma, RFF_COMPONENTS)
     te = M.fourier_features(des.test.dropna(subset=des.features), des.features, sigma, RFF_COMPONENTS)
-    reg = 0.0 if cost is None else 1.0 / (cost * max(des.balanced.count(), 1))
-    model = M.linear_svm(tr.withColumn("tag", F.col("tag").cast("double")), "tag", reg=reg)
+    model = M.linear_svm(tr.withColumn("tag", F.col("tag").cast("double")), "tag")
     return _holdout(des, model.transform(te.select("application_id", "features")), F.col("prediction").cast("int").alias("pred"))
 
 
-def _svm_grid(spark, d):
-    des = _design(spark, d)
-    train = des.balanced.dropna(subset=des.features)
-    return des, *M.svm_grid(train, des.features, "tag", "application_id", SVM_COSTS, SVM_SIGMAS, SVM_FOLDS, RFF_COMPONENTS)
+def _svm_grid(des):
+    return SVM.grid(des.balanced, des.features, "tag", M.fold_column("application_id", SVM_FOLDS), SVM_COSTS, SVM_SIGMAS, SVM_FOLDS, RFF_COMPONENTS)
 
 
 @register("svm_grid_cv")
 def svm_grid_cv(spark, d):
-    """ML15: 2-fold cross-validated grid of the kernel SVM over cost and sigma: accuracy and kappa per setting."""
-    _, rows, _ = _svm_grid(spark, d)
-    return spark.createDataFrame(rows, "cost double, sigma double, accuracy double, kappa double")
+    """ML15: 2-fold cross-validated grid of the kernel SVM over cost and sigma: accuracy, kappa and largest duality gap per setting."""
+    rows, _ = _svm_grid(_design(spark, d))
+    return spark.createDataFrame(rows, "cost double, sigma double, accuracy double, kappa double, gap double")
 
 
 @register("svm_cv_predict")
 def svm_cv_predict(spark, d):
     """ML16: holdout classes by the kernel SVM with the grid's best cost and sigma."""
-    des, _, (cost, sigma) = _svm_grid(spark, d)
-    return _rff(des, sigma, cost)
+    des = _design(spark, d)
+    _, (cost, sigma) = _svm_grid(des)
+    model = SVM.fit(SVM.design(des.balanced, des.features, "tag"), [SVM.Setting(SVM.Map(len(des.features), sigma, RFF_COMPONENTS), cost)])[0]
+    return _holdout(des, SVM.classify(des.test, des.features, "application_id", model), "pred")
 
 
 def _grid(des, n_trees: int):
