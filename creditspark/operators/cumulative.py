@@ -2,16 +2,19 @@
 
 ``Window.orderBy(x)`` without ``partitionBy`` moves every row to one task.
 Instead, rows are cut into ``n_buckets`` contiguous ranges of the order
-column (boundaries from ``percentile_approx``, so each range holds about the
-same number of rows), per-range totals are prefix-summed on the tiny range
+column (Spark's sampled range partitioning, so each range holds about the
+same number of rows; a range's least value is its limit, which is kept, so
+that any later reading of the plan cuts alike), per-range totals are prefix-summed on the tiny range
 table, and each range computes its own running sum plus its offset.
 The offset table has one row per million and is broadcast if it is counted to be small.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditspark.operators.cache import persist, small
@@ -20,18 +23,25 @@ DEFAULT_BUCKETS = None          # None: sized from the input
 ROWS_PER_BUCKET = 1_000_000     # target rows per running-sum task
 
 
-def _accuracy(n_buckets: int) -> int:
-    """Ranks are off by at most a tenth of a bucket."""
-    return max(10_000, 10 * n_buckets)
+def _limits(df: DataFrame, keys: list[str], order_col: str, n: int) -> DataFrame:
+    """(keys..., __limit): the least value of each group in each of ``n`` ranges of (keys, order_col)."""
+    x = F.col(order_col).cast("double").alias("__limit")
+    ranged = df.select(*keys, x).repartitionByRange(n, *keys, "__limit")
+    return ranged.groupBy(*keys, F.spark_partition_id().alias("__p")).agg(F.min("__limit").alias("__limit")).drop("__p")
 
 
 def _bucket_splits(df: DataFrame, order_col: str, n_buckets: int) -> list[float]:
+    """Limits between buckets: one number per bucket, that is per ROWS_PER_BUCKET rows."""
     if n_buckets <= 1:
-        return [float("-inf"), float("inf")]
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, _accuracy(n_buckets)).alias("q")).first()
-    cuts = sorted({float(x) for x in (row["q"] or []) if x is not None})
-    return [float("-inf")] + cuts + [float("inf")]
+        return [-math.inf, math.inf]
+    cuts = {r["__limit"] for r in _limits(df, [], order_col, n_buckets).collect()}
+    return [-math.inf, *sorted(c for c in cuts if c is not None and math.isfinite(c)), math.inf]
+
+
+def _count_at_most(limits: Column, x: Column, n: int) -> Column:
+    """How many of the sorted ``limits`` (at most ``n``) are at most ``x``: a binary search, JVM-side."""
+    steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(limits, at + step - 1) <= x, at + step).otherwise(at))
 
 
 def partitioned_running_totals(df: DataFrame, partition_cols: list[str], order_col: str, value_cols: list[str],
@@ -39,20 +49,17 @@ def partitioned_running_totals(df: DataFrame, partition_cols: list[str], order_c
                                prefix: str = "cum_") -> DataFrame:
     """``running_totals`` restarted in every group of ``partition_cols``.
 
-    Each group is cut into value buckets of about ``rows_per_bucket`` rows
-    (per-group cuts from ``percentile_approx``), so one large group is still
-    spread over many tasks.  ``df`` holds one row per (group, order value).
+    The rows are cut into ranges of (group, value) of about ``rows_per_bucket`` rows, so one large group
+    is still spread over many tasks.  ``df`` holds one row per (group, order value).
     """
     from creditspark.operators.quantiles import _join_null_safe
     g = list(partition_cols)
     df = persist(df)
-    max_rows = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
-    n_b = max(1, -(-max_rows // rows_per_bucket))
-    x = F.col(order_col).cast("double")
+    n_b = max(1, -(-df.count() // rows_per_bucket))
     if n_b > 1:
-        cuts = df.groupBy(*g).agg(F.percentile_approx(x, [i / n_b for i in range(1, n_b)], _accuracy(n_b)).alias("__cuts"))
+        cuts = _limits(df, g, order_col, n_b).groupBy(*g).agg(F.array_sort(F.collect_list("__limit")).alias("__cuts"))
         bucketed = _join_null_safe(df, cuts, g).withColumn(
-            "__bkt", F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(order_col).cast("double")))).drop("__cuts")
+            "__bkt", _count_at_most(F.col("__cuts"), F.col(order_col).cast("double"), n_b)).drop("__cuts")
     else:
         bucketed = df.withColumn("__bkt", F.lit(0))
     per_bucket = bucketed.groupBy(*g, "__bkt").agg(*[F.sum(c).alias(f"__b_{c}") for c in value_cols])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from creditspark.functions.columns import cut_index
 from creditspark.operators.cache import persist
+from creditspark.operators.comoments import correlations
 from creditspark.operators.quantiles import _join_null_safe, grouped_quantiles
 
 
@@ -139,11 +140,9 @@ def histogram(df: DataFrame, col: str, bins: int = 30, spark: SparkSession | Non
 
 
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """AG12: pairwise-complete Pearson correlations (var_x < var_y in list order), one agg pass."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(rows))
+    """AG12: pairwise-complete Pearson correlations (var_x before var_y in list order), one pass for any number of
+    columns (``comoments.correlations``)."""
+    return correlations(df, cols)
 
 
 def count_above_below(df: DataFrame, col: str, threshold: float) -> DataFrame:

@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from creditspark.operators.cache import persist, small
 
 SEP = "|"
-TWO53 = float(2 ** 53)
 WHOLE_ABOVE = 16.0
 COPIES_PER_TASK = 100_000
 
@@ -100,10 +99,12 @@ def md5_uniform(key: str, salt: str) -> Column:
     return (bits + F.lit(1.0)) / F.lit(float(2 ** 52))
 
 
-def _uniform(*cols: Column) -> Column:
-    """Deterministic U(0, 1] from a 64-bit hash of the given columns."""
-    hv = F.xxhash64(*cols)
-    return ((hv.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") + F.lit(1.0)) / F.lit(TWO53 + 1.0)
+def md5_normal(salt: str, *cols: str) -> Column:
+    """Deterministic N(0, 1) of the columns and the salt: two uniforms from the first and the second 52 bits of one md5,
+    turned by Box and Muller; any SQL engine can repeat it."""
+    digest = F.md5(F.concat(*[F.concat(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(SEP)) for c in cols], F.lit(salt)))
+    u1, u2 = [(F.conv(F.substring(digest, at, 13), 16, 10).cast("double") + F.lit(1.0)) / F.lit(float(2 ** 52)) for at in (1, 14)]
+    return F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 
 def _poisson_cdf(lam: float, tail: float = 1e-12) -> list[float]:
@@ -169,9 +170,7 @@ def rose_balance(df: DataFrame, key: str, label: str, features: list[str], seed:
     rep = replicate(lab.withColumn("__k", count_expr.otherwise(F.lit(0).cast("long"))), "__k", "copy")
     out = []
     for i, c in enumerate(features):
-        u1 = _uniform(F.col(key), F.col("copy"), F.lit(seed), F.lit(2 * i))
-        u2 = _uniform(F.col(key), F.col("copy"), F.lit(seed), F.lit(2 * i + 1))
-        z = F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+        z = md5_normal(f"{seed}|noise{i}", key, "copy")
         out.append((F.col(c).cast("double") + h_expr[c].otherwise(F.lit(0.0)) * z).alias(c))
     res = rep.select(key, "copy", label, *out)
     if exact_total:

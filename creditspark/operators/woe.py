@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,20 +188,8 @@ def _woe_iv_py(g, b, G, B):
     return w, (pg - pb) * w
 
 
-def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20,
-                     stop_limit: float = 0.1) -> list[float]:
-    """Return merged cut points for ``col``.
-
-    Starts from ``start_bins`` quantile bins (one Spark pass), then merges the
-    adjacent non-NULL pair with the closest WOE while the relative IV loss of
-    the step is <= ``stop_limit``.  The loop runs on the collected bin table
-    (at most ``start_bins`` + 1 rows), not on data.
-    """
-    lab = persist(df.filter(F.col(label).isNotNull()).select(label, col))
-    cuts = quantile_cuts(lab, [col], start_bins)[col]
-    rows = numeric_bin_counts(lab, {col: cuts}, label).filter(F.col("bin_id") >= 0) \
-        .orderBy("bin_id").collect()
-    bins = [[r["bin_id"], r["n_good"], r["n_bad"]] for r in rows]
+def _merged_edges(bins: list[list[int]], cuts: list[float], stop_limit: float) -> list[float]:
+    """Edges left of one variable's (bin_id, n_good, n_bad) rows, ordered by bin."""
     G = sum(b[1] for b in bins) or 1
     B = sum(b[2] for b in bins) or 1
     # edge i separates bins i and i+1; it is cuts[bin_id_of_i] (ids can skip empties)
@@ -224,6 +213,32 @@ def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20,
     return edges
 
 
+def supervised_merges(df: DataFrame, cols: list[str], label: str, start_bins: int = 20,
+                      stop_limit: float = 0.1) -> dict[str, list[float]]:
+    """Merged cut points of every column in ``cols``.
+
+    All columns share one quantile search and one aggregate of ``start_bins`` bins each; then every variable's bin table
+    (at most ``start_bins`` rows) is one group of a grouped map, which merges the adjacent non-NULL pair with the
+    closest WOE while the relative IV loss of the step is <= ``stop_limit``.  Only the edges come to the driver.
+    A column without values has no edges.
+    """
+    lab = persist(df.filter(F.col(label).isNotNull()).select(label, *cols))
+    cuts = quantile_cuts(lab, cols, start_bins)
+
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("bin_id")[["bin_id", "n_good", "n_bad"]].to_numpy().tolist()
+        return pd.DataFrame({"variable": [key[0]], "edges": [_merged_edges(rows, cuts[key[0]], stop_limit)]})
+
+    bins = numeric_bin_counts(lab, cuts, label).filter(F.col("bin_id") >= 0).select("variable", "bin_id", "n_good", "n_bad")
+    found = {r["variable"]: list(r["edges"]) for r in bins.groupBy("variable").applyInPandas(merge, "variable string, edges array<double>").collect()}
+    return {c: found.get(c, []) for c in cols}
+
+
+def supervised_merge(df: DataFrame, col: str, label: str, start_bins: int = 20, stop_limit: float = 0.1) -> list[float]:
+    """``supervised_merges`` of one column."""
+    return supervised_merges(df, [col], label, start_bins, stop_limit)[col]
+
+
 def merge_similar_levels(levels: dict[str, tuple[int, int]], stop_limit: float = 0.1) -> dict[str, str]:
     """WO1 option: merge categories with similar WOE.
 

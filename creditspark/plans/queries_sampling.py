@@ -62,3 +62,36 @@ def rose_copies(spark, d):
     lab = fx.modelling_table(spark, d).filter(F.col("tag").isNotNull()).select("application_id", "tag")
     got = S.rose_balance(lab, "application_id", "tag", [], seed=1).groupBy("application_id").agg(F.count(F.lit(1)).alias("copies"))
     return lab.join(got, "application_id", "left").select("application_id", "tag", F.coalesce("copies", F.lit(0).cast("long")).alias("copies"))
+
+
+NOISY = ["tenure_days", "util", "n_trades"]
+
+
+def _noise_sql():
+    """Copies as in ``rose_copies``; their noise from md5's first and second 52 bits by Box and Muller."""
+    cdf = "list_sum(list_transform(range(0, k + 1), lambda j: exp(-lam + j * ln(lam) - lgamma(j + 1))))"
+    bits = "(('0x' || substr({m}, {at}, 13))::bigint::double + 1) / 4503599627370496"
+    d = len(NOISY)
+    values = []
+    for i, c in enumerate(NOISY):
+        m = f"md5(application_id::varchar || '|' || copy::varchar || '|1|noise{i}')"
+        values.append(f"round({c}::double + pow(4.0 / ({d + 2} * n_c), 1.0 / {d + 4}) * sd_{c} * sqrt(-2 * ln({bits.format(m=m, at=1)}))"
+                      f" * cos(2 * pi() * {bits.format(m=m, at=14)}), 6) as {c}")
+    return with_fixture(
+        f"select application_id, copy, tag, {', '.join(values)} from taken",
+        f"""of_class AS (select tag, count(*) n_c, sum(count(*)) over () as n_all,
+                        {', '.join(f'stddev_samp({c}::double) as sd_{c}' for c in NOISY)} from lab group by tag)""",
+        """drawn AS (select lab.*, n_c, sd_tenure_days, sd_util, sd_n_trades,
+                            (n_all // 2 + case when lab.tag < n_all % 2 then 1 else 0 end)::double / n_c as lam,
+                            (('0x' || substr(md5(cast(application_id as varchar) || '|1|copies'), 1, 13))::bigint::double + 1) / 4503599627370496 as u
+                     from lab join of_class on of_class.tag = lab.tag)""",
+        f"""taken AS (select *, unnest(range(1, 1 + list_count(list_transform(range(0, 60), lambda k: case when u > {cdf} then 1 end)))) as copy
+                     from drawn)""")
+
+
+@register("rose_noise", _noise_sql())
+def rose_noise(spark, d):
+    """SA3: the copies that balancing makes of all labelled rows, with their kernel noise."""
+    lab = fx.modelling_table(spark, d).filter(F.col("tag").isNotNull())
+    got = S.rose_balance(lab, "application_id", "tag", NOISY, seed=1)
+    return got.select("application_id", "copy", "tag", *[F.round(c, 6).alias(c) for c in NOISY])

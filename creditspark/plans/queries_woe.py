@@ -227,7 +227,6 @@ def woe_numeric_merge(spark, d):
     """WO2: supervised merge of twenty quantile bins with IV-loss stop limit 0.01, then the merged table."""
     mt = _mt(spark, d)
     lab = mt.filter(F.col("tag").isNotNull())
-    edges = {c: woe.supervised_merge(lab, c, "tag", start_bins=20, stop_limit=0.01)
-             for c in ["util", "bal"]}
+    edges = woe.supervised_merges(lab, ["util", "bal"], "tag", start_bins=20, stop_limit=0.01)
     return woe.info_table(lab, list(edges), "tag", cuts=edges).select(
         *BIN_COLS, r6("pct"), r6("woe"), r6("iv"), r6("iv_cum"))
