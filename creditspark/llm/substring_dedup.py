@@ -5,7 +5,8 @@ places (all of them if equal, so that periodic stretches are cut as well): cuts
 further apart than that, and an insertion moves only the ones it touches.  From every cut on, the stretch to the first
 cut at least ``least`` characters on is a sequence; its digest is counted over the corpus (one row per distinct
 digest and task before the shuffle) with its least doc_id, and the digests that occur twice or more join
-back to the sequences (the planner splits a hot digest).  In each document, the sequences that recur form the passages
+back to the sequences.  Digests that hold a 4096th of the recurring sequences or more, of which there can be 4096,
+are broadcast, and their sequences are spread by row instead of meeting in one task.  In each document, the sequences that recur form the passages
 where they overlap or touch, so every part of a passage lies in a stretch of ``least`` characters that occurs
 elsewhere as a whole.  A sequence's first occurrence in the document of least doc_id stays; what else of the
 passages is there is to be removed.  A shared passage of ``least`` + 16 + 3 REACH single-byte characters always
@@ -35,6 +36,7 @@ from creditspark.llm.shingles import blocks
 REACH = 40
 LEAST = 100
 WINDOW = 16
+HOT = 4096  # a digest with one in so many of the recurring sequences is listed
 
 
 @cache
@@ -113,8 +115,16 @@ def repeats(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFram
     """(doc_id, th, passages, removable) per row with a passage: arrays of (start, end), in order.
     ``passages`` are all that occur elsewhere too, ``removable`` those parts of which this is not the first."""
     every = sequences(docs, reach, least)
-    twice = every.groupBy("digest").agg(F.count(F.lit(1)).alias("many"), F.min("doc_id").alias("first")).filter("many > 1").select("digest", "first")
-    own = every.join(twice, "digest").select("doc_id", "th", F.struct("start", "n_chars", "digest", (~F.col("doc_id").eqNullSafe(F.col("first"))).alias("later")).alias("c"))
+    twice = stored(every.groupBy("digest").agg(F.count(F.lit(1)).alias("many"), F.min("doc_id").alias("first")).filter("many > 1"), "recurring")
+    total = twice.agg(F.sum("many")).first()[0] or 0
+    hot = F.col("many") * HOT >= total
+    # a row of a hot digest needs no partner any more: its second key never matches, its first spreads it
+    listed = F.broadcast(twice.filter(hot).select("digest", F.struct("first").alias("hot")))
+    rest = twice.filter(~hot).select(F.col("digest").alias("key"), F.lit(False).alias("spread"), F.struct("first").alias("cold"))
+    keyed = (every.join(listed, "digest", "left").withColumn("spread", F.col("hot").isNotNull())
+             .withColumn("key", F.when(F.col("spread"), F.xxhash64("th", "start")).otherwise(F.col("digest"))))
+    found = keyed.join(rest, ["key", "spread"], "left").withColumn("from", F.coalesce("hot", "cold")).filter("from is not null")
+    own = found.select("doc_id", "th", F.struct("start", "n_chars", "digest", (~F.col("doc_id").eqNullSafe(F.col("from.first"))).alias("later")).alias("c"))
     key = docs.schema["doc_id"].simpleString().replace(":", " ", 1)
     span = "array<struct<start:int,end:int>>"
     return own.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("c")).alias("c")).mapInArrow(
