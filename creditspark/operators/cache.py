@@ -15,8 +15,9 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: semantic hash of a plan -> the frames that hold it
 _held: dict[int, list[DataFrame]] = {}
@@ -70,7 +71,20 @@ def clear(spark) -> None:
     spark.catalog.clearCache()
 
 
-def small(df: DataFrame, most: int = 200_000) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to have at most ``most`` rows; else as it is, for the
-    planner to join by a shuffle."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: 8 bytes a column, the bytes of strings and binaries, and nested values as JSON."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        col = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col.alias("v")))), F.lit(0))
+    return size
+
+
+def small(df: DataFrame, most: int = 200_000, most_bytes: int = 256 << 20) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to have at most ``most`` rows of ``most_bytes`` in all; else as it
+    is, for the planner to join by a shuffle."""
+    n, size = df.select(row_bytes(df).alias("b")).limit(most + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if n <= most and size <= most_bytes else df

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -103,6 +104,8 @@ def fit_logit_vector(design: DataFrame, label: str, features: list[str], feature
     design = persist(design)
     m = glr.fit(design)
     s = m.summary
+    if s.numIterations >= max_iter:
+        warnings.warn(f"the logistic fit of {len(features)} predictors had not converged after {max_iter} iterations", stacklevel=2)
     try:
         se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
     except (IllegalArgumentException, UnsupportedOperationException):  # singular information matrix
@@ -291,7 +294,17 @@ def auc_per_round(model, valid: DataFrame, label: str, digits: int | None = None
 # --------------------------------------------------------------------------- SVMs (ML13, ML14)
 
 def linear_svm(train: DataFrame, label: str, reg: float = 0.0, max_iter: int = 100):
-    return LinearSVC(labelCol=label, featuresCol="features", regParam=reg, maxIter=max_iter).fit(train)
+    """ML13; ``max_iter`` turns without convergence are reported by a warning."""
+    m = LinearSVC(labelCol=label, featuresCol="features", regParam=reg, maxIter=max_iter).fit(train)
+    if m.hasSummary and m.summary().totalIterations >= max_iter:
+        warnings.warn(f"the linear SVM had not converged after {max_iter} iterations", stacklevel=2)
+    return m
+
+
+def linear_margin(features: str, weights: list[float], intercept: float) -> Column:
+    """ML13/ML14: margin of any fitted linear classifier on a vector column; class 1 where it is above 0."""
+    terms = F.zip_with(vector_to_array(F.col(features)), F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w)
+    return F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) + F.lit(float(intercept))
 
 
 def fourier_matrix(n_features: int, sigma: float, n_components: int, seed: int) -> tuple[np.ndarray, np.ndarray]:

@@ -96,6 +96,19 @@ def key_setdiff(a: DataFrame, b: DataFrame, key_a: str, key_b: str, out: str = "
               .unionByName(kb.subtract(ka).withColumn("direction", F.lit("b_not_a"))))
 
 
+def changed_cells(before: DataFrame, after: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """IO4: per column, how many cells of two states of a table differ (NULL equals NULL), how many of them were filled
+    and how many emptied.  Rows are matched by ``key``, which must be unique; rows of one side only do not count."""
+    side = lambda df, mark: df.select(key, *[F.col(c).alias(f"{mark}{c}") for c in cols])
+    both = side(before, "b_").join(side(after, "a_"), key)
+    was, now = (lambda c: F.col(f"b_{c}")), (lambda c: F.col(f"a_{c}"))
+    counts = both.agg(*[F.struct(F.count_if(~was(c).eqNullSafe(now(c))).alias("n_changed"),
+                                 F.count_if(was(c).isNull() & now(c).isNotNull()).alias("n_filled"),
+                                 F.count_if(was(c).isNotNull() & now(c).isNull()).alias("n_emptied")).alias(c) for c in cols])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("n")) for c in cols])).alias("r")) \
+        .select("r.variable", "r.n.*")
+
+
 def range_reject(df: DataFrame, invalid) -> DataFrame:
     """DQ10: ``status`` = 'rejected' where the predicate is TRUE; NULL predicate rows are kept."""
     return df.withColumn("status", F.when(invalid, F.lit("rejected")).otherwise(F.lit("kept")))

@@ -20,6 +20,7 @@ from creditspark.sources import fixtures as fx
 
 FOURIER_SIGMA, FOURIER_COMPONENTS, FOURIER_SEED = 0.3, 4, 1
 FOURIER_FEATURES = ["util", "n_trades"]
+FOURIER_WEIGHTS, FOURIER_INTERCEPT = [0.8, -0.5, 0.3, -0.9], 0.1  # fixed values: a classifier over the map
 
 
 def _indicators(spark, d):
@@ -106,3 +107,21 @@ def fourier_values(spark, d):
     z = M.fourier_features(mt, FOURIER_FEATURES, FOURIER_SIGMA, FOURIER_COMPONENTS, FOURIER_SEED)
     arr = vector_to_array(F.col("features"))
     return z.select("application_id", *[F.round(arr[j], 6).alias(f"z{j}") for j in range(FOURIER_COMPONENTS)])
+
+
+def _fourier_class_sql():
+    w, b = M.fourier_matrix(len(FOURIER_FEATURES), FOURIER_SIGMA, FOURIER_COMPONENTS, FOURIER_SEED)
+    scale = math.sqrt(2 / FOURIER_COMPONENTS)
+    margin = " + ".join(f"{c!r} * {scale!r} * cos({' + '.join(f'{float(w[i, j])!r} * {f}' for i, f in enumerate(FOURIER_FEATURES))} + {float(b[j])!r})"
+                        for j, c in enumerate(FOURIER_WEIGHTS))
+    return with_fixture(f"""select application_id, round(m, 6) as margin, case when m > 0 then 1 else 0 end as pred
+                            from (select application_id, {margin} + {FOURIER_INTERCEPT!r} as m from mt where bal is not null)""")
+
+
+@register("fourier_classes", _fourier_class_sql())
+def fourier_classes(spark, d):
+    """ML14: margins and classes of a linear classifier over the Fourier map."""
+    mt = fx.modelling_table(spark, d).filter(F.col("bal").isNotNull()).select("application_id", *FOURIER_FEATURES)
+    z = M.fourier_features(mt, FOURIER_FEATURES, FOURIER_SIGMA, FOURIER_COMPONENTS, FOURIER_SEED)
+    return z.select("application_id", M.linear_margin("features", FOURIER_WEIGHTS, FOURIER_INTERCEPT).alias("margin")) \
+        .select("application_id", r6("margin"), (F.col("margin") > 0).cast("int").alias("pred"))

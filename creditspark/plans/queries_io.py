@@ -1,10 +1,12 @@
-"""IO keys: table profile and CSV round trip."""
+"""IO keys: table profile, CSV round trip and rejects, snapshots."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditspark.functions.columns import cap
+from creditspark.operators import quality
 from creditspark.plans.catalog import register
 from creditspark.plans.oracle_base import with_fixture
 from creditspark.session import scratch_path
@@ -53,3 +55,21 @@ def csv_rejects(spark, d):
     good, rejected = io.read_csv_with_rejects(spark, path, schema, header=False)
     return good.select(F.lit("good").alias("kind"), *schema.names, F.lit(None).cast("string").alias("record")).unionByName(
         rejected.select(F.lit("rejected").alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], "record"))
+
+
+# fixed values of the changes that the snapshot is compared with
+BAL_CAP, UTIL_FLOOR = 200000.0, 0.05
+CHANGED = {"bal": f"case when bal > {BAL_CAP} then {BAL_CAP} else bal end", "n_trades": "coalesce(n_trades, 0)",
+           "util": f"case when util < {UTIL_FLOOR} then null else util end", "income": "income"}
+
+
+@register("snapshot_changes", with_fixture(" union all ".join(
+    f"""select '{c}' variable, count(*) filter ({c} is distinct from x) n_changed, count(*) filter ({c} is null and x is not null) n_filled,
+               count(*) filter ({c} is not null and x is null) n_emptied from (select {c}, {e} x from mt)""" for c, e in CHANGED.items())))
+def snapshot_changes(spark, d):
+    """IO4: a snapshot of the modelling table taken before three columns are changed, and what the changes did."""
+    kept = io.Snapshots(spark)
+    before = kept.take("modelling", fx.modelling_table(spark, d))
+    after = (before.withColumn("bal", cap("bal", BAL_CAP)).withColumn("n_trades", F.coalesce("n_trades", F.lit(0).cast("long")))
+             .withColumn("util", F.when(F.col("util") < UTIL_FLOOR, F.lit(None)).otherwise(F.col("util"))))
+    return quality.changed_cells(kept.read("modelling"), after, "application_id", list(CHANGED))

@@ -1,4 +1,4 @@
-"""PR, FL, SO2, JN and ST keys."""
+"""PR, FL, SO, JN and ST keys."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from creditspark.functions import columns as C
 from creditspark.operators import prep
+from creditspark.operators.ordering import ranked
 from creditspark.plans.catalog import r6, register
 from creditspark.plans.oracle_base import with_fixture
 from creditspark.sources import fixtures as fx
@@ -153,6 +154,13 @@ def reject_rows(spark, d):
     return u.filter(F.col("is_reject")).select("application_id", "is_reject")
 
 
+@register("ranked_applications", with_fixture(
+    "select application_id, bal, row_number() over (order by bal desc nulls last, application_id) as rank from mt"))
+def ranked_applications(spark, d):
+    """SO1: every application's place in a descending order with a tiebreak, which shows the order itself."""
+    return ranked(_mt(spark, d).select("application_id", "bal"), [F.col("bal").desc_nulls_last(), F.col("application_id")])
+
+
 @register("top_n", with_fixture(
     "select application_id, bal from mt where bal is not null order by bal desc, application_id limit 6"))
 def top_n(spark, d):

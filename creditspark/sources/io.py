@@ -4,7 +4,8 @@ IO1  CSV scan with a header, explicit schema and two NULL spellings
      ("NA" and the empty field); no schema inference at scale.
 IO2  CSV sink with a header (row names become an explicit rank column upstream).
 IO3  shape/schema inspection as a DataFrame.
-IO4  snapshots are free (DataFrames are immutable); ``persist`` at branch points.
+IO4  snapshots: a DataFrame is immutable, ``persist`` serves branch points; ``Snapshots`` keeps named copies of tables
+     whose sources will change, in the shared folder.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditspark.operators.cache import persist
+from creditspark.session import scratch_path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -73,3 +75,36 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
 def schema_profile(df: DataFrame) -> list[tuple[str, str]]:
     """``str(df)``: (column, type) pairs from the schema (no job)."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+class Snapshots:
+    """IO4: named copies of tables, written to the session's shared folder.
+
+    A copy holds what the table held when it was taken, also after its files are overwritten.  Taking a name again
+    replaces its copy for later ``read`` calls; ``release`` deletes the files (plans that still read them fail).
+    What is not released goes with the session's scratch folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._kept: dict[str, tuple[str, T.StructType]] = {}
+
+    def take(self, name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "snapshot")
+        df.write.parquet(path)
+        self.release(name)
+        self._kept[name] = (path, df.schema)
+        return self.read(name)
+
+    def read(self, name: str) -> DataFrame:
+        path, schema = self._kept[name]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def names(self) -> list[str]:
+        return sorted(self._kept)
+
+    def release(self, name: str) -> None:
+        """Delete a copy; a name that was never taken is no error."""
+        if name in self._kept:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._kept.pop(name)[0])
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
