@@ -140,3 +140,54 @@ def test_odd_tables(spark, monkeypatch):
     assert len(rows_) == 2 and best in (1, 2)
     none = matrix(spark, monkeypatch, False, data=[])
     assert none.rows == 0 and (T.forest(none, 2, 2, depth=2).trees[0].feature < 0).all()
+
+
+def test_walk_and_draws_against_plain_ones():
+    r = np.random.default_rng(4)
+    bins = r.integers(0, 16, (3, 40_000)).astype(np.uint8)
+    tree = T.Tree(7)
+    inner = np.flatnonzero(r.random(128) < .8)
+    tree.feature[inner], tree.cut[inner] = r.integers(0, 3, len(inner)), r.integers(0, 15, len(inner))
+    for depth in (0, 3, 7):
+        node = np.ones(bins.shape[1], int)
+        for _ in range(depth):
+            f = tree.feature[node]
+            node = np.where(f >= 0, 2 * node + (bins[np.maximum(f, 0), np.arange(len(node))] > tree.cut[node]), node)
+        assert (T.walk(tree.feature, tree.cut, depth, bins) == node).all()
+    keys = r.integers(0, 1 << 63, 40_000).astype(np.uint64)
+    u = (T.mixed(keys ^ T.mixed(np.uint64(9))) >> np.uint64(11)).astype(float) / 2.0 ** 53
+    assert (T.bootstrap(keys, 9) == np.searchsorted(T._POISSON, u, side="right")).all()
+
+
+@pytest.mark.parametrize("m", [1, 40])
+def test_sums_of_many_rows(m):
+    r = np.random.default_rng(6)
+    bins, place = r.integers(0, 16, (3, 90_000)).astype(np.uint8), r.integers(0, m + 1, 90_000)
+    w, y = r.integers(0, 4, 90_000).astype(float), r.integers(0, 2, 90_000).astype(float)
+    got = T.counted(bins, place, w, y, m, 16)
+    want = np.zeros((m + 1, 3, 16, 2))
+    for f in range(3):
+        np.add.at(want, (place, f, bins[f]), np.stack([w * y, w], axis=1))
+    assert (got == want[:m]).all()
+
+
+def test_a_forest_s_histograms_do_not_come_to_the_driver(spark, monkeypatch):
+    def no(*_):
+        raise AssertionError("histograms were collected")
+
+    here = T.forest(matrix(spark, monkeypatch, False), 3, 2, depth=4)
+    monkeypatch.setattr(T, "_added", no)
+    there = T.forest(matrix(spark, monkeypatch, True), 3, 2, depth=4)
+    assert all((a.feature == b.feature).all() and (a.g == b.g).all() and np.allclose(a.gain, b.gain) for a, b in zip(here.trees, there.trees))
+
+
+def test_rounds_are_ranked_by_ranges_without_a_row_each(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(T, "_stored", lambda df, name, real=T._stored: stored.append(name) or real(df, name))
+    s = T.Boost(rounds=3)
+    here = T.boost_cv(matrix(spark, monkeypatch, False, fold=2), s, 2)
+    monkeypatch.setattr(T, "RANKED_ROWS", 60, raising=False)
+    monkeypatch.setattr(T, "KEEP", 2)
+    there = T.boost_cv(matrix(spark, monkeypatch, True, fold=2), s, 2)
+    assert here[1] == there[1] and np.allclose(np.array(here[0]), np.array(there[0]))
+    assert set(stored) == {"binned", "margins"}
