@@ -1,8 +1,10 @@
 """Support vector machines with squared hinge loss, by Newton steps for many settings at once (ML13-ML16).
 
 Objective of a setting: ``|w|^2 / 2 + C * sum(max(0, 1 - y * z'w)^2)`` over its training rows, where z is the row's random Fourier map
-(kernel ``exp(-sigma |x - x'|^2)``) or the row itself, with a constant.  Every turn is two passes over the rows for all settings
-that are not done: one sums gradients, Hessians and the dual's terms, the other the losses at several step lengths.  Blocks of sums
+(kernel ``exp(-sigma |x - x'|^2)``) or the row itself, with a constant.  Every turn is one pass over the rows for all settings
+that are not done: it sums the losses at several step lengths and, at the whole step, gradients, the dual's terms and what changes in
+the Hessian, which are the products of the rows that became active or no longer are.  Where the whole step is not the best, one more pass
+takes the slopes at the best.  At the start all rows are active, so that costs share one Hessian per map and fold.  Blocks of sums
 are added up by setting; the driver solves one small system for each.  A setting is done when its duality gap is below ``tol`` of
 its objective, and the gap is reported: it bounds the distance to the optimum.
 """
@@ -68,9 +70,13 @@ def design(df: DataFrame, features: list[str], label: str, fold: Column | None =
                      (F.lit(0) if fold is None else fold).cast("int").alias("fold"))
 
 
+#: Rows that are mapped at a time, for the cache.
+ROWS = 2048
+
+
 def _passed(data: DataFrame, todo: dict[int, Setting], sums) -> dict[int, np.ndarray]:
-    """``sums(setting index, z, y)`` added up over all rows, by setting."""
-    maps = {s.map for s in todo.values()}
+    """``sums(map, z, y, fold)`` yields (setting index, sums) for the settings of one map; they are added up over all rows."""
+    maps = list(dict.fromkeys(s.map for s in todo.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -79,60 +85,98 @@ def _passed(data: DataFrame, todo: dict[int, Setting], sums) -> dict[int, np.nda
                 continue
             x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
             y, fold = b.column(1).to_numpy(), b.column(2).to_numpy()
-            for m in maps:
-                z = m(x)
-                for i, s in todo.items():
-                    if s.map == m:
-                        own = sums(i, z, y, fold)
-                        total[i] = total[i] + own if i in total else own
+            for first in range(0, len(x), ROWS):
+                rows = slice(first, first + ROWS)
+                for m in maps:
+                    for i, own in sums(m, m(x[rows]), y[rows], fold[rows]):
+                        total[i] = np.add(total[i], own, out=total[i]) if i in total else own
         yield pa.RecordBatch.from_pydict({"tree": pa.array(list(total), pa.int64()), "hist": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
     return _added(data.mapInArrow(run, HIST), HIST)
 
 
-def _slopes(s: Setting, z: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
-    """Squared losses, the dual variables' sum and squares, their sum with the rows, and the active rows' products."""
-    rows = fold != s.fold
-    z, y = z[rows], y[rows]
-    slack = np.maximum(0.0, 1 - y * (z @ s.w))
-    at = slack > 0
-    za = z[at]
-    return np.concatenate([[(slack ** 2).sum(), 2 * s.cost * slack.sum(), 4 * s.cost ** 2 * (slack ** 2).sum()],
-                           2 * s.cost * (za.T @ (y[at] * slack[at])), (za.T @ za).ravel()])
+@dataclass
+class Turn:
+    """What the next pass does for a setting: the step to try (None: slopes at ``w`` alone) and where its Hessian is known
+    (``base``, None: nowhere; ``leader``: the setting that counts it for all of one map and fold)."""
+    step: np.ndarray | None = None
+    base: np.ndarray | None = None
+    hess: np.ndarray | None = None
+    leader: int = -1
+
+
+def _product(z: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = z[rows]
+    return z.T @ z
+
+
+def _turned(settings: dict[int, Setting], turns: dict[int, Turn]):
+    """For every setting at ``w`` plus its whole step: squared losses, the dual variables' sum and squares, their sum with the rows; the
+    losses at all STEPS; and the products of the rows that became active, less those that no longer are."""
+    def sums(m: Map, z: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        own = [i for i, s in settings.items() if s.map == m]
+        zero = np.zeros(m.size)
+        step = [zero if turns[i].step is None else turns[i].step for i in own]
+        weights = [x for i, d in zip(own, step) for x in (settings[i].w + d, settings[i].w, d, zero if turns[i].base is None else turns[i].base)]
+        margins = (z @ np.stack(weights, axis=1)) * y[:, None]
+        train = np.stack([fold != settings[i].fold for i in own], axis=1)
+        slack = np.where(train, np.maximum(0.0, 1 - margins[:, ::4]), 0.0)
+        rows = z.T @ (slack * y[:, None])
+        for j, i in enumerate(own):
+            s, t, on = settings[i], turns[i], slack[:, j] > 0
+            line = np.zeros(len(STEPS))
+            if t.step is not None:
+                at, along = margins[train[:, j], 4 * j + 1], margins[train[:, j], 4 * j + 2]
+                line = np.array([(np.maximum(0.0, 1 - at - x * along) ** 2).sum() for x in STEPS])
+            squares = (slack[:, j] ** 2).sum()
+            parts = [[squares, 2 * s.cost * slack[:, j].sum(), 4 * s.cost ** 2 * squares], 2 * s.cost * rows[:, j], line]
+            if t.leader == i:
+                if t.base is None:
+                    hess = _product(z, np.flatnonzero(on))
+                else:
+                    was = train[:, j] & (margins[:, 4 * j + 3] < 1)
+                    hess = _product(z, np.flatnonzero(on & ~was)) - _product(z, np.flatnonzero(was & ~on))
+                parts.append(hess.ravel())
+            yield i, np.concatenate(parts)
+
+    return sums
 
 
 def fit(data: DataFrame, settings: list[Setting], tol: float = 1e-8, max_turns: int = 60) -> list[Setting]:
     """Train all settings; those not done after ``max_turns`` are reported by a warning and keep their gap."""
     data = persist(data)
-    todo = dict(enumerate(settings))
-    for turn in range(max_turns + 1):
-        got = _passed(data, todo, lambda i, z, y, fold, todo=todo: _slopes(todo[i], z, y, fold))
-        step = {}
+    todo, first = dict(enumerate(settings)), {}
+    turns = {i: Turn(leader=i if s.w.any() else first.setdefault((s.map, s.fold), i)) for i, s in todo.items()}
+    late = 0
+    while todo:
+        got = _passed(data, todo, _turned(todo, turns))
+        known = {}
         for i, s in list(todo.items()):
-            v, k = got.get(i, np.zeros(3 + s.map.size + s.map.size ** 2)), s.map.size
-            u, hess = v[3:3 + k], v[3 + k:].reshape(k, k)
-            s.objective, s.turns = float(s.w @ s.w / 2 + s.cost * v[0]), turn
-            s.gap = float(s.objective - (v[1] - u @ u / 2 - v[2] / (4 * s.cost)))
+            t, k = turns[i], s.map.size
+            v = got.get(i, np.zeros(3 + k + len(STEPS) + k * k))
+            slopes, line, hess = v[:3 + k], v[3 + k:3 + k + len(STEPS)], v[3 + k + len(STEPS):]
+            if t.step is not None:
+                along = [s.w + x * t.step for x in STEPS]
+                best = int(np.argmin([w @ w / 2 + s.cost * x for w, x in zip(along, line)]))
+                s.w, t.step, s.turns = along[best], None, s.turns + 1
+                if best:  # a shorter step: its slopes come with the next pass
+                    continue
+            known[i] = hess.reshape(k, k) if t.leader == i else known[t.leader]
+            t.hess = known[i] if t.base is None else t.hess + known[i]
+            t.base, t.leader = s.w, i
+            s.objective = float(s.w @ s.w / 2 + s.cost * slopes[0])
+            u = slopes[3:]
+            s.gap = float(s.objective - (slopes[1] - u @ u / 2 - slopes[2] / (4 * s.cost)))
             if s.gap <= tol * max(s.objective, 1e-300):
                 del todo[i]
+            elif s.turns >= max_turns:
+                del todo[i]
+                late += 1
             else:
-                step[i] = -np.linalg.solve(np.eye(k) + 2 * s.cost * hess, s.w - u)
-        if not todo or turn == max_turns:
-            break
-
-        def losses(i, z, y, fold, todo=todo, step=step):
-            s = todo[i]
-            rows = fold != s.fold
-            m, d = y[rows] * (z[rows] @ s.w), y[rows] * (z[rows] @ step[i])
-            return np.array([(np.maximum(0.0, 1 - m - t * d) ** 2).sum() for t in STEPS])
-
-        got = _passed(data, todo, losses)
-        for i, s in todo.items():
-            along = [s.w + t * step[i] for t in STEPS]
-            s.w = along[int(np.argmin([w @ w / 2 + s.cost * x for w, x in zip(along, got[i])]))]
+                t.step = -np.linalg.solve(np.eye(k) + 2 * s.cost * t.hess, s.w - u)
     release(data)
-    if todo:
-        warnings.warn(f"{len(todo)} of {len(settings)} SVM settings had a duality gap after {max_turns} turns", stacklevel=2)
+    if late:
+        warnings.warn(f"{late} of {len(settings)} SVM settings had a duality gap after {max_turns} turns", stacklevel=2)
     return settings
 
 
@@ -143,9 +187,11 @@ def grid(train: DataFrame, features: list[str], label: str, fold: Column, costs:
     pairs = [(c, s) for s in sigmas for c in costs]
     settings = fit(data, [Setting(Map(len(features), s, n_components), c, f) for c, s in pairs for f in range(folds)])
 
-    def confusion(i, z, y, fold):
-        rows = fold == settings[i].fold
-        return np.bincount(2 * (z[rows] @ settings[i].w >= 0) + (y[rows] > 0), minlength=4).astype(float)
+    def confusion(m, z, y, fold):
+        for i, s in enumerate(settings):
+            if s.map == m:
+                rows = fold == s.fold
+                yield i, np.bincount(2 * (z[rows] @ s.w >= 0) + (y[rows] > 0), minlength=4).astype(float)
 
     got = _passed(data, dict(enumerate(settings)), confusion)
     release(data)

@@ -63,3 +63,13 @@ def test_unfinished_settings_are_reported(spark, data):
     with pytest.warns(UserWarning, match="duality gap"):
         s = svm.fit(svm.design(frame(spark, data), FEATURES, "y"), [svm.Setting(svm.Map(3, .5, 40), 100.0)], max_turns=1)[0]
     assert s.gap > 0
+
+
+def test_one_pass_a_turn_and_one_hessian_for_all_costs(spark, data, monkeypatch):
+    passes, passed = [], svm._passed
+    monkeypatch.setattr(svm, "_passed", lambda *a: passes.append(1) or passed(*a))
+    settings = [svm.Setting(svm.Map(3, .5, 40), c) for c in (1.0, 2.0)]
+    svm.fit(svm.design(frame(spark, data), FEATURES, "y"), settings)
+    assert max(s.turns for s in settings) > 2 and len(passes) <= max(s.turns for s in settings) + 2
+    alone = svm.fit(svm.design(frame(spark, data), FEATURES, "y"), [svm.Setting(svm.Map(3, .5, 40), 2.0)])[0]
+    assert alone.turns == settings[1].turns and np.allclose(alone.w, settings[1].w)
