@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,14 +41,13 @@ class BatchFit:
 def _partials(subsets: list[list[int]], betas: list[np.ndarray]):
     def fn(batches):
         acc = [(np.zeros((len(s) + 1, len(s) + 1)), np.zeros(len(s) + 1), 0.0) for s in subsets]
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            X = np.stack(pdf["x"].to_numpy())
-            y = pdf["y"].to_numpy(dtype=float)
-            ones = np.ones((len(y), 1))
+            y = batch.column(1).to_numpy()
+            X = np.hstack([np.ones((len(y), 1)), batch.column(0).flatten().to_numpy().reshape(len(y), -1)])
             for c, (idx, b) in enumerate(zip(subsets, betas)):
-                Xc = np.hstack([ones, X[:, idx]]) if idx else ones
+                Xc = X[:, [0, *[i + 1 for i in idx]]]
                 eta = Xc @ b
                 p = np.clip(1.0 / (1.0 + np.exp(-eta)), EPS, 1 - EPS)
                 w = p * (1 - p)
@@ -55,7 +55,8 @@ def _partials(subsets: list[list[int]], betas: list[np.ndarray]):
                 A, g, ll = acc[c]
                 acc[c] = (A + Xc.T @ (Xc * w[:, None]), g + Xc.T @ (w * z),
                           ll + float(np.sum(y * np.log(p) + (1 - y) * np.log(1 - p))))
-        yield pd.DataFrame([(c, np.concatenate([A.ravel(), g, [ll]]).tobytes()) for c, (A, g, ll) in enumerate(acc)], columns=["c", "block"])
+        yield pa.record_batch({"c": pa.array(range(len(acc)), pa.int32()),
+                               "block": pa.array([np.concatenate([A.ravel(), g, [ll]]).tobytes() for A, g, ll in acc], pa.binary())})
     return fn
 
 
@@ -72,7 +73,7 @@ def _summed(batches):
 def _reduce(data: DataFrame, subsets, betas):
     """X'WX, X'Wz and the log-likelihood of every candidate: one block per candidate and task, added up by
     REDUCERS tasks (each task's blocks go to one of them), whose few sums the driver adds."""
-    blocks = data.mapInPandas(_partials(subsets, betas), SCHEMA).withColumn("r", F.pmod(F.spark_partition_id(), F.lit(REDUCERS)))
+    blocks = data.select("x", "y").mapInArrow(_partials(subsets, betas), SCHEMA).withColumn("r", F.pmod(F.spark_partition_id(), F.lit(REDUCERS)))
     out = [(np.zeros((len(s) + 1, len(s) + 1)), np.zeros(len(s) + 1), 0.0) for s in subsets]
     for r in blocks.repartition(REDUCERS, "r").select("c", "block").mapInPandas(_summed, SCHEMA).collect():
         v, m = np.frombuffer(r["block"]), len(subsets[r["c"]]) + 1
