@@ -16,6 +16,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from creditspark.functions.columns import predict_at
+from creditspark.operators import hinge as H
 from creditspark.operators import models as M
 from creditspark.operators import trees as T
 from creditspark.operators.cache import persist
@@ -239,10 +240,8 @@ def rff_svm(spark, d):
 
 
 def _rff(des, sigma):
-    tr = M.fourier_features(des.balanced.dropna(subset=des.features), des.features, sigma, RFF_COMPONENTS)
-    te = M.fourier_features(des.test.dropna(subset=des.features), des.features, sigma, RFF_COMPONENTS)
-    model = M.linear_svm(tr.withColumn("tag", F.col("tag").cast("double")), "tag")
-    return _holdout(des, model.transform(te.select("application_id", "features")), F.col("prediction").cast("int").alias("pred"))
+    model = H.fit(des.balanced, des.features, "tag", sigma, RFF_COMPONENTS)
+    return _holdout(des, H.classify(des.test, des.features, "application_id", model), "pred")
 
 
 def _svm_grid(des):
