@@ -191,3 +191,45 @@ def test_rounds_are_ranked_by_ranges_without_a_row_each(spark, monkeypatch):
     there = T.boost_cv(matrix(spark, monkeypatch, True, fold=2), s, 2)
     assert here[1] == there[1] and np.allclose(np.array(here[0]), np.array(there[0]))
     assert set(stored) == {"binned", "margins"}
+
+
+def test_cross_validation_brings_no_tree_to_the_driver(spark, monkeypatch):
+    m = matrix(spark, monkeypatch, False, fold=3)
+    monkeypatch.setattr(T.Tree, "unpack", lambda *_: pytest.fail("a tree was collected"))
+    assert [r[0] for r in T.forest_cv(m, [1, 3], 4, 3, depth=3)] == [1, 3]
+
+
+def test_trees_of_one_seed_share_their_rows():
+    r = np.random.default_rng(8)
+    bins, y = r.integers(0, 16, (4, 3000)).astype(np.uint8), r.integers(0, 2, 3000).astype(float)
+    b, counted = T.Block(bins, y, r.integers(0, 1 << 63, 3000).astype(np.uint64), r.integers(0, 3, 3000).astype(np.uint8)), []
+    real = T.sums
+    T.sums = lambda bins, place, weights, m, n: counted.append(m) or real(bins, place, weights, m, n)
+    try:
+        plans = [T.Plan(i, 7, mtry, 1) for i, mtry in enumerate([2, 4, 3, 4])]
+        alone = [T._grow_here(b, [p], T.Gini(), 6, 16)[0] for p in plans]
+        apart = sum(counted)
+        counted.clear()
+        for one, other in zip(alone, T._grow_here(b, plans, T.Gini(), 6, 16)):
+            assert all((getattr(one, c) == getattr(other, c)).all() for c in ("feature", "cut", "gain", "g", "h", "value"))
+        assert sum(counted) < .75 * apart and any((x.feature != alone[1].feature).any() for x in alone)
+    finally:
+        T.sums = real
+
+
+def test_a_table_copied_past_the_driver(spark, monkeypatch):
+    here = matrix(spark, monkeypatch, False, fold=3)
+    want = T.forest_cv(here, [1, 3], 4, 3, depth=4), T.boost_cv(here, T.Boost(rounds=3), 3), T.forest(here, 5, 2, depth=4)
+    monkeypatch.setattr(T, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(T, "LOCAL_BYTES", 4000)
+    from pyspark.sql import functions as F
+    there = T.binned(frame(spark, rows()).repartition(4), FEATURES, "y", "id", F.pmod("id", F.lit(3)), n_bins=16)
+    assert there.local is None and there.rows * (there.k + 10) > T.LOCAL_BYTES
+    for name in ("_grow_spread", "_boost_spread"):
+        monkeypatch.setattr(T, name, lambda *_: pytest.fail("grown in many jobs"))
+    assert T.forest_cv(there, [1, 3], 4, 3, depth=4) == want[0]
+    got = T.boost_cv(there, T.Boost(rounds=3), 3)
+    assert got[1] == want[1][1] and np.allclose(np.array(got[0]), np.array(want[1][0]))
+    assert all((a.feature == b.feature).all() and (a.cut == b.cut).all() for a, b in zip(T.forest(there, 5, 2, depth=4).trees, want[2].trees))
+    numbers = sorted(r["i"] for r in there.everywhere("i long, n long", 7, lambda i, b: [{"i": i, "n": len(b.y)}]).collect() if r["n"] == 600)
+    assert numbers == list(range(7))
