@@ -17,7 +17,9 @@ Ties go to the first feature, then the lowest cut.  A row with a NULL feature is
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -44,8 +46,10 @@ HIGH = 2.0 ** 26
 SHARE, VOTE_ROWS = 2.0 ** 40, 1 << 17
 #: Held-out rows of one round that one task ranks.
 RANKED_ROWS = 1 << 20
-#: Boosting rounds after which the blocks are written again with their margins.
-KEEP = 25
+#: Boosting rounds that are ranked at a time, and rounds (or fewer) after which the blocks are written again with their margins.
+KEEP, WRITE = 25, 8
+#: Sums of all tasks that the driver adds up itself: a job of one stage in place of two.
+SUMS_BYTES = 32 << 20
 
 
 # --------------------------------------------------------------------------- rules and trees
@@ -199,12 +203,15 @@ _FEW = 6
 
 
 def bootstrap(keys: np.ndarray, seed: int) -> np.ndarray:
-    h, w = mixed(keys ^ mixed(np.uint64(seed))), np.zeros(len(keys), np.uint8)
-    for limit in _LIMITS[:_FEW]:
-        w += h >= limit
-    many = np.flatnonzero(w == _FEW)
-    w[many] = np.searchsorted(_LIMITS, h[many], side="right")
-    return w.astype(np.float64)
+    own, out = mixed(np.uint64(seed)), np.zeros(len(keys), np.uint8)
+    for first in range(0, len(keys), WALK_ROWS):
+        w = out[first:first + WALK_ROWS]
+        h = mixed(keys[first:first + WALK_ROWS] ^ own)
+        for limit in _LIMITS[:_FEW]:
+            w += h >= limit
+        many = np.flatnonzero(w == _FEW)
+        w[many] = np.searchsorted(_LIMITS, h[many], side="right")
+    return out
 
 
 def subset(seed: int, nodes: np.ndarray, k: int, n: int) -> np.ndarray:
@@ -321,10 +328,24 @@ _ARROW = pa.schema([("n", pa.int64()), *[(c, pa.binary()) for c in ("bins", "y",
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "uncompressed").parquet(path)  # read by every job: unpacking took longer than reading more
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH, BLOCKS = "spark.sql.execution.arrow.maxRecordsPerBatch", 4
+
+
+@contextmanager
+def few_blocks(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside send BLOCKS rows (blocks) at a time to Python: thousands would wait for one another in one buffer."""
+    was = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(BLOCKS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, was)
+
+
 @dataclass
 class Matrix:
     """Binned training rows: ``blocks`` on shared storage, and all of them in one broadcast where they are few."""
@@ -439,8 +460,8 @@ class Plan:
 
 
 def _weights(b: Block, plan: Plan) -> np.ndarray:
-    w = bootstrap(b.key, plan.seed) if plan.sample else np.ones(len(b.y))
-    return np.where(b.fold == plan.fold, 0.0, w) if plan.fold >= 0 else w
+    w = bootstrap(b.key, plan.seed) if plan.sample else np.ones(len(b.y), np.uint8)
+    return w * (b.fold != plan.fold) if plan.fold >= 0 else w
 
 
 def _impure(tree: Tree, nodes: np.ndarray) -> np.ndarray:
@@ -451,8 +472,8 @@ def _grow_here(b: Block, plans: list[Plan], rule, depth: int, n_bins: int) -> li
     """Whole trees of one seed and fold from one block.  ``first`` has the first tree with the same path to a node: it alone keeps and
     counts that node's rows.  Of two children only the smaller is counted, the other is what remains of the parent."""
     k, trees, w = len(b.bins), [Tree(depth) for _ in plans], _weights(b, plans[0])
-    rows = np.flatnonzero(w)
-    w, y = w[rows], b.y[rows]
+    rows = np.flatnonzero(w != 0)
+    w, y = w[rows].astype(float), b.y[rows]
     one = w.sum() < HIGH  # both classes in one sum
     rows = (b.bins.take(rows, axis=1), *((w + w * y * HIGH,) if one else (w * y, w)), np.ones(len(rows), np.int64))
     held, first = [rows, *[None] * (len(plans) - 1)], np.zeros((len(plans), 2 << depth), int)
@@ -548,12 +569,12 @@ def _grow_spread(m: Matrix, plans: list[Plan], rule, depth: int) -> list[Tree]:
                         yield from out()
                         weight = 0
                     weight += 16 * len(b.y)
-                    drawn = None
+                    drawn, unit = None, 1 + HIGH * b.y
                     for t, (feature, cut, nodes, plan) in shared.value.items():
                         if drawn != (plan.seed, plan.sample):
                             drawn, w = (plan.seed, plan.sample), _weights(b, replace(plan, fold=-1))
-                            rows = np.flatnonzero(w)
-                            bins, fold, w = b.bins.take(rows, axis=1), b.fold[rows], w[rows] * (1 + HIGH * b.y[rows])
+                            rows = np.flatnonzero(w != 0)
+                            bins, fold, w = b.bins.take(rows, axis=1), b.fold[rows], w.take(rows) * unit.take(rows)
                         place = places(walk(feature, cut, level, bins), nodes, depth)
                         if plan.fold >= 0:
                             place[fold == plan.fold] = len(nodes)
@@ -660,7 +681,8 @@ def grow(m: Matrix, plans: list[Plan], rule=Gini(), depth: int = 10) -> dict[int
         own = {t: Tree.unpack(x) for t, x in zip(got["tree"].to_pylist(), got["data"].to_pylist())}
         trees = [own[i] for i in range(len(plans))]
     else:
-        trees = _grow_spread(m, plans, rule, depth)
+        with few_blocks(m.blocks.sparkSession):
+            trees = _grow_spread(m, plans, rule, depth)
     out: dict[int, Forest] = {}
     for plan, tree in zip(plans, trees):
         out.setdefault(plan.forest, Forest([], m.features, m.edges)).trees.append(tree)
@@ -806,42 +828,53 @@ def _boost_spread(m: Matrix, s: Boost, folds: list[int]) -> list[list[Tree]]:
         return [[Tree(s.depth).finish(s.rule) for _ in range(s.rounds)] for _ in folds]
 
     def with_margins(blocks_of: Matrix, trees: list[list[Tree]]) -> Matrix:
-        shared = m.blocks.sparkSession.sparkContext.broadcast(trees)
+        shared = m.blocks.sparkSession.sparkContext.broadcast([[x.lean() for x in own] for own in trees])
 
         def run(blocks: Iterator[Block]) -> Iterator[dict]:
             for b in blocks:
-                old = np.zeros((n_models, len(b.y))) if b.margin is None else b.margin
-                b.margin = np.stack([old[i] + s.step * sum((t.predict(b.bins) for t in own), np.zeros(len(b.y))) for i, own in enumerate(shared.value)])
-                yield b.row()
+                yield replace(b, margin=np.stack(margins(b, shared.value)), key=b.key[:0]).row()
 
         return Matrix(_stored(blocks_of.batches(BLOCK, run), "margins"), m.features, m.edges, m.n_bins, m.rows)
 
+    def margins(b: Block, trees: list[list[Tree]]) -> list[np.ndarray]:
+        """Stored margins and what the trees add."""
+        out = np.zeros((n_models, len(b.y))) if b.margin is None else b.margin
+        return [x + s.step * sum((t.predict(b.bins) for t in own), np.zeros(len(b.y))) if own else x for x, own in zip(out, trees)]
+
+    parts = m.blocks.rdd.getNumPartitions()
     done: list[list[Tree]] = [[] for _ in folds]
     fresh: list[list[Tree]] = [[] for _ in folds]
     data = with_margins(m, fresh)
     for t in range(s.rounds):
-        if len(fresh[0]) == KEEP:
+        if len(fresh[0]) == min(KEEP, WRITE):
             data, fresh = with_margins(data, fresh), [[] for _ in folds]
         trees, active = [Tree(s.depth) for _ in folds], {i: np.array([1]) for i in range(n_models)}
         allowed = s.features(t, m.k)
         for level in range(s.depth):
-            shared = m.blocks.sparkSession.sparkContext.broadcast((trees, active, fresh))
+            shared = m.blocks.sparkSession.sparkContext.broadcast(([x.lean() for x in trees], active, [[x.lean() for x in own] for own in fresh]))
 
             def run(blocks: Iterator[Block], n_bins=m.n_bins, shared=shared, level=level) -> Iterator[dict]:
                 (trees, active, fresh), total = shared.value, {}
                 for b in blocks:
+                    now = margins(b, fresh)
                     for i, nodes in active.items():
-                        margin = b.margin[i] + s.step * sum((x.predict(b.bins) for x in fresh[i]), np.zeros(len(b.y)))
-                        g, h = _gradients(b, margin, folds[i])
+                        g, h = _gradients(b, now[i], folds[i])
                         place = places(walk(trees[i].feature, trees[i].cut, level, b.bins), nodes, s.depth)
-                        place[b.fold == folds[i]] = len(nodes)
+                        if folds[i] >= 0:
+                            place[b.fold == folds[i]] = len(nodes)
                         total[i] = total.get(i, 0) + histograms(b.bins, place, g, h, len(nodes), n_bins)
                 for i, x in total.items():
                     yield {"tree": i, "hist": x.tobytes()}
 
-            found = _added(data.batches(HIST, run), HIST)
+            sent, shapes = data.batches(HIST, run), {i: (len(nodes), m.k, m.n_bins, 2) for i, nodes in active.items()}
+            if parts * sum(16 * math.prod(x[:3]) for x in shapes.values()) <= SUMS_BYTES:
+                found = {i: np.zeros(x) for i, x in shapes.items()}
+                for r in sent.collect():
+                    found[r["tree"]] += np.frombuffer(r["hist"]).reshape(shapes[r["tree"]])
+            else:
+                found = {i: x.reshape(shapes[i]) for i, x in _added(sent, HIST).items()}
             shared.unpersist()
-            kids = {i: split(trees[i], nodes, found[i].reshape(len(nodes), m.k, m.n_bins, 2), s.rule, np.repeat(allowed, len(nodes), axis=0)) for i, nodes in active.items()}
+            kids = {i: split(trees[i], nodes, found[i], s.rule, np.repeat(allowed, len(nodes), axis=0)) for i, nodes in active.items()}
             active = {i: x for i, x in kids.items() if len(x)}
             if not active:
                 break
@@ -855,10 +888,11 @@ def _boost_spread(m: Matrix, s: Boost, folds: list[int]) -> list[list[Tree]]:
 def boost(m: Matrix, s: Boost = Boost(), folds: list[int] | None = None) -> list[Forest]:
     """One model per fold that is left out (-1: none)."""
     folds = [-1] if folds is None else folds
-    if m.local is not None or m.travels and len(folds) > 1:  # one model has the tasks to itself
+    if m.local is not None or m.travels and len(folds) > 1:  # a single model is quicker over many tasks
         trees = [x for x, _, _ in _boosted_locally(m, s, folds)]
     else:
-        trees = _boost_spread(m, s, folds)
+        with few_blocks(m.blocks.sparkSession):
+            trees = _boost_spread(m, s, folds)
     return [Forest(t, m.features, m.edges, s.step, True) for t in trees]
 
 
@@ -879,7 +913,9 @@ def boost_cv(m: Matrix, s: Boost, folds: int) -> tuple[list[tuple], int]:
         got = _boosted_locally(m, s, list(range(folds)))
         losses, aucs = np.array([x[1] for x in got if x[1]]), np.array([x[2] for x in got if x[1]])
     else:
-        losses, aucs = _spread_metrics(m, s, _boost_spread(m, s, list(range(folds))))
+        with few_blocks(m.blocks.sparkSession):
+            models = _boost_spread(m, s, list(range(folds)))
+        losses, aucs = _spread_metrics(m, s, models)
     aucs = aucs[~np.isnan(aucs).all(axis=1)]  # a fold of one class has no AUC
     mean, sd = (aucs.mean(axis=0), aucs.std(axis=0)) if len(aucs) else (np.full(s.rounds, np.nan),) * 2
     rows = [(i + 1, float(losses[:, i].mean()), float(losses[:, i].std()), float(mean[i]), float(sd[i])) for i in range(losses.shape[1])]

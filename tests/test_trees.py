@@ -233,3 +233,17 @@ def test_a_table_copied_past_the_driver(spark, monkeypatch):
     assert all((a.feature == b.feature).all() and (a.cut == b.cut).all() for a, b in zip(T.forest(there, 5, 2, depth=4).trees, want[2].trees))
     numbers = sorted(r["i"] for r in there.everywhere("i long, n long", 7, lambda i, b: [{"i": i, "n": len(b.y)}]).collect() if r["n"] == 600)
     assert numbers == list(range(7))
+
+
+def test_small_sums_of_boosting_need_no_shuffle(spark, monkeypatch):
+    s, was = T.Boost(rounds=5), spark.conf.get(T.BATCH)
+    want = T.boost(matrix(spark, monkeypatch, False), s)[0].importance()
+    m, real = matrix(spark, monkeypatch, True), T._added
+    monkeypatch.setattr(T, "WRITE", 2)
+    monkeypatch.setattr(T, "_added", lambda *_: pytest.fail("a second stage"))
+    assert np.allclose(T.boost(m, s)[0].importance(), want)
+    calls = []
+    monkeypatch.setattr(T, "_added", lambda *a: calls.append(spark.conf.get(T.BATCH)) or real(*a))
+    monkeypatch.setattr(T, "SUMS_BYTES", 0)
+    assert np.allclose(T.boost(m, s)[0].importance(), want) and set(calls) == {str(T.BLOCKS)}
+    assert spark.conf.get(T.BATCH) == was
