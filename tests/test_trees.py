@@ -247,3 +247,13 @@ def test_small_sums_of_boosting_need_no_shuffle(spark, monkeypatch):
     monkeypatch.setattr(T, "SUMS_BYTES", 0)
     assert np.allclose(T.boost(m, s)[0].importance(), want) and set(calls) == {str(T.BLOCKS)}
     assert spark.conf.get(T.BATCH) == was
+
+
+def test_boosting_cv_of_a_copied_table_with_an_empty_fold(spark, monkeypatch):
+    want = T.boost_cv(matrix(spark, monkeypatch, False, fold=2), T.Boost(rounds=2), 3)
+    m = matrix(spark, monkeypatch, True, fold=2)
+    monkeypatch.setattr(T, "LOCAL_BYTES", 4000)
+    assert m.local is None and m.travels
+    monkeypatch.setattr(T, "_boost_spread", lambda *_: pytest.fail("a job per level"))
+    got = T.boost_cv(m, T.Boost(rounds=2), 3)
+    assert got[1] == want[1] and len(got[0]) == 2 and np.allclose(np.array(got[0]), np.array(want[0]))
